@@ -144,3 +144,194 @@ def a8_roc_points(spark, sf):
 @register("a8_auc")
 def a8_auc(spark, sf):
     return rounded(M.auc(scored_events(spark, sf), "truth", "score"))
+
+
+# ---------------------------------------------------------------- request parsing
+from umpire.functions import events as EV  # noqa: E402
+from umpire.functions import scoring as S  # noqa: E402
+from umpire.schemas import FEATURE_COLUMNS  # noqa: E402
+from umpire.sources import payloads as PL  # noqa: E402
+from umpire.sources import sinks as SK  # noqa: E402
+from umpire.sources import testdata as TD  # noqa: E402
+
+KEYS = ["l_orderkey", "l_linenumber"]
+
+
+@register("s4_csv_lines")
+def s4_csv_lines(spark, sf):
+    lines = TD.request_lines(spark, sf, with_label=False)
+    return PL.parse_csv_lines(lines, "line", TD.REQUEST_FIELDS, keep=KEYS)
+
+
+@register("f2_split_truth")
+def f2_split_truth(spark, sf):
+    lines = TD.request_lines(spark, sf, with_label=True)
+    return PL.parse_csv_lines(lines, "line", TD.REQUEST_FIELDS, label="ground_truth", keep=KEYS)
+
+
+@register("f3_coerce_numeric")
+def f3_coerce_numeric(spark, sf):
+    lines = TD.request_lines(spark, sf, with_label=False, junk_every=50)
+    return PL.parse_csv_lines(lines, "line", TD.REQUEST_FIELDS, keep=KEYS)
+
+
+@register("f4_strict_reject")
+def f4_strict_reject(spark, sf):
+    lines = TD.request_lines(spark, sf, with_label=False, junk_every=50)
+    named = S.name_fields(lines, "line", TD.REQUEST_FIELDS, keep=KEYS)
+    checked = S.to_numeric(named, TD.REQUEST_FIELDS, mode="strict", request="l_orderkey")
+    return checked.groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.sum((F.col("bad_values") > 0).cast("long")).alias("bad_lines"),
+        F.max("rejected").alias("rejected"))
+
+
+@register("f5_numeric_columns")
+def f5_numeric_columns(spark, sf):
+    li = table(spark, sf, "lineitem")
+    return li.select(*S.numeric_columns(li))
+
+
+# ---------------------------------------------------------------- labels and responses
+def _predictions(spark, sf) -> DataFrame:
+    sl = TD.scored_lines(spark, sf)
+    return sl.select("request_id", "line", *S.prediction_record(F.col("probs"), F.col("truth_label")))
+
+
+@register("f6_map_values")
+def f6_map_values(spark, sf):
+    df = prepared(spark, sf)
+    return df.select("doc_id", "y", S.map_values(F.col("y"), {1.0: "home_win", 0.0: "home_not_win"})
+                     .alias("label"))
+
+
+@register("f7_argmax_label")
+def f7_argmax_label(spark, sf):
+    return _predictions(spark, sf)
+
+
+@register("f8_numeric_flags")
+def f8_numeric_flags(spark, sf):
+    return _predictions(spark, sf).select("request_id", "line", "numerical_ground_truth_label",
+                                          "predicted_numerical_label")
+
+
+def _prediction_inputs(spark, sf) -> DataFrame:
+    sl = TD.scored_lines(spark, sf)
+    body = F.concat(F.lit('{"predictions": ['), F.col("probs")[1].cast("string"), F.lit(", "),
+                    F.col("probs")[0].cast("string"), F.lit("]}"))
+    return sl.select("request_id", "line", body.alias("body"))
+
+
+@register("s14_parse_predictions")
+def s14_parse_predictions(spark, sf):
+    return PL.parse_predictions(_prediction_inputs(spark, sf), "body", "application/json",
+                                keep=["request_id", "line"])
+
+
+@register("f9_threshold_label")
+def f9_threshold_label(spark, sf):
+    preds = PL.parse_predictions(_prediction_inputs(spark, sf), "body", "application/json",
+                                 keep=["request_id", "line"])
+    return preds.select("request_id", "line", "position",
+                        S.threshold_label(F.col("prediction"), 0.5).alias("label"),
+                        F.col("prediction").alias("confidence"))
+
+
+@register("s10_csv_response")
+def s10_csv_response(spark, sf):
+    p = _predictions(spark, sf)
+    return p.select("request_id", "line", SK.csv_response(p, with_truth=True).alias("csv5"),
+                    SK.csv_response(p, with_truth=False).alias("csv3"))
+
+
+@register("s11_json_response")
+def s11_json_response(spark, sf):
+    return SK.json_response(_predictions(spark, sf), "request_id", "line", with_truth=True)
+
+
+@register("s12_jsonlines_response")
+def s12_jsonlines_response(spark, sf):
+    p = _predictions(spark, sf)
+    return p.select("request_id", "line", SK.jsonlines_response(with_truth=False).alias("body"))
+
+
+@register("s13_unwrap_single")
+def s13_unwrap_single(spark, sf):
+    return SK.json_response(_predictions(spark, sf), "request_id", "line", with_truth=False,
+                            unwrap_single=True)
+
+
+@register("s16_matrix_csv")
+def s16_matrix_csv(spark, sf):
+    parsed = s4_csv_lines(spark, sf)
+    return parsed.select(*KEYS, SK.matrix_csv(TD.REQUEST_FIELDS).alias("row"))
+
+
+# ---------------------------------------------------------------- records
+@register("f10_record_map")
+def f10_record_map(spark, sf):
+    lines = TD.request_lines(spark, sf, with_label=False)
+    return lines.select(*KEYS, F.explode(S.record_map(F.col("line"))).alias("key", "value"))
+
+
+@register("f11_last_columns")
+def f11_last_columns(spark, sf):
+    ev = TD.scored_events(spark, sf)
+    truth = F.when(F.col("truth") == 1, "home_win").otherwise("home_not_win")
+    joined = ev.select("event_id", "user_id", "score",
+                       *S.prediction_record(F.array(1.0 - F.col("score"), F.col("score")), truth))
+    return rounded(S.last_columns(joined, 4))
+
+
+@register("f12_name_features")
+def f12_name_features(spark, sf):
+    return TD.tensors(spark, sf).select("event_id", "name").transform(
+        lambda d: S.name_features(d, "name", FEATURE_COLUMNS))
+
+
+@register("f13_filter_series")
+def f13_filter_series(spark, sf):
+    return S.filter_series(TD.tensors(spark, sf), "name", r"average_shap/.*", limit=35).select(
+        "event_id", "name", "step")
+
+
+@register("f17_csv_payload")
+def f17_csv_payload(spark, sf):
+    df = prepared(spark, sf)
+    return df.select(F.col("doc_id").cast("string").alias("inference_id"),
+                     S.csv_payload(IMPUTED).alias("payload"))
+
+
+@register("f18_synthetic_label")
+def f18_synthetic_label(spark, sf):
+    ev = table(spark, sf, "events")
+    return ev.select("event_id", S.synthetic_label("event_id").alias("label"))
+
+
+@register("s9_ground_truth_records")
+def s9_ground_truth_records(spark, sf):
+    ev = table(spark, sf, "events").select("event_id", "ts", S.synthetic_label("event_id").alias("label"))
+    return SK.ground_truth_events(ev, "event_id", "label", "ts")
+
+
+# ---------------------------------------------------------------- event rules
+@register("f14_classify_arrivals")
+def f14_classify_arrivals(spark, sf):
+    return EV.classify_arrivals(TD.arrivals(spark, sf)).select(
+        "event_id", "status", "file_type", "folder", "message")
+
+
+ARRIVAL_RULE = {"source": ["object.store"], "detail-type": ["Object Created"],
+                "detail": {"bucket": {"name": ["landing"]}, "object": {"key": [{"prefix": "data/"}]}}}
+
+
+@register("f15_match_events")
+def f15_match_events(spark, sf):
+    return EV.match_events(TD.bus_events(spark, sf), ARRIVAL_RULE).select(
+        "event_id", F.col("detail.object.key").alias("key"))
+
+
+@register("f16_log_metrics")
+def f16_log_metrics(spark, sf):
+    return rounded(EV.extract_log_metrics(TD.log_lines(spark, sf), keep=["line_id"]))

@@ -193,3 +193,218 @@ s AS (SELECT sum(pos * mid) AS rs, CAST(sum(pos) AS DOUBLE) AS P, CAST(sum(neg)
 SELECT round((rs - P * (P + 1) / 2) / (P * N), 6) AS auc, CAST(P AS BIGINT) AS positives,
        CAST(N AS BIGINT) AS negatives FROM s
 """
+
+# ---------------------------------------------------------------- requests and responses
+from umpire.functions.events import log_patterns  # noqa: E402
+from umpire.schemas import FEATURE_COLUMNS  # noqa: E402
+
+RID = "l_orderkey * 10 + l_linenumber"
+JUNK = f"({H8.format(c=RID)} % 50 = 0)"
+LINE = ("concat_ws(', ', CAST(l_quantity AS VARCHAR), CAST(l_extendedprice AS VARCHAR), "
+        "CAST(l_discount AS VARCHAR), CAST(l_tax AS VARCHAR), CAST(l_suppkey AS VARCHAR))")
+
+SQL["s4_csv_lines"] = """
+SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
+       CAST(l_suppkey AS DOUBLE) AS l_suppkey FROM lineitem
+"""
+
+SQL["f2_split_truth"] = """
+SELECT l_orderkey, l_linenumber,
+       CASE WHEN l_returnflag = 'R' THEN 'home_win' ELSE 'home_not_win' END AS ground_truth,
+       l_quantity, l_extendedprice, l_discount, l_tax, CAST(l_suppkey AS DOUBLE) AS l_suppkey
+FROM lineitem
+"""
+
+SQL["f3_coerce_numeric"] = f"""
+SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
+       CASE WHEN {JUNK} THEN NULL ELSE l_tax END AS l_tax, CAST(l_suppkey AS DOUBLE) AS l_suppkey
+FROM lineitem
+"""
+
+SQL["f4_strict_reject"] = f"""
+SELECT l_orderkey, count(*) AS lines, CAST(sum(CASE WHEN {JUNK} THEN 1 ELSE 0 END) AS BIGINT) AS bad_lines,
+       bool_or({JUNK}) AS rejected
+FROM lineitem GROUP BY l_orderkey
+"""
+
+SQL["f5_numeric_columns"] = """
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax
+FROM lineitem
+"""
+
+SQL["f6_map_values"] = f"""
+SELECT doc_id, y, CASE WHEN y = 1.0 THEN 'home_win' WHEN y = 0.0 THEN 'home_not_win' END AS label
+FROM ({PREPARED})
+"""
+
+SCORED_LINES = """
+SELECT request_id, line, p, round(1.0 - p, 6) AS q, truth_label FROM (
+  SELECT l_orderkey AS request_id, l_linenumber AS line, round(l_discount * 10.0, 6) AS p,
+         CASE WHEN l_returnflag = 'R' THEN 'home_win' ELSE 'home_not_win' END AS truth_label
+  FROM lineitem)
+"""
+
+PREDICTIONS = f"""
+SELECT request_id, line, truth_label AS ground_truth,
+  CASE WHEN truth_label = 'home_win' THEN 1 ELSE 0 END AS numerical_ground_truth_label,
+  CASE WHEN p > q THEN 'home_win' ELSE 'home_not_win' END AS predicted_label,
+  CASE WHEN p > q THEN 1 ELSE 0 END AS predicted_numerical_label,
+  p AS win_probability
+FROM ({SCORED_LINES})
+"""
+
+SQL["f7_argmax_label"] = PREDICTIONS
+
+SQL["f8_numeric_flags"] = f"""
+SELECT request_id, line, numerical_ground_truth_label, predicted_numerical_label FROM ({PREDICTIONS})
+"""
+
+SQL["s14_parse_predictions"] = f"""
+SELECT request_id, line, 0 AS position, p AS prediction FROM ({SCORED_LINES})
+UNION ALL SELECT request_id, line, 1 AS position, q AS prediction FROM ({SCORED_LINES})
+"""
+
+SQL["f9_threshold_label"] = f"""
+SELECT request_id, line, position, CASE WHEN prediction > 0.5 THEN 'home_win' ELSE 'home_not_win' END AS label,
+       prediction AS confidence
+FROM ({SQL["s14_parse_predictions"]})
+"""
+
+SQL["s10_csv_response"] = f"""
+SELECT request_id, line,
+  concat_ws(',', ground_truth, CAST(numerical_ground_truth_label AS VARCHAR), predicted_label,
+            CAST(predicted_numerical_label AS VARCHAR), printf('%.6f', win_probability)) AS csv5,
+  concat_ws(',', predicted_label, CAST(predicted_numerical_label AS VARCHAR),
+            printf('%.6f', win_probability)) AS csv3
+FROM ({PREDICTIONS})
+"""
+
+ITEM_T = ("'{\"prediction\":\"' || predicted_label || '\",\"confidence\":' || CAST(round(win_probability, 6) AS VARCHAR)"
+          " || ',\"numerical_label\":' || CAST(predicted_numerical_label AS VARCHAR)"
+          " || ',\"ground_truth\":\"' || ground_truth || '\"}'")
+ITEM = ("'{\"prediction\":\"' || predicted_label || '\",\"confidence\":' || CAST(round(win_probability, 6) AS VARCHAR)"
+        " || ',\"numerical_label\":' || CAST(predicted_numerical_label AS VARCHAR) || '}'")
+
+SQL["s11_json_response"] = f"""
+SELECT request_id, CAST(count(*) AS INTEGER) AS n, '[' || string_agg({ITEM_T}, ',' ORDER BY line, predicted_label, round(win_probability, 6), predicted_numerical_label, ground_truth) || ']' AS body
+FROM ({PREDICTIONS}) GROUP BY request_id
+"""
+
+SQL["s12_jsonlines_response"] = f"SELECT request_id, line, {ITEM} AS body FROM ({PREDICTIONS})"
+
+SQL["s13_unwrap_single"] = f"""
+SELECT request_id, CAST(count(*) AS INTEGER) AS n,
+  CASE WHEN count(*) = 1 THEN min({ITEM}) ELSE '[' || string_agg({ITEM}, ',' ORDER BY line, predicted_label, round(win_probability, 6), predicted_numerical_label) || ']' END AS body
+FROM ({PREDICTIONS}) GROUP BY request_id
+"""
+
+SQL["s16_matrix_csv"] = """
+SELECT l_orderkey, l_linenumber,
+  concat_ws(',', CAST(l_quantity AS VARCHAR), CAST(l_extendedprice AS VARCHAR), CAST(l_discount AS VARCHAR),
+            CAST(l_tax AS VARCHAR), CAST(CAST(l_suppkey AS DOUBLE) AS VARCHAR)) AS row
+FROM lineitem
+"""
+
+SQL["f10_record_map"] = f"""
+SELECT l_orderkey, l_linenumber, lpad(CAST(idx AS VARCHAR), 2, '0') AS key, value FROM (
+  SELECT l_orderkey, l_linenumber, unnest(parts) AS value, unnest(range(len(parts))) AS idx
+  FROM (SELECT l_orderkey, l_linenumber, string_split({LINE}, ',') AS parts FROM lineitem))
+"""
+
+SQL["f11_last_columns"] = """
+SELECT CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS numerical_ground_truth_label,
+  CASE WHEN value / 500.0 > 1.0 - value / 500.0 THEN 'home_win' ELSE 'home_not_win' END AS predicted_label,
+  CASE WHEN value / 500.0 > 1.0 - value / 500.0 THEN 1 ELSE 0 END AS predicted_numerical_label,
+  round(value / 500.0, 6) AS win_probability
+FROM events
+"""
+
+FEATURES_LIST = "[" + ", ".join(f"'{c}'" for c in FEATURE_COLUMNS) + "]"
+
+TENSORS = """
+SELECT event_id,
+  CASE WHEN event_type = 'purchase' THEN 'metrics' WHEN event_type = 'click' THEN 'feature_importance'
+       ELSE 'average_shap' END AS collection,
+  CASE WHEN event_type = 'purchase' THEN 'train-' || CASE WHEN user_id % 2 = 0 THEN 'auc' ELSE 'logloss' END
+       WHEN event_type = 'click' THEN 'feature_importance/gain/f' || CAST(user_id % 60 AS VARCHAR)
+       ELSE 'average_shap/f' || CAST(user_id % 60 AS VARCHAR) END AS name,
+  CAST(dayofmonth(ts) AS BIGINT) AS step, value
+FROM events
+"""
+
+SQL["f12_name_features"] = f"""
+SELECT event_id, name,
+  coalesce(CASE WHEN regexp_matches(tag, '^f[0-9]+$') AND CAST(substr(tag, 2) AS INTEGER) < {len(FEATURE_COLUMNS)}
+                THEN {FEATURES_LIST}[CAST(substr(tag, 2) AS INTEGER) + 1] END, name) AS feature
+FROM (SELECT event_id, name, string_split(name, '/')[-1] AS tag FROM ({TENSORS}))
+"""
+
+SQL["f13_filter_series"] = f"""
+WITH t AS ({TENSORS}),
+names AS (SELECT DISTINCT name FROM t WHERE regexp_matches(name, '^(?:average_shap/.*)') ORDER BY name LIMIT 35)
+SELECT event_id, name, step FROM t WHERE name IN (SELECT name FROM names)
+"""
+
+SQL["f17_csv_payload"] = f"""
+SELECT CAST(doc_id AS VARCHAR) AS inference_id,
+  concat_ws(',', CAST(n_chars AS VARCHAR), CAST(n_words AS VARCHAR), CAST(n_sentences AS VARCHAR),
+            CAST(n_lines AS VARCHAR)) AS payload
+FROM ({PREPARED})
+"""
+
+SYNTH = f"['home_win', 'home_not_win'][{H8.format(c='event_id')} % 2 + 1]"
+
+SQL["f18_synthetic_label"] = f"SELECT event_id, {SYNTH} AS label FROM events"
+
+SQL["s9_ground_truth_records"] = f"""
+SELECT event_id, strftime(ts, '%Y/%m/%d/%H') AS folder,
+  '{{"groundTruthData":{{"data":"' || {SYNTH} || '","encoding":"CSV"}},"eventMetadata":{{"eventId":"'
+  || CAST(event_id AS VARCHAR) || '"}},"eventVersion":"0"}}' AS record
+FROM events
+"""
+
+ARRIVALS = f"""
+SELECT event_id, ts,
+  CASE WHEN event_type = 'purchase' THEN 'data/' || CAST(user_id AS VARCHAR) || '/df.csv'
+       WHEN event_type = 'click' THEN 'data/' || CAST(user_id AS VARCHAR) || '/y.csv'
+       WHEN event_type = 'view' THEN 'data/' || CAST(user_id AS VARCHAR) || '/notes.csv'
+       WHEN event_type = 'signup' THEN 'raw/' || CAST(user_id AS VARCHAR) || '/df.csv'
+       ELSE 'data/' || CAST(user_id AS VARCHAR) || '/df.json' END AS key,
+  CASE WHEN {H8.format(c='event_id')} % 10 = 0 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS batch_id
+FROM events
+"""
+
+SQL["f14_classify_arrivals"] = f"""
+SELECT event_id,
+  CASE WHEN NOT ok THEN 'skipped' WHEN NOT hb THEN 'missing_batch_id' WHEN ft IS NULL THEN 'unrecognized'
+       ELSE 'accepted' END AS status,
+  CASE WHEN ok AND hb THEN ft END AS file_type,
+  regexp_extract(key, '^(.*)/[^/]*$', 1) || '/' AS folder,
+  CASE WHEN NOT ok THEN 'Object is not in the ''data/'' folder or not a CSV file.'
+       WHEN NOT hb THEN 'batch-id metadata is missing'
+       WHEN ft IS NULL THEN 'File type not recognized' END AS message
+FROM (SELECT *, starts_with(key, 'data/') AND ends_with(key, '.csv') AS ok,
+             coalesce(batch_id <> '', false) AS hb,
+             CASE WHEN strpos(key, 'df.csv') > 0 THEN 'df' WHEN strpos(key, 'y.csv') > 0 THEN 'y' END AS ft
+      FROM ({ARRIVALS}))
+"""
+
+SQL["f15_match_events"] = """
+SELECT event_id, CASE WHEN event_type = 'view' THEN 'tmp/' ELSE 'data/' END || CAST(user_id AS VARCHAR)
+       || '/df.csv' AS key
+FROM events
+WHERE event_type IN ('purchase', 'click', 'view')
+  AND starts_with(CASE WHEN event_type = 'view' THEN 'tmp/' ELSE 'data/' END, 'data/')
+"""
+
+_LOG = """
+SELECT event_id AS line_id, printf('[%d]#011train-logloss:%.5f#011%s-auc:%.5f#011train-auc:%.5f',
+  event_id, value / 100.0, CASE WHEN event_type = 'view' THEN 'eval' ELSE 'validation_0' END,
+  value / 500.0, value / 490.02) AS line
+FROM events
+"""
+
+SQL["f16_log_metrics"] = " UNION ALL ".join(
+    f"SELECT line_id, '{name}' AS metric, round(TRY_CAST(regexp_extract(line, '{pat}', 1) AS DOUBLE), 6)"
+    f" AS metric_value FROM ({_LOG}) WHERE regexp_matches(line, '{pat}')"
+    for name, pat in log_patterns().items())

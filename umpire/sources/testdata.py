@@ -74,3 +74,95 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").alias("created_at"),
         F.col("o_orderkey").alias("package_id"),
     )
+
+
+# Numeric request fields rendered from lineitem, in payload order.
+REQUEST_FIELDS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_suppkey"]
+
+
+def request_lines(spark: SparkSession, sf_dir: str, with_label: bool, junk_every: int = 0) -> DataFrame:
+    """Headerless CSV request lines (``", "`` separated) from lineitem.
+
+    With ``with_label`` the truth label is the first field
+    (``l_returnflag = 'R'`` -> positive).  With ``junk_every`` a seeded share of
+    lines carries the token ``RUTI`` in place of the tax field.
+    """
+    li = table(spark, sf_dir, "lineitem")
+    rid = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    vals = [F.col(c).cast("string") for c in REQUEST_FIELDS]
+    if junk_every:
+        vals[3] = F.when(residue(rid, junk_every) == 0, F.lit("RUTI")).otherwise(vals[3])
+    if with_label:
+        vals = [F.when(F.col("l_returnflag") == "R", POSITIVE).otherwise(NEGATIVE)] + vals
+    return li.select("l_orderkey", "l_linenumber", F.concat_ws(", ", *vals).alias("line"))
+
+
+def scored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as predictions of a request (the order): class
+    probabilities ``[1 - p, p]`` with ``p = l_discount * 10``; truth by flag."""
+    li = table(spark, sf_dir, "lineitem")
+    p = F.round(F.col("l_discount") * 10.0, 6)
+    return li.select(
+        F.col("l_orderkey").alias("request_id"), F.col("l_linenumber").alias("line"),
+        F.array(F.round(1.0 - p, 6), p).alias("probs"),
+        F.when(F.col("l_returnflag") == "R", POSITIVE).otherwise(NEGATIVE).alias("truth_label"))
+
+
+def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Object-arrival events derived from ``events``: the key depends on the
+    event type (feature file, label file, other csv, other folder, non-csv);
+    every tenth event (seeded) lacks its batch id."""
+    ev = table(spark, sf_dir, "events")
+    u = F.col("user_id").cast("string")
+    key = (F.when(F.col("event_type") == "purchase", F.concat(F.lit("data/"), u, F.lit("/df.csv")))
+           .when(F.col("event_type") == "click", F.concat(F.lit("data/"), u, F.lit("/y.csv")))
+           .when(F.col("event_type") == "view", F.concat(F.lit("data/"), u, F.lit("/notes.csv")))
+           .when(F.col("event_type") == "signup", F.concat(F.lit("raw/"), u, F.lit("/df.csv")))
+           .otherwise(F.concat(F.lit("data/"), u, F.lit("/df.json"))))
+    batch = F.when(residue("event_id", 10) == 0, F.lit(None).cast("string")).otherwise(u)
+    return ev.select("event_id", "ts", F.lit("landing").alias("bucket"), key.alias("key"),
+                     batch.alias("batch_id"))
+
+
+def bus_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event-bus records (source, detail-type, nested detail) from ``events``."""
+    ev = table(spark, sf_dir, "events")
+    is_obj = F.col("event_type").isin("purchase", "click", "view")
+    source = F.when(is_obj, "object.store").otherwise("model.registry")
+    dtype = F.when(is_obj, "Object Created").otherwise("Model Package State Change")
+    prefix = F.when(F.col("event_type") == "view", "tmp/").otherwise("data/")
+    status = F.when(F.col("event_type") == "signup", "Approved").otherwise("Rejected")
+    detail = F.struct(
+        F.struct(F.lit("landing").alias("name")).alias("bucket"),
+        F.struct(F.concat(prefix, F.col("user_id").cast("string"), F.lit("/df.csv")).alias("key")).alias("object"),
+        F.concat(F.lit("group-"), (F.col("user_id") % 3).cast("string")).alias("ModelPackageGroupName"),
+        status.alias("ModelApprovalStatus"))
+    return ev.select("event_id", "ts", source.alias("source"), dtype.alias("detail-type"),
+                     detail.alias("detail"))
+
+
+def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training-log lines rendered from ``events``; the set names depend on
+    the event type so some lines match no pattern."""
+    ev = table(spark, sf_dir, "events")
+    valid = F.when(F.col("event_type") == "view", "eval").otherwise("validation_0")
+    line = F.format_string("[%d]#011train-logloss:%.5f#011%s-auc:%.5f#011train-auc:%.5f",
+                           F.col("event_id"), F.col("value") / 100.0, valid,
+                           F.col("value") / 500.0, F.col("value") / 490.02)
+    return ev.select(F.col("event_id").alias("line_id"), line.alias("value"))
+
+
+def tensors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training tensors ``(collection, name, step, value)`` from ``events``:
+    step = day of month, series by event type and user."""
+    ev = table(spark, sf_dir, "events")
+    fidx = (F.col("user_id") % 60).cast("string")
+    coll = (F.when(F.col("event_type") == "purchase", "metrics")
+            .when(F.col("event_type") == "click", "feature_importance")
+            .otherwise("average_shap"))
+    name = (F.when(F.col("event_type") == "purchase",
+                   F.concat(F.lit("train-"), F.when(F.col("user_id") % 2 == 0, "auc").otherwise("logloss")))
+            .when(F.col("event_type") == "click", F.concat(F.lit("feature_importance/gain/f"), fidx))
+            .otherwise(F.concat(F.lit("average_shap/f"), fidx)))
+    return ev.select(coll.alias("collection"), name.alias("name"),
+                     F.dayofmonth("ts").cast("long").alias("step"), F.col("value"), "event_id")
