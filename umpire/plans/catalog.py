@@ -335,3 +335,148 @@ def f15_match_events(spark, sf):
 @register("f16_log_metrics")
 def f16_log_metrics(spark, sf):
     return rounded(EV.extract_log_metrics(TD.log_lines(spark, sf), keep=["line_id"]))
+
+
+# ---------------------------------------------------------------- joins
+from umpire.operators import joins as J  # noqa: E402
+from umpire.operators import quality as Q  # noqa: E402
+from umpire.operators import registry as R  # noqa: E402
+from umpire.operators import sampling as W  # noqa: E402
+
+
+def _captures(spark, sf) -> DataFrame:
+    ev = TD.scored_events(spark, sf)
+    return ev.select(F.col("event_id").cast("string").alias("inference_id"), "score",
+                     (F.col("score") > 0.1).cast("int").alias("yhat"))
+
+
+@register("j1_match_truth")
+def j1_match_truth(spark, sf):
+    m = J.match_truth(_captures(spark, sf), TD.ground_truth(spark, sf), "inference_id", "eventId")
+    return rounded(m.select("inference_id", "score", "yhat", "label"))
+
+
+@register("j2_unlabelled_captures")
+def j2_unlabelled_captures(spark, sf):
+    no_truth, _ = J.unmatched(_captures(spark, sf), TD.ground_truth(spark, sf), "inference_id", "eventId")
+    return no_truth.select("inference_id")
+
+
+@register("j2_orphan_truths")
+def j2_orphan_truths(spark, sf):
+    _, orphans = J.unmatched(_captures(spark, sf), TD.ground_truth(spark, sf), "inference_id", "eventId")
+    return orphans.select("eventId", "label")
+
+
+@register("j3_join_input_output")
+def j3_join_input_output(spark, sf):
+    p = TD.scored_lines(spark, sf).select(
+        "request_id", "line", F.col("probs")[1].alias("p"),
+        *S.prediction_record(F.col("probs")))
+    return J.join_input_output(p, ["request_id", "line", "p"],
+                               ["predicted_label", "predicted_numerical_label"])
+
+
+def _variants(spark, sf) -> DataFrame:
+    ev = TD.scored_events(spark, sf)
+    prod = ev.select("event_id", "truth", (F.col("score") > 0.1).cast("int").alias("yhat"))
+    shadow = ev.select("event_id", (F.col("score") * 1.1 + 0.01 > 0.1).cast("int").alias("yhat"))
+    pairs = J.pair_variants(prod, shadow, "event_id", ["yhat"])
+    return pairs.join(prod.select("event_id", "truth"), "event_id")
+
+
+@register("j4_pair_variants")
+def j4_pair_variants(spark, sf):
+    return _variants(spark, sf).select("event_id", "prod_yhat", "shadow_yhat")
+
+
+@register("a14_compare_variants")
+def a14_compare_variants(spark, sf):
+    return rounded(R.compare_variants(_variants(spark, sf), "truth", "prod_yhat", "shadow_yhat"))
+
+
+@register("j5_align_rows")
+def j5_align_rows(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "lang")
+    emb = table(spark, sf, "embeddings").select("vec_id", "label")
+    return J.align_rows(docs, emb).select("row_id", "doc_id", "lang", "vec_id", "label")
+
+
+# ---------------------------------------------------------------- registry
+@register("w3_latest_approved")
+def w3_latest_approved(spark, sf):
+    return R.latest_approved(TD.registry(spark, sf))
+
+
+@register("w4_latest_package")
+def w4_latest_package(spark, sf):
+    reg = TD.registry(spark, sf)
+    return R.latest(reg, "group", "created_at", "package_id", ["arn", "status"]).select(
+        "group", F.date_format("latest_created_at", "yyyy-MM-dd").alias("latest_created"), "arn", "status")
+
+
+@register("t6_deploy_decision")
+def t6_deploy_decision(spark, sf):
+    return R.deploy_decision(TD.approval_events(spark, sf), TD.registry(spark, sf))
+
+
+# ---------------------------------------------------------------- sampling
+@register("w5_sample_with_replacement")
+def w5_sample_with_replacement(spark, sf):
+    emb = table(spark, sf, "embeddings").select("vec_id", "label")
+    return W.sample_with_replacement(emb, ["vec_id"], n=100, seed=42).select("draw", "vec_id", "label")
+
+
+@register("w6_zscore_outliers")
+def w6_zscore_outliers(spark, sf):
+    emb = table(spark, sf, "embeddings").select("vec_id", W.row_sum("embedding").alias("row_sum"))
+    return rounded(W.zscore_outliers(emb, "row_sum", "vec_id", n=3))
+
+
+@register("w7_capture_sample")
+def w7_capture_sample(spark, sf):
+    return W.capture_sample(TD.scored_events(spark, sf), "event_id", 30).select("event_id")
+
+
+# ---------------------------------------------------------------- data and model quality
+@register("a9_profile")
+def a9_profile(spark, sf):
+    return rounded(Q.profile(TD.capture(spark, sf, "baseline"), TD.CAPTURE_COLUMNS))
+
+
+@register("a9_histogram")
+def a9_histogram(spark, sf):
+    return rounded(Q.histogram(TD.capture(spark, sf, "baseline"), ["value", "k", "user_id"]))
+
+
+@register("a10_suggest_constraints")
+def a10_suggest_constraints(spark, sf):
+    stats = Q.profile(TD.capture(spark, sf, "baseline"), TD.CAPTURE_COLUMNS)
+    return rounded(Q.suggest_constraints(stats))
+
+
+@register("a11_violations")
+def a11_violations(spark, sf):
+    cons = Q.suggest_constraints(Q.profile(TD.capture(spark, sf, "baseline"), TD.CAPTURE_COLUMNS))
+    cur = Q.profile(TD.capture(spark, sf, "current"), TD.CAPTURE_COLUMNS)
+    return Q.violations(cur, cons)
+
+
+@register("a12_drift")
+def a12_drift(spark, sf):
+    return rounded(Q.drift(TD.capture(spark, sf, "baseline"), TD.capture(spark, sf, "current"),
+                           ["value", "k", "user_id"]))
+
+
+def _window_metrics(spark, sf, window: str) -> DataFrame:
+    ev = TD.scored_events(spark, sf)
+    cut = F.lit(TD.CUTOVER).cast("timestamp")
+    ev = ev.where(F.col("ts") < cut) if window == "baseline" else ev.where(F.col("ts") >= cut)
+    return M.model_quality(ev, "truth", "score", threshold=0.1)
+
+
+@register("a13_model_quality_check")
+def a13_model_quality_check(spark, sf):
+    metrics = ["accuracy", "precision", "recall", "f1"]
+    return rounded(Q.quality_violations(_window_metrics(spark, sf, "current"),
+                                        _window_metrics(spark, sf, "baseline"), metrics))

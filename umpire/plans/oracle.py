@@ -408,3 +408,225 @@ SQL["f16_log_metrics"] = " UNION ALL ".join(
     f"SELECT line_id, '{name}' AS metric, round(TRY_CAST(regexp_extract(line, '{pat}', 1) AS DOUBLE), 6)"
     f" AS metric_value FROM ({_LOG}) WHERE regexp_matches(line, '{pat}')"
     for name, pat in log_patterns().items())
+
+# ---------------------------------------------------------------- joins, registry, sampling
+CAPTURES = """
+SELECT CAST(event_id AS VARCHAR) AS inference_id, value / 500.0 AS score,
+       CAST(value / 500.0 > 0.1 AS INTEGER) AS yhat FROM events
+"""
+TRUTH = f"""
+SELECT CAST(CASE WHEN {H8.format(c='event_id')} % 10 = 0 THEN event_id + 1000000000000 ELSE event_id END
+            AS VARCHAR) AS eventId,
+       CASE WHEN event_type = 'purchase' THEN 'home_win' ELSE 'home_not_win' END AS label
+FROM events
+"""
+
+SQL["j1_match_truth"] = f"""
+SELECT c.inference_id, round(c.score, 6) AS score, c.yhat, t.label
+FROM ({CAPTURES}) c JOIN ({TRUTH}) t ON c.inference_id = t.eventId
+"""
+
+SQL["j2_unlabelled_captures"] = f"""
+SELECT inference_id FROM ({CAPTURES}) c WHERE NOT EXISTS (SELECT 1 FROM ({TRUTH}) t WHERE t.eventId = c.inference_id)
+"""
+
+SQL["j2_orphan_truths"] = f"""
+SELECT eventId, label FROM ({TRUTH}) t WHERE NOT EXISTS (SELECT 1 FROM ({CAPTURES}) c WHERE t.eventId = c.inference_id)
+"""
+
+SQL["j3_join_input_output"] = f"""
+SELECT request_id, line, p, CASE WHEN p > q THEN 'home_win' ELSE 'home_not_win' END AS predicted_label,
+       CASE WHEN p > q THEN 1 ELSE 0 END AS predicted_numerical_label
+FROM ({SCORED_LINES})
+"""
+
+VARIANTS = """
+SELECT event_id, CAST(event_type = 'purchase' AS INTEGER) AS truth,
+       CAST(value / 500.0 > 0.1 AS INTEGER) AS prod_yhat,
+       CAST(value / 500.0 * 1.1 + 0.01 > 0.1 AS INTEGER) AS shadow_yhat
+FROM events
+"""
+
+SQL["j4_pair_variants"] = f"SELECT event_id, prod_yhat, shadow_yhat FROM ({VARIANTS})"
+
+SQL["a14_compare_variants"] = f"""
+SELECT n, round(agreement, 6) AS agreement, round(pf1, 6) AS production_f1, round(sf1, 6) AS shadow_f1,
+       sf1 > pf1 AS promote_shadow
+FROM (SELECT count(*) AS n, avg(CAST(prod_yhat = shadow_yhat AS DOUBLE)) AS agreement,
+  {ratio('2 * sum(CASE WHEN truth = 1 AND prod_yhat = 1 THEN 1 ELSE 0 END)',
+         '2 * sum(CASE WHEN truth = 1 AND prod_yhat = 1 THEN 1 ELSE 0 END) + sum(CASE WHEN truth <> 1 AND prod_yhat = 1 THEN 1 ELSE 0 END) + sum(CASE WHEN truth = 1 AND prod_yhat <> 1 THEN 1 ELSE 0 END)')} AS pf1,
+  {ratio('2 * sum(CASE WHEN truth = 1 AND shadow_yhat = 1 THEN 1 ELSE 0 END)',
+         '2 * sum(CASE WHEN truth = 1 AND shadow_yhat = 1 THEN 1 ELSE 0 END) + sum(CASE WHEN truth <> 1 AND shadow_yhat = 1 THEN 1 ELSE 0 END) + sum(CASE WHEN truth = 1 AND shadow_yhat <> 1 THEN 1 ELSE 0 END)')} AS sf1
+FROM ({VARIANTS}))
+"""
+
+SQL["j5_align_rows"] = """
+SELECT d.row_id, d.doc_id, d.lang, e.vec_id, e.label
+FROM (SELECT doc_id, lang, row_number() OVER (ORDER BY doc_id) - 1 AS row_id FROM documents) d
+JOIN (SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) - 1 AS row_id FROM embeddings) e
+  ON d.row_id = e.row_id
+"""
+
+REGISTRY = """
+SELECT o_custkey AS "group", 'pkg-' || CAST(o_orderkey AS VARCHAR) AS arn,
+  CASE WHEN o_orderstatus = 'F' THEN 'Approved' WHEN o_orderstatus = 'P' THEN 'PendingManualApproval'
+       ELSE 'Rejected' END AS status, o_orderdate AS created_at, o_orderkey AS package_id
+FROM orders
+"""
+
+LATEST_APPROVED = f"""
+SELECT "group", max(CASE WHEN rn = 2 THEN arn END) AS production, max(CASE WHEN rn = 1 THEN arn END) AS shadow
+FROM (SELECT *, row_number() OVER (PARTITION BY "group" ORDER BY created_at DESC, package_id DESC) AS rn
+      FROM ({REGISTRY}) WHERE status = 'Approved')
+GROUP BY "group"
+"""
+
+SQL["w3_latest_approved"] = LATEST_APPROVED
+
+SQL["w4_latest_package"] = f"""
+SELECT "group", strftime(created_at, '%Y-%m-%d') AS latest_created, arn, status
+FROM (SELECT *, row_number() OVER (PARTITION BY "group" ORDER BY created_at DESC, package_id DESC) AS rn
+      FROM ({REGISTRY}))
+WHERE rn = 1
+"""
+
+SQL["t6_deploy_decision"] = f"""
+SELECT e.event_id, e."group", e.approval_status,
+  CASE WHEN e.approval_status = 'Approved' THEN 'deploy' ELSE 'skip' END AS action,
+  CASE WHEN e.approval_status = 'Approved' THEN l.production END AS production,
+  CASE WHEN e.approval_status = 'Approved' THEN l.shadow END AS shadow,
+  CASE WHEN e.approval_status = 'Approved' THEN 'Endpoint deployed successfully' ELSE 'Skipping deployment.' END
+    AS message
+FROM (SELECT event_id, user_id + 1 AS "group",
+        CASE WHEN event_type = 'error' THEN 'Approved'
+             WHEN {H8.format(c='event_id')} % 3 = 0 THEN 'Rejected' ELSE 'Approved' END AS approval_status
+      FROM events WHERE event_type IN ('signup', 'error')) e
+LEFT JOIN ({LATEST_APPROVED}) l ON e."group" = l."group"
+"""
+
+SQL["w5_sample_with_replacement"] = f"""
+WITH r AS (SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) - 1 AS pos FROM embeddings),
+n AS (SELECT count(*) AS c FROM embeddings),
+d AS (SELECT range AS draw FROM range(100))
+SELECT d.draw, r.vec_id, r.label
+FROM d, n, r WHERE d.draw < n.c AND r.pos = {H8.format(c='d.draw')} % n.c
+"""
+
+SQL["w6_zscore_outliers"] = """
+WITH s AS (SELECT vec_id, list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))) AS row_sum FROM embeddings),
+st AS (SELECT avg(row_sum) AS m, stddev_pop(row_sum) AS sd FROM s),
+low AS (SELECT vec_id, row_sum, 'low' AS side FROM s ORDER BY row_sum ASC, vec_id ASC LIMIT 3),
+high AS (SELECT vec_id, row_sum, 'high' AS side FROM s ORDER BY row_sum DESC, vec_id ASC LIMIT 3)
+SELECT vec_id, round(row_sum, 6) AS row_sum, side, round((row_sum - m) / sd, 6) AS z
+FROM (SELECT * FROM low UNION ALL SELECT * FROM high), st
+"""
+
+SQL["w7_capture_sample"] = f"SELECT event_id FROM events WHERE {H8.format(c='event_id')} % 100 < 30"
+
+# ---------------------------------------------------------------- data and model quality
+CAP_BASE = """
+SELECT event_id, ts, value, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, user_id, event_type
+FROM events WHERE ts < TIMESTAMP '2024-01-16'
+"""
+CAP_CUR = f"""
+SELECT event_id, ts, value - 25.0 AS value,
+  CASE WHEN {H8.format(c='event_id')} % 5 = 0 THEN NULL ELSE CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k,
+  user_id, event_type
+FROM events WHERE ts >= TIMESTAMP '2024-01-16'
+"""
+
+
+def long_form(src: str) -> str:
+    return f"""
+SELECT 'value' AS "column", 'Fractional' AS inferred_type, value AS num, CAST(value AS VARCHAR) AS str FROM ({src})
+UNION ALL SELECT 'k', 'Integral', CAST(k AS DOUBLE), CAST(k AS VARCHAR) FROM ({src})
+UNION ALL SELECT 'user_id', 'Integral', CAST(user_id AS DOUBLE), CAST(user_id AS VARCHAR) FROM ({src})
+UNION ALL SELECT 'event_type', 'String', CAST(NULL AS DOUBLE), event_type FROM ({src})
+"""
+
+
+def profile_sql(src: str) -> str:
+    return f"""
+SELECT "column", inferred_type, count(*) AS num_rows, CAST(count(*) - count(str) AS BIGINT) AS num_missing,
+  CAST(count(str) AS DOUBLE) / count(*) AS completeness, avg(num) AS mean, sum(num) AS sum,
+  stddev_pop(num) AS std_dev, min(num) AS min, max(num) AS max, count(DISTINCT str) AS distinct
+FROM ({long_form(src)}) GROUP BY "column", inferred_type
+"""
+
+
+SQL["a9_profile"] = f"""
+SELECT "column", inferred_type, num_rows, num_missing, round(completeness, 6) AS completeness,
+  round(mean, 6) AS mean, round(sum, 6) AS sum, round(std_dev, 6) AS std_dev, round(min, 6) AS min,
+  round(max, 6) AS max, "distinct"
+FROM ({profile_sql(CAP_BASE)})
+"""
+
+SQL["a9_histogram"] = f"""
+WITH l AS (SELECT * FROM ({long_form(CAP_BASE)}) WHERE num IS NOT NULL AND "column" <> 'event_type'),
+b AS (SELECT "column", min(num) AS lo, max(num) AS hi FROM l GROUP BY "column"),
+x AS (SELECT l."column", lo, hi,
+        CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((num - lo) / ((hi - lo) / 10)), 9) END AS INTEGER) AS bucket
+      FROM l JOIN b ON l."column" = b."column")
+SELECT "column", bucket, round(lo + (hi - lo) * bucket / 10, 6) AS lower,
+       round(lo + (hi - lo) * (bucket + 1) / 10, 6) AS upper, count(*) AS count
+FROM x GROUP BY "column", bucket, lo, hi
+"""
+
+CONSTRAINTS = f"""
+SELECT "column", inferred_type, completeness AS completeness_threshold,
+       CASE WHEN inferred_type = 'String' THEN NULL ELSE min >= 0 END AS non_negative
+FROM ({profile_sql(CAP_BASE)})
+"""
+
+SQL["a10_suggest_constraints"] = f"""
+SELECT "column", inferred_type, round(completeness_threshold, 6) AS completeness_threshold, non_negative
+FROM ({CONSTRAINTS})
+"""
+
+SQL["a11_violations"] = f"""
+WITH c AS ({profile_sql(CAP_CUR)}), k AS ({CONSTRAINTS})
+SELECT c."column", 'data_type_check' AS "check",
+       'Expected type ' || k.inferred_type || ', found ' || c.inferred_type AS description
+FROM c JOIN k ON c."column" = k."column" WHERE c.inferred_type <> k.inferred_type
+UNION ALL
+SELECT c."column", 'completeness_check',
+       'Completeness ' || printf('%.6f', c.completeness) || ' is below ' || printf('%.6f', k.completeness_threshold)
+FROM c JOIN k ON c."column" = k."column" WHERE c.completeness < k.completeness_threshold
+UNION ALL
+SELECT c."column", 'non_negative_check', 'Minimum ' || printf('%.6f', c.min) || ' is negative'
+FROM c JOIN k ON c."column" = k."column" WHERE k.non_negative AND c.min < 0
+"""
+
+SQL["a12_drift"] = f"""
+WITH b AS (SELECT "column", num, count(*) AS n FROM ({long_form(CAP_BASE)}) WHERE num IS NOT NULL GROUP BY ALL),
+c AS (SELECT "column", num, count(*) AS n FROM ({long_form(CAP_CUR)}) WHERE num IS NOT NULL GROUP BY ALL),
+j AS (SELECT coalesce(b."column", c."column") AS "column", coalesce(b.num, c.num) AS num,
+             coalesce(b.n, 0) AS nb, coalesce(c.n, 0) AS nc
+      FROM b FULL OUTER JOIN c ON b."column" = c."column" AND b.num = c.num),
+w AS (SELECT "column",
+        sum(nb) OVER (PARTITION BY "column" ORDER BY num ROWS UNBOUNDED PRECEDING) AS cb,
+        sum(nc) OVER (PARTITION BY "column" ORDER BY num ROWS UNBOUNDED PRECEDING) AS cc,
+        sum(nb) OVER (PARTITION BY "column") AS tb, sum(nc) OVER (PARTITION BY "column") AS tc FROM j)
+SELECT "column", round(max(abs(cb / tb - cc / tc)), 6) AS ks_distance, CAST(max(tb) AS BIGINT) AS n_base,
+       CAST(max(tc) AS BIGINT) AS n_current
+FROM w GROUP BY "column"
+"""
+
+
+def window_metrics(cond: str) -> str:
+    return f"""
+SELECT {ratio('tp + tn', 'tp + fp + fn + tn')} AS accuracy, {ratio('tp', 'tp + fp')} AS precision,
+       {ratio('tp', 'tp + fn')} AS recall, {ratio('2.0 * tp', '2.0 * tp + 1.0 * fn + fp')} AS f1
+FROM (SELECT {CONFUSION.format(y='truth', p='yhat')}
+      FROM (SELECT truth, CASE WHEN score > 0.1 THEN 1 ELSE 0 END AS yhat FROM ({SCORED}) WHERE {cond}))
+"""
+
+
+SQL["a13_model_quality_check"] = f"""
+WITH b AS ({window_metrics("ts < TIMESTAMP '2024-01-16'")}), c AS ({window_metrics("ts >= TIMESTAMP '2024-01-16'")})
+SELECT m.metric, round(m.bv, 6) AS baseline, round(m.cv, 6) AS current, m.cv < m.bv AS violated FROM (
+  SELECT 'accuracy' AS metric, b.accuracy AS bv, c.accuracy AS cv FROM b, c
+  UNION ALL SELECT 'precision', b.precision, c.precision FROM b, c
+  UNION ALL SELECT 'recall', b.recall, c.recall FROM b, c
+  UNION ALL SELECT 'f1', b.f1, c.f1 FROM b, c) m
+"""

@@ -166,3 +166,43 @@ def tensors(spark: SparkSession, sf_dir: str) -> DataFrame:
             .otherwise(F.concat(F.lit("average_shap/f"), fidx)))
     return ev.select(coll.alias("collection"), name.alias("name"),
                      F.dayofmonth("ts").cast("long").alias("step"), F.col("value"), "event_id")
+
+
+CUTOVER = "2024-01-16"
+CAPTURE_COLUMNS = ["value", "k", "user_id", "event_type"]
+
+
+def capture(spark: SparkSession, sf_dir: str, window: str) -> DataFrame:
+    """Captured requests from ``events``: the baseline window is before the
+    cutover; the current window (from the cutover on) stands for a drifted
+    feed: ``value`` shifted by -25 and ``k`` missing for a seeded fifth."""
+    ev = table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k").cast("int")
+    if window == "baseline":
+        return ev.where(F.col("ts") < F.lit(CUTOVER).cast("timestamp")).select(
+            "event_id", "ts", "value", k.alias("k"), "user_id", "event_type")
+    return ev.where(F.col("ts") >= F.lit(CUTOVER).cast("timestamp")).select(
+        "event_id", "ts", (F.col("value") - 25.0).alias("value"),
+        F.when(residue("event_id", 5) == 0, F.lit(None).cast("int")).otherwise(k).alias("k"),
+        "user_id", "event_type")
+
+
+def ground_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late truth records, one per event: a seeded tenth carry an id no
+    capture has (orphans), so those captures stay unlabelled."""
+    ev = table(spark, sf_dir, "events")
+    eid = F.when(residue("event_id", 10) == 0, F.col("event_id") + F.lit(10 ** 12)).otherwise(F.col("event_id"))
+    label = F.when(F.col("event_type") == "purchase", POSITIVE).otherwise(NEGATIVE)
+    return ev.select(eid.cast("string").alias("eventId"), label.alias("label"),
+                     (F.col("ts") + F.expr("INTERVAL 2 HOURS")).alias("truth_ts"))
+
+
+def approval_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Approval events from ``events`` (signup and error rows): the group is
+    ``user_id + 1``; error rows carry no detail (treated as approved); a
+    seeded third of the others are rejected."""
+    ev = table(spark, sf_dir, "events").where(F.col("event_type").isin("signup", "error"))
+    status = F.when(residue("event_id", 3) == 0, "Rejected").otherwise("Approved")
+    detail = F.when(F.col("event_type") == "error", F.lit(None)).otherwise(
+        F.struct(status.alias("ModelApprovalStatus")))
+    return ev.select("event_id", "ts", (F.col("user_id") + 1).alias("group"), detail.alias("detail"))
