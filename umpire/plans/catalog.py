@@ -480,3 +480,53 @@ def a13_model_quality_check(spark, sf):
     metrics = ["accuracy", "precision", "recall", "f1"]
     return rounded(Q.quality_violations(_window_metrics(spark, sf, "current"),
                                         _window_metrics(spark, sf, "baseline"), metrics))
+
+
+# ---------------------------------------------------------------- bias
+from umpire.operators import bias as B  # noqa: E402
+from umpire.operators import explain as X  # noqa: E402
+
+FACET_THRESHOLD = 1000.0
+
+
+def _bias_rows(spark, sf) -> DataFrame:
+    df = prepared(spark, sf)
+    p = 1.0 / (1.0 + F.exp(-(F.col("n_words") - 200.0) / 100.0))
+    return df.select("doc_id", "source", "n_chars", "y",
+                     B.facet("n_chars", FACET_THRESHOLD).alias("facet"),
+                     (p > 0.65).cast("int").alias("yhat"))
+
+
+@register("a20_facet")
+def a20_facet(spark, sf):
+    return _bias_rows(spark, sf).select("doc_id", "facet")
+
+
+@register("a17_pretraining_bias")
+def a17_pretraining_bias(spark, sf):
+    return rounded(B.pretraining_bias(_bias_rows(spark, sf), F.col("facet"), "y", "source"))
+
+
+@register("a18_posttraining_bias")
+def a18_posttraining_bias(spark, sf):
+    return rounded(B.posttraining_bias(_bias_rows(spark, sf), F.col("facet"), "y", "yhat", "source"))
+
+
+# ---------------------------------------------------------------- explanations
+def _shap(spark, sf) -> DataFrame:
+    return table(spark, sf, "embeddings").select("vec_id", "embedding")
+
+
+@register("a15_global_importance")
+def a15_global_importance(spark, sf):
+    return rounded(X.global_importance(X.shap_long(_shap(spark, sf), "vec_id", "embedding")))
+
+
+@register("a16_metric_series")
+def a16_metric_series(spark, sf):
+    return rounded(X.metric_series(TD.tensors(spark, sf), "metrics", ["train-auc", "train-logloss"]))
+
+
+@register("m9_explain_rows")
+def m9_explain_rows(spark, sf):
+    return rounded(X.explain_rows(_shap(spark, sf), "vec_id", "embedding"))

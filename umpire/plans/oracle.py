@@ -630,3 +630,125 @@ SELECT m.metric, round(m.bv, 6) AS baseline, round(m.cv, 6) AS current, m.cv < m
   UNION ALL SELECT 'recall', b.recall, c.recall FROM b, c
   UNION ALL SELECT 'f1', b.f1, c.f1 FROM b, c) m
 """
+
+# ---------------------------------------------------------------- bias and explanations
+BIAS_ROWS = f"""
+SELECT doc_id, source, n_chars, y, n_chars > 1000.0 AS facet,
+       CAST(1.0 / (1.0 + exp(-(n_words - 200.0) / 100.0)) > 0.65 AS INTEGER) AS yhat
+FROM ({PREPARED}) p JOIN (SELECT doc_id AS id2, source FROM documents) s ON p.doc_id = s.id2
+"""
+
+SQL["a20_facet"] = f"SELECT doc_id, facet FROM ({BIAS_ROWS})"
+
+
+def _kl(p1, p0, r1, r0):
+    def term(p, r):
+        return f"(CASE WHEN {p} = 0 THEN 0.0 WHEN {r} = 0 THEN NULL ELSE {p} * ln({p} / {r}) END)"
+    return f"({term(p1, r1)} + {term(p0, r0)})"
+
+
+def _cdd_sql(pos: str) -> str:
+    return f"""
+SELECT sum(n_i * (coalesce(CASE WHEN n0 = 0 THEN NULL ELSE nd0 / n0 END, 0.0)
+                 - coalesce(CASE WHEN n1 = 0 THEN NULL ELSE nd1 / n1 END, 0.0))) / sum(n_i) AS v
+FROM (SELECT source, count(*) AS n_i,
+        CAST(sum(CASE WHEN NOT {pos} THEN 1 ELSE 0 END) AS DOUBLE) AS n0,
+        CAST(sum(CASE WHEN {pos} THEN 1 ELSE 0 END) AS DOUBLE) AS n1,
+        CAST(sum(CASE WHEN facet AND NOT {pos} THEN 1 ELSE 0 END) AS DOUBLE) AS nd0,
+        CAST(sum(CASE WHEN facet AND {pos} THEN 1 ELSE 0 END) AS DOUBLE) AS nd1
+      FROM ({BIAS_ROWS}) GROUP BY source)
+"""
+
+
+_PRE = f"""
+SELECT *, (qa + qd) / 2 AS m1, ((1 - qa) + (1 - qd)) / 2 AS m0 FROM (
+  SELECT na, nd, CASE WHEN na = 0 THEN NULL ELSE na1 / na END AS qa, CASE WHEN nd = 0 THEN NULL ELSE nd1 / nd END AS qd
+  FROM (SELECT CAST(sum(CASE WHEN NOT facet THEN 1 ELSE 0 END) AS DOUBLE) AS na,
+               CAST(sum(CASE WHEN facet THEN 1 ELSE 0 END) AS DOUBLE) AS nd,
+               CAST(sum(CASE WHEN NOT facet AND y = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS na1,
+               CAST(sum(CASE WHEN facet AND y = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS nd1
+        FROM ({BIAS_ROWS})))
+"""
+
+SQL["a17_pretraining_bias"] = f"""
+SELECT metric, round(value, 6) AS value FROM (
+  SELECT 'CI' AS metric, CASE WHEN na + nd = 0 THEN NULL ELSE (na - nd) / (na + nd) END AS value FROM ({_PRE})
+  UNION ALL SELECT 'DPL', qa - qd FROM ({_PRE})
+  UNION ALL SELECT 'KL', {_kl('qa', '(1 - qa)', 'qd', '(1 - qd)')} FROM ({_PRE})
+  UNION ALL SELECT 'JS', 0.5 * ({_kl('qa', '(1 - qa)', 'm1', 'm0')} + {_kl('qd', '(1 - qd)', 'm1', 'm0')}) FROM ({_PRE})
+  UNION ALL SELECT 'LP', sqrt(pow(qa - qd, 2) + pow((1 - qa) - (1 - qd), 2)) FROM ({_PRE})
+  UNION ALL SELECT 'TVD', 0.5 * (abs(qa - qd) + abs((1 - qa) - (1 - qd))) FROM ({_PRE})
+  UNION ALL SELECT 'KS', greatest(abs(qa - qd), abs((1 - qa) - (1 - qd))) FROM ({_PRE})
+  UNION ALL SELECT 'CDDL', v FROM ({_cdd_sql('y = 1')}))
+"""
+
+
+def _dv(a: str, b: str) -> str:
+    return f"(CASE WHEN ({b}) = 0 THEN NULL ELSE CAST({a} AS DOUBLE) / ({b}) END)"
+
+
+def _facet_counts(tag: str, cond: str) -> str:
+    return (f"CAST(sum(CASE WHEN {cond} THEN 1 ELSE 0 END) AS DOUBLE) AS n_{tag}, "
+            f"CAST(sum(CASE WHEN {cond} AND y = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS n1_{tag}, "
+            f"CAST(sum(CASE WHEN {cond} AND yhat = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS p1_{tag}, "
+            f"CAST(sum(CASE WHEN {cond} AND y = 1 AND yhat = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS tp_{tag}, "
+            f"CAST(sum(CASE WHEN {cond} AND y <> 1 AND yhat = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS fp_{tag}, "
+            f"CAST(sum(CASE WHEN {cond} AND y = 1 AND yhat <> 1 THEN 1 ELSE 0 END) AS DOUBLE) AS fn_{tag}, "
+            f"CAST(sum(CASE WHEN {cond} AND y <> 1 AND yhat <> 1 THEN 1 ELSE 0 END) AS DOUBLE) AS tn_{tag}")
+
+
+def _per(t: str) -> str:
+    return (f"{_dv(f'p1_{t}', f'n_{t}')} AS q_{t}, {_dv(f'n1_{t}', f'p1_{t}')} AS ca_{t}, "
+            f"{_dv(f'n_{t} - n1_{t}', f'n_{t} - p1_{t}')} AS cr_{t}, {_dv(f'tp_{t}', f'tp_{t} + fn_{t}')} AS rec_{t}, "
+            f"{_dv(f'tp_{t}', f'tp_{t} + fp_{t}')} AS prec_{t}, {_dv(f'tn_{t}', f'tn_{t} + fn_{t}')} AS npv_{t}, "
+            f"{_dv(f'tp_{t} + tn_{t}', f'n_{t}')} AS acc_{t}, {_dv(f'tn_{t}', f'tn_{t} + fp_{t}')} AS tnr_{t}, "
+            f"{_dv(f'fn_{t}', f'fp_{t}')} AS te_{t}")
+
+
+_POST = f"""
+SELECT *, {_per('a')}, {_per('d')}, sb / n AS mu FROM (
+  SELECT {_facet_counts('a', 'NOT facet')}, {_facet_counts('d', 'facet')}, CAST(count(*) AS DOUBLE) AS n,
+         sum(CAST(yhat AS DOUBLE) - CAST(y AS DOUBLE) + 1.0) AS sb,
+         sum(pow(CAST(yhat AS DOUBLE) - CAST(y AS DOUBLE) + 1.0, 2)) AS sbb
+  FROM ({BIAS_ROWS}))
+"""
+
+SQL["a18_posttraining_bias"] = f"""
+SELECT metric, round(value, 6) AS value FROM (
+  SELECT 'DPPL' AS metric, q_a - q_d AS value FROM ({_POST})
+  UNION ALL SELECT 'DI', {_dv('q_d', 'q_a')} FROM ({_POST})
+  UNION ALL SELECT 'DCA', ca_a - ca_d FROM ({_POST})
+  UNION ALL SELECT 'DCR', cr_d - cr_a FROM ({_POST})
+  UNION ALL SELECT 'RD', rec_a - rec_d FROM ({_POST})
+  UNION ALL SELECT 'DAR', prec_a - prec_d FROM ({_POST})
+  UNION ALL SELECT 'DRR', npv_d - npv_a FROM ({_POST})
+  UNION ALL SELECT 'AD', acc_a - acc_d FROM ({_POST})
+  UNION ALL SELECT 'SD', tnr_d - tnr_a FROM ({_POST})
+  UNION ALL SELECT 'TE', te_d - te_a FROM ({_POST})
+  UNION ALL SELECT 'GE', (sbb / (mu * mu) - n) / (2.0 * n) FROM ({_POST})
+  UNION ALL SELECT 'CDDPL', v FROM ({_cdd_sql('yhat = 1')}))
+"""
+
+SHAP_LONG = """
+SELECT vec_id, j - 1 AS j, CAST(embedding[j] AS DOUBLE) AS phi
+FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding))) AS j FROM embeddings)
+"""
+
+SQL["a15_global_importance"] = f"""
+SELECT CAST(j AS INTEGER) AS j, 'f' || CAST(j AS VARCHAR) AS feature, round(avg(abs(phi)), 6) AS mean_abs_shap
+FROM ({SHAP_LONG}) GROUP BY j
+"""
+
+SQL["a16_metric_series"] = f"""
+SELECT step, round(avg(CASE WHEN name = 'train-auc' THEN value END), 6) AS "train-auc",
+       round(avg(CASE WHEN name = 'train-logloss' THEN value END), 6) AS "train-logloss"
+FROM ({TENSORS}) WHERE collection = 'metrics' GROUP BY step
+"""
+
+SQL["m9_explain_rows"] = """
+SELECT vec_id, round(base, 6) AS base, round(phi_sum, 6) AS phi_sum, round(base + phi_sum, 6) AS margin,
+       round(1.0 / (1.0 + exp(-(base + phi_sum))), 6) AS probability
+FROM (SELECT vec_id, CAST(embedding[len(embedding)] AS DOUBLE) AS base,
+             list_sum(list_transform(embedding[1:len(embedding) - 1], lambda x: CAST(x AS DOUBLE))) AS phi_sum
+      FROM embeddings)
+"""
