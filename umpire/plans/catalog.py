@@ -530,3 +530,53 @@ def a16_metric_series(spark, sf):
 @register("m9_explain_rows")
 def m9_explain_rows(spark, sf):
     return rounded(X.explain_rows(_shap(spark, sf), "vec_id", "embedding"))
+
+
+# ---------------------------------------------------------------- streaming
+from umpire.streaming import monitor as SM  # noqa: E402
+from umpire.streaming import rendezvous as RV  # noqa: E402
+from umpire.streaming.runner import run_available_now, table_stream  # noqa: E402
+
+
+@register("t1_rendezvous_batch")
+def t1_rendezvous_batch(spark, sf):
+    return RV.rendezvous_batch(EV.classify_arrivals(TD.arrivals(spark, sf)))
+
+
+@register("t1_rendezvous_stream")
+def t1_rendezvous_stream(spark, sf):
+    arr = SM.arrivals_stream(table_stream(spark, sf, "events"))
+    return run_available_now(RV.rendezvous_stream(arr), "t1_rendezvous")
+
+
+@register("t2_arrivals_stream")
+def t2_arrivals_stream(spark, sf):
+    arr = SM.arrivals_stream(table_stream(spark, sf, "events"))
+    out = run_available_now(arr.select("event_id", "status", "file_type", "folder", "message"), "t2_arrivals")
+    return out
+
+
+@register("t3_windowed_monitor")
+def t3_windowed_monitor(spark, sf):
+    scored = TD.scored_from(table_stream(spark, sf, "events"))
+    out = run_available_now(SM.windowed_monitor(scored, "1 hour", "1 hour", threshold=0.1), "t3_monitor")
+    return rounded(out.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+                              "n", "mean_score", "tp", "fp", "fn", "precision", "recall"))
+
+
+@register("t4_late_truth_join")
+def t4_late_truth_join(spark, sf):
+    ev = table_stream(spark, sf, "events")
+    caps = TD.scored_from(ev).select(F.col("event_id").cast("string").alias("inference_id"), "ts", "score",
+                                     (F.col("score") > 0.1).cast("int").alias("yhat"))
+    truth = TD.ground_truth_from(table_stream(spark, sf, "events"))
+    out = run_available_now(SM.late_truth_join(caps, truth, "3 hours", "3 hours")
+                            .select("inference_id", "score", "yhat", "label"), "t4_late_truth")
+    return rounded(out)
+
+
+@register("t5_score_stream")
+def t5_score_stream(spark, sf):
+    scored = SM.score_requests(table_stream(spark, sf, "events").withColumn("score", F.col("value") / 500.0))
+    out = run_available_now(scored, "t5_capture", foreach=SM.capture_writer())
+    return rounded(out.drop("epoch"))

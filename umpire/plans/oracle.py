@@ -752,3 +752,52 @@ FROM (SELECT vec_id, CAST(embedding[len(embedding)] AS DOUBLE) AS base,
              list_sum(list_transform(embedding[1:len(embedding) - 1], lambda x: CAST(x AS DOUBLE))) AS phi_sum
       FROM embeddings)
 """
+
+# ---------------------------------------------------------------- streaming twins
+CLASSIFIED = SQL["f14_classify_arrivals"].replace("SELECT event_id,\n  CASE WHEN NOT ok", "SELECT event_id, ts, batch_id,\n  CASE WHEN NOT ok", 1)
+
+RENDEZVOUS = f"""
+WITH a AS (SELECT batch_id, event_id, ts, file_type, folder FROM ({CLASSIFIED}) WHERE status = 'accepted'),
+w AS (SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY ts, event_id) AS pos,
+             lag(file_type) OVER (PARTITION BY batch_id ORDER BY ts, event_id) AS prev FROM a),
+c AS (SELECT *, coalesce(file_type <> prev, false) AS change FROM w),
+d AS (SELECT *, max(CASE WHEN NOT change THEN pos END)
+                  OVER (PARTITION BY batch_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS anchor FROM c)
+SELECT batch_id, event_id, folder,
+       'Both files uploaded, pipeline triggered and DynamoDB entry cleaned.' AS message
+FROM d WHERE change AND (pos - anchor) % 2 = 1
+"""
+
+SQL["t1_rendezvous_batch"] = RENDEZVOUS
+SQL["t1_rendezvous_stream"] = RENDEZVOUS
+SQL["t2_arrivals_stream"] = SQL["f14_classify_arrivals"]
+
+SQL["t3_windowed_monitor"] = f"""
+WITH s AS ({SCORED}),
+g AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS ws, count(*) AS n, avg(score) AS mean_score,
+        CAST(sum(CASE WHEN truth = 1 AND score > 0.1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
+        CAST(sum(CASE WHEN truth <> 1 AND score > 0.1 THEN 1 ELSE 0 END) AS BIGINT) AS fp,
+        CAST(sum(CASE WHEN truth = 1 AND NOT score > 0.1 THEN 1 ELSE 0 END) AS BIGINT) AS fn
+      FROM s GROUP BY ALL)
+SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, n, round(mean_score, 6) AS mean_score, tp, fp, fn,
+       round({ratio('tp', 'tp + fp')}, 6) AS precision, round({ratio('tp', 'tp + fn')}, 6) AS recall
+FROM g WHERE ws + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
+"""
+
+SQL["t4_late_truth_join"] = f"""
+SELECT c.inference_id, round(c.score, 6) AS score, c.yhat, t.label
+FROM (SELECT CAST(event_id AS VARCHAR) AS inference_id, ts, value / 500.0 AS score,
+             CAST(value / 500.0 > 0.1 AS INTEGER) AS yhat FROM events) c
+JOIN (SELECT t0.*, e.ts + INTERVAL 2 HOUR AS truth_ts FROM ({TRUTH}) t0
+      JOIN events e ON t0.eventId = CAST(CASE WHEN {H8.format(c='e.event_id')} % 10 = 0
+                                              THEN e.event_id + 1000000000000 ELSE e.event_id END AS VARCHAR)) t
+  ON c.inference_id = t.eventId AND t.truth_ts BETWEEN c.ts AND c.ts + INTERVAL 3 HOUR
+"""
+
+SQL["t5_score_stream"] = """
+SELECT event_id, round(value, 6) AS value,
+  CASE WHEN value / 500.0 > 1.0 - value / 500.0 THEN 'home_win' ELSE 'home_not_win' END AS predicted_label,
+  CASE WHEN value / 500.0 > 1.0 - value / 500.0 THEN 1 ELSE 0 END AS predicted_numerical_label,
+  round(value / 500.0, 6) AS win_probability
+FROM events
+"""

@@ -54,7 +54,11 @@ def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as scored requests: ``score`` = value / 500, truth = purchase."""
-    ev = table(spark, sf_dir, "events")
+    return scored_from(table(spark, sf_dir, "events"))
+
+
+def scored_from(ev: DataFrame) -> DataFrame:
+    """Scored requests from an events frame (batch or stream)."""
     return ev.select(
         "event_id", "ts", "user_id", "event_type",
         (F.col("value") / F.lit(500.0)).alias("score"),
@@ -112,7 +116,11 @@ def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Object-arrival events derived from ``events``: the key depends on the
     event type (feature file, label file, other csv, other folder, non-csv);
     every tenth event (seeded) lacks its batch id."""
-    ev = table(spark, sf_dir, "events")
+    return arrivals_from(table(spark, sf_dir, "events"))
+
+
+def arrivals_from(ev: DataFrame) -> DataFrame:
+    """Arrival events from an events frame (batch or stream)."""
     u = F.col("user_id").cast("string")
     key = (F.when(F.col("event_type") == "purchase", F.concat(F.lit("data/"), u, F.lit("/df.csv")))
            .when(F.col("event_type") == "click", F.concat(F.lit("data/"), u, F.lit("/y.csv")))
@@ -190,7 +198,11 @@ def capture(spark: SparkSession, sf_dir: str, window: str) -> DataFrame:
 def ground_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Late truth records, one per event: a seeded tenth carry an id no
     capture has (orphans), so those captures stay unlabelled."""
-    ev = table(spark, sf_dir, "events")
+    return ground_truth_from(table(spark, sf_dir, "events"))
+
+
+def ground_truth_from(ev: DataFrame) -> DataFrame:
+    """Late truth records from an events frame (batch or stream)."""
     eid = F.when(residue("event_id", 10) == 0, F.col("event_id") + F.lit(10 ** 12)).otherwise(F.col("event_id"))
     label = F.when(F.col("event_type") == "purchase", POSITIVE).otherwise(NEGATIVE)
     return ev.select(eid.cast("string").alias("eventId"), label.alias("label"),
