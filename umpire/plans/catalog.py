@@ -580,3 +580,102 @@ def t5_score_stream(spark, sf):
     scored = SM.score_requests(table_stream(spark, sf, "events").withColumn("score", F.col("value") / 500.0))
     out = run_available_now(scored, "t5_capture", foreach=SM.capture_writer())
     return rounded(out.drop("epoch"))
+
+
+# ---------------------------------------------------------------- model operators
+from umpire.plans import model as MD  # noqa: E402
+from umpire.plans.training import QUERY_PARAMS, trained  # noqa: E402
+from umpire.session import shared_dir  # noqa: E402
+from umpire.sources import artifacts as AR  # noqa: E402
+from umpire.sources.testdata import DOC_FEATURES  # noqa: E402
+
+
+@register("m1_fit_trees")
+def m1_fit_trees(spark, sf):
+    t = trained(spark, sf)
+    gbt = MD.trees_of(t.model)
+    rows = [(i, float(w), int(tr.numNodes), int(tr.depth)) for i, (tr, w) in enumerate(zip(gbt.trees, gbt.treeWeights))]
+    return spark.createDataFrame(rows, "tree int, weight double, num_nodes int, depth int")
+
+
+@register("m2_best_prefix")
+def m2_best_prefix(spark, sf):
+    t = trained(spark, sf)
+    rows = [(i + 1, float(v), i + 1 <= t.kept) for i, v in enumerate(t.losses)]
+    return rounded(spark.createDataFrame(rows, "round int, validation_loss double, kept boolean"))
+
+
+@register("m3_score")
+def m3_score(spark, sf):
+    t = trained(spark, sf)
+    return rounded(MD.score(t.model, t.test).select("doc_id", "y", "p", "yhat"))
+
+
+@register("m4_validation_f1")
+def m4_validation_f1(spark, sf):
+    t = trained(spark, sf)
+    return rounded(MD.validation_f1(t.model, t.valid))
+
+
+def _trials(spark, sf):
+    t = trained(spark, sf)
+    ranges = [r if r[0] != "max_depth" else ("max_depth", 2, 4, "int") for r in MD.RANGES]
+    return MD.search(spark, t.train, t.valid, DOC_FEATURES, t.medians, n=5, parallel=2,
+                     rounds=QUERY_PARAMS.rounds, ranges=ranges)
+
+
+@register("m5_search")
+def m5_search(spark, sf):
+    return rounded(_trials(spark, sf))
+
+
+@register("m6_best_trial")
+def m6_best_trial(spark, sf):
+    return rounded(MD.best_trial(_trials(spark, sf)))
+
+
+@register("m7_tree_importance")
+def m7_tree_importance(spark, sf):
+    t = trained(spark, sf)
+    path = shared_dir(spark, "m7_trees")
+    MD.trees_of(t.model).write().overwrite().save(path)
+    parts = [MD.tree_importance(spark, path, DOC_FEATURES, k) for k in MD.IMPORTANCE_TYPES]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return rounded(out)
+
+
+@register("m8_shapley")
+def m8_shapley(spark, sf):
+    t = trained(spark, sf)
+    return rounded(MD.shapley(t.model, t.test, t.train.select(*DOC_FEATURES), "doc_id", DOC_FEATURES,
+                              samples=5, seed=42))
+
+
+@register("s15_artifacts_roundtrip")
+def s15_artifacts_roundtrip(spark, sf):
+    t = trained(spark, sf)
+    path = shared_dir(spark, "s15_artifacts")
+    AR.save_artifacts(path, t.model, t.target)
+    model, target = AR.load_artifacts(path)
+    before = MD.score(t.model, t.test).select("doc_id", F.col("p").alias("p_fitted"))
+    after = MD.score(model, target.transform(t.test.drop("y"))).select("doc_id", "y", F.col("p").alias("p_loaded"))
+    return rounded(before.join(after, "doc_id").withColumn("same", F.col("p_fitted") == F.col("p_loaded")))
+
+
+@register("m10_scoring_path")
+def m10_scoring_path(spark, sf):
+    """Request lines -> parse -> coerce -> impute -> score -> label -> CSV response."""
+    t = trained(spark, sf)
+    path = shared_dir(spark, "m10_artifacts")
+    AR.save_artifacts(path, t.model, t.target)
+    model, target = AR.load_artifacts(path)
+    payload = t.rows.select("doc_id", F.concat_ws(",", F.col(LABEL),
+                                                 *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in DOC_FEATURES])
+                           .alias("line"))
+    parsed = PL.parse_csv_lines(payload, "line", DOC_FEATURES, label="ground_truth", keep=["doc_id"])
+    scored = MD.score(model, parsed)
+    classes = AR.classes_of(target)
+    rec = scored.select("doc_id", *S.prediction_record(F.col("probs"), F.col("ground_truth"), classes))
+    return rec.select("doc_id", SK.csv_response(rec, with_truth=True).alias("response"))
