@@ -76,11 +76,12 @@ def extract_log_metrics(lines: DataFrame, col: str = "value", patterns: dict | N
                         keep: list[str] | tuple = ()) -> DataFrame:
     """One row per (line, metric) whose pattern matches, value as double."""
     patterns = patterns or log_patterns()
+    # One regex evaluation per (line, pattern): the captured number is never
+    # empty on a match, so an empty capture means no match.
     structs = [F.struct(F.lit(name).alias("metric"),
-                        F.regexp_extract(F.col(col), pat, 1).alias("raw"),
-                        F.col(col).rlike(pat).alias("hit"))
+                        F.regexp_extract(F.col(col), pat, 1).alias("raw"))
                for name, pat in patterns.items()]
     ex = lines.select(*keep, F.explode(F.array(*structs)).alias("m"))
-    return (ex.where("m.hit")
+    return (ex.where(F.col("m.raw") != "")
             .select(*keep, F.col("m.metric").alias("metric"),
                     F.expr("try_cast(m.raw AS DOUBLE)").alias("metric_value")))

@@ -679,3 +679,29 @@ def m10_scoring_path(spark, sf):
     classes = AR.classes_of(target)
     rec = scored.select("doc_id", *S.prediction_record(F.col("probs"), F.col("ground_truth"), classes))
     return rec.select("doc_id", SK.csv_response(rec, with_truth=True).alias("response"))
+
+
+# ---------------------------------------------------------------- positional names and JSON records
+@register("f1_positional_names")
+def f1_positional_names(spark, sf):
+    """50-field request lines (the five lineitem values repeated) bound to
+    the 50 feature names by position."""
+    li = table(spark, sf, "lineitem")
+    vals = [F.col(TD.REQUEST_FIELDS[i % 5]).cast("string") for i in range(len(FEATURE_COLUMNS))]
+    lines = li.select(*KEYS, F.concat_ws(",", *vals).alias("line"))
+    return PL.parse_csv_lines(lines, "line", FEATURE_COLUMNS, keep=KEYS)
+
+
+EVENT_RECORD = T.StructType([T.StructField("meta", T.StructType([T.StructField("k", T.IntegerType())])),
+                             T.StructField("event_type", T.StringType())])
+
+
+@register("s5_json_records")
+def s5_json_records(spark, sf):
+    """A JSON array per event (its properties nested under ``meta``) flattened
+    to ``meta.k`` and ``event_type``."""
+    ev = table(spark, sf, "events")
+    body = F.concat(F.lit('[{"meta": '), F.col("props"), F.lit(', "event_type": "'), F.col("event_type"),
+                    F.lit('"}]'))
+    return PL.parse_json_records(ev.select("event_id", body.alias("body")), "body", EVENT_RECORD,
+                                 keep=["event_id"], sep="_")

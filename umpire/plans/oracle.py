@@ -801,3 +801,13 @@ SELECT event_id, round(value, 6) AS value,
   round(value / 500.0, 6) AS win_probability
 FROM events
 """
+
+# ---------------------------------------------------------------- positional names and JSON records
+_SRC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "CAST(l_suppkey AS DOUBLE)"]
+SQL["f1_positional_names"] = ("SELECT l_orderkey, l_linenumber, "
+                              + ", ".join(f"{_SRC[i % 5]} AS {name}" for i, name in enumerate(FEATURE_COLUMNS))
+                              + " FROM lineitem")
+
+SQL["s5_json_records"] = """
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS meta_k, event_type FROM events
+"""
