@@ -33,3 +33,19 @@ def test_row_rank_without_groups(spark):
     df = spark.range(1000).select((999 - F.col("id")).alias("k"))
     ranks = {r["k"]: r["rank"] for r in row_rank(df, ["k"]).collect()}
     assert all(ranks[k] == k + 1 for k in range(1000))
+
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(-5, 5)), min_size=1, max_size=60))
+def test_running_sums_property(spark, rows):
+    data = [(g, i, v) for i, (g, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "g string, k long, v long")
+    got = {r["k"]: r["s"] for r in running_sums(df, ["k"], {"s": F.col("v")}, by=["g"], partitions=3).collect()}
+    acc = {}
+    for g, k, v in data:
+        acc[g] = acc.get(g, 0) + v
+        assert got[k] == acc[g]
