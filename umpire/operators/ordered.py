@@ -108,10 +108,7 @@ def running_sums(df: DataFrame, order: list[str], values: dict[str, Column],
                  else T.DoubleType() for v in vin]
     base = base.select(*keep, *[F.col(v).cast(t) for v, t in zip(vin, out_types)])
 
-    ensure_checkpoint_dir(spark)
-    parted = (base.repartitionByRange(n, *by, *order)
-              .sortWithinPartitions(*by, *order)
-              .checkpoint(eager=True))
+    parted = _checkpointed_ranges(base, by, order, n)
     schema = T.StructType(
         [base.schema[c] for c in keep + vin]
         + [T.StructField(o, t, False) for o, t in zip(vout, out_types)]
@@ -142,10 +139,46 @@ def running_sums(df: DataFrame, order: list[str], values: dict[str, Column],
     return joined.select(*out)
 
 
+def _checkpointed_ranges(df: DataFrame, by: list[str], order: list[str], n: int) -> DataFrame:
+    ensure_checkpoint_dir(df.sparkSession)
+    return (df.repartitionByRange(n, *by, *order)
+            .sortWithinPartitions(*by, *order)
+            .checkpoint(eager=True))
+
+
 def row_rank(df: DataFrame, order: list[str], by: list[str] | tuple = (),
              name: str = "rank", partitions: int | None = None,
              totals: bool = False) -> DataFrame:
     """1-based position of each row in ``order`` within ``by`` (ties must be
-    broken by the caller so the order is total)."""
-    return running_sums(df, order, {name: F.lit(1).cast("long")}, by=by,
-                        partitions=partitions, totals=totals)
+    broken by the caller so the order is total).
+
+    Counting needs no Python: after the checkpoint the partitions and their
+    row order are fixed files, so ``monotonically_increasing_id`` read from
+    them is a deterministic in-partition offset, and the rank is that offset
+    minus the group's first id in the partition plus the group's count in
+    earlier partitions.
+    """
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    by = list(by)
+    keep = list(df.columns)
+    parted = _checkpointed_ranges(df, by, order, n)
+    tagged = parted.select("*", F.spark_partition_id().alias(_PID),
+                           F.monotonically_increasing_id().alias("_rs_mid"))
+    seg = tagged.groupBy(_PID, *by).agg(F.count(F.lit(1)).alias("_rs_cnt"),
+                                        F.min("_rs_mid").alias("_rs_first"))
+    before = Window.partitionBy(*by).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    cols = [F.col(_PID), F.col("_rs_first")] + [F.col(b).alias(f"_rs_by_{i}") for i, b in enumerate(by)]
+    cols.append(F.coalesce(F.sum("_rs_cnt").over(before), F.lit(0)).alias("_rs_off"))
+    if totals:
+        cols.append(F.sum("_rs_cnt").over(Window.partitionBy(*by)).alias("_rs_tot"))
+    offsets = seg.select(*cols)
+    cond = tagged[_PID] == offsets[_PID]
+    for i, b in enumerate(by):
+        cond = cond & tagged[b].eqNullSafe(offsets[f"_rs_by_{i}"])
+    joined = tagged.join(offsets, cond, "inner")
+    out = [tagged[c] for c in keep]
+    out.append((tagged["_rs_mid"] - offsets["_rs_first"] + 1 + offsets["_rs_off"]).cast("long").alias(name))
+    if totals:
+        out.append(offsets["_rs_tot"].cast("long").alias(f"{name}_total"))
+    return joined.select(*out)
