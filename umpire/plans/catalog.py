@@ -705,3 +705,36 @@ def s5_json_records(spark, sf):
                     F.lit('"}]'))
     return PL.parse_json_records(ev.select("event_id", body.alias("body")), "body", EVENT_RECORD,
                                  keep=["event_id"], sep="_")
+
+
+# ---------------------------------------------------------------- split files (S6) and CSV folders
+from pyspark.sql import types as _T  # noqa: E402
+
+SPLIT_FEATURES = ["n_chars", "n_words", "n_sentences", "n_lines"]
+
+
+def _split_schema() -> _T.StructType:
+    return _T.StructType([_T.StructField(LABEL, _T.StringType())]
+                         + [_T.StructField(c, _T.DoubleType()) for c in SPLIT_FEATURES])
+
+
+def _written_splits(spark, sf) -> str:
+    path = shared_dir(spark, "s6_splits")
+    SK.write_splits(split_rows(spark, sf), path, LABEL, SPLIT_FEATURES)
+    return path
+
+
+@register("s6_write_splits")
+def s6_write_splits(spark, sf):
+    """Write the split rows as CSV folders (label first, header) and read
+    every folder back with its split taken from the folder name."""
+    path = _written_splits(spark, sf)
+    schema = _split_schema().add("split", _T.StringType())
+    return spark.read.option("header", True).schema(schema).csv(path)
+
+
+@register("s1_read_csv_dir")
+def s1_read_csv_dir(spark, sf):
+    """Read every CSV file of the written train folder (an empty folder is an error)."""
+    path = _written_splits(spark, sf)
+    return PL.read_csv_dir(spark, f"{path}/split=train", schema=_split_schema())

@@ -811,3 +811,9 @@ SQL["f1_positional_names"] = ("SELECT l_orderkey, l_linenumber, "
 SQL["s5_json_records"] = """
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS meta_k, event_type FROM events
 """
+
+# ---------------------------------------------------------------- split files and CSV folders
+SQL["s6_write_splits"] = f"SELECT result_match, n_chars, n_words, n_sentences, n_lines, split FROM ({SPLIT})"
+SQL["s1_read_csv_dir"] = f"""
+SELECT result_match, n_chars, n_words, n_sentences, n_lines FROM ({SPLIT}) WHERE split = 'train'
+"""
