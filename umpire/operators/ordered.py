@@ -182,3 +182,25 @@ def row_rank(df: DataFrame, order: list[str], by: list[str] | tuple = (),
     if totals:
         out.append(offsets["_rs_tot"].cast("long").alias(f"{name}_total"))
     return joined.select(*out)
+
+
+def with_position(df: DataFrame, name: str = "position") -> DataFrame:
+    """0-based position of each row in read order, without a shuffle.
+
+    The frame is materialised once with a reliable ``checkpoint()`` (fixed
+    files, fixed order); a row's position is its partition's offset (a
+    cumulative count over one row per partition) plus its offset inside the
+    partition (``monotonically_increasing_id`` read from the fixed files).
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    keep = list(df.columns)
+    fixed = df.checkpoint(eager=True)
+    tagged = fixed.select("*", F.spark_partition_id().alias(_PID),
+                          F.monotonically_increasing_id().alias("_rs_mid"))
+    seg = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias("_rs_cnt"), F.min("_rs_mid").alias("_rs_first"))
+    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = seg.select(F.col(_PID).alias("_rs_p"), "_rs_first",
+                         F.coalesce(F.sum("_rs_cnt").over(before), F.lit(0)).alias("_rs_off"))
+    joined = tagged.join(offsets, tagged[_PID] == offsets["_rs_p"], "inner")
+    pos = (F.col("_rs_mid") - F.col("_rs_first") + F.col("_rs_off")).cast("long")
+    return joined.select(*[tagged[c] for c in keep], pos.alias(name))

@@ -9,21 +9,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from umpire.functions.hashing import seeded_key
-from umpire.operators.ordered import row_rank, running_sums
+from umpire.operators.ordered import row_rank, running_sums, with_position
 
 ROW_ID = "row_id"
 
 
 def with_row_id(df: DataFrame, name: str = ROW_ID) -> DataFrame:
-    """Contiguous 0-based position of each row in read order.
-
-    Read order is (input partition, offset), captured by
-    ``monotonically_increasing_id`` at the source and turned into a dense
-    position by a distributed rank (no single-partition window).
-    """
-    tagged = df.withColumn("_mono", F.monotonically_increasing_id())
-    ranked = row_rank(tagged, ["_mono"], name=name)
-    return ranked.withColumn(name, F.col(name) - 1).drop("_mono")
+    """Contiguous 0-based position of each row in read order (no shuffle;
+    see ``ordered.with_position``)."""
+    return with_position(df, name)
 
 
 def zip_columns(left: DataFrame, right: DataFrame, key: str | None = None) -> DataFrame:

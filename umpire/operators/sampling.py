@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from umpire.functions.hashing import residue, seeded_int
-from umpire.operators.ordered import row_rank
+from umpire.operators.ordered import with_position
 
 
 def capture_sample(df: DataFrame, id_col: str, pct: int) -> DataFrame:
@@ -15,19 +15,19 @@ def capture_sample(df: DataFrame, id_col: str, pct: int) -> DataFrame:
     return df.where(residue(id_col, 100) < F.lit(pct))
 
 
-def sample_with_replacement(df: DataFrame, order: list[str], n: int = 100, seed: int = 42) -> DataFrame:
+def sample_with_replacement(df: DataFrame, n: int = 100, seed: int = 42) -> DataFrame:
     """``min(n, rows)`` seeded draws with replacement.
 
-    Rows are addressed by their position in ``order`` (a distributed dense
-    rank); draw ``j`` picks position ``md5-hash(j) mod rows``.  The draws table
-    has at most ``n`` rows, so it is broadcast.
+    Rows are addressed by their read position (no shuffle, see
+    ``with_position``); draw ``j`` picks position ``md5-hash(j) mod rows``.
+    The draws table has at most ``n`` rows, so it is broadcast.
     """
     spark = df.sparkSession
-    total = df.count()
+    ranked = with_position(df, "_pos")
+    total = ranked.count()
     if total == 0:
         return df.limit(0).withColumn("draw", F.lit(0).cast("long"))
     k = min(n, total)
-    ranked = row_rank(df, order, name="_pos").withColumn("_pos", F.col("_pos") - 1)
     draws = spark.range(k).select(F.col("id").alias("draw"),
                                   F.pmod(seeded_int("id", seed), F.lit(total)).alias("_pos"))
     return ranked.join(F.broadcast(draws), "_pos").drop("_pos")

@@ -424,7 +424,7 @@ def t6_deploy_decision(spark, sf):
 @register("w5_sample_with_replacement")
 def w5_sample_with_replacement(spark, sf):
     emb = table(spark, sf, "embeddings").select("vec_id", "label")
-    return W.sample_with_replacement(emb, ["vec_id"], n=100, seed=42).select("draw", "vec_id", "label")
+    return W.sample_with_replacement(emb, n=100, seed=42).select("draw", "vec_id", "label")
 
 
 @register("w6_zscore_outliers")
@@ -621,7 +621,7 @@ def _trials(spark, sf):
     t = trained(spark, sf)
     ranges = [r if r[0] != "max_depth" else ("max_depth", 2, 4, "int") for r in MD.RANGES]
     return MD.search(spark, t.train, t.valid, DOC_FEATURES, t.medians, n=5, parallel=2,
-                     rounds=QUERY_PARAMS.rounds, ranges=ranges)
+                     rounds=QUERY_PARAMS.rounds, ranges=ranges, layout=["doc_id"])
 
 
 @register("m5_search")

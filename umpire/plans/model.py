@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from umpire.functions.hashing import seeded_int, seeded_key
 from umpire.operators.metrics import binary_metrics
-from umpire.operators.ordered import row_rank
+from umpire.operators.ordered import with_position
 from umpire.schemas import CLASSES
 
 
@@ -62,8 +62,16 @@ def with_weight(df: DataFrame, y: str, pos_weight: float) -> DataFrame:
 
 
 def fit_trees(train: DataFrame, features: list[str], medians: dict[str, float],
-              params: TreeParams = TreeParams(), y: str = "y") -> PipelineModel:
-    """Imputation + assembly + boosted trees fitted on the train split."""
+              params: TreeParams = TreeParams(), y: str = "y",
+              layout: list[str] | None = None) -> PipelineModel:
+    """Imputation + assembly + boosted trees fitted on the train split.
+
+    Row subsampling is seeded per partition, so with ``layout`` (a key) the
+    rows are first hash-partitioned and sorted by it: the same data gives the
+    same trees whatever the upstream plan or a retried task did."""
+    if layout:
+        n = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        train = train.repartition(n, *layout).sortWithinPartitions(*layout)
     imp = imputer_stage(medians, features)
     asm = VectorAssembler(inputCols=[f"{c}_imp" for c in features], outputCol="features",
                           handleInvalid="keep")
@@ -100,16 +108,17 @@ def best_prefix(losses: list[float], patience: int = 25) -> int:
 
 def fit_with_early_stopping(train: DataFrame, valid: DataFrame, features: list[str],
                             medians: dict[str, float], params: TreeParams = TreeParams(),
-                            patience: int = 25, y: str = "y") -> tuple[PipelineModel, list[float], int]:
+                            patience: int = 25, y: str = "y",
+                            layout: list[str] | None = None) -> tuple[PipelineModel, list[float], int]:
     """Fit all rounds, pick the best prefix on validation, refit to that many
-    rounds (same seed, so the same first trees)."""
-    full = fit_trees(train, features, medians, params, y)
+    rounds (same seed and layout, so the same first trees)."""
+    full = fit_trees(train, features, medians, params, y, layout)
     losses = validation_losses(full, valid, y)
     k = best_prefix(losses, patience)
     if k == params.rounds:
         return full, losses, k
     p = TreeParams(**{**asdict(params), "rounds": k})
-    return fit_trees(train, features, medians, p, y), losses, k
+    return fit_trees(train, features, medians, p, y, layout), losses, k
 
 
 def score(model: PipelineModel, df: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -161,7 +170,7 @@ def sample_params(n: int, ranges=RANGES, seed: int = 42) -> list[dict]:
 
 def search(spark: SparkSession, train: DataFrame, valid: DataFrame, features: list[str],
            medians: dict[str, float], n: int = 5, parallel: int = 2, rounds: int = 120,
-           ranges=RANGES, seed: int = 42) -> DataFrame:
+           ranges=RANGES, seed: int = 42, layout: list[str] | None = None) -> DataFrame:
     """Random search maximising validation AUC; ``parallel`` fits run at once
     (each fit is itself a distributed job).  ``lambda``/``alpha``/
     ``min_child_weight`` have no GBTClassifier counterpart and are recorded only."""
@@ -174,7 +183,7 @@ def search(spark: SparkSession, train: DataFrame, valid: DataFrame, features: li
         p = TreeParams(rounds=rounds, eta=cfg["eta"], max_depth=int(cfg["max_depth"]),
                        subsample=min(cfg["subsample"], 1.0), colsample=min(cfg["colsample"], 1.0),
                        scale_pos_weight=cfg["scale_pos_weight"], seed=seed + i)
-        m = fit_trees(train, features, medians, p)
+        m = fit_trees(train, features, medians, p, layout=layout)
         auc = evaluator.evaluate(m.transform(valid))
         return (i, *[float(cfg[r[0]]) for r in ranges], float(auc))
 
@@ -226,15 +235,13 @@ def shapley(model: PipelineModel, rows: DataFrame, background: DataFrame, id_col
     background, with j from the row or from the background) and scored in
     bulk.  phi_j is the mean difference of P(positive).  Work is
     rows x samples x features x 2 model evaluations, all distributed.
-    The background is addressed by a dense rank and joined on the drawn
+    The background is addressed by read position and joined on the drawn
     index, so no side is broadcast unchecked.
     """
     nf = len(features)
     bg_n = background.count()
-    ranked = row_rank(background.select(*features, F.monotonically_increasing_id().alias("_bid")),
-                      ["_bid"], name="_bpos")
-    bg = ranked.select((F.col("_bpos") - 1).alias("_bpos"),
-                       *[F.col(c).cast("double").alias(f"_z_{c}") for c in features])
+    bg = with_position(background.select(*features), "_bpos").select(
+        "_bpos", *[F.col(c).cast("double").alias(f"_z_{c}") for c in features])
     xs = rows.select(id_col, F.array(*[F.col(c).cast("double") for c in features]).alias("_x"))
     draws = xs.select(id_col, "_x", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))).alias("_s"))
     sid = F.concat_ws("|", F.col(id_col).cast("string"), F.col("_s").cast("string"))

@@ -45,6 +45,7 @@ def trained(spark: SparkSession, sf_dir: str, params: MD.TreeParams = QUERY_PARA
         train = coded.where(F.col("split") == "train")
         valid = coded.where(F.col("split") == "validation")
         test = coded.where(F.col("split") == "test")
-        model, losses, kept = MD.fit_with_early_stopping(train, valid, DOC_FEATURES, medians, params, patience)
+        model, losses, kept = MD.fit_with_early_stopping(train, valid, DOC_FEATURES, medians, params, patience,
+                                                             layout=["doc_id"])
         _CACHE[key] = Trained(coded, train, valid, test, medians, target, model, losses, kept)
     return _CACHE[key]
