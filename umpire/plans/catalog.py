@@ -17,7 +17,7 @@ from umpire.operators import metrics as M
 from umpire.operators import prepare as P
 from umpire.plans.prepared import IMPUTED, fitted, prepared, rule_score, split_rows
 from umpire.schemas import LABEL
-from umpire.session import table
+from umpire.session import spread, table
 from umpire.sources.testdata import scored_events
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -686,7 +686,7 @@ def m10_scoring_path(spark, sf):
 def f1_positional_names(spark, sf):
     """50-field request lines (the five lineitem values repeated) bound to
     the 50 feature names by position."""
-    li = table(spark, sf, "lineitem")
+    li = spread(table(spark, sf, "lineitem"))
     vals = [F.col(TD.REQUEST_FIELDS[i % 5]).cast("string") for i in range(len(FEATURE_COLUMNS))]
     lines = li.select(*KEYS, F.concat_ws(",", *vals).alias("line"))
     return PL.parse_csv_lines(lines, "line", FEATURE_COLUMNS, keep=KEYS)
@@ -700,7 +700,7 @@ EVENT_RECORD = T.StructType([T.StructField("meta", T.StructType([T.StructField("
 def s5_json_records(spark, sf):
     """A JSON array per event (its properties nested under ``meta``) flattened
     to ``meta.k`` and ``event_type``."""
-    ev = table(spark, sf, "events")
+    ev = spread(table(spark, sf, "events"))
     body = F.concat(F.lit('[{"meta": '), F.col("props"), F.lit(', "event_type": "'), F.col("event_type"),
                     F.lit('"}]'))
     return PL.parse_json_records(ev.select("event_id", body.alias("body")), "body", EVENT_RECORD,

@@ -70,3 +70,14 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 def table(spark: SparkSession, sf_dir: str, name: str):
     """One of the given parquet tables."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread(df):
+    """Spread rows over the cluster's cores before CPU-heavy row work when
+    the input yields fewer partitions than cores (a single small file or row
+    group).  Large inputs already split into many partitions and pass through
+    unchanged, so this adds no shuffle at scale."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
