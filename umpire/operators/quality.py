@@ -34,18 +34,23 @@ def _long_form(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.selectExpr(f"stack({len(cols)}, {', '.join(parts)}) AS (column, inferred_type, num, str)")
 
 
-def profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+def profile(df: DataFrame, cols: list[str] | None = None, exact_distinct: bool = True) -> DataFrame:
     """Per-column statistics: type, count, missing, completeness, mean, sum,
-    population std, min, max and exact distinct count."""
+    population std, min, max and distinct count.
+
+    ``exact_distinct=False`` counts distinct values with a HyperLogLog sketch
+    (``approx_count_distinct``), which keeps the whole profile one combining
+    aggregate on very large inputs."""
     cols = cols or df.columns
     long = _long_form(df, cols)
+    distinct = F.countDistinct("str") if exact_distinct else F.approx_count_distinct("str")
     return (long.groupBy("column", "inferred_type").agg(
         F.count(F.lit(1)).alias("num_rows"),
         F.sum(F.col("str").isNull().cast("long")).alias("num_missing"),
         (F.count("str") / F.count(F.lit(1))).alias("completeness"),
         F.avg("num").alias("mean"), F.sum("num").alias("sum"),
         F.stddev_pop("num").alias("std_dev"), F.min("num").alias("min"), F.max("num").alias("max"),
-        F.countDistinct("str").alias("distinct")))
+        distinct.alias("distinct")))
 
 
 def histogram(df: DataFrame, cols: list[str], buckets: int = 10) -> DataFrame:

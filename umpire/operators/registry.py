@@ -92,7 +92,3 @@ def compare_variants(pairs: DataFrame, y: str, prod: str, shadow: str) -> DataFr
 
     return agg.select("n", "agreement", f1(prod).alias("production_f1"), f1(shadow).alias("shadow_f1"),
                       (f1(shadow) > f1(prod)).alias("promote_shadow"))
-
-
-__all__ = ["top_k_per_group", "latest_approved", "latest", "deploy_decision", "compare_variants",
-           "_ratio"]

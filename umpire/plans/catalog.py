@@ -617,11 +617,19 @@ def m4_validation_f1(spark, sf):
     return rounded(MD.validation_f1(t.model, t.valid))
 
 
+_TRIALS: dict = {}
+
+
 def _trials(spark, sf):
-    t = trained(spark, sf)
-    ranges = [r if r[0] != "max_depth" else ("max_depth", 2, 4, "int") for r in MD.RANGES]
-    return MD.search(spark, t.train, t.valid, DOC_FEATURES, t.medians, n=5, parallel=2,
-                     rounds=QUERY_PARAMS.rounds, ranges=ranges, layout=["doc_id"])
+    """The search's trial table, kept per session like the trained model
+    (the search is seeded, so a second run would give the same rows)."""
+    key = (id(spark), sf)
+    if key not in _TRIALS:
+        t = trained(spark, sf)
+        ranges = [r if r[0] != "max_depth" else ("max_depth", 2, 4, "int") for r in MD.RANGES]
+        _TRIALS[key] = MD.search(spark, t.train, t.valid, DOC_FEATURES, t.medians, n=5, parallel=2,
+                                 rounds=QUERY_PARAMS.rounds, ranges=ranges, layout=["doc_id"]).cache()
+    return _TRIALS[key]
 
 
 @register("m5_search")
