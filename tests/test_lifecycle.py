@@ -21,3 +21,29 @@ def test_training_lifecycle_writes_every_stage(spark, tmp_path):
         assert run.message.startswith("Execution failed")
     header = open(next(p for p in (base / "train-baseline").iterdir() if p.name.endswith(".csv"))).readline()
     assert "result_match" not in header and header.startswith("doc_id")
+
+
+def test_scoring_and_monitoring_against_a_training_run(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from umpire.plans.lifecycle import run_monitoring, score_requests
+    from umpire.plans.prepared import split_rows
+    from umpire.sources.testdata import DOC_FEATURES
+
+    folder = str(tmp_path / "run")
+    run = run_training(spark, SF_CHECK, MD.TreeParams(rounds=5, max_depth=3), f1_threshold=0.0, folder=folder)
+    assert run.passed
+    rows = split_rows(spark, SF_CHECK).where(F.col("split") == "test")
+    lines = rows.select("doc_id", F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit(""))
+                                                     for c in DOC_FEATURES]).alias("line"))
+    csv = score_requests(spark, lines, "line", folder, "text/csv", keep=["doc_id"])
+    bodies = [r.body for r in csv.collect()]
+    assert len(bodies) == rows.count() and all(len(b.split(",")) == 3 for b in bodies)
+    preds = spark.read.parquet(f"{folder}/test-predictions")
+    caps = preds.select(F.col("doc_id").cast("string").alias("inference_id"), "p")
+    truth = preds.select(F.col("doc_id").cast("string").alias("eventId"), "truth")
+    out = run_monitoring(spark, caps, truth, rows.select(*DOC_FEATURES), folder)
+    mq = {r.metric: r for r in out["model_quality"].collect()}
+    assert set(mq) == {"accuracy", "precision", "recall", "f1"}
+    assert all(abs(r.current - r.baseline) < 1e-12 for r in mq.values())
+    assert out["drift"].count() == len(DOC_FEATURES)

@@ -75,3 +75,61 @@ def run_training(spark: SparkSession, sf_dir: str, params: MD.TreeParams = MD.Tr
 
 def load_report(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.text(f"{folder}/evaluation").withColumnRenamed("value", "report")
+
+
+# ------------------------------------------------------------------ request scoring
+def score_requests(spark: SparkSession, lines: DataFrame, line_col: str, folder: str,
+                   fmt: str = "text/csv", keep: list[str] | tuple = (),
+                   request: str | None = None) -> DataFrame:
+    """Score CSV request lines with saved artifacts and render the response.
+
+    Lines carry the features in order, optionally preceded by the truth
+    label.  ``fmt`` is ``text/csv`` (one line per prediction),
+    ``application/jsonlines`` (one object per prediction) or
+    ``application/json`` (one array per ``request``).
+    """
+    from umpire.functions.scoring import prediction_record
+    from umpire.sources.payloads import parse_csv_lines
+
+    model, target = AR.load_artifacts(f"{folder}/model")
+    parsed = parse_csv_lines(lines, line_col, DOC_FEATURES, label="ground_truth", keep=list(keep))
+    scored = MD.score(model, parsed)
+    has_truth = F.col("ground_truth").isNotNull()
+    rec = scored.select(*keep, *prediction_record(F.col("probs"), F.col("ground_truth"), AR.classes_of(target)),
+                        has_truth.alias("_has_truth"))
+    if fmt == "text/csv":
+        return rec.select(*keep, F.when(F.col("_has_truth"), SK.csv_response(rec, True))
+                          .otherwise(SK.csv_response(rec, False)).alias("body"))
+    if fmt == "application/jsonlines":
+        return rec.select(*keep, F.when(F.col("_has_truth"), SK.jsonlines_response(True))
+                          .otherwise(SK.jsonlines_response(False)).alias("body"))
+    if fmt == "application/json":
+        if request is None:
+            raise ValueError("application/json responses need a request column")
+        return SK.json_response(rec, request, keep[-1] if keep else request, with_truth=True)
+    raise ValueError(f"{fmt} accept type is not supported.")
+
+
+# ------------------------------------------------------------------ hourly monitoring
+def run_monitoring(spark: SparkSession, captures: DataFrame, truth: DataFrame, current: DataFrame,
+                   folder: str, metrics: list[str] = ("accuracy", "precision", "recall", "f1"),
+                   threshold: float = 0.55) -> dict[str, DataFrame]:
+    """One monitoring run against the baselines of a training run:
+
+    * model quality: captures joined with late truth (``inference_id`` =
+      ``eventId``), metrics compared with the model-quality baseline;
+    * data quality: the current feature window profiled and checked against
+      the stored constraints, plus KS drift versus the training rows.
+    """
+    from umpire.operators.joins import match_truth
+
+    labelled = match_truth(captures, truth, "inference_id", "eventId")
+    cur_mq = M.model_quality(labelled, "truth", "p", threshold)
+    base_mq = spark.read.parquet(f"{folder}/model-quality-baseline")
+    model_checks = Q.quality_violations(cur_mq, base_mq, list(metrics))
+    constraints = spark.read.parquet(f"{folder}/data-quality-constraints")
+    data_checks = Q.violations(Q.profile(current, DOC_FEATURES), constraints)
+    base_rows = spark.read.option("header", True).csv(f"{folder}/train-baseline").select(
+        *[F.col(c).cast("double").alias(c) for c in DOC_FEATURES])
+    drift = Q.drift(base_rows, current.select(*DOC_FEATURES), DOC_FEATURES)
+    return {"model_quality": model_checks, "data_quality": data_checks, "drift": drift}
