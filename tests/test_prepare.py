@@ -64,3 +64,9 @@ def test_shuffle_rank_is_a_permutation(spark):
     df = spark.range(200).withColumnRenamed("id", "doc_id")
     pos = sorted(r["position"] for r in P.shuffle_rank(df, "doc_id").collect())
     assert pos == list(range(1, 201))
+
+
+def test_approximate_medians_are_observed_values(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(1, 102)], "x double")
+    assert P.fit_medians(df, ["x"], exact=False) == {"x": 51.0}
+    assert P.fit_medians(df, ["x"]) == {"x": 51.0}
