@@ -19,9 +19,13 @@ from umpire.session import shared_dir
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str,
                  max_files: int | None = None) -> DataFrame:
-    """Streaming read of one given table (schema taken from the file)."""
-    path = f"{sf_dir.rstrip('/')}/{name[:-1]}[{name[-1]}].parquet"
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").schema
+    """Streaming read of one given table (schema taken from the data).
+
+    A table stored as a folder of parquet files is streamed as that folder;
+    a single file is streamed through a one-file glob."""
+    full = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    path = full if _is_dir(spark, full) else f"{sf_dir.rstrip('/')}/{name[:-1]}[{name[-1]}].parquet"
+    schema = spark.read.parquet(full).schema
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -55,6 +59,13 @@ def run_available_now(df: DataFrame, name: str, mode: str = "append",
     return spark.read.schema(df.schema).parquet(data)
 
 
+def _is_dir(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
