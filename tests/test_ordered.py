@@ -49,3 +49,19 @@ def test_running_sums_property(spark, rows):
     for g, k, v in data:
         acc[g] = acc.get(g, 0) + v
         assert got[k] == acc[g]
+
+
+def test_one_hot_group_is_spread_evenly(spark):
+    from umpire.operators.ordered import _checkpointed_ranges
+    df = spark.range(20000).select(F.lit("hot").alias("g"), (F.col("id") * 7919 % 20000).alias("k"))
+    parted = _checkpointed_ranges(df, ["g"], ["k"], 8)
+    sizes = [r["n"] for r in parted.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * (20000 / 8)
+
+
+def test_top_two_per_group_with_a_hot_group(spark):
+    from umpire.operators.registry import top_k_per_group
+    rows = [("hot", i, i, f"p{i}") for i in range(3000)] + [("cold", 1, 1, "c1")]
+    df = spark.createDataFrame(rows, "g string, ts long, tb long, arn string")
+    out = {r["g"]: (r["top1"], r["top2"]) for r in top_k_per_group(df, "g", "ts", "tb", "arn", k=2).collect()}
+    assert out == {"hot": ("p2999", "p2998"), "cold": ("c1", None)}

@@ -13,12 +13,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from umpire.functions import events as EV
+from umpire.functions import scoring as S
+from umpire.operators import bias as B
+from umpire.operators import explain as X
+from umpire.operators import joins as J
 from umpire.operators import metrics as M
 from umpire.operators import prepare as P
+from umpire.operators import quality as Q
+from umpire.operators import registry as R
+from umpire.operators import sampling as W
+from umpire.plans import model as MD
 from umpire.plans.prepared import IMPUTED, fitted, prepared, rule_score, split_rows
-from umpire.schemas import LABEL
-from umpire.session import spread, table
-from umpire.sources.testdata import scored_events
+from umpire.plans.training import QUERY_PARAMS, trained
+from umpire.schemas import FEATURE_COLUMNS, LABEL
+from umpire.session import shared_dir, spread, table
+from umpire.sources import artifacts as AR
+from umpire.sources import payloads as PL
+from umpire.sources import sinks as SK
+from umpire.sources import testdata as TD
+from umpire.sources.testdata import DOC_FEATURES, scored_events
+from umpire.streaming import monitor as SM
+from umpire.streaming import rendezvous as RV
+from umpire.streaming.runner import run_available_now, table_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -147,12 +164,6 @@ def a8_auc(spark, sf):
 
 
 # ---------------------------------------------------------------- request parsing
-from umpire.functions import events as EV  # noqa: E402
-from umpire.functions import scoring as S  # noqa: E402
-from umpire.schemas import FEATURE_COLUMNS  # noqa: E402
-from umpire.sources import payloads as PL  # noqa: E402
-from umpire.sources import sinks as SK  # noqa: E402
-from umpire.sources import testdata as TD  # noqa: E402
 
 KEYS = ["l_orderkey", "l_linenumber"]
 
@@ -338,10 +349,6 @@ def f16_log_metrics(spark, sf):
 
 
 # ---------------------------------------------------------------- joins
-from umpire.operators import joins as J  # noqa: E402
-from umpire.operators import quality as Q  # noqa: E402
-from umpire.operators import registry as R  # noqa: E402
-from umpire.operators import sampling as W  # noqa: E402
 
 
 def _captures(spark, sf) -> DataFrame:
@@ -483,8 +490,6 @@ def a13_model_quality_check(spark, sf):
 
 
 # ---------------------------------------------------------------- bias
-from umpire.operators import bias as B  # noqa: E402
-from umpire.operators import explain as X  # noqa: E402
 
 FACET_THRESHOLD = 1000.0
 
@@ -533,9 +538,6 @@ def m9_explain_rows(spark, sf):
 
 
 # ---------------------------------------------------------------- streaming
-from umpire.streaming import monitor as SM  # noqa: E402
-from umpire.streaming import rendezvous as RV  # noqa: E402
-from umpire.streaming.runner import run_available_now, table_stream  # noqa: E402
 
 
 @register("t1_rendezvous_batch")
@@ -583,11 +585,6 @@ def t5_score_stream(spark, sf):
 
 
 # ---------------------------------------------------------------- model operators
-from umpire.plans import model as MD  # noqa: E402
-from umpire.plans.training import QUERY_PARAMS, trained  # noqa: E402
-from umpire.session import shared_dir  # noqa: E402
-from umpire.sources import artifacts as AR  # noqa: E402
-from umpire.sources.testdata import DOC_FEATURES  # noqa: E402
 
 
 @register("m1_fit_trees")
@@ -716,14 +713,13 @@ def s5_json_records(spark, sf):
 
 
 # ---------------------------------------------------------------- split files (S6) and CSV folders
-from pyspark.sql import types as _T  # noqa: E402
 
 SPLIT_FEATURES = ["n_chars", "n_words", "n_sentences", "n_lines"]
 
 
-def _split_schema() -> _T.StructType:
-    return _T.StructType([_T.StructField(LABEL, _T.StringType())]
-                         + [_T.StructField(c, _T.DoubleType()) for c in SPLIT_FEATURES])
+def _split_schema() -> T.StructType:
+    return T.StructType([T.StructField(LABEL, T.StringType())]
+                         + [T.StructField(c, T.DoubleType()) for c in SPLIT_FEATURES])
 
 
 def _written_splits(spark, sf) -> str:
@@ -737,7 +733,7 @@ def s6_write_splits(spark, sf):
     """Write the split rows as CSV folders (label first, header) and read
     every folder back with its split taken from the folder name."""
     path = _written_splits(spark, sf)
-    schema = _split_schema().add("split", _T.StringType())
+    schema = _split_schema().add("split", T.StringType())
     return spark.read.option("header", True).schema(schema).csv(path)
 
 
