@@ -46,7 +46,7 @@ SELECT s.doc_id, s.split, s.result_match,
   coalesce(s.n_chars, m.m_chars) AS n_chars, coalesce(s.n_words, m.m_words) AS n_words,
   coalesce(s.n_sentences, m.m_sentences) AS n_sentences,
   coalesce(s.n_lines, m.m_lines) AS n_lines,
-  CASE s.result_match WHEN 'home_not_win' THEN 0.0 WHEN 'home_win' THEN 1.0 END AS y
+  CAST(CASE s.result_match WHEN 'home_not_win' THEN 0.0 WHEN 'home_win' THEN 1.0 END AS DOUBLE) AS y
 FROM ({SPLIT}) s, ({MEDIANS}) m
 """
 
