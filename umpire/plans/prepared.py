@@ -15,15 +15,27 @@ FRACTIONS = (0.7, 0.15, 0.15)
 IMPUTED = ["n_chars", "n_words", "n_sentences", "n_lines"]
 
 
+# Step results kept per session and input, like a pipeline's step cache: the
+# split rows live in checkpoint files, the fitted values are a few numbers.
+_SPLITS: dict = {}
+_FITTED: dict = {}
+
+
 def split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.stratified_split(labelled_documents(spark, sf_dir), LABEL, "doc_id", FRACTIONS, SEED)
+    key = (id(spark), sf_dir)
+    if key not in _SPLITS:
+        _SPLITS[key] = P.stratified_split(labelled_documents(spark, sf_dir), LABEL, "doc_id", FRACTIONS, SEED)
+    return _SPLITS[key]
 
 
 def fitted(spark: SparkSession, sf_dir: str):
     """(split rows, medians fitted on train, label classes fitted on train)."""
-    rows = split_rows(spark, sf_dir)
-    train = rows.where(F.col("split") == "train")
-    return rows, P.fit_medians(train, IMPUTED), P.fit_ordinal(train, LABEL)
+    key = (id(spark), sf_dir)
+    if key not in _FITTED:
+        rows = split_rows(spark, sf_dir)
+        train = rows.where(F.col("split") == "train")
+        _FITTED[key] = (rows, P.fit_medians(train, IMPUTED), P.fit_ordinal(train, LABEL))
+    return _FITTED[key]
 
 
 def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
