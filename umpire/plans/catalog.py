@@ -742,3 +742,29 @@ def s1_read_csv_dir(spark, sf):
     """Read every CSV file of the written train folder (an empty folder is an error)."""
     path = _written_splits(spark, sf)
     return PL.read_csv_dir(spark, f"{path}/split=train", schema=_split_schema())
+
+
+
+@register("f2_split_truth_json")
+def f2_split_truth_json(spark, sf):
+    """JSON payloads whose objects may carry the truth field: it is moved
+    aside and the remaining fields are the features."""
+    ev = spread(table(spark, sf, "events"))
+    truth = F.when(F.col("event_type") == "purchase", F.lit(', "result_match": "home_win"')).when(
+        F.col("event_type") == "click", F.lit(', "result_match": "home_not_win"')).otherwise(F.lit(""))
+    body = F.concat(F.lit('[{"value": '), F.col("value").cast("string"), F.lit(', "k": '),
+                    F.get_json_object("props", "$.k"), truth, F.lit("}]"))
+    schema = T.StructType([T.StructField("value", T.DoubleType()), T.StructField("k", T.IntegerType()),
+                           T.StructField(LABEL, T.StringType())])
+    return PL.parse_json_records(ev.select("event_id", body.alias("body")), "body", schema,
+                                 keep=["event_id"], label=LABEL)
+
+
+@register("w4_step_outputs")
+def w4_step_outputs(spark, sf):
+    """Outputs named ``train`` of each group's latest run (orders as runs,
+    their line items as step outputs)."""
+    latest = R.latest(TD.registry(spark, sf), "group", "created_at", "package_id", ["package_id"])
+    outputs = TD.run_outputs(spark, sf)
+    return (latest.join(outputs, "package_id").where(F.col("output_name") == "train")
+            .select("group", "package_id", "step", "uri"))

@@ -817,3 +817,20 @@ SQL["s6_write_splits"] = f"SELECT result_match, n_chars, n_words, n_sentences, n
 SQL["s1_read_csv_dir"] = f"""
 SELECT result_match, n_chars, n_words, n_sentences, n_lines FROM ({SPLIT}) WHERE split = 'train'
 """
+
+SQL["f2_split_truth_json"] = """
+SELECT event_id, value, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+  CASE WHEN event_type = 'purchase' THEN 'home_win' WHEN event_type = 'click' THEN 'home_not_win' END
+    AS ground_truth
+FROM events
+"""
+
+SQL["w4_step_outputs"] = f"""
+WITH l AS (SELECT "group", package_id FROM (
+    SELECT *, row_number() OVER (PARTITION BY "group" ORDER BY created_at DESC, package_id DESC) AS rn
+    FROM ({REGISTRY})) WHERE rn = 1)
+SELECT l."group", l.package_id, li.l_linenumber AS step,
+       'runs/' || CAST(li.l_orderkey AS VARCHAR) || '/train/' || CAST(li.l_linenumber AS VARCHAR) || '.csv' AS uri
+FROM l JOIN lineitem li ON li.l_orderkey = l.package_id
+WHERE li.l_returnflag = 'R'
+"""

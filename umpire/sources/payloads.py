@@ -37,11 +37,14 @@ def parse_csv_lines(df: DataFrame, col: str, names: list[str], label: str | None
 
 
 def parse_json_records(df: DataFrame, col: str, schema: T.StructType, mode: str = "coerce",
-                       keep: list[str] | tuple = (), sep: str = ".") -> DataFrame:
+                       keep: list[str] | tuple = (), sep: str = ".",
+                       label: str | None = None, truth: str = "ground_truth") -> DataFrame:
     """A JSON array of objects per row -> one flat row per object.
 
     Nested structs are flattened to ``parent<sep>child`` names.  In ``strict``
-    mode an unparseable payload raises instead of giving no rows.
+    mode an unparseable payload raises instead of giving no rows.  With
+    ``label`` the truth field, when present, is moved aside to ``truth`` and
+    is not a feature (F2).
     """
     arr = F.from_json(F.col(col), T.ArrayType(schema))
     if mode == "strict":
@@ -50,7 +53,10 @@ def parse_json_records(df: DataFrame, col: str, schema: T.StructType, mode: str
                                             F.substring(F.col(col), 1, 80)))
                      .cast(T.ArrayType(schema))).otherwise(arr)
     rows = df.select(*keep, F.explode(arr).alias("_r"))
-    return rows.select(*keep, *_flatten("_r", schema, "", sep))
+    flat = rows.select(*keep, *_flatten("_r", schema, "", sep))
+    if label:
+        flat = flat.withColumnRenamed(label, truth)
+    return flat
 
 
 def _flatten(root: str, schema: T.StructType, prefix: str, sep: str) -> list:

@@ -220,3 +220,16 @@ def approval_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     detail = F.when(F.col("event_type") == "error", F.lit(None)).otherwise(
         F.struct(status.alias("ModelApprovalStatus")))
     return ev.select("event_id", "ts", (F.col("user_id") + 1).alias("group"), detail.alias("detail"))
+
+
+
+def run_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Step outputs of a run (an order): one per line item, named by the
+    return flag, with a folder-style URI."""
+    li = table(spark, sf_dir, "lineitem")
+    name = (F.when(F.col("l_returnflag") == "R", "train").when(F.col("l_returnflag") == "A", "validation")
+            .otherwise("test"))
+    uri = F.concat(F.lit("runs/"), F.col("l_orderkey").cast("string"), F.lit("/"), name, F.lit("/"),
+                   F.col("l_linenumber").cast("string"), F.lit(".csv"))
+    return li.select(F.col("l_orderkey").alias("package_id"), F.col("l_linenumber").alias("step"),
+                     name.alias("output_name"), uri.alias("uri"))
