@@ -13,9 +13,9 @@ Two plans with identical output:
   ``change[r]`` = the part differs from the previous arrival's, a trigger is a
   change at an odd offset from the last non-change arrival (each trigger
   resets the state, so changes alternate between trigger and first part).
-  Positions and the last non-change offset come from distributed running
-  sums, and the previous arrival from an equi-join on (batch, position - 1),
-  so one busy batch id never sits in one task.
+  Positions and the last non-change offset come from distributed ranks, and
+  the previous arrival from an equi-join on (batch, position - 1), so one
+  busy batch id never sits in one task.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from umpire.functions.events import MSG_TRIGGERED
-from umpire.operators.ordered import running_sums
+from umpire.operators.ordered import row_rank
 
 OUTPUT = T.StructType([
     T.StructField("batch_id", T.StringType()),
@@ -42,11 +42,15 @@ def rendezvous_batch(arrivals: DataFrame) -> DataFrame:
     """Batch twin over classified arrivals (``status == 'accepted'``)."""
     acc = arrivals.where(F.col("status") == "accepted").select(
         "batch_id", "event_id", "ts", "file_type", "folder")
-    ranked = running_sums(acc, ["ts", "event_id"], {"pos": F.lit(1).cast("long")}, by=["batch_id"])
+    ranked = row_rank(acc, ["ts", "event_id"], by=["batch_id"], name="pos")
     prev = ranked.select("batch_id", (F.col("pos") + 1).alias("pos"), F.col("file_type").alias("prev_type"))
     flagged = ranked.join(prev, ["batch_id", "pos"], "left").withColumn(
         "change", F.coalesce(F.col("file_type") != F.col("prev_type"), F.lit(False)))
-    counted = running_sums(flagged, ["pos"], {"nc": (~F.col("change")).cast("long")}, by=["batch_id"])
+    # nc = number of non-change arrivals up to this one: the rank among
+    # non-change rows, or the position minus the rank among change rows.
+    steady = row_rank(flagged.where(~F.col("change")), ["pos"], by=["batch_id"], name="nc")
+    moved = row_rank(flagged.where(F.col("change")), ["pos"], by=["batch_id"], name="_cc")
+    counted = steady.unionByName(moved.withColumn("nc", F.col("pos") - F.col("_cc")).drop("_cc"))
     anchors = counted.where(~F.col("change")).select("batch_id", "nc", F.col("pos").alias("anchor"))
     j = counted.join(anchors, ["batch_id", "nc"], "inner")
     trig = j.where(F.col("change") & (F.pmod(F.col("pos") - F.col("anchor"), F.lit(2)) == 1))
