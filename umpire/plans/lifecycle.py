@@ -67,7 +67,7 @@ def run_training(spark: SparkSession, sf_dir: str, params: MD.TreeParams = MD.Tr
         preds.write.mode("overwrite").parquet(f"{out}/test-predictions")
         M.model_quality(preds, "truth", "p", threshold=0.55).write.mode("overwrite").parquet(
             f"{out}/model-quality-baseline")
-        stats = Q.profile(train.select(*DOC_FEATURES), DOC_FEATURES)
+        stats = Q.profile(train.select(*DOC_FEATURES), DOC_FEATURES, exact_distinct=False)
         stats.write.mode("overwrite").parquet(f"{out}/data-quality-statistics")
         Q.suggest_constraints(stats).write.mode("overwrite").parquet(f"{out}/data-quality-constraints")
     return TrainingRun(out, bool(verdict["passed"]), verdict["message"], float(verdict["metric"]), kept)
