@@ -13,18 +13,20 @@ MSG_UNKNOWN_TYPE = "File type not recognized"
 MSG_WAITING = "{t}.csv uploaded, waiting for the other file."
 MSG_TRIGGERED = "Both files uploaded, pipeline triggered and DynamoDB entry cleaned."
 
-# The four training-log metrics and their patterns.  The set
-# names (``train``, ``validation_0``) are parameters of ``log_patterns``.
-NUM = r"([-+]?[0-9]*\.?[0-9]+(?:[eE][-+]?[0-9]+)?)"
+# The four training-log metrics and their patterns.
+LOG_PATTERNS = {
+    "validation:logloss": r".*\[[0-9]+\].*#011validation_0-logloss:([-+]?[0-9]*\.?[0-9]+(?:[eE][-+]?[0-9]+)?).*",
+    "validation:auc": r".*\[[0-9]+\].*#011validation_0-auc:([-+]?[0-9]*\.?[0-9]+(?:[eE][-+]?[0-9]+)?).*",
+    "train:logloss": r".*\[[0-9]+\].*#011train-logloss:([-+]?[0-9]*\.?[0-9]+(?:[eE][-+]?[0-9]+)?).*",
+    "train:auc": r".*\[[0-9]+\].*#011train-auc:([-+]?[0-9]*\.?[0-9]+(?:[eE][-+]?[0-9]+)?).*",
+}
 
 
 def log_patterns(train: str = "train", valid: str = "validation_0") -> dict[str, str]:
-    return {
-        "validation:logloss": rf".*\[[0-9]+\].*#011{valid}-logloss:{NUM}.*",
-        "validation:auc": rf".*\[[0-9]+\].*#011{valid}-auc:{NUM}.*",
-        "train:logloss": rf".*\[[0-9]+\].*#011{train}-logloss:{NUM}.*",
-        "train:auc": rf".*\[[0-9]+\].*#011{train}-auc:{NUM}.*",
-    }
+    """The metric patterns for the given evaluation-set names (a trainer may
+    name its sets differently from the fixed patterns)."""
+    return {name: pat.replace("#011validation_0-", f"#011{valid}-").replace("#011train-", f"#011{train}-")
+            for name, pat in LOG_PATTERNS.items()}
 
 
 def classify_arrivals(df: DataFrame, key: str = "key", batch: str = "batch_id") -> DataFrame:
