@@ -47,3 +47,23 @@ def test_scoring_and_monitoring_against_a_training_run(spark, tmp_path):
     assert set(mq) == {"accuracy", "precision", "recall", "f1"}
     assert all(abs(r.current - r.baseline) < 1e-12 for r in mq.values())
     assert out["drift"].count() == len(DOC_FEATURES)
+
+
+def test_ingest_folder_zips_feature_and_label_files_by_position(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from umpire.operators.prepare import stratified_split
+    from umpire.plans.lifecycle import ingest_folder
+    from umpire.sources.testdata import labelled_documents
+
+    rows = labelled_documents(spark, SF_CHECK).orderBy("doc_id").toPandas()
+    folder = tmp_path / "data" / "batch-7"
+    folder.mkdir(parents=True)
+    rows[["doc_id", "n_chars", "n_words"]].to_csv(folder / "df.csv", index=False)
+    rows[["result_match"]].to_csv(folder / "y.csv", index=False)
+    got = ingest_folder(spark, str(folder))
+    assert got.count() == len(rows)
+    back = {int(r.doc_id): r.result_match for r in got.select("doc_id", "result_match").collect()}
+    assert back == dict(zip(rows.doc_id, rows.result_match))
+    split = stratified_split(got.withColumn("doc_id", F.col("doc_id").cast("long")), "result_match", "doc_id")
+    assert {r.split for r in split.select("split").distinct().collect()} == {"train", "validation", "test"}

@@ -133,3 +133,20 @@ def run_monitoring(spark: SparkSession, captures: DataFrame, truth: DataFrame, c
         *[F.col(c).cast("double").alias(c) for c in DOC_FEATURES])
     drift = Q.drift(base_rows, current.select(*DOC_FEATURES), DOC_FEATURES)
     return {"model_quality": model_checks, "data_quality": data_checks, "drift": drift}
+
+
+# ------------------------------------------------------------------ ingest of an arrival folder
+def ingest_folder(spark: SparkSession, folder: str, features: str = "df.csv", labels: str = "y.csv") -> DataFrame:
+    """Rows of an arrival folder: the feature file and the label file are
+    read (headers give the names) and zipped by row position, outer, so
+    unequal lengths give nulls; a folder without CSV files is an error.
+    Numeric-looking feature columns are cast to double."""
+    from umpire.operators.prepare import zip_columns
+    from umpire.sources.payloads import read_csv_dir
+
+    read_csv_dir(spark, folder)  # the folder must hold CSV files
+    x = spark.read.option("header", True).csv(f"{folder.rstrip('/')}/{features}")
+    y = spark.read.option("header", True).csv(f"{folder.rstrip('/')}/{labels}")
+    rows = zip_columns(x, y)
+    casts = [F.expr(f"try_cast(`{c}` AS DOUBLE)").alias(c) if c in x.columns else F.col(c) for c in rows.columns]
+    return rows.select(*casts)
