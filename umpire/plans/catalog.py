@@ -563,7 +563,8 @@ def t3_windowed_monitor(spark, sf):
     scored = TD.scored_from(table_stream(spark, sf, "events"))
     out = run_available_now(SM.windowed_monitor(scored, "1 hour", "1 hour", threshold=0.1), "t3_monitor")
     return rounded(out.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
-                              "n", "mean_score", "tp", "fp", "fn", "precision", "recall"))
+                              "n", "mean_score", "min_score", "max_score", "std_score",
+                              "tp", "fp", "fn", "precision", "recall"))
 
 
 @register("t4_late_truth_join")

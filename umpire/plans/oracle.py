@@ -775,11 +775,14 @@ SQL["t2_arrivals_stream"] = SQL["f14_classify_arrivals"]
 SQL["t3_windowed_monitor"] = f"""
 WITH s AS ({SCORED}),
 g AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS ws, count(*) AS n, avg(score) AS mean_score,
+        min(score) AS min_score, max(score) AS max_score, stddev_pop(score) AS std_score,
         CAST(sum(CASE WHEN truth = 1 AND score > 0.1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
         CAST(sum(CASE WHEN truth <> 1 AND score > 0.1 THEN 1 ELSE 0 END) AS BIGINT) AS fp,
         CAST(sum(CASE WHEN truth = 1 AND NOT score > 0.1 THEN 1 ELSE 0 END) AS BIGINT) AS fn
       FROM s GROUP BY ALL)
-SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, n, round(mean_score, 6) AS mean_score, tp, fp, fn,
+SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, n, round(mean_score, 6) AS mean_score,
+       round(min_score, 6) AS min_score, round(max_score, 6) AS max_score, round(std_score, 6) AS std_score,
+       tp, fp, fn,
        round({ratio('tp', 'tp + fp')}, 6) AS precision, round({ratio('tp', 'tp + fn')}, 6) AS recall
 FROM g WHERE ws + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
 """

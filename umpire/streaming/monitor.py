@@ -19,8 +19,9 @@ def arrivals_stream(events: DataFrame) -> DataFrame:
 
 def windowed_monitor(scored: DataFrame, window: str = "1 hour", lateness: str = "1 hour",
                      threshold: float = 0.1) -> DataFrame:
-    """Tumbling-window quality of scored requests; a window is emitted once
-    the watermark (max event time - lateness) passes its end."""
+    """Tumbling-window model quality (confusion counts, precision, recall)
+    and score statistics of scored requests; a window is emitted once the
+    watermark (max event time - lateness) passes its end."""
     yy, pp = F.col("truth") == 1, F.col("score") > F.lit(threshold)
 
     def cnt(c):
@@ -29,10 +30,12 @@ def windowed_monitor(scored: DataFrame, window: str = "1 hour", lateness: str =
     agg = (scored.withWatermark("ts", lateness)
            .groupBy(F.window("ts", window).alias("w"))
            .agg(F.count(F.lit(1)).alias("n"), F.avg("score").alias("mean_score"),
+                F.min("score").alias("min_score"), F.max("score").alias("max_score"),
+                F.stddev_pop("score").alias("std_score"),
                 cnt(yy & pp).alias("tp"), cnt(~yy & pp).alias("fp"), cnt(yy & ~pp).alias("fn")))
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     return agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                      "n", "mean_score", "tp", "fp", "fn",
+                      "n", "mean_score", "min_score", "max_score", "std_score", "tp", "fp", "fn",
                       _ratio(tp, tp + fp).alias("precision"), _ratio(tp, tp + fn).alias("recall"))
 
 
