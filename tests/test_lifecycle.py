@@ -1,4 +1,3 @@
-import os
 
 from umpire.plans import model as MD
 from umpire.plans.lifecycle import load_report, run_training

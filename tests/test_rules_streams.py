@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from umpire.functions.events import classify_arrivals, extract_log_metrics, match_events
 from umpire.streaming.rendezvous import rendezvous_batch

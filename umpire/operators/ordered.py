@@ -27,7 +27,6 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F

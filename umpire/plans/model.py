@@ -18,14 +18,13 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, StringIndexerModel, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from umpire.functions.hashing import seeded_int, seeded_key
 from umpire.operators.metrics import binary_metrics
 from umpire.operators.ordered import with_position
-from umpire.schemas import CLASSES
 
 
 @dataclass(frozen=True)
@@ -275,8 +274,3 @@ def shapley(model: PipelineModel, rows: DataFrame, background: DataFrame, id_col
     base_value = base.first()["base"]
     return contrib.select(id_col, F.col("_j").alias("j"), F.element_at(names, F.col("_j") + 1).alias("feature"),
                           "phi", F.lit(base_value).alias("base"))
-
-
-__all__ = ["TreeParams", "fit_trees", "fit_with_early_stopping", "best_prefix", "validation_losses",
-           "score", "validation_f1", "search", "best_trial", "tree_importance", "shapley",
-           "imputer_stage", "target_stage", "array_to_vector", "CLASSES"]
