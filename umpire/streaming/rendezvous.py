@@ -84,8 +84,17 @@ class RendezvousProcessor(StatefulProcessor):
         pass
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def rendezvous_stream(arrivals: DataFrame) -> DataFrame:
-    """Streaming rendezvous over classified arrivals."""
+    """Streaming rendezvous over classified arrivals.
+
+    Keyed state needs the RocksDB state store; a session still on the default
+    store is switched to it (it serves every other stateful operator too)."""
+    conf = arrivals.sparkSession.conf
+    if conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
+        conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     acc = arrivals.where(F.col("status") == "accepted").select(
         "batch_id", "event_id", "ts", "file_type", "folder")
     return acc.groupBy("batch_id").transformWithState(
