@@ -69,7 +69,8 @@ def fit_trees(train: DataFrame, features: list[str], medians: dict[str, float],
     rows are first hash-partitioned and sorted by it: the same data gives the
     same trees whatever the upstream plan or a retried task did."""
     if layout:
-        n = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        spark = train.sparkSession
+        n = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
         train = train.repartition(n, *layout).sortWithinPartitions(*layout)
     imp = imputer_stage(medians, features)
     asm = VectorAssembler(inputCols=[f"{c}_imp" for c in features], outputCol="features",
