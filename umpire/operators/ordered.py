@@ -93,8 +93,7 @@ def running_sums(df: DataFrame, order: list[str], values: dict[str, Column],
     With ``totals`` each output column ``x`` also gets ``x_total``, the sum of
     the whole group.  Null values count as zero.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions
     by = list(by)
     keep = list(df.columns)
     vin = [f"_rs_in_{k}" for k in values]
@@ -138,11 +137,16 @@ def running_sums(df: DataFrame, order: list[str], values: dict[str, Column],
     return joined.select(*out)
 
 
-def _checkpointed_ranges(df: DataFrame, by: list[str], order: list[str], n: int) -> DataFrame:
+def _checkpointed_ranges(df: DataFrame, by: list[str], order: list[str], n: int | None) -> DataFrame:
+    """Range-partition, sort within partitions and write once.
+
+    Without an explicit ``n`` the exchange uses the session's shuffle
+    partitions and AQE may merge adjacent small ranges (order is kept); the
+    partition index is read from the written files afterwards, so merging
+    cannot make two readers disagree."""
     ensure_checkpoint_dir(df.sparkSession)
-    return (df.repartitionByRange(n, *by, *order)
-            .sortWithinPartitions(*by, *order)
-            .checkpoint(eager=True))
+    parted = df.repartitionByRange(n, *by, *order) if n else df.repartitionByRange(*by, *order)
+    return parted.sortWithinPartitions(*by, *order).checkpoint(eager=True)
 
 
 def row_rank(df: DataFrame, order: list[str], by: list[str] | tuple = (),
@@ -157,8 +161,7 @@ def row_rank(df: DataFrame, order: list[str], by: list[str] | tuple = (),
     minus the group's first id in the partition plus the group's count in
     earlier partitions.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions
     by = list(by)
     keep = list(df.columns)
     parted = _checkpointed_ranges(df, by, order, n)
