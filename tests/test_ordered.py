@@ -65,3 +65,17 @@ def test_top_two_per_group_with_a_hot_group(spark):
     df = spark.createDataFrame(rows, "g string, ts long, tb long, arn string")
     out = {r["g"]: (r["top1"], r["top2"]) for r in top_k_per_group(df, "g", "ts", "tb", "arn", k=2).collect()}
     assert out == {"hot": ("p2999", "p2998"), "cold": ("c1", None)}
+
+
+def test_running_sums_carry_across_arrow_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        df = spark.range(3000).select((F.col("id") % 3).alias("g"), F.col("id").alias("k"),
+                                      F.lit(1).alias("v"))
+        flat = {r["k"]: r["c"] for r in running_sums(df, ["k"], {"c": F.col("v")}, partitions=2).collect()}
+        assert all(flat[k] == k + 1 for k in range(3000))
+        grouped = {r["k"]: r["c"] for r in running_sums(df, ["k"], {"c": F.col("v")}, by=["g"],
+                                                        partitions=2).collect()}
+        assert all(grouped[k] == k // 3 + 1 for k in range(3000))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -69,7 +70,7 @@ def _local_cumsum(by: list[str], vin: list[str], vout: list[str], keep: list[str
                 last_key = tuple(keys.iloc[-1].tolist())
             else:
                 cont = last_key is not None
-                gid = [0] * len(pdf)
+                gid = np.zeros(len(pdf), dtype=np.int64)
                 last_key = ()
             sums = pdf[vin].groupby(gid).cumsum()
             if cont:
