@@ -37,25 +37,34 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str,
 
 
 def run_available_now(df: DataFrame, name: str, mode: str = "append",
-                      foreach: Callable[[DataFrame, int, str], None] | None = None) -> DataFrame:
+                      foreach: Callable[[DataFrame, int, str], None] | None = None,
+                      state_partitions: int | None = None) -> DataFrame:
     """Process everything available, then stop; return the sink as a table.
 
     ``foreach(batch_df, epoch_id, path)`` replaces the parquet sink when a
     micro-batch needs custom writing (it must be idempotent per epoch).
+    A new stateful query fixes its state partitions at start from the
+    shuffle-partition setting; they default to the cluster's parallelism
+    (capped by that setting) and are kept in the checkpoint afterwards.
     """
     spark = df.sparkSession
     base = shared_dir(spark, name)
     data = f"{base}/data"
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = state_partitions or min(shuffle, spark.sparkContext.defaultParallelism)
     w = (df.writeStream.option("checkpointLocation", f"{base}/_checkpoint")
          .outputMode(mode).trigger(availableNow=True))
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        q = (w.foreachBatch(lambda b, e: foreach(b, e, data)) if foreach is not None
+             else w.format("parquet")).start(*([] if foreach is not None else [data]))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle))
+    q.awaitTermination()
     if foreach is not None:
-        q = w.foreachBatch(lambda b, e: foreach(b, e, data)).start()
-        q.awaitTermination()
         if not _exists(spark, data):
             return spark.createDataFrame([], df.schema)
         return spark.read.parquet(data)
-    q = w.format("parquet").start(data)
-    q.awaitTermination()
     return spark.read.schema(df.schema).parquet(data)
 
 
