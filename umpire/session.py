@@ -7,6 +7,7 @@ that setting unset gets a scratch folder of our own.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -46,15 +47,18 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder, registered with the context.
 
-    Read from ``spark.checkpoint.dir``; only when unset (local runs, tests) a
-    scratch folder is made and set.
+    Read from ``spark.checkpoint.dir``.  Only a local session may go without:
+    it gets a scratch folder of its own.  On a cluster a folder that only the
+    driver sees would lose data, so an unset folder is an error there.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
+        if not re.match(r"local(\[|$)", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="umpire-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(base)
     return base
 
 
