@@ -36,6 +36,7 @@ from pyspark.sql import types as T
 from umpire.session import ensure_checkpoint_dir
 
 _PID = "_rs_pid"
+BROADCAST_ROWS = 100_000
 
 
 def _same_key(a: tuple, b: tuple) -> bool:
@@ -130,7 +131,7 @@ def running_sums(df: DataFrame, order: list[str], values: dict[str, Column],
     cond = local[_PID] == offsets[_PID]
     for i, b in enumerate(by):
         cond = cond & local[b].eqNullSafe(offsets[f"_rs_by_{i}"])
-    joined = local.join(offsets, cond, "inner")
+    joined = local.join(_sized(offsets), cond, "inner")
     out = [local[c] for c in keep]
     out += [(local[o] + offsets[f"_rs_off_{o}"]).alias(o) for o in vout]
     if totals:
@@ -150,6 +151,12 @@ def _checkpointed_ranges(df: DataFrame, by: list[str], order: list[str], n: int
     return parted.sortWithinPartitions(*by, *order).checkpoint(eager=True)
 
 
+def _sized(offsets: DataFrame) -> DataFrame:
+    """Broadcast the offsets when their counted rows allow it (they number
+    partitions + groups); beyond that they are joined by a shuffle."""
+    return F.broadcast(offsets) if offsets.count() <= BROADCAST_ROWS else offsets
+
+
 def row_rank(df: DataFrame, order: list[str], by: list[str] | tuple = (),
              name: str = "rank", partitions: int | None = None,
              totals: bool = False) -> DataFrame:
@@ -179,7 +186,7 @@ def row_rank(df: DataFrame, order: list[str], by: list[str] | tuple = (),
     cond = tagged[_PID] == offsets[_PID]
     for i, b in enumerate(by):
         cond = cond & tagged[b].eqNullSafe(offsets[f"_rs_by_{i}"])
-    joined = tagged.join(offsets, cond, "inner")
+    joined = tagged.join(_sized(offsets), cond, "inner")
     out = [tagged[c] for c in keep]
     out.append((tagged["_rs_mid"] - offsets["_rs_first"] + 1 + offsets["_rs_off"]).cast("long").alias(name))
     if totals:
@@ -204,6 +211,6 @@ def with_position(df: DataFrame, name: str = "position") -> DataFrame:
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = seg.select(F.col(_PID).alias("_rs_p"), "_rs_first",
                          F.coalesce(F.sum("_rs_cnt").over(before), F.lit(0)).alias("_rs_off"))
-    joined = tagged.join(offsets, tagged[_PID] == offsets["_rs_p"], "inner")
+    joined = tagged.join(_sized(offsets), tagged[_PID] == offsets["_rs_p"], "inner")
     pos = (F.col("_rs_mid") - F.col("_rs_first") + F.col("_rs_off")).cast("long")
     return joined.select(*[tagged[c] for c in keep], pos.alias(name))
