@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from umpire.session import table
+from umpire.session import ensure_checkpoint_dir, table
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,12 +18,32 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from umpire.llm.pii import digest, personal_data
+    return digest(personal_data(table(spark, sf_dir, "documents")))
+
+
+def op7_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents' flat token files, then their token counts by separators."""
+    from umpire.llm.separators import token_counts, write_blocks
+    ensure_checkpoint_dir(spark)
+    written = write_blocks(table(spark, sf_dir, "documents")).checkpoint()
+    counts = token_counts(written.filter("body is not null").select("file", "block", "body"))
+    names = written.filter("body is null").select("file", "ordinal", "doc_id")
+    return names.join(counts, ["file", "ordinal"]).select("doc_id", "start", "n_tokens")
+
+
 def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     from umpire.llm.lines import dedup_lines
     out = dedup_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("kept_md5"))
 
 
+def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from umpire.llm.packing import pack
+    return pack(table(spark, sf_dir, "documents"))
+
+
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from umpire.llm.mixing import systematic_mix
     out = systematic_mix(table(spark, sf_dir, "documents"))
