@@ -13,6 +13,11 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=3, num=85, den=100)
 
 
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from umpire.llm.neighbours import nearest
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from umpire.llm.quality import quality_rules
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
