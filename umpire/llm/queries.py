@@ -13,6 +13,12 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=3, num=85, den=100)
 
 
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from umpire.llm.substrings import dedup_substrings
+    out = dedup_substrings(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     from umpire.llm.neighbours import nearest
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
