@@ -1,12 +1,74 @@
-"""The corpus pipeline: stages over ``documents``, each reread from Parquet."""
+"""The corpus pipeline: five stages, each written as Parquet and reread.
+
+Every stage takes (spark, docs, sf_dir) and works on all rows its predecessor
+kept.  All but the last return the columns of ``documents``; extra columns of
+the input are carried along.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from umpire.llm.lines import dedup_lines
+from umpire.llm.minhash import near_duplicates
+from umpire.llm.mixing import systematic_mix
+from umpire.llm.packing import pack
+from umpire.llm.quality import quality_rules
+from umpire.session import shared_dir, table
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base tests or match a learned rule go."""
+    rest = tuple(c for c in docs.columns if c != "doc_id")
+    return quality_rules(docs, table(spark, sf_dir, "labels"), keep=rest).filter("kept").select(*docs.columns)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of repeated line runs go, and documents left without a word.
+
+    ``n_chars`` follows the text."""
+    out = dedup_lines(docs).filter((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
+                             .cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays: that of least id, once."""
+    marks = near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
+    first = docs.join(marks, "doc_id", "left_anti")
+    named = first.filter("doc_id is not null").dropDuplicates(["doc_id", "text"])
+    return named.unionByName(first.filter("doc_id is null")).select(*docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources at their target weights: a document appears as often as drawn."""
+    rest = tuple(c for c in docs.columns if c not in ("doc_id", "source"))
+    out = systematic_mix(docs, keep=rest).filter("copies > 0")
+    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token sequences; one row per piece."""
+    return pack(docs)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_rules", quality), ("line_dedup", lines), ("near_dedup", near_copies), ("source_mix", mix), ("packing", packed)]
 
-STAGES: list = []
+#: The learned rules, the near copies and the token ids have no SQL form.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """All stages over ``documents``; each is written to the shared folder."""
+    folder = shared_dir(spark, "corpus")
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return docs

@@ -13,6 +13,11 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=3, num=85, den=100)
 
 
+def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from umpire.llm.licences import scan_licences, url_path
+    return scan_licences(table(spark, sf_dir, "pages"), url_path(F.col("url")))
+
+
 def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     from umpire.llm.substrings import dedup_substrings
     out = dedup_substrings(table(spark, sf_dir, "documents"))
