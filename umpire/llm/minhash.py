@@ -12,11 +12,12 @@
    deepest common prefix first and a sparse one those of the least depth: the
    depth adapts by region.  Neighbours across a partition's edge meet in a
    second, small pass over ``window`` rows from both sides of each edge.
-3. Candidates are confirmed on full shingle sets in rounds.  Each round takes,
-   per text, the best remaining candidates (by total common prefix) that lie in
-   another component so far; 1, 2, 4, ... per text, until no pair crosses two
-   components.  Every candidate is thus either confirmed, refuted, or already
-   inside one component, and hot groups cost about one check per text.
+3. Candidates are confirmed on full shingle sets in three rounds: twice each
+   text's best candidate (by total common prefix) that lies in another component
+   so far, then all that still cross two components.  Every candidate is thus
+   confirmed, refuted, or already inside one component, and hot groups cost a few
+   checks per text.  In the last round the pairs of crowded regions are left to
+   step 4, which covers them.
 4. A region with more rows than the window is crowded.  Where its texts still
    lie in several components, all pairs across them are checked in blocks, so
    the window loses nothing (``complete_regions``).
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from umpire.llm import text as X
-from umpire.llm.graph import components
+from umpire.llm.graph import components, sized
 from umpire.session import ensure_checkpoint_dir
 
 U64 = np.uint64
@@ -108,8 +109,8 @@ def _neighbours(tree, key, ids, size, window, least, num, den, fresh):
         hit = hit[(small * den >= large * num) & (ids[hit] != ids[hit + j])]
         eq = key[hit] == key[hit + j]
         lcp = np.where(eq.all(axis=1), key.shape[1], np.argmin(eq, axis=1))
-        out.append((np.minimum(ids[hit], ids[hit + j]), np.maximum(ids[hit], ids[hit + j]), lcp))
-    none = [(np.zeros(0, np.int64),) * 3]
+        out.append((np.minimum(ids[hit], ids[hit + j]), np.maximum(ids[hit], ids[hit + j]), lcp, hit))
+    none = [(np.zeros(0, np.int64),) * 4]
     return (*(np.concatenate(x) for x in zip(*(out or none))), full)
 
 
@@ -128,8 +129,9 @@ def tree_rows(feats: DataFrame, trees: int, depth: int) -> DataFrame:
 
 
 def candidates(rows: DataFrame, depth: int, least: int, window: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
-    """(a, b, score) with a < b: neighbours in the sorted orders of the trees;
-    the score is the total common prefix over the trees that offer the pair.
+    """(a, b, score, crowded) with a < b: neighbours in the sorted orders of the
+    trees; the score is the total common prefix over the trees that offer the
+    pair, and it is crowded if one of its regions is.
     And (tree, prefix): the regions that hold rows further apart than ``window``."""
     order = ["tree", "key", "doc_id"]
     sorted_rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -154,12 +156,12 @@ def candidates(rows: DataFrame, depth: int, least: int, window: int, num: int, d
                 continue
             seen = tail.num_rows if tail is not None else 0
             both = batch if tail is None else pa.Table.from_batches([tail, batch]).combine_chunks().to_batches()[0]
-            a, b, score, full = _neighbours(*_unpack(both, depth), window, least, num, den, seen)
+            a, b, score, at, full = _neighbours(*_unpack(both, depth), window, least, num, den, seen)
             if len(full):
                 yield edge(3, both.take(pa.array(full)), 0)
             if len(a):
-                none = pa.nulls(len(a), pa.int32()), pa.nulls(len(a), pa.binary()), pa.nulls(len(a), pa.int64())
-                yield emit(0, a, b, score, *none)
+                of = both.take(pa.array(at))
+                yield emit(0, a, b, score, of.column(0).cast(pa.int32()), of.column(1), of.column(3))
             if row <= window:
                 yield edge(1, batch.slice(0, window + 1 - row), row)
             row += batch.num_rows
@@ -169,7 +171,7 @@ def candidates(rows: DataFrame, depth: int, least: int, window: int, num: int, d
 
     found = sorted_rows.mapInArrow(
         walk, "kind int, a long, b long, score long, pid int, tree int, key binary, n long").checkpoint()
-    edges = found.filter("kind in (1, 2)")
+    edges = sized(found.filter("kind in (1, 2)"))
     following = (edges.select("pid").distinct()
                  .select("pid", F.lead("pid").over(Window.orderBy("pid")).alias("next")).filter("next is not null"))
     meeting = (edges.filter("kind = 2").join(following, "pid").withColumn("edge", F.col("next"))
@@ -181,20 +183,23 @@ def candidates(rows: DataFrame, depth: int, least: int, window: int, num: int, d
         table = table.sort_by(order_by).combine_chunks()
         batch = table.select(["tree", "key", "doc_id", "n"]).to_batches()[0]
         fresh = int((table.column("kind").to_numpy() == 2).sum())
-        a, b, score, full = _neighbours(*_unpack(batch, depth), window, least, num, den, fresh)
-        rows, more = batch.take(pa.array(full)), len(full)
+        a, b, score, at, full = _neighbours(*_unpack(batch, depth), window, least, num, den, fresh)
+        rows, none = batch.take(pa.array(np.r_[at, full])), np.full(len(full), -1)
         return pa.table({
-            "a": pa.array(np.r_[a, np.full(more, -1)].astype(np.int64)), "b": pa.array(np.r_[b, np.full(more, -1)].astype(np.int64)),
-            "score": pa.array(np.r_[score, np.zeros(more)].astype(np.int64)),
-            "tree": pa.concat_arrays([pa.nulls(len(a), pa.int32()), rows.column(0).cast(pa.int32())]),
-            "key": pa.concat_arrays([pa.nulls(len(a), pa.binary()), rows.column(1).cast(pa.binary())])})
-
-    stitched = meeting.groupBy("edge").applyInArrow(across, "a long, b long, score long, tree int, key binary").checkpoint()
-    pairs = (found.filter("kind = 0").select("a", "b", "score")
-             .unionByName(stitched.filter("tree is null").select("a", "b", "score"))
-             .groupBy("a", "b").agg(F.sum("score").alias("score")))
-    regions = (found.filter("kind = 3").select("tree", "key").unionByName(stitched.filter("tree is not null").select("tree", "key"))
-               .select("tree", F.substring("key", 1, 4 * least).alias("prefix")).distinct())
+            "kind": pa.array(np.r_[np.zeros(len(a)), np.full(len(full), 3)].astype(np.int32)),
+            "a": pa.array(np.r_[a, none].astype(np.int64)), "b": pa.array(np.r_[b, none].astype(np.int64)),
+            "score": pa.array(np.r_[score, none].astype(np.int64)),
+            "tree": rows.column(0).cast(pa.int32()), "key": rows.column(1).cast(pa.binary())})
+
+    stitched = meeting.groupBy("edge").applyInArrow(
+        across, "kind int, a long, b long, score long, tree int, key binary")
+    stitched = sized(stitched)
+    every = (found.filter("kind in (0, 3)").select(*stitched.columns).unionByName(stitched)
+             .withColumn("prefix", F.substring("key", 1, 4 * least)))
+    regions = sized(every.filter("kind = 3").select("tree", "prefix").distinct())
+    pairs = (every.filter("kind = 0").join(regions.withColumn("crowd", F.lit(True)), ["tree", "prefix"], "left")
+             .groupBy("a", "b").agg(F.sum("score").alias("score"),
+                                    F.max(F.coalesce("crowd", F.lit(False))).alias("crowded")))
     return pairs, regions
 
 
@@ -206,8 +211,9 @@ def complete_regions(members: DataFrame, comp: DataFrame, sets: DataFrame, num:
     every text outside the region's largest component meets all others of other
     components, on full sets.  Members and outsiders are dealt into blocks of
     about ``block`` shingles, and a pair of blocks is one task's group, so no
-    region has to fit a task and no pairs are listed; per outsider and other
-    component at most one link leaves a block pair.
+    region has to fit a task, and an outsider's surest link to each component
+    is all that is listed.  Blocks hold 32-bit hashes, which can only add
+    links; the caller confirms on full sets.
     """
     region = ["tree", "prefix"]
     inside = (members.join(comp.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left")
@@ -229,14 +235,13 @@ def complete_regions(members: DataFrame, comp: DataFrame, sets: DataFrame, num:
                 .select(*region, "doc_id", "comp", F.lit(True).alias("out"), every("nm").alias("mb"),
                         (F.col("deal") % F.col("no")).cast("int").alias("ob"))
                 .select(*as_member.columns))
-    # texts meet their sets once, then the block pairs
-    dealt = as_member.unionByName(as_other).join(sets, "doc_id")
+    dealt = as_member.unionByName(as_other).join(sets.select("doc_id", "brief"), "doc_id")
 
     def check(table: pa.Table) -> pa.Table:
         ids, comps = table.column("doc_id").to_numpy(), table.column("comp").to_numpy()
         out = table.column("out").to_numpy(zero_copy_only=False).astype(bool)
-        data, off = X.binary(table.column("items"))
-        values, cut = data[off[0]:off[-1]].view(U64), (off - off[0]) // 8
+        data, off = X.binary(table.column("brief"))
+        values, cut = data[off[0]:off[-1]].view(np.uint32), (off - off[0]) // 4
         size = np.diff(cut)
         mine, others = np.flatnonzero(~out), np.flatnonzero(out)
         owner = np.repeat(np.arange(len(ids)), size)
@@ -244,21 +249,23 @@ def complete_regions(members: DataFrame, comp: DataFrame, sets: DataFrame, num:
         pool, who = values[member], owner[member]
         order = np.argsort(pool, kind="stable")
         pool, who = pool[order], who[order]
-        a, b = [], []
+        found = []
         for o in others:
             s = values[cut[o]:cut[o + 1]]
             lo, hi = np.searchsorted(pool, s), np.searchsorted(pool, s, side="right")
             n = hi - lo
             at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
             shared = np.bincount(who[at], minlength=len(ids))[mine]
-            linked = mine[(den * shared >= num * (size[mine] + size[o] - shared)) & (comps[mine] != comps[o])]
-            linked = linked[np.unique(comps[linked], return_index=True)[1]]
-            a.append(np.full(len(linked), ids[o]))
-            b.append(ids[linked])
-        empty = [np.zeros(0, np.int64)]
-        return pa.table({"a": np.concatenate(a or empty), "b": np.concatenate(b or empty)})
+            over = den * shared - num * (size[mine] + size[o] - shared)
+            linked = np.flatnonzero((over >= 0) & (comps[mine] != comps[o]))
+            linked = linked[np.argsort(-over[linked], kind="stable")]
+            linked = linked[np.unique(comps[mine[linked]], return_index=True)[1]]  # the surest of each component
+            found.append((np.full(len(linked), ids[o]), ids[mine[linked]], comps[mine[linked]], over[linked]))
+        none = [(np.zeros(0, np.int64),) * 4]
+        return pa.table({k: np.concatenate(x).astype(np.int64) for k, x in zip(("a", "b", "to", "over"), zip(*(found or none)))})
 
-    return dealt.groupBy(*region, "mb", "ob").applyInArrow(check, "a long, b long").distinct()
+    return (dealt.groupBy(*region, "mb", "ob").applyInArrow(check, "a long, b long, to long, over long")
+            .groupBy("a", "to").agg(F.max(F.struct("over", "b"))["b"].alias("b")).select("a", "b"))
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -281,30 +288,39 @@ def _confirm(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
             .select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct())
 
 
+def _crossing(pairs: DataFrame, comp: DataFrame) -> DataFrame:
+    """The pairs whose texts are not in one component yet."""
+    ca, cb = (comp.select(F.col("node").alias(x), F.col("root").alias(f"c{x}")) for x in "ab")
+    return sized(pairs.join(ca, "a", "left").join(cb, "b", "left")
+                 .filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select(*pairs.columns))
+
+
 def _nodes(docs, id_col, text_col, nodes, k):
-    """(doc_id, items): shingle sets of the texts that have a candidate."""
+    """(doc_id, items, brief): shingle sets of the texts that have a candidate,
+    with 64-bit and with 32-bit hashes."""
     def run(batches):
         hasher = X.SpanHasher(11, fold=True)
         for batch in batches:
-            f1, f2, items = [], [], []
+            f1, f2, items, brief = [], [], [], []
             with np.errstate(over="ignore"):
                 for s in _sets(batch.column(1), k, hasher):
                     f1.append(s.sum(dtype=U64).astype(np.int64))
                     f2.append(X.mix(s ^ U64(0xA5A5A5A5A5A5A5A5)).sum(dtype=U64).astype(np.int64))
                     items.append(s.tobytes())
+                    brief.append((s >> U64(32)).astype(np.uint32).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.array(items, pa.binary())],
-                names=["doc_id", "f1", "f2", "items"])
+                [batch.column(0), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.array(items, pa.binary()),
+                 pa.array(brief, pa.binary())], names=["doc_id", "f1", "f2", "items", "brief"])
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return (texts.join(nodes, "doc_id", "left_semi").select("doc_id", "text")
-            .mapInArrow(run, "doc_id long, f1 long, f2 long, items binary")
-            .dropDuplicates(["doc_id", "f1", "f2"]).select("doc_id", "items"))
+            .mapInArrow(run, "doc_id long, f1 long, f2 long, items binary, brief binary")
+            .dropDuplicates(["doc_id", "f1", "f2"]).select("doc_id", "items", "brief"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
                     num: int = 80, den: int = 100, trees: int = 16, depth: int = 8, least: int = 4,
-                    window: int = 8) -> DataFrame:
+                    window: int = 4) -> DataFrame:
     """One row per document: (doc_id, n_shingles, component_id, kept).
 
     Two documents are linked when ``den * |A & B| >= num * |A | B|`` on sets of
@@ -322,48 +338,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .dropDuplicates(["doc_id", "n", "f1", "f2"]))
     rows = tree_rows(reps, trees, depth)
     pairs, regions = candidates(rows, depth, least, window, num, den)
-    pairs, regions = pairs.checkpoint(), regions.checkpoint()
-    members = (rows.withColumn("prefix", F.substring("key", 1, 4 * least)).join(regions, ["tree", "prefix"], "left_semi")
-               .select("tree", "prefix", "doc_id", "n").checkpoint())
-
+    pairs = sized(pairs)
+    members = sized(rows.withColumn("prefix", F.substring("key", 1, 4 * least)).join(regions, ["tree", "prefix"], "left_semi")
+                    .select("tree", "prefix", "doc_id", "n"))
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(members.select("doc_id")).distinct()
-    sets = _nodes(docs, id_col, text_col, ids, k).checkpoint()
-    comp = None
-    per = 1
-    left = pairs
-    while True:
-        if comp is not None:
-            ca, cb = (comp.select(F.col("node").alias(x), F.col("root").alias(f"c{x}")) for x in "ab")
-            left = (left.join(ca, "a", "left").join(cb, "b", "left")
-                    .filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b", "score").checkpoint())
-            if left.isEmpty():
-                break
-        ends = left.select("a", "b", "score", F.explode(F.array("a", "b")).alias("node"))
-        best = Window.partitionBy("node").orderBy(F.desc("score"), "a", "b")
-        chosen = (ends.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= per)
-                  .select("a", "b").distinct().checkpoint())
-        if comp is None and chosen.isEmpty():
-            break
-        linked = _confirm(chosen, sets, num, den)
-        if comp is not None:
-            linked = linked.unionByName(comp.select(F.col("root").alias("a"), F.col("node").alias("b")))
-        comp = components(linked, "a", "b")
-        left = left.join(chosen, ["a", "b"], "left_anti")
-        per *= 2
-
-    if not members.isEmpty():
-        if comp is None:
-            comp = docs.sparkSession.createDataFrame([], "node long, root long")
-        more = complete_regions(members, comp, sets, num, den).checkpoint()
-        if not more.isEmpty():
-            comp = components(more.unionByName(comp.select(F.col("root").alias("a"), F.col("node").alias("b"))), "a", "b")
-
-    rep_of = keyed.select("doc_id", "n", "f1", "f2").join(classes, ["n", "f1", "f2"]).select("doc_id", "n", "rep")
-    if comp is not None:
-        rep_of = (rep_of.join(comp.select(F.col("node").alias("rep"), "root"), "rep", "left")
-                  .select("doc_id", "n", F.coalesce("root", "rep").alias("component_id")))
-    else:
-        rep_of = rep_of.select("doc_id", "n", F.col("rep").alias("component_id"))
+    sets = sized(_nodes(docs, id_col, text_col, ids, k), 10_000)
+
+    comp = docs.sparkSession.createDataFrame([], "node long, root long").coalesce(1)
+    for _ in range(2):
+        left = _crossing(pairs, comp)
+        ends = (left.select(F.col("a").alias("node"), "score", "a", "b")
+                .unionByName(left.select(F.col("b").alias("node"), "score", "a", "b")))
+        chosen = (ends.groupBy("node").agg(F.max(F.struct("score", (-F.col("a")).alias("a"), (-F.col("b")).alias("b"))).alias("best"))
+                  .select((-F.col("best.a")).alias("a"), (-F.col("best.b")).alias("b")).distinct())
+        links = _confirm(sized(chosen), sets, num, den)
+        comp = components(links.unionByName(comp.select(F.col("root").alias("a"), F.col("node").alias("b"))), "a", "b")
+    links = _confirm(sized(_crossing(pairs.filter("not crowded"), comp).select("a", "b")), sets, num, den)
+    links = links.unionByName(_confirm(sized(complete_regions(members, comp, sets, num, den)), sets, num, den))
+    links = sized(links)
+    if not links.isEmpty():
+        comp = components(links.unionByName(comp.select(F.col("root").alias("a"), F.col("node").alias("b"))), "a", "b")
+
+    comp = comp.select(F.col("node").alias("rep"), "root")
+    rep_of = (keyed.select("doc_id", "n", "f1", "f2").join(classes, ["n", "f1", "f2"]).select("doc_id", "n", "rep")
+              .join(comp, "rep", "left").select("doc_id", "n", F.coalesce("root", "rep").alias("component_id")))
     alone = feats.filter("n = 0 or doc_id is null").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return rep_of.unionByName(alone).select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id",
