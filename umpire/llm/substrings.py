@@ -6,15 +6,15 @@ only windows around equal grams need to meet.  There is about one anchor per
 185 bytes; a window that holds it starts at most 368 bytes before it, so its
 context is the 368 bytes before and the 400 from it on, cut at the text's edges.
 
-**Contexts.**  Occurrences with equal whole contexts are one class; a class of
-two or more covers its whole context.  A window that is repeated across classes
-lies in one of four parts of its anchor's windows (``parts``, by distance to the
-anchor) and shares the bytes that all windows of the part have in common.
-Classes whose parts share nothing are done.  A gram's rows meet in one task;
-the rows of grams beyond ``hot`` occurrences go through combining aggregates and
-joins instead, which spread them.
-
-**Columns.**  One fragment per remaining class and part goes to the collections
+**Parts.**  The windows of an anchor fall into four parts by their distance to
+it.  A part's windows together span its full string, and have its core in
+common.  Occurrences with equal full strings are one class; a class of two or
+more has all its part's windows repeated and covers the full string.  A window
+that is repeated across classes lies in classes with equal cores.  Cores with one
+class are done.  A gram's rows meet in one task; the rows of grams beyond ``hot``
+occurrences go through combining aggregates and joins instead, which spread them.
+
+**Columns.**  One fragment per remaining class goes to the collections
 that ``column_order`` builds: all fragments are aligned at their anchors and, a
 column per round from the right, one symbol of every fragment is inserted.  The
 symbols in the order of the suffixes so far are that column's piece of the
@@ -43,11 +43,10 @@ U64 = np.uint64
 GRAM = 32
 PARTS = 4
 KEY = ["doc", "mark"]
-PLACE = ["doc", "mark", "at", "left", "right"]
-CORES = [f"f{i}" for i in range(PARTS)]
-ANCHOR = ("doc long, mark long, at long, left int, right int, gram long, c1 long, c2 long, "
-          + ", ".join(f"{f} int" for f in CORES))
-WANTED = "doc long, mark long, at long, left int, right int, part int, key long, crowded boolean"
+PLACE = ["doc", "mark", "place"]
+FULLS = [f"g{i}" for i in range(PARTS)]
+ANCHOR = "doc long, mark long, place long, gram long, cores long, " + ", ".join(f"{g} long" for g in FULLS)
+MET = "doc long, mark long, place long, first int, last int, key long, crowded boolean"
 SPAN = "doc long, mark long, start long, end long"
 
 
@@ -90,13 +89,22 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+def _packed(at, left, right):
+    """Place of an anchor in one number: position, bytes to its left and from it on."""
+    return (at << 32) | (left << 16) | right
+
+
+def _unpacked(place: np.ndarray):
+    return place >> 32, (place >> 16) & 0xFFFF, place & 0xFFFF
+
+
 def anchor_rows(docs: DataFrame, length: int) -> DataFrame:
-    """A row per anchor: its place, its gram, its context's hashes and those of
-    the bytes each part's windows share (null where the text ends before)."""
+    """A row per anchor: its place, its gram, 16 hash bits of each part's core and
+    the hash of each part's full string (cut at the text's edges)."""
     reach = length - GRAM
 
     def run(batches):
-        grams, first, second = X.SpanHasher(41), X.SpanHasher(43), X.SpanHasher(47)
+        grams, hasher = X.SpanHasher(41), X.SpanHasher(43)
         for batch in batches:
             for lo, _, data, off in X.groups(batch.column(2), 1 << 20):
                 at = anchors(data, off, grams, length)
@@ -105,20 +113,17 @@ def anchor_rows(docs: DataFrame, length: int) -> DataFrame:
                 of = np.searchsorted(off, at, side="right") - 1
                 s, e = off[of], off[of + 1]
                 left, right = np.minimum(at - s, reach), np.minimum(e - at, length)
-                with np.errstate(over="ignore"):
-                    shape = X.mix((left * 65536 + right).astype(U64))
-                cores = []
-                for far, near in parts(length):
-                    core = first.spans(data, at - np.minimum(left, near), at + np.minimum(right, length - far))
-                    cores.append(pa.array((core >> U64(32)).astype(np.uint32).view(np.int32),
-                                          mask=(left < near) | (right < length - far)))
+                cores, fulls = np.zeros(len(at), dtype=U64), []
+                for i, (far, near) in enumerate(parts(length)):
+                    core = hasher.spans(data, at - np.minimum(left, near), at + np.minimum(right, length - far))
+                    cores |= (core >> U64(48)) << U64(16 * i)
+                    a, b = np.minimum(left, far), np.minimum(right, length - near)
+                    full = hasher.spans(data, at - a, at + b)
+                    fulls.append(pa.array(_signed(X.mix(full ^ X.mix(_packed(0, a, b).astype(U64))))))
                 rows = pa.array(lo + of)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(at - s),
-                     pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32)),
-                     pa.array(_signed(grams.spans(data, at, at + GRAM))),
-                     pa.array(_signed(first.spans(data, at - left, at + right) ^ shape)),
-                     pa.array(_signed(second.spans(data, at - left, at + right))), *cores],
+                    [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(_packed(at - s, left, right)),
+                     pa.array(_signed(grams.spans(data, at, at + GRAM))), pa.array(_signed(cores)), *fulls],
                     names=[c.split()[0] for c in ANCHOR.split(", ")])
 
     return docs.mapInArrow(run, ANCHOR)
@@ -174,29 +179,34 @@ def _spans(hit: np.ndarray, first: np.ndarray, length: int):
 
 
 def _same_gram(found: DataFrame, length: int, crowd: int) -> DataFrame:
-    """Spans of classes of two or more, and the fragments still wanted, for grams
-    whose rows meet in one task: rows tagged ``kind`` 0 and 1."""
+    """For grams whose rows meet in one task: runs of parts (first, last) whose full
+    strings occur again, and, with a key, the fragments (part first) still wanted."""
     def group(rows: pa.Table):
-        gram, c1, c2 = (rows.column(c).to_numpy() for c in ("gram", "c1", "c2"))
-        place = [rows.column(c).to_numpy() for c in PLACE]
-        order = np.lexsort((place[2], place[1], place[0], c2, c1, gram))
-        new = np.r_[True, (gram[order][1:] != gram[order][:-1]) | (c1[order][1:] != c1[order][:-1]) | (c2[order][1:] != c2[order][:-1])]
-        number = np.cumsum(new) - 1
-        times = np.bincount(number)
-        several = order[times[number] > 1]
-        yield _tagged(0, [p[several] for p in place], np.full(len(several), -1), np.zeros(len(several), np.int64), np.zeros(len(several), bool))
-        reps = order[new]
-        for part, name in enumerate(CORES):
-            core = rows.column(name).combine_chunks()
-            known = reps[~np.asarray(core.is_null())[reps]]
-            if len(known) == 0:
-                continue
+        gram, place = rows.column("gram").to_numpy().view(U64), rows.column("place").to_numpy()
+        cores = rows.column("cores").to_numpy().view(U64)
+        _, left, right = _unpacked(place)
+        again = np.zeros((len(gram), PARTS + 2), dtype=np.int8)
+        wanted = []
+        for i, (far, near) in enumerate(parts(length)):
+            has = np.flatnonzero((left >= near) & (right >= length - far))
             with np.errstate(over="ignore"):
-                key = X.mix(gram[known].view(U64) ^ X.mix(core.fill_null(0).to_numpy()[known].view(np.uint32).astype(U64) + U64((part + 1) << 33)))
-            _, inverse, sharing = np.unique(key, return_inverse=True, return_counts=True)
-            pick = sharing[inverse] > 1
-            chosen = known[pick]
-            yield _tagged(1, [p[chosen] for p in place], np.full(len(chosen), part), _signed(key[pick]), sharing[inverse][pick] > crowd)
+                key = X.mix(gram[has] ^ X.mix((cores[has] >> U64(16 * i) & U64(0xFFFF)) + U64((i + 1) << 20)))
+            full = rows.column(FULLS[i]).to_numpy()[has]
+            order = np.lexsort((place[has], rows.column("mark").to_numpy()[has], full, key))
+            key, full, has = key[order], full[order], has[order]
+            other_key = np.r_[True, key[1:] != key[:-1]] if len(key) else np.zeros(0, bool)
+            new = other_key | np.r_[True, full[1:] != full[:-1]] if len(key) else other_key
+            number = np.cumsum(new) - 1
+            again[has[np.bincount(number, minlength=1)[number] > 1] if len(has) else has, i + 1] = 1
+            reps, of = has[new], np.cumsum(other_key)[new] - 1
+            sharing = np.bincount(of, minlength=1)[of] if len(of) else of
+            pick = sharing > 1
+            wanted.append((reps[pick], np.full(pick.sum(), i), key[new][pick], sharing[pick] > crowd))
+        edge = np.diff(again, axis=1)
+        (row, first), (_, last) = np.nonzero(edge == 1), np.nonzero(edge == -1)
+        yield _tagged(rows, row, first, last - 1, np.zeros(len(row), dtype=np.int64), np.zeros(len(row), bool), keyed=False)
+        row, part, key, crowded = (np.concatenate(x) for x in zip(*wanted))
+        yield _tagged(rows, row, part, part, _signed(key), crowded, keyed=True)
 
     def run(batches):
         held = None
@@ -212,39 +222,58 @@ def _same_gram(found: DataFrame, length: int, crowd: int) -> DataFrame:
         if held is not None and held.num_rows:
             yield from group(held.combine_chunks())
 
-    return found.sortWithinPartitions("gram").mapInArrow(run, "kind int, " + WANTED)
+    return found.sortWithinPartitions("gram").mapInArrow(run, MET)
 
 
-def _tagged(kind, place, part, key, crowded):
-    names = [c.split()[0] for c in ("kind int, " + WANTED).split(", ")]
-    n = len(key)
-    doc, mark, at, left, right = place
+def _tagged(rows: pa.Table, row, first, last, key, crowded, keyed: bool):
+    picked = [rows.column(c).to_numpy()[row] for c in PLACE]
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(n, kind, np.int32)), pa.array(doc.astype(np.int64)), pa.array(mark.astype(np.int64)),
-         pa.array(at.astype(np.int64)), pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32)),
-         pa.array(part.astype(np.int32)), pa.array(key.astype(np.int64)), pa.array(crowded)], names=names)
-
-
-def _hot_gram(found: DataFrame, crowd: int) -> DataFrame:
-    """The same for the rows of hot grams, by aggregates and joins that spread."""
-    same = ["gram", "c1", "c2"]
-    classes = found.groupBy(*same).agg(
-        F.count(F.lit(1)).alias("times"), F.min(F.struct("doc", "mark", "at")).alias("rep"),
-        *[F.first(c).alias(c) for c in ("left", "right", *CORES)])
-    several = found.join(classes.filter("times > 1").select(*same), same).select(
-        F.lit(0).alias("kind"), *PLACE, F.lit(-1).alias("part"), F.lit(0).cast("long").alias("key"), F.lit(False).alias("crowded"))
-    each = classes.select("gram", "rep.*", "left", "right", F.posexplode(F.array(*CORES)).alias("part", "core")).filter("core is not null")
-    shared = each.groupBy("gram", "part", "core").agg(F.count(F.lit(1)).alias("sharing")).filter("sharing > 1")
-    wanted = each.join(shared, ["gram", "part", "core"]).select(
-        F.lit(1).alias("kind"), *PLACE, "part", F.xxhash64("gram", "part", "core").alias("key"), (F.col("sharing") > crowd).alias("crowded"))
-    return several.unionByName(wanted)
+        [*map(pa.array, picked), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32)),
+         pa.array(key, mask=np.full(len(key), not keyed)), pa.array(crowded)], names=[c.split()[0] for c in MET.split(", ")])
+
+
+def _hot_gram(found: DataFrame, length: int, crowd: int) -> tuple[DataFrame, DataFrame]:
+    """(doc, mark, spans) and the wanted fragments for the rows of hot grams, by
+    aggregates and joins that spread.  A text's anchors of one context are one row."""
+    shape = F.col("place").bitwiseAND((1 << 32) - 1)
+    context = ["gram", "cores", *FULLS, "shape"]
+    rows = found.withColumn("shape", shape).groupBy(*KEY, *context).agg(F.collect_list("place").alias("places"))
+    contexts = rows.groupBy(*context).agg(F.sum(F.size("places")).alias("times"),
+                                          F.min(F.struct(*KEY, F.array_min("places").alias("place"))).alias("rep"))
+    left, right = F.shiftright("shape", 16), F.col("shape").bitwiseAND(0xFFFF)
+    each = contexts.select("*", F.explode(F.array(*[
+        F.when((left >= near) & (right >= length - far),
+               F.struct(F.lit(i).alias("part"), F.shiftrightunsigned("cores", 16 * i).bitwiseAND(0xFFFF).alias("core"), F.col(FULLS[i]).alias("full")))
+        for i, (far, near) in enumerate(parts(length))])).alias("p")).filter("p is not null").select(*context, "times", "rep", "p.*")
+    same = ["gram", "part", "core"]
+    classes = each.groupBy(*same, "full").agg(F.sum("times").alias("all"), F.min("rep").alias("first"))
+    runs = {mask: [(i, j) for i in range(PARTS) for j in range(i, PARTS)
+                   if all(mask >> x & 1 for x in range(i, j + 1)) and not (i and mask >> i - 1 & 1) and not mask >> j + 1 & 1]
+            for mask in range(1, 1 << PARTS)}
+    lists = F.array(*[F.array(*[F.struct(F.lit(i).alias("first"), F.lit(j).alias("last")) for i, j in runs[m]]) for m in sorted(runs)])
+    again = (each.join(classes.filter("all > 1").select(*same, "full"), [*same, "full"])
+             .groupBy(*context).agg(F.bit_or(F.get(F.array(*[F.lit(1 << i) for i in range(PARTS)]), "part")).alias("mask")))
+    covered = rows.join(again, context).select(*KEY, F.flatten(F.transform("places", lambda p: F.transform(
+        F.get(lists, F.col("mask") - 1), lambda r: _bounds(p, r["first"], r["last"], length)))).alias("spans"))
+    shared = classes.groupBy(*same).agg(F.count(F.lit(1)).alias("sharing")).filter("sharing > 1")
+    wanted = classes.withColumnRenamed("first", "rep").join(shared, same).select(
+        "rep.*", F.col("part").alias("first"), F.col("part").alias("last"), F.xxhash64(*same).alias("key"), (F.col("sharing") > crowd).alias("crowded"))
+    return covered, wanted
+
+
+def _bounds(place, first, last, length: int):
+    """The bytes that the parts ``first`` to ``last`` of an anchor span."""
+    at, left, right = F.shiftright(place, 32), F.shiftright(place, 16).bitwiseAND(0xFFFF), place.bitwiseAND(0xFFFF)
+    ranges = F.array(*[F.struct(F.lit(far).alias("far"), F.lit(near).alias("near")) for far, near in parts(length)])
+    return F.struct((at - F.least(left, F.get(ranges, first)["far"])).alias("start"),
+                    (at + F.least(right, F.lit(length) - F.get(ranges, last)["near"])).alias("end"))
 
 
 def _fragments(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """(doc, mark, at, part, key, crowded, from, body): the bytes around each wanted
     place; ``from`` is the body's start relative to the anchor."""
     ranges = parts(length)
-    listed = (wanted.groupBy(*KEY).agg(F.collect_list(F.struct("at", "left", "right", "part", "key", "crowded")).alias("wanted"))
+    listed = (wanted.groupBy(*KEY).agg(F.collect_list(F.struct("place", "first", "key", "crowded")).alias("wanted"))
               .withColumnsRenamed({"doc": "_doc", "mark": "_mark"}))
     rows = docs.join(listed, (F.col("doc") == F.col("_doc")) & (F.col("mark") == F.col("_mark"))).select("doc", "mark", "body", "wanted")
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int32(), pa.binary())
@@ -256,10 +285,10 @@ def _fragments(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
             for doc, mark, body, todo in zip(*(batch.column(i) for i in range(4))):
                 doc, mark, raw = doc.as_py(), mark.as_py(), memoryview(body.as_buffer())
                 for w in todo.as_py():
-                    far, near = ranges[w["part"]]
-                    lo, hi = min(w["left"], far), min(w["right"], length - near)
-                    at = w["at"]
-                    out.append((doc, mark, at, w["part"], w["key"], w["crowded"], -lo, bytes(raw[at - lo:at + hi])))
+                    far, near = ranges[w["first"]]
+                    at, left, right = _unpacked(w["place"])
+                    lo, hi = min(left, far), min(right, length - near)
+                    out.append((doc, mark, at, w["first"], w["key"], w["crowded"], -lo, bytes(raw[at - lo:at + hi])))
                     if len(out) >= 4096:
                         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
                         out = []
@@ -351,25 +380,25 @@ def _by_windows(fragments: DataFrame, length: int) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, length: int, hot: int, crowd: int, most: int) -> DataFrame:
-    """(doc, mark, start, end): byte spans covered by repeated strings; they overlap."""
+    """(doc, mark, spans): arrays of byte spans covered by repeated strings; they overlap."""
     spark = docs.sparkSession
     folder = shared_dir(spark, "substrings")
     anchor_rows(docs.select("doc", "mark", "body"), length).write.parquet(f"{folder}/anchors")
     found = spark.read.parquet(f"{folder}/anchors")
     crowds = found.groupBy("gram").agg(F.count(F.lit(1)).alias("times")).filter(F.col("times") > hot).select("gram").checkpoint()
     calm = found.join(crowds, "gram", "left_anti").repartition("gram")
-    _same_gram(calm, length, crowd).write.parquet(f"{folder}/met")
-    met = spark.read.parquet(f"{folder}/met").unionByName(_hot_gram(found.join(crowds, "gram", "left_semi"), crowd))
-    met.filter("kind = 1").drop("kind").write.parquet(f"{folder}/wanted")
-    wanted = spark.read.parquet(f"{folder}/wanted")
-    whole = (met.filter((F.col("kind") == 0) & (F.col("left") + F.col("right") >= length))
-             .select(*KEY, (F.col("at") - F.col("left")).alias("start"), (F.col("at") + F.col("right")).alias("end")))
+    _same_gram(calm, length, crowd).write.parquet(f"{folder}/calm")
+    covered, more = _hot_gram(found.join(crowds, "gram", "left_semi"), length, crowd)
+    more.write.parquet(f"{folder}/more")
+    covered.write.parquet(f"{folder}/covered")
+    calm, more, covered = (spark.read.parquet(f"{folder}/{name}") for name in ("calm", "more", "covered"))
+    wanted = calm.filter("key is not null").unionByName(more)
+    whole = calm.filter("key is null").select(*KEY, F.array(_bounds(F.col("place"), F.col("first"), F.col("last"), length)).alias("spans"))
     fragments = _fragments(docs, wanted, length)
-    out = whole.unionByName(_by_columns(fragments.filter("not crowded"), length, most))
+    runs = _by_columns(fragments.filter("not crowded"), length, most)
     if not wanted.filter("crowded").isEmpty():
-        crowded = _fragments(docs, wanted.filter("crowded"), length)
-        out = out.unionByName(_by_windows(crowded, length))
-    return out
+        runs = runs.unionByName(_by_windows(fragments.filter("crowded"), length))
+    return whole.unionByName(covered).unionByName(runs.select(*KEY, F.array(F.struct("start", "end")).alias("spans")))
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400,
@@ -391,7 +420,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rows = (docs.select(F.col(id_col).cast("long").alias("id"), body.alias("body"))
             .withColumn("mark", F.xxhash64("id", "body")).withColumn("doc", F.coalesce("id", F.lit(0))))
     found = repeated_spans(rows, length, hot, crowd, most)
-    listed = (found.groupBy(*KEY).agg(F.collect_set(F.struct("start", "end")).alias("found"))
+    listed = (found.groupBy(*KEY).agg(F.flatten(F.collect_list("spans")).alias("found"))
               .withColumnsRenamed({"doc": "_doc", "mark": "_mark"}))
     joined = (rows.join(listed, (F.col("doc") == F.col("_doc")) & (F.col("mark") == F.col("_mark")), "left")
               .select("id", "body", "found"))
