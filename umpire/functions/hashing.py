@@ -18,8 +18,8 @@ def seeded_key(col: Column | str, seed: int = 42) -> Column:
 
 
 def seeded_int(col: Column | str, seed: int = 42) -> Column:
-    """First 8 hex digits of the seeded md5 as a non-negative bigint."""
-    return F.conv(F.substring(seeded_key(col, seed), 1, 8), 16, 10).cast("long")
+    """First 15 hex digits (60 bits) of the seeded md5 as a non-negative bigint."""
+    return F.conv(F.substring(seeded_key(col, seed), 1, 15), 16, 10).cast("long")
 
 
 def residue(col: Column | str, modulus: int, seed: int = 42) -> Column:
@@ -29,4 +29,4 @@ def residue(col: Column | str, modulus: int, seed: int = 42) -> Column:
 
 def seeded_unit(col: Column | str, seed: int = 42) -> Column:
     """Deterministic draw in ``[0, 1)``."""
-    return seeded_int(col, seed) / F.lit(4294967296.0)
+    return seeded_int(col, seed) / F.lit(float(2 ** 60))

@@ -19,7 +19,7 @@ def name_fields(df: DataFrame, col: str, names: list[str], label: str | None = N
                 keep: list[str] | tuple = (), sep: str = ",") -> DataFrame:
     """Split a headerless CSV line into positional fields bound to ``names``.
 
-    Leading spaces of every field are skipped.  A line with ``len(names)+1``
+    Leading spaces of every field are skipped; an empty or absent field is null.  A line with ``len(names)+1``
     fields carries the truth first: it is kept aside as ``label`` (F2) and
     the remaining fields are named.  Values stay strings (see ``to_numeric``).
     """
@@ -30,7 +30,8 @@ def name_fields(df: DataFrame, col: str, names: list[str], label: str | None = N
     if label:
         out.append(F.when(shift == 1, F.ltrim(F.element_at(parts, 1))).alias(label))
     for i, name in enumerate(names):
-        out.append(F.ltrim(F.element_at(parts, shift + i + 1)).alias(name))
+        value = F.ltrim(F.get(parts, shift + i))
+        out.append(F.when(value != "", value).alias(name))
     return df.select(*out)
 
 

@@ -83,7 +83,7 @@ def median_table(train: DataFrame, cols: list[str]) -> DataFrame:
     ranked by a distributed running count per column; the middle positions are
     looked up in that table.  Memory never holds a whole column.
     """
-    counts = (_long_form(train, cols).where(F.col("value").isNotNull())
+    counts = (_long_form(train, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
               .groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt")))
     cum = running_sums(counts, ["value"], {"cum": F.col("cnt")}, by=["column"], totals=True)
     n = F.col("cum_total")
@@ -107,7 +107,7 @@ def fit_medians(train: DataFrame, cols: list[str], exact: bool = True,
     distributed exact selection; it returns an observed value, not the mean
     of the two middle ones."""
     if not exact:
-        row = train.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias(c)
+        row = train.agg(*[F.percentile_approx(F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")), 0.5, accuracy).alias(c)
                           for c in cols]).first()
         return {c: row[c] for c in cols}
     found = {r["column"]: r["median"] for r in median_table(train, cols).collect()}

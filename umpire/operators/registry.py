@@ -2,14 +2,13 @@
 production = second newest), newest package per group, the deployment
 decision for an approval event, and the shadow-versus-production report.
 
-Top-k per group uses repeated ``max(struct)`` aggregates, which combine
-map-side, instead of a ``row_number`` window that would sort a whole group
-in one task.
+Top-k per group is a ``row_number`` window with a rank filter, which Spark plans
+as a group limit on both sides of the exchange.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from umpire.operators.metrics import _ratio
@@ -22,19 +21,14 @@ def _order_key(ts: str, tiebreak: str, payload: str) -> Column:
 def top_k_per_group(df: DataFrame, group: str, ts: str, tiebreak: str, payload: str,
                     k: int = 2) -> DataFrame:
     """``group, top1, ..., topk`` payloads ordered newest first (null when a
-    group has fewer than k rows).  Each pass is one combining aggregate; the
-    rows of a group are compared with the previous pass's winner by a join on
-    the group key (AQE splits a skewed group)."""
-    keyed = df.select(group, _order_key(ts, tiebreak, payload).alias("_k"))
-    out = keyed.groupBy(group).agg(F.max("_k").alias("_m1"))
-    prev = out
-    for i in range(2, k + 1):
-        bound = prev.select(group, F.col(f"_m{i - 1}").alias("_bound"))
-        rest = keyed.join(bound, group).where(F.col("_k") < F.col("_bound"))
-        nxt = rest.groupBy(group).agg(F.max("_k").alias(f"_m{i}"))
-        out = out.join(nxt, group, "left")
-        prev = nxt
-    return out.select(group, *[F.col(f"_m{i}.v").alias(f"top{i}") for i in range(1, k + 1)])
+    group has fewer than k rows).  ``row_number() <= k`` is planned as a group
+    limit before the exchange: one scan, one exchange, at most k rows per group
+    and task."""
+    newest = Window.partitionBy(group).orderBy(F.col("_k").desc())
+    top = (df.select(group, _order_key(ts, tiebreak, payload).alias("_k"))
+           .withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= k))
+    return top.groupBy(group).agg(*[
+        F.max(F.when(F.col("_rank") == i, F.col("_k")))["v"].alias(f"top{i}") for i in range(1, k + 1)])
 
 
 def latest_approved(registry: DataFrame, group: str = "group", ts: str = "created_at",
@@ -55,13 +49,14 @@ def latest(df: DataFrame, key: str, ts: str, tiebreak: str, cols: list[str]) ->
 
 
 def deploy_decision(events: DataFrame, registry: DataFrame, group: str = "group") -> DataFrame:
-    """Decision per approval event: skip unless Approved (no detail counts as
-    Approved); otherwise deploy the group's production and shadow packages."""
-    status = F.coalesce(F.col("detail.ModelApprovalStatus"), F.lit("Approved"))
+    """Decision per approval event: skip unless Approved; otherwise deploy the
+    group's production and shadow packages.  An event without a detail counts as
+    Approved; a detail without a status is never deployed."""
+    status = F.when(F.col("detail").isNull(), F.lit("Approved")).otherwise(F.col("detail.ModelApprovalStatus"))
     ev = events.select("event_id", group, status.alias("approval_status"))
     pairs = latest_approved(registry, group=group)
     j = ev.join(pairs, group, "left")
-    approved = F.col("approval_status") == "Approved"
+    approved = F.coalesce(F.col("approval_status") == "Approved", F.lit(False))
     return j.select(
         "event_id", group, "approval_status",
         F.when(approved, "deploy").otherwise("skip").alias("action"),

@@ -45,6 +45,10 @@ def zscore_outliers(df: DataFrame, value: str, id_col: str, n: int = 3) -> DataF
     return low.unionByName(high).withColumn("z", z)
 
 
-def row_sum(array_col: str):
-    """Sum of a numeric array column as double (sequential fold)."""
-    return F.aggregate(F.col(array_col), F.lit(0.0), lambda acc, x: acc + x.cast("double"))
+def row_sum(array_col: str, base_last: bool = False):
+    """Sum of a numeric array column as double (sequential fold); with
+    ``base_last`` the last element is a base value and left out."""
+    values = F.col(array_col)
+    if base_last:
+        values = F.slice(values, F.lit(1), F.greatest(F.size(values) - 1, F.lit(0)))
+    return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x.cast("double"))

@@ -27,7 +27,7 @@ from umpire.plans import model as MD
 from umpire.plans.prepared import IMPUTED, fitted, prepared, rule_score, split_rows
 from umpire.plans.training import QUERY_PARAMS, trained
 from umpire.schemas import FEATURE_COLUMNS, LABEL
-from umpire.session import shared_dir, spread, table
+from umpire.session import shared_dir, table
 from umpire.sources import artifacts as AR
 from umpire.sources import payloads as PL
 from umpire.sources import sinks as SK
@@ -436,7 +436,7 @@ def w5_sample_with_replacement(spark, sf):
 
 @register("w6_zscore_outliers")
 def w6_zscore_outliers(spark, sf):
-    emb = table(spark, sf, "embeddings").select("vec_id", W.row_sum("embedding").alias("row_sum"))
+    emb = table(spark, sf, "embeddings").select("vec_id", W.row_sum("embedding", base_last=True).alias("row_sum"))
     return rounded(W.zscore_outliers(emb, "row_sum", "vec_id", n=3))
 
 
@@ -692,7 +692,7 @@ def m10_scoring_path(spark, sf):
 def f1_positional_names(spark, sf):
     """50-field request lines (the five lineitem values repeated) bound to
     the 50 feature names by position."""
-    li = spread(table(spark, sf, "lineitem"))
+    li = table(spark, sf, "lineitem")
     vals = [F.col(TD.REQUEST_FIELDS[i % 5]).cast("string") for i in range(len(FEATURE_COLUMNS))]
     lines = li.select(*KEYS, F.concat_ws(",", *vals).alias("line"))
     return PL.parse_csv_lines(lines, "line", FEATURE_COLUMNS, keep=KEYS)
@@ -706,7 +706,7 @@ EVENT_RECORD = T.StructType([T.StructField("meta", T.StructType([T.StructField("
 def s5_json_records(spark, sf):
     """A JSON array per event (its properties nested under ``meta``) flattened
     to ``meta.k`` and ``event_type``."""
-    ev = spread(table(spark, sf, "events"))
+    ev = table(spark, sf, "events")
     body = F.concat(F.lit('[{"meta": '), F.col("props"), F.lit(', "event_type": "'), F.col("event_type"),
                     F.lit('"}]'))
     return PL.parse_json_records(ev.select("event_id", body.alias("body")), "body", EVENT_RECORD,
@@ -750,7 +750,7 @@ def s1_read_csv_dir(spark, sf):
 def f2_split_truth_json(spark, sf):
     """JSON payloads whose objects may carry the truth field: it is moved
     aside and the remaining fields are the features."""
-    ev = spread(table(spark, sf, "events"))
+    ev = table(spark, sf, "events")
     truth = F.when(F.col("event_type") == "purchase", F.lit(', "result_match": "home_win"')).when(
         F.col("event_type") == "click", F.lit(', "result_match": "home_not_win"')).otherwise(F.lit(""))
     body = F.concat(F.lit('[{"value": '), F.col("value").cast("string"), F.lit(', "k": '),

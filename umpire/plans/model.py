@@ -45,7 +45,7 @@ class TreeParams:
 def imputer_stage(medians: dict[str, float], cols: list[str]) -> SQLTransformer:
     """Exact fitted medians as a serialisable transformer (``<c>_imp`` columns)."""
     exprs = ", ".join(
-        f"coalesce(CAST(`{c}` AS DOUBLE), CAST({float(medians[c])!r} AS DOUBLE)) AS `{c}_imp`"
+        f"coalesce(nullif(CAST(`{c}` AS DOUBLE), CAST('NaN' AS DOUBLE)), CAST({float(medians[c])!r} AS DOUBLE)) AS `{c}_imp`"
         if medians.get(c) is not None else f"CAST(`{c}` AS DOUBLE) AS `{c}_imp`"
         for c in cols)
     return SQLTransformer(statement=f"SELECT *, {exprs} FROM __THIS__")

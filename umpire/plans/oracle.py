@@ -9,7 +9,7 @@ from __future__ import annotations
 
 SQL: dict[str, str] = {}
 
-H8 = "CAST('0x' || substr(md5('42|' || CAST({c} AS VARCHAR)), 1, 8) AS BIGINT)"
+H8 = "CAST('0x' || substr(md5('42|' || CAST({c} AS VARCHAR)), 1, 15) AS BIGINT)"
 
 LABELLED = f"""
 SELECT d.doc_id, d.source, d.lang,
@@ -513,7 +513,7 @@ FROM d, n, r WHERE d.draw < n.c AND r.pos = {H8.format(c='d.draw')} % n.c
 """
 
 SQL["w6_zscore_outliers"] = """
-WITH s AS (SELECT vec_id, list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))) AS row_sum FROM embeddings),
+WITH s AS (SELECT vec_id, list_sum(list_transform(embedding[1:len(embedding) - 1], lambda x: CAST(x AS DOUBLE))) AS row_sum FROM embeddings),
 st AS (SELECT avg(row_sum) AS m, stddev_pop(row_sum) AS sd FROM s),
 low AS (SELECT vec_id, row_sum, 'low' AS side FROM s ORDER BY row_sum ASC, vec_id ASC LIMIT 3),
 high AS (SELECT vec_id, row_sum, 'high' AS side FROM s ORDER BY row_sum DESC, vec_id ASC LIMIT 3)

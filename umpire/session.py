@@ -75,20 +75,3 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 def table(spark: SparkSession, sf_dir: str, name: str):
     """One of the given parquet tables."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-SMALL_INPUT_SPLITS = 64
-
-
-def spread(df):
-    """Spread rows over the cores before CPU-heavy row work when the input is
-    small and arrives in fewer splits than cores (one file, one row group).
-
-    Only inputs with fewer than ``SMALL_INPUT_SPLITS`` splits are touched:
-    a large table already arrives in many splits and passes through with no
-    extra shuffle, whatever the cluster's parallelism."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    splits = df.rdd.getNumPartitions()
-    if splits < min(target, SMALL_INPUT_SPLITS):
-        return df.repartition(min(target, SMALL_INPUT_SPLITS))
-    return df

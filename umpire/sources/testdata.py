@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from umpire.functions.hashing import residue
 from umpire.schemas import LABEL, NEGATIVE, POSITIVE
-from umpire.session import spread, table
+from umpire.session import table
 
 # Numeric features of a labelled document, in order.
 DOC_FEATURES = ["n_chars", "n_words", "n_sentences", "n_lines",
@@ -51,7 +51,7 @@ def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     The join comes first, so only labelled texts are processed."""
     labels = table(spark, sf_dir, "labels").select("doc_id", label_of(F.col("quality")).alias(LABEL))
     docs = table(spark, sf_dir, "documents").join(labels, "doc_id", "inner")
-    return document_features(spread(docs), keep=[LABEL])
+    return document_features(docs, keep=[LABEL])
 
 
 def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,7 +93,7 @@ def request_lines(spark: SparkSession, sf_dir: str, with_label: bool, junk_every
     (``l_returnflag = 'R'`` -> positive).  With ``junk_every`` a seeded share of
     lines carries the token ``RUTI`` in place of the tax field.
     """
-    li = spread(table(spark, sf_dir, "lineitem"))
+    li = table(spark, sf_dir, "lineitem")
     rid = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     vals = [F.col(c).cast("string") for c in REQUEST_FIELDS]
     if junk_every:
@@ -106,7 +106,7 @@ def request_lines(spark: SparkSession, sf_dir: str, with_label: bool, junk_every
 def scored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as predictions of a request (the order): class
     probabilities ``[1 - p, p]`` with ``p = l_discount * 10``; truth by flag."""
-    li = spread(table(spark, sf_dir, "lineitem"))
+    li = table(spark, sf_dir, "lineitem")
     p = F.round(F.col("l_discount") * 10.0, 6)
     return li.select(
         F.col("l_orderkey").alias("request_id"), F.col("l_linenumber").alias("line"),
@@ -154,7 +154,7 @@ def bus_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training-log lines rendered from ``events``; the set names depend on
     the event type so some lines match no pattern."""
-    ev = spread(table(spark, sf_dir, "events"))
+    ev = table(spark, sf_dir, "events")
     valid = F.when(F.col("event_type") == "view", "eval").otherwise("validation_0")
     line = F.format_string("[%d]#011train-logloss:%.5f#011%s-auc:%.5f#011train-auc:%.5f",
                            F.col("event_id"), F.col("value") / 100.0, valid,
