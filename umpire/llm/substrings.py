@@ -43,9 +43,8 @@ U64 = np.uint64
 GRAM = 32
 PARTS = 4
 KEY = ["doc", "mark"]
-PLACE = ["doc", "mark", "place"]
 FULLS = [f"g{i}" for i in range(PARTS)]
-ANCHOR = "doc long, mark long, place long, gram long, cores long, " + ", ".join(f"{g} long" for g in FULLS)
+ANCHOR = "doc long, mark long, places array<long>, gram long, cores long, " + ", ".join(f"{g} long" for g in FULLS)
 MET = "doc long, mark long, place long, first int, last int, key long, crowded boolean"
 SPAN = "doc long, mark long, start long, end long"
 
@@ -99,8 +98,9 @@ def _unpacked(place: np.ndarray):
 
 
 def anchor_rows(docs: DataFrame, length: int) -> DataFrame:
-    """A row per anchor: its place, its gram, 16 hash bits of each part's core and
-    the hash of each part's full string (cut at the text's edges)."""
+    """A row per text and context of its anchors: their places, the gram, 16 hash bits
+    of each part's core and the hash of each part's full string (cut at the text's
+    edges).  A text's anchors that agree in all of these are one row."""
     reach = length - GRAM
 
     def run(batches):
@@ -119,11 +119,16 @@ def anchor_rows(docs: DataFrame, length: int) -> DataFrame:
                     cores |= (core >> U64(48)) << U64(16 * i)
                     a, b = np.minimum(left, far), np.minimum(right, length - near)
                     full = hasher.spans(data, at - a, at + b)
-                    fulls.append(pa.array(_signed(X.mix(full ^ X.mix(_packed(0, a, b).astype(U64))))))
-                rows = pa.array(lo + of)
+                    fulls.append(X.mix(full ^ X.mix(_packed(0, a, b).astype(U64))))
+                gram, place = grams.spans(data, at, at + GRAM), _packed(at - s, left, right)
+                order = np.lexsort((place, place & 0xFFFFFFFF, *fulls, cores, gram, of))
+                columns = [x[order] for x in (of, gram, cores, *fulls, place & 0xFFFFFFFF)]
+                new = np.flatnonzero(np.r_[True, np.any([x[1:] != x[:-1] for x in columns], axis=0)])
+                rows = pa.array(lo + of[order][new])
+                places = pa.ListArray.from_arrays(pa.array(np.r_[new, len(order)].astype(np.int32)), pa.array(place[order]))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(_packed(at - s, left, right)),
-                     pa.array(_signed(grams.spans(data, at, at + GRAM))), pa.array(_signed(cores)), *fulls],
+                    [batch.column(0).take(rows), batch.column(1).take(rows), places,
+                     *[pa.array(_signed(x[new])) for x in columns[1:-1]]],
                     names=[c.split()[0] for c in ANCHOR.split(", ")])
 
     return docs.mapInArrow(run, ANCHOR)
@@ -182,7 +187,9 @@ def _same_gram(found: DataFrame, length: int, crowd: int) -> DataFrame:
     """For grams whose rows meet in one task: runs of parts (first, last) whose full
     strings occur again, and, with a key, the fragments (part first) still wanted."""
     def group(rows: pa.Table):
-        gram, place = rows.column("gram").to_numpy().view(U64), rows.column("place").to_numpy()
+        gram, lists = rows.column("gram").to_numpy().view(U64), rows.column("places").combine_chunks()
+        times, starts = np.diff(lists.offsets.to_numpy()), lists.offsets.to_numpy()[:-1]
+        place = lists.values.to_numpy()[starts]
         cores = rows.column("cores").to_numpy().view(U64)
         _, left, right = _unpacked(place)
         again = np.zeros((len(gram), PARTS + 2), dtype=np.int8)
@@ -197,16 +204,19 @@ def _same_gram(found: DataFrame, length: int, crowd: int) -> DataFrame:
             other_key = np.r_[True, key[1:] != key[:-1]] if len(key) else np.zeros(0, bool)
             new = other_key | np.r_[True, full[1:] != full[:-1]] if len(key) else other_key
             number = np.cumsum(new) - 1
-            again[has[np.bincount(number, minlength=1)[number] > 1] if len(has) else has, i + 1] = 1
+            again[has[np.bincount(number, times[has], minlength=1)[number] > 1] if len(has) else has, i + 1] = 1
             reps, of = has[new], np.cumsum(other_key)[new] - 1
             sharing = np.bincount(of, minlength=1)[of] if len(of) else of
             pick = sharing > 1
             wanted.append((reps[pick], np.full(pick.sum(), i), key[new][pick], sharing[pick] > crowd))
         edge = np.diff(again, axis=1)
         (row, first), (_, last) = np.nonzero(edge == 1), np.nonzero(edge == -1)
-        yield _tagged(rows, row, first, last - 1, np.zeros(len(row), dtype=np.int64), np.zeros(len(row), bool), keyed=False)
+        n = times[row]
+        every = lists.values.to_numpy()[np.repeat(starts[row] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        row, first, last = (np.repeat(x, n) for x in (row, first, last - 1))
+        yield _tagged(rows, row, every, first, last, np.zeros(len(row), dtype=np.int64), np.zeros(len(row), bool), keyed=False)
         row, part, key, crowded = (np.concatenate(x) for x in zip(*wanted))
-        yield _tagged(rows, row, part, part, _signed(key), crowded, keyed=True)
+        yield _tagged(rows, row, place[row], part, part, _signed(key), crowded, keyed=True)
 
     def run(batches):
         held = None
@@ -225,19 +235,17 @@ def _same_gram(found: DataFrame, length: int, crowd: int) -> DataFrame:
     return found.sortWithinPartitions("gram").mapInArrow(run, MET)
 
 
-def _tagged(rows: pa.Table, row, first, last, key, crowded, keyed: bool):
-    picked = [rows.column(c).to_numpy()[row] for c in PLACE]
+def _tagged(rows: pa.Table, row, place, first, last, key, crowded, keyed: bool):
     return pa.RecordBatch.from_arrays(
-        [*map(pa.array, picked), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32)),
+        [*[pa.array(rows.column(c).to_numpy()[row]) for c in KEY], pa.array(place), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32)),
          pa.array(key, mask=np.full(len(key), not keyed)), pa.array(crowded)], names=[c.split()[0] for c in MET.split(", ")])
 
 
 def _hot_gram(found: DataFrame, length: int, crowd: int) -> tuple[DataFrame, DataFrame]:
     """(doc, mark, spans) and the wanted fragments for the rows of hot grams, by
-    aggregates and joins that spread.  A text's anchors of one context are one row."""
-    shape = F.col("place").bitwiseAND((1 << 32) - 1)
+    aggregates and joins that spread."""
     context = ["gram", "cores", *FULLS, "shape"]
-    rows = found.withColumn("shape", shape).groupBy(*KEY, *context).agg(F.collect_list("place").alias("places"))
+    rows = found.withColumn("shape", F.get("places", F.lit(0)).bitwiseAND((1 << 32) - 1))
     contexts = rows.groupBy(*context).agg(F.sum(F.size("places")).alias("times"),
                                           F.min(F.struct(*KEY, F.array_min("places").alias("place"))).alias("rep"))
     left, right = F.shiftright("shape", 16), F.col("shape").bitwiseAND(0xFFFF)
@@ -385,7 +393,7 @@ def repeated_spans(docs: DataFrame, length: int, hot: int, crowd: int, most: int
     folder = shared_dir(spark, "substrings")
     anchor_rows(docs.select("doc", "mark", "body"), length).write.parquet(f"{folder}/anchors")
     found = spark.read.parquet(f"{folder}/anchors")
-    crowds = found.groupBy("gram").agg(F.count(F.lit(1)).alias("times")).filter(F.col("times") > hot).select("gram").checkpoint()
+    crowds = found.groupBy("gram").agg(F.sum(F.size("places")).alias("times")).filter(F.col("times") > hot).select("gram").checkpoint()
     calm = found.join(crowds, "gram", "left_anti").repartition("gram")
     _same_gram(calm, length, crowd).write.parquet(f"{folder}/calm")
     covered, more = _hot_gram(found.join(crowds, "gram", "left_semi"), length, crowd)
