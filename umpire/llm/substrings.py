@@ -26,7 +26,8 @@ pieces of different columns need not be merged, and a round reads one piece and
 replaces it.
 
 A key that more than ``crowd`` classes share would be one task's group; its
-windows are hashed one by one instead and counted by a combining aggregate.
+windows are hashed instead, equal blocks of neighbouring windows are merged, and
+the windows of what is left are counted by a combining aggregate.
 """
 
 from __future__ import annotations
@@ -360,31 +361,69 @@ def _by_columns(fragments: DataFrame, length: int, most: int) -> DataFrame:
     return dealt.mapInArrow(run, SPAN)
 
 
-def _by_windows(fragments: DataFrame, length: int) -> DataFrame:
-    """The same for crowded keys: every window hashed and counted."""
-    ranges = parts(length)
+def _blocks(fragments: DataFrame, length: int, step: int) -> DataFrame:
+    """Blocks of ``step`` neighbouring windows of each fragment, cut at multiples of
+    ``step`` from the anchor: the text position of the first window, its offset from
+    the anchor, the number of windows, two hashes of the bytes they span together,
+    and two hashes of each window, one window after the other."""
+    ranges = np.array(parts(length))
 
     def run(batches):
         one, two = X.SpanHasher(53), X.SpanHasher(59)
         for batch in batches:
-            for i in range(batch.num_rows):
-                first = batch.column(6)[i].as_py()
-                data = np.frombuffer(batch.column(7)[i].as_buffer(), dtype=np.uint8)
-                far, near = ranges[batch.column(3)[i].as_py()]
-                s = np.arange(max(0, -far - first), min(len(data) - length, -near - first) + 1)
-                if len(s) == 0:
+            for cut in range(0, batch.num_rows, 2048):
+                rows = batch.slice(cut, 2048)
+                at, part, first = (rows.column(i).to_numpy().astype(np.int64) for i in (2, 3, 6))
+                data, off = X.binary(rows.column(7))
+                data, off = data[off[0]:off[-1]], off - off[0]
+                far, near = ranges[part].T
+                low = np.maximum(0, -far - first)
+                n = np.maximum(0, np.minimum(np.diff(off) - length, -near - first) - low + 1)
+                row = np.repeat(np.arange(len(n)), n)
+                if len(row) == 0:
                     continue
-                take = pa.array(np.full(len(s), i))
+                s = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + low[row]
+                offset, start = s + first[row], s + off[row]
+                new = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (offset[1:] // step != offset[:-1] // step)])
+                ends = np.r_[new[1:], len(row)]
+                windows = np.stack([h.spans(data, start, start + length) for h in (one, two)], axis=1)
+                whole = [h.spans(data, start[new], start[ends - 1] + length) for h in (one, two)]
+                taken = rows.select(["doc", "mark"]).take(pa.array(row[new]))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(take), batch.column(1).take(take), pa.array(batch.column(2)[i].as_py() + first + s),
-                     pa.array((s + first).astype(np.int32)), pa.array(_signed(one.spans(data, s, s + length))),
-                     pa.array(_signed(two.spans(data, s, s + length)))],
-                    names=["doc", "mark", "start", "offset", "h1", "h2"])
-
-    windows = fragments.mapInArrow(run, "doc long, mark long, start long, offset int, h1 long, h2 long")
-    same = ["offset", "h1", "h2"]
-    often = windows.groupBy(*same).agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select(*same)
-    return windows.join(often, same).select(*KEY, "start", (F.col("start") + length).alias("end"))
+                    [taken.column(0), taken.column(1), pa.array(at[row[new]] + offset[new]), pa.array(offset[new].astype(np.int32)),
+                     pa.array((ends - new).astype(np.int32)), *[pa.array(_signed(h)) for h in whole],
+                     pa.ListArray.from_arrays(pa.array((2 * np.r_[new, len(row)]).astype(np.int32)), pa.array(_signed(windows.ravel())))],
+                    names=["doc", "mark", "start", "offset", "n", "h1", "h2", "windows"])
+
+    return fragments.mapInArrow(run, "doc long, mark long, start long, offset int, n int, h1 long, h2 long, windows array<long>")
+
+
+def _by_windows(fragments: DataFrame, length: int, folder: str, step: int = 16) -> DataFrame:
+    """(doc, mark, spans) for crowded keys, by aggregates and joins that spread.
+
+    Fragments' blocks of windows that are equal as a whole are one kind; a kind of
+    two or more has all its windows repeated.  Windows are counted once per kind,
+    and a kind hands back one bit per repeated window."""
+    _blocks(fragments, length, step).write.parquet(f"{folder}/blocks")
+    blocks = fragments.sparkSession.read.parquet(f"{folder}/blocks")
+    kind, same = ["offset", "n", "h1", "h2"], ["place", "w1", "w2"]
+    kinds = blocks.groupBy(*kind).agg(F.count(F.lit(1)).alias("times"), F.first("windows").alias("windows"))
+    windows = kinds.select(*kind, "times", "windows", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i")).select(
+        *kind, "times", "i", (F.col("offset") + F.col("i")).alias("place"),
+        F.get("windows", 2 * F.col("i")).alias("w1"), F.get("windows", 2 * F.col("i") + 1).alias("w2"))
+    often = windows.groupBy(*same).agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").select(*same)
+    bit = F.get(F.array(*[F.lit(1 << i) for i in range(step)]), "i")
+    some = windows.filter("times = 1").join(often, same).groupBy(*kind).agg(F.bit_or(bit).alias("mask"))
+    every = kinds.filter("times > 1").select(*kind, (F.get(F.array(*[F.lit((2 << i) - 1) for i in range(step)]), F.col("n") - 1)).alias("mask"))
+    found = blocks.select(*KEY, "start", *kind).join(some.unionByName(every), kind)
+    mask = F.col("mask")
+
+    def ones(bits):
+        return F.filter(F.sequence(F.lit(0), F.lit(step - 1)), lambda i: F.bit_get(bits, i) == 1)
+
+    first, last = (ones(mask.bitwiseAND(F.bitwise_not(moved(mask, 1)))) for moved in (F.shiftleft, F.shiftright))
+    return found.select(*KEY, F.transform(F.arrays_zip(first.alias("first"), last.alias("last")), lambda r: F.struct(
+        (F.col("start") + r["first"]).alias("start"), (F.col("start") + r["last"] + length).alias("end"))).alias("spans"))
 
 
 def repeated_spans(docs: DataFrame, length: int, hot: int, crowd: int, most: int) -> DataFrame:
@@ -403,10 +442,10 @@ def repeated_spans(docs: DataFrame, length: int, hot: int, crowd: int, most: int
     wanted = calm.filter("key is not null").unionByName(more)
     whole = calm.filter("key is null").select(*KEY, F.array(_bounds(F.col("place"), F.col("first"), F.col("last"), length)).alias("spans"))
     fragments = _fragments(docs, wanted, length)
-    runs = _by_columns(fragments.filter("not crowded"), length, most)
+    runs = _by_columns(fragments.filter("not crowded"), length, most).select(*KEY, F.array(F.struct("start", "end")).alias("spans"))
     if not wanted.filter("crowded").isEmpty():
-        runs = runs.unionByName(_by_windows(fragments.filter("crowded"), length))
-    return whole.unionByName(covered).unionByName(runs.select(*KEY, F.array(F.struct("start", "end")).alias("spans")))
+        runs = runs.unionByName(_by_windows(fragments.filter("crowded"), length, folder))
+    return whole.unionByName(covered).unionByName(runs)
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400,
