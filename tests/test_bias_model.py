@@ -42,3 +42,24 @@ def test_importance_type_must_be_known(spark):
 def test_search_space_is_seeded():
     a, b = MD.sample_params(3), MD.sample_params(3)
     assert a == b and all(0.05 <= c["eta"] <= 0.3 and 5 <= c["max_depth"] <= 15 for c in a)
+
+
+def test_flip_test_by_hand(spark):
+    from umpire.operators.bias import flip_test
+    rows = [("p", True, 0), ("p", True, 1), ("p", False, 1), ("p", False, 1), ("p", False, 0),  # neighbours mostly 1: one flip up
+            ("q", True, 1), ("q", True, 1), ("q", False, 0),                                    # mostly 0: two flips down
+            ("r", True, 0), ("r", False, 0), ("r", False, 1),                                   # a tie
+            ("s", True, 1), (None, True, 1), (None, False, 0)]                                  # alone; null is a cell
+    got = flip_test(spark.createDataFrame(rows, "cell string, d boolean, yhat int"), F.col("d"), "yhat", ["cell"]).first()
+    assert (got["metric"], got["members"], got["compared"]) == ("FT", 7, 6)
+    assert got["value"] == pytest.approx((1 - 2 - 1) / 7)
+
+
+def test_prefix_choice_equals_the_loop(spark):
+    import random
+    from umpire.plans.model import best_prefix, prefix_choice
+    rng = random.Random(3)
+    series = [[rng.choice([1.0, 0.9, 0.8, rng.random()]) for _ in range(rng.randint(1, 40))] for _ in range(30)]
+    rows = [(s, i + 1, v) for s, losses in enumerate(series) for i, v in enumerate(losses)]
+    got = prefix_choice(spark.createDataFrame(rows, "s long, r long, loss double"), "s", "r", "loss", patience=5)
+    assert {r["s"]: r["kept"] for r in got.collect()} == {s: best_prefix(v, 5) for s, v in enumerate(series)}

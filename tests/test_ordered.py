@@ -1,8 +1,9 @@
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
-from umpire.operators.ordered import row_rank, running_sums
+from umpire.operators.ordered import row_rank, running_sums, with_position
 
 
 def test_running_sums_match_pandas_with_hot_group(spark):
@@ -79,3 +80,22 @@ def test_running_sums_carry_across_arrow_batches(spark):
         assert all(grouped[k] == k // 3 + 1 for k in range(3000))
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_positions_follow_file_names_over_unequal_files(spark, tmp_path):
+    from umpire.operators.joins import align_rows
+    for folder, cuts in (("x", (0, 10, 1010, 1500)), ("y", (0, 900, 905, 1500))):
+        (tmp_path / folder).mkdir()
+        for part, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
+            body = "\n".join(str(i) for i in range(lo, hi))
+            (tmp_path / folder / f"part{part}.csv").write_text(f"{folder}\n{body}\n")
+    x, y = (spark.read.option("header", True).schema(f"{c} long").csv(str(tmp_path / c)) for c in "xy")
+    rows = align_rows(x, y)
+    assert rows.count() == 1500 and rows.filter("x <> y or x <> row_id").count() == 0
+
+
+def test_positions_of_rows_dealt_anew_are_an_error(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(1000).repartition(3).write.parquet(path)
+    with pytest.raises(ValueError):
+        with_position(spark.read.parquet(path).repartition(4))

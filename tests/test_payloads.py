@@ -82,7 +82,8 @@ def test_single_prediction_is_unwrapped(spark):
                                "req long, line int, probs array<double>")
     rec = df.select("req", "line", *S.prediction_record(F.col("probs")))
     out = {r["req"]: r["body"] for r in SK.json_response(rec, "req", "line", False, unwrap_single=True).collect()}
-    assert out[1].startswith("{") and out[2].startswith("[")
+    assert out[1] == '{"prediction":"home_win","confidence":0.8}'
+    assert out[2].startswith("[") and out[2].count("confidence") == 2
 
 
 def test_record_map_keys_are_zero_padded(spark):
@@ -103,3 +104,13 @@ def test_write_splits_label_first_with_header(spark, tmp_path):
     SK.write_splits(df, str(tmp_path / "out"), "result_match", ["f"])
     back = spark.read.option("header", True).csv(str(tmp_path / "out" / "split=train"))
     assert back.columns == ["result_match", "f"]
+
+
+def test_line_widths_quotes_and_missing_values(spark):
+    lines = ["1,2,3", "1,,3", " 1, NaN, 3", "1,2", "1,2,3,4", "1,2,3,4,5", '"1,5",2,3', 'home_win, 1, "2", 3', "", None]
+    named = S.name_fields(_lines(spark, lines), "line", ["a", "b", "c"], label="truth", keep=["rid"], reject="bad_width")
+    rows = S.to_numeric(named, ["a", "b", "c"], mode="strict", reject="bad_width").orderBy("rid").collect()
+    got = [(r["truth"], r["a"], r["b"], r["c"], r["bad_width"], r["bad_values"]) for r in rows]
+    none = (None, None, None, None, True, 1)
+    assert got == [(None, 1, 2, 3, False, 0), (None, 1, None, 3, False, 0), (None, 1, None, 3, False, 0), none,
+                   ("1", 2, 3, 4, False, 0), none, (None, None, 2, 3, False, 1), ("home_win", 1, 2, 3, False, 0), none, none]

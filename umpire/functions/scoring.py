@@ -16,41 +16,54 @@ from umpire.schemas import CLASSES, NEGATIVE, POSITIVE
 
 # ------------------------------------------------------------------ F1-F5
 def name_fields(df: DataFrame, col: str, names: list[str], label: str | None = None,
-                keep: list[str] | tuple = (), sep: str = ",") -> DataFrame:
-    """Split a headerless CSV line into positional fields bound to ``names``.
-
-    Leading spaces of every field are skipped; an empty or absent field is null.  A line with ``len(names)+1``
-    fields carries the truth first: it is kept aside as ``label`` (F2) and
-    the remaining fields are named.  Values stay strings (see ``to_numeric``).
+                keep: list[str] | tuple = (), sep: str = ",", reject: str | None = None) -> DataFrame:
+    """Headerless CSV lines, their fields bound to ``names`` by position.
+
+    Leading spaces of a field are skipped, quoted fields may hold the separator,
+    and an empty field is null.  A line with ``len(names)+1`` fields carries the
+    truth first: it is kept aside as ``label`` (F2) and the remaining fields are
+    named.  A line of any other width is bound to nothing: all its fields are
+    null, and ``reject`` names a column that marks it.  Values stay strings (see
+    ``to_numeric``).
     """
-    parts = F.split(F.col(col), sep)
-    width = F.size(parts)
-    shift = F.when(width == len(names) + 1, 1).otherwise(0)
+    n = len(names)
+    unquoted = F.regexp_replace(F.col(col), '"(?:[^"]|"")*"', "")
+    fields = F.from_csv(F.col(col), ", ".join(f"f{i} string" for i in range(n + 1)),
+                        {"sep": sep, "ignoreLeadingWhiteSpace": "true", "escape": '"', "maxCharsPerColumn": "-1"})
+    rows = df.select(*keep, fields.alias("_fields"),
+                     (F.size(F.split(unquoted, "\\Q" + sep + "\\E")) - n).alias("_extra"))
+
+    def field(i):
+        value = F.col(f"_fields.f{i}")
+        return F.when(value != "", value)
+
     out = [F.col(k) for k in keep]
     if label:
-        out.append(F.when(shift == 1, F.ltrim(F.element_at(parts, 1))).alias(label))
-    for i, name in enumerate(names):
-        value = F.ltrim(F.get(parts, shift + i))
-        out.append(F.when(value != "", value).alias(name))
-    return df.select(*out)
+        out.append(F.when(F.col("_extra") == 1, field(0)).alias(label))
+    if reject:
+        out.append(F.coalesce(~F.col("_extra").isin(0, 1), F.lit(True)).alias(reject))
+    out += [F.when(F.col("_extra") == 0, field(i)).when(F.col("_extra") == 1, field(i + 1)).alias(name)
+            for i, name in enumerate(names)]
+    return rows.select(*out)
 
 
 def to_numeric(df: DataFrame, cols: list[str], mode: str = "coerce",
-               request: str | None = None) -> DataFrame:
-    """Numeric coercion of ``cols``.
+               request: str | None = None, reject: str | None = None) -> DataFrame:
+    """Numeric coercion of ``cols``; NaN is a missing value, so null.
 
     ``coerce``: a bad value becomes null (``try_cast``).
-    ``strict``: additionally flags ``bad_values`` per row; with ``request``
-    given, ``rejected`` marks every row of a request that has any bad value.
+    ``strict``: additionally counts ``bad_values`` per row, a line marked by the
+    column ``reject`` being one more; with ``request`` given, ``rejected`` marks
+    every row of a request that has any bad value.
     """
-    conv = {c: F.expr(f"try_cast(`{c}` AS DOUBLE)") for c in cols}
-    out = df.select(*[conv[c].alias(c) if c in conv else F.col(c) for c in df.columns],
-                    *([] if mode == "coerce" else [
-                        sum((F.col(c).isNotNull() & conv[c].isNull()).cast("int") for c in cols)
-                        .alias("bad_values")]))
+    cast = {c: F.expr(f"try_cast(`{c}` AS DOUBLE)") for c in cols}
+    bad = sum(((F.col(c).isNotNull() & cast[c].isNull()).cast("int") for c in cols),
+              F.col(reject).cast("int") if reject else F.lit(0))
+    out = df.select(*[F.when(~F.isnan(cast[c]), cast[c]).alias(c) if c in cast else F.col(c) for c in df.columns],
+                    *([] if mode == "coerce" else [bad.alias("bad_values")]))
     if mode == "strict" and request:
-        bad = out.groupBy(request).agg(F.max(F.col("bad_values") > 0).alias("rejected"))
-        out = out.join(bad, request, "left")
+        marks = out.groupBy(request).agg(F.max(F.col("bad_values") > 0).alias("rejected"))
+        out = out.join(marks, request, "left")
     return out
 
 
@@ -150,8 +163,3 @@ def synthetic_label(id_col: str, labels: list[str] = (POSITIVE, NEGATIVE), seed:
     """Stand-in truth chosen deterministically from the id (md5-based)."""
     arr = F.array(*[F.lit(x) for x in labels])
     return F.element_at(arr, (residue(id_col, len(labels), seed) + 1).cast("int"))
-
-
-def fixed6(c: Column) -> Column:
-    """Fixed six-decimal rendering of a double (same text in any engine)."""
-    return F.format_string("%.6f", c.cast("double"))

@@ -112,3 +112,19 @@ def posttraining_bias(df: DataFrame, d: Column, y: str, yhat: str, group: str) -
     names = ["DPPL", "DI", "DCA", "DCR", "RD", "DAR", "DRR", "AD", "SD", "TE", "GE"]
     cdd = _cdd(df, d, pred, group).select(F.col("cdd").alias("value")).withColumn("metric", F.lit("CDDPL"))
     return _long(out, names).unionByName(cdd.select("metric", "value"))
+
+
+def flip_test(df: DataFrame, d: Column, yhat: str, cells: list[str]) -> DataFrame:
+    """Flip test: members of ``d`` predicted 0 whose neighbours in the other facet
+    are mostly predicted 1, less those predicted 1 with neighbours mostly 0, over
+    all members.  Neighbours are the rows of the same cell (equal ``cells``, such
+    as binned features); a tie or a cell without the other facet counts for
+    neither.  One combining aggregate per cell: no pairs, and no hot cell."""
+    pred = F.col(yhat) == 1
+    per_cell = df.groupBy(*cells).agg(_cnt(d & pred).alias("d1"), _cnt(d & ~pred).alias("d0"),
+                                      _cnt(~d & pred).alias("a1"), _cnt(~d & ~pred).alias("a0"))
+    members = F.col("d0") + F.col("d1")
+    flips = F.when(F.col("a1") > F.col("a0"), F.col("d0")).when(F.col("a0") > F.col("a1"), -F.col("d1")).otherwise(0)
+    return per_cell.agg(F.sum(flips).alias("flips"), F.sum(members).alias("members"),
+                        F.sum(F.when(F.col("a0") + F.col("a1") > 0, members).otherwise(0)).alias("compared")).select(
+        F.lit("FT").alias("metric"), _div(F.col("flips"), F.col("members")).alias("value"), "members", "compared")

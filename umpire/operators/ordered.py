@@ -29,6 +29,7 @@ import math
 
 import numpy as np
 from pyspark import TaskContext
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -194,23 +195,46 @@ def row_rank(df: DataFrame, order: list[str], by: list[str] | tuple = (),
     return joined.select(*out)
 
 
+def _file_places(df: DataFrame) -> list[Column]:
+    """File and block of each row, where the frame is a scan of files."""
+    try:
+        places = [F.col("_metadata.file_path").alias("_rs_path"), F.col("_metadata.file_block_start").alias("_rs_block")]
+        return places if df.select(*places) else []
+    except AnalysisException:
+        return []
+
+
 def with_position(df: DataFrame, name: str = "position") -> DataFrame:
-    """0-based position of each row in read order, without a shuffle.
+    """0-based position of each row, without a shuffle.
+
+    Rows read from files are numbered by file name, then by place in the file,
+    whatever order Spark reads the files in.  Frames that come from no file are
+    numbered by their partitions.  A scan whose rows were dealt anew has no such
+    order and is an error; rank it by a key instead (``row_rank``).
 
     The frame is materialised once with a reliable ``checkpoint()`` (fixed
-    files, fixed order); a row's position is its partition's offset (a
-    cumulative count over one row per partition) plus its offset inside the
-    partition (``monotonically_increasing_id`` read from the fixed files).
+    files, fixed order); a row's position is the offset of its block (a
+    cumulative count over one row per block) plus its offset inside it
+    (``monotonically_increasing_id`` read from the fixed files).
     """
     ensure_checkpoint_dir(df.sparkSession)
     keep = list(df.columns)
-    fixed = df.checkpoint(eager=True)
+    places = _file_places(df)
+    order = ["_rs_path", "_rs_block"] if places else []
+    fixed = df.select("*", *places).checkpoint(eager=True)
     tagged = fixed.select("*", F.spark_partition_id().alias(_PID),
                           F.monotonically_increasing_id().alias("_rs_mid"))
-    seg = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias("_rs_cnt"), F.min("_rs_mid").alias("_rs_first"))
-    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = seg.select(F.col(_PID).alias("_rs_p"), "_rs_first",
+    seg = tagged.groupBy(*order, _PID).agg(F.count(F.lit(1)).alias("_rs_cnt"), F.min("_rs_mid").alias("_rs_first"),
+                                           F.max("_rs_mid").alias("_rs_last"))
+    blocks = seg.groupBy(*order).agg(F.count(F.lit(1)).alias("n"), F.max(F.expr("_rs_last - _rs_first + 1 <> _rs_cnt")).alias("gaps"))
+    if places and not blocks.filter("n > 1 or gaps").isEmpty():
+        raise ValueError("rows of a file were dealt anew, so they have no position; rank them by a key")
+    before = Window.orderBy(*order, _PID).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = seg.select(F.col(_PID).alias("_rs_p"), *[F.col(c).alias(f"{c}_p") for c in order], "_rs_first",
                          F.coalesce(F.sum("_rs_cnt").over(before), F.lit(0)).alias("_rs_off"))
-    joined = tagged.join(_sized(offsets), tagged[_PID] == offsets["_rs_p"], "inner")
+    cond = tagged[_PID] == offsets["_rs_p"]
+    for c in order:
+        cond = cond & (tagged[c] == offsets[f"{c}_p"])
+    joined = tagged.join(_sized(offsets), cond, "inner")
     pos = (F.col("_rs_mid") - F.col("_rs_first") + F.col("_rs_off")).cast("long")
     return joined.select(*[tagged[c] for c in keep], pos.alias(name))

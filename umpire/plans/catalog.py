@@ -189,12 +189,11 @@ def f3_coerce_numeric(spark, sf):
 @register("f4_strict_reject")
 def f4_strict_reject(spark, sf):
     lines = TD.request_lines(spark, sf, with_label=False, junk_every=50)
-    named = S.name_fields(lines, "line", TD.REQUEST_FIELDS, keep=KEYS)
-    checked = S.to_numeric(named, TD.REQUEST_FIELDS, mode="strict", request="l_orderkey")
+    named = S.name_fields(lines, "line", TD.REQUEST_FIELDS, keep=KEYS, reject="bad_width")
+    checked = S.to_numeric(named, TD.REQUEST_FIELDS, mode="strict", reject="bad_width")
+    bad = F.col("bad_values") > 0
     return checked.groupBy("l_orderkey").agg(
-        F.count(F.lit(1)).alias("lines"),
-        F.sum((F.col("bad_values") > 0).cast("long")).alias("bad_lines"),
-        F.max("rejected").alias("rejected"))
+        F.count(F.lit(1)).alias("lines"), F.sum(bad.cast("long")).alias("bad_lines"), F.max(bad).alias("rejected"))
 
 
 @register("f5_numeric_columns")
@@ -273,6 +272,11 @@ def s13_unwrap_single(spark, sf):
                             unwrap_single=True)
 
 
+@register("s13_pair_csv")
+def s13_pair_csv(spark, sf):
+    return _predictions(spark, sf).select("request_id", "line", SK.pair_csv().alias("body"))
+
+
 @register("s16_matrix_csv")
 def s16_matrix_csv(spark, sf):
     parsed = s4_csv_lines(spark, sf)
@@ -517,6 +521,15 @@ def a18_posttraining_bias(spark, sf):
     return rounded(B.posttraining_bias(_bias_rows(spark, sf), F.col("facet"), "y", "yhat", "source"))
 
 
+@register("a19_flip_test")
+def a19_flip_test(spark, sf):
+    df = prepared(spark, sf)
+    p = 1.0 / (1.0 + F.exp(-(F.col("n_words") - 200.0) / 100.0))
+    rows = df.select(B.facet("n_chars", FACET_THRESHOLD).alias("facet"), (p > 0.65).cast("int").alias("yhat"),
+                     F.floor(F.col("n_sentences") / 5).alias("sentences"), F.floor(F.col("n_lines") / 5).alias("lines"))
+    return rounded(B.flip_test(rows, F.col("facet"), "yhat", ["sentences", "lines"]))
+
+
 # ---------------------------------------------------------------- explanations
 def _shap(spark, sf) -> DataFrame:
     return table(spark, sf, "embeddings").select("vec_id", "embedding")
@@ -603,6 +616,11 @@ def m2_best_prefix(spark, sf):
     return rounded(spark.createDataFrame(rows, "round int, validation_loss double, kept boolean"))
 
 
+@register("m2_prefix_choice")
+def m2_prefix_choice(spark, sf):
+    return MD.prefix_choice(TD.loss_series(spark, sf), "series", "round", "loss", patience=25)
+
+
 @register("m3_score")
 def m3_score(spark, sf):
     t = trained(spark, sf)
@@ -640,6 +658,14 @@ def m6_best_trial(spark, sf):
     return rounded(MD.best_trial(_trials(spark, sf)))
 
 
+@register("m6_best_of_runs")
+def m6_best_of_runs(spark, sf):
+    """The best of the runs that ``events`` stand for, one trial per user."""
+    trials = table(spark, sf, "events").groupBy(F.col("user_id").alias("trial")).agg(
+        F.max("value").alias("auc"), F.min("value").alias("eta"))
+    return MD.best_trial(trials)
+
+
 @register("m7_tree_importance")
 def m7_tree_importance(spark, sf):
     t = trained(spark, sf)
@@ -715,24 +741,22 @@ def s5_json_records(spark, sf):
 
 # ---------------------------------------------------------------- split files (S6) and CSV folders
 
-SPLIT_FEATURES = ["n_chars", "n_words", "n_sentences", "n_lines"]
-
-
 def _split_schema() -> T.StructType:
-    return T.StructType([T.StructField(LABEL, T.StringType())]
-                         + [T.StructField(c, T.DoubleType()) for c in SPLIT_FEATURES])
+    return T.StructType([T.StructField(c, T.DoubleType()) for c in [LABEL, *DOC_FEATURES]])
 
 
 def _written_splits(spark, sf) -> str:
     path = shared_dir(spark, "s6_splits")
-    SK.write_splits(split_rows(spark, sf), path, LABEL, SPLIT_FEATURES)
+    rows, medians, classes = fitted(spark, sf)
+    SK.write_splits(P.encode(P.impute(rows, medians), LABEL, classes), path, LABEL, DOC_FEATURES)
     return path
 
 
 @register("s6_write_splits")
 def s6_write_splits(spark, sf):
-    """Write the split rows as CSV folders (label first, header) and read
-    every folder back with its split taken from the folder name."""
+    """Write the transformed split rows (imputed features, coded label) as CSV
+    folders (label first, header) and read every folder back with its split taken
+    from the folder name."""
     path = _written_splits(spark, sf)
     schema = _split_schema().add("split", T.StringType())
     return spark.read.option("header", True).schema(schema).csv(path)

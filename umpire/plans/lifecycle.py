@@ -42,7 +42,6 @@ def run_training(spark: SparkSession, sf_dir: str, params: MD.TreeParams = MD.Tr
     out = folder or shared_dir(spark, "training")
     rows = split_rows(spark, sf_dir)
     raw = rows.drop("source", "lang")
-    SK.write_splits(raw, f"{out}/splits", LABEL, DOC_FEATURES)
     SK.write_baseline(P.baseline(raw.where(F.col("split") == "train").drop("split"), LABEL, keep_label=False),
                       f"{out}/train-baseline", header=True)
     SK.write_baseline(P.baseline(raw.where(F.col("split") == "test").drop("split"), LABEL, keep_label=True),
@@ -51,6 +50,7 @@ def run_training(spark: SparkSession, sf_dir: str, params: MD.TreeParams = MD.Tr
     train = rows.where(F.col("split") == "train")
     medians = P.fit_medians(train, IMPUTED)
     classes = P.fit_ordinal(train, LABEL)
+    SK.write_splits(P.encode(P.impute(raw, medians), LABEL, classes), f"{out}/splits", LABEL, DOC_FEATURES)
     target = MD.target_stage(classes, LABEL)
     coded = target.transform(rows)
     model, _, kept = MD.fit_with_early_stopping(

@@ -19,7 +19,7 @@ from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from umpire.functions.hashing import seeded_int, seeded_key
@@ -106,6 +106,19 @@ def best_prefix(losses: list[float], patience: int = 25) -> int:
     return best_i + 1
 
 
+def prefix_choice(losses: DataFrame, series: str, round_col: str, loss: str, patience: int = 25) -> DataFrame:
+    """:func:`best_prefix` for a table of loss series (rounds from 1): rounds seen,
+    rounds kept and whether patience ran out.  A series is as long as its fit has
+    rounds, so a window over one is small."""
+    so_far = Window.partitionBy(series).orderBy(round_col)
+    best = losses.select(series, round_col, F.min(F.struct(loss, round_col)).over(so_far)[round_col].alias("best"))
+    over = F.col(round_col) - F.col("best") >= patience
+    return best.groupBy(series).agg(
+        F.max(round_col).alias("rounds"),
+        F.coalesce(F.min_by("best", F.when(over, F.col(round_col))), F.max_by("best", round_col)).alias("kept"),
+        F.max(over).alias("stopped"))
+
+
 def fit_with_early_stopping(train: DataFrame, valid: DataFrame, features: list[str],
                             medians: dict[str, float], params: TreeParams = TreeParams(),
                             patience: int = 25, y: str = "y",

@@ -199,7 +199,8 @@ from umpire.functions.events import log_patterns  # noqa: E402
 from umpire.schemas import FEATURE_COLUMNS  # noqa: E402
 
 RID = "l_orderkey * 10 + l_linenumber"
-JUNK = f"({H8.format(c=RID)} % 50 = 0)"
+# kinds of malformed lines: 0 a word, 1 an empty field, 2 NaN, 3 short, 4 long, 5 quoted, 6 quoted comma
+KIND = f"({H8.format(c=RID)} % 50)"
 LINE = ("concat_ws(', ', CAST(l_quantity AS VARCHAR), CAST(l_extendedprice AS VARCHAR), "
         "CAST(l_discount AS VARCHAR), CAST(l_tax AS VARCHAR), CAST(l_suppkey AS VARCHAR))")
 
@@ -215,15 +216,19 @@ SELECT l_orderkey, l_linenumber,
 FROM lineitem
 """
 
+_WIDE = f"CASE WHEN {KIND} IN (3, 4) THEN NULL ELSE {{c}} END AS {{n}}"
 SQL["f3_coerce_numeric"] = f"""
-SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
-       CASE WHEN {JUNK} THEN NULL ELSE l_tax END AS l_tax, CAST(l_suppkey AS DOUBLE) AS l_suppkey
+SELECT l_orderkey, l_linenumber, {_WIDE.format(c='l_quantity', n='l_quantity')},
+       {_WIDE.format(c='l_extendedprice', n='l_extendedprice')}, {_WIDE.format(c='l_discount', n='l_discount')},
+       CASE WHEN {KIND} IN (0, 1, 2, 3, 4, 6) THEN NULL ELSE l_tax END AS l_tax,
+       {_WIDE.format(c='CAST(l_suppkey AS DOUBLE)', n='l_suppkey')}
 FROM lineitem
 """
 
 SQL["f4_strict_reject"] = f"""
-SELECT l_orderkey, count(*) AS lines, CAST(sum(CASE WHEN {JUNK} THEN 1 ELSE 0 END) AS BIGINT) AS bad_lines,
-       bool_or({JUNK}) AS rejected
+SELECT l_orderkey, count(*) AS lines,
+       CAST(sum(CASE WHEN {KIND} IN (0, 3, 4, 6) THEN 1 ELSE 0 END) AS BIGINT) AS bad_lines,
+       bool_or({KIND} IN (0, 3, 4, 6)) AS rejected
 FROM lineitem GROUP BY l_orderkey
 """
 
@@ -273,18 +278,20 @@ FROM ({SQL["s14_parse_predictions"]})
 SQL["s10_csv_response"] = f"""
 SELECT request_id, line,
   concat_ws(',', ground_truth, CAST(numerical_ground_truth_label AS VARCHAR), predicted_label,
-            CAST(predicted_numerical_label AS VARCHAR), printf('%.6f', win_probability)) AS csv5,
+            CAST(predicted_numerical_label AS VARCHAR), CAST(win_probability AS VARCHAR)) AS csv5,
   concat_ws(',', predicted_label, CAST(predicted_numerical_label AS VARCHAR),
-            printf('%.6f', win_probability)) AS csv3
+            CAST(win_probability AS VARCHAR)) AS csv3
 FROM ({PREDICTIONS})
 """
 
-ITEM_T = ("'{\"prediction\":\"' || predicted_label || '\",\"confidence\":' || CAST(round(win_probability, 6) AS VARCHAR)"
+ITEM_T = ("'{\"prediction\":\"' || predicted_label || '\",\"confidence\":' || CAST(win_probability AS VARCHAR)"
           " || ',\"numerical_label\":' || CAST(predicted_numerical_label AS VARCHAR)"
           " || ',\"ground_truth\":\"' || ground_truth || '\"}'")
-ITEM = ("'{\"prediction\":\"' || predicted_label || '\",\"confidence\":' || CAST(round(win_probability, 6) AS VARCHAR)"
+ITEM = ("'{\"prediction\":\"' || predicted_label || '\",\"confidence\":' || CAST(win_probability AS VARCHAR)"
         " || ',\"numerical_label\":' || CAST(predicted_numerical_label AS VARCHAR) || '}'")
 
+PAIR = ("'{\"prediction\":\"' || predicted_label || '\",\"confidence\":' || CAST(win_probability AS VARCHAR) || '}'")
+
 SQL["s11_json_response"] = f"""
 SELECT request_id, CAST(count(*) AS INTEGER) AS n, '[' || string_agg({ITEM_T}, ',' ORDER BY line, predicted_label, round(win_probability, 6), predicted_numerical_label, ground_truth) || ']' AS body
 FROM ({PREDICTIONS}) GROUP BY request_id
@@ -294,10 +301,15 @@ SQL["s12_jsonlines_response"] = f"SELECT request_id, line, {ITEM} AS body FROM (
 
 SQL["s13_unwrap_single"] = f"""
 SELECT request_id, CAST(count(*) AS INTEGER) AS n,
-  CASE WHEN count(*) = 1 THEN min({ITEM}) ELSE '[' || string_agg({ITEM}, ',' ORDER BY line, predicted_label, round(win_probability, 6), predicted_numerical_label) || ']' END AS body
+  CASE WHEN count(*) = 1 THEN min({PAIR})
+       ELSE '[' || string_agg({PAIR}, ',' ORDER BY line, predicted_label, win_probability) || ']' END AS body
 FROM ({PREDICTIONS}) GROUP BY request_id
 """
 
+SQL["s13_pair_csv"] = f"""
+SELECT request_id, line, concat_ws(',', predicted_label, CAST(win_probability AS VARCHAR)) AS body FROM ({PREDICTIONS})
+"""
+
 SQL["s16_matrix_csv"] = """
 SELECT l_orderkey, l_linenumber,
   concat_ws(',', CAST(l_quantity AS VARCHAR), CAST(l_extendedprice AS VARCHAR), CAST(l_discount AS VARCHAR),
@@ -816,10 +828,15 @@ SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS meta_k, e
 """
 
 # ---------------------------------------------------------------- split files and CSV folders
-SQL["s6_write_splits"] = f"SELECT result_match, n_chars, n_words, n_sentences, n_lines, split FROM ({SPLIT})"
-SQL["s1_read_csv_dir"] = f"""
-SELECT result_match, n_chars, n_words, n_sentences, n_lines FROM ({SPLIT}) WHERE split = 'train'
+TRANSFORMED = f"""
+SELECT CAST(s.result_match = 'home_win' AS DOUBLE) AS result_match,
+  coalesce(s.n_chars, m.m_chars) AS n_chars, coalesce(s.n_words, m.m_words) AS n_words,
+  coalesce(s.n_sentences, m.m_sentences) AS n_sentences, coalesce(s.n_lines, m.m_lines) AS n_lines,
+  s.lang_en, s.lang_fr, s.lang_de, s.lang_es, s.split
+FROM ({SPLIT}) s, ({MEDIANS}) m
 """
+SQL["s6_write_splits"] = TRANSFORMED
+SQL["s1_read_csv_dir"] = f"SELECT * EXCLUDE (split) FROM ({TRANSFORMED}) WHERE split = 'train'"
 
 SQL["f2_split_truth_json"] = """
 SELECT event_id, value, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
@@ -837,3 +854,31 @@ SELECT l."group", l.package_id, li.l_linenumber AS step,
 FROM l JOIN lineitem li ON li.l_orderkey = l.package_id
 WHERE li.l_returnflag = 'R'
 """
+
+SQL["a19_flip_test"] = f"""
+WITH r AS (SELECT n_chars > 1000 AS d, 1.0 / (1.0 + exp(-(n_words - 200.0) / 100.0)) > 0.65 AS pred,
+             floor(n_sentences / 5) AS cs, floor(n_lines / 5) AS cl FROM ({PREPARED})),
+near AS (SELECT cs, cl, sum(CASE WHEN pred THEN 1 ELSE -1 END) AS vote FROM r WHERE NOT d GROUP BY cs, cl)
+SELECT 'FT' AS metric,
+  round(sum(CASE WHEN NOT r.pred AND near.vote > 0 THEN 1.0 WHEN r.pred AND near.vote < 0 THEN -1.0 ELSE 0.0 END)
+        / count(*), 6) AS value,
+  count(*) AS members, count(near.vote) AS compared
+FROM r LEFT JOIN near ON r.cs = near.cs AND r.cl = near.cl WHERE r.d
+"""
+
+SQL["m2_prefix_choice"] = """
+WITH s AS (SELECT user_id AS series, value AS loss, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS round
+           FROM events),
+l AS (SELECT *, min(loss) OVER (PARTITION BY series ORDER BY round ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS low
+      FROM s),
+b AS (SELECT series, round, max(CASE WHEN low IS NULL OR loss < low THEN round END)
+        OVER (PARTITION BY series ORDER BY round) AS best FROM l),
+e AS (SELECT series, min(CASE WHEN round - best >= 25 THEN round END) AS stop, max(round) AS rounds FROM b GROUP BY series)
+SELECT e.series, e.rounds, b.best AS kept, e.stop IS NOT NULL AS stopped
+FROM e JOIN b ON b.series = e.series AND b.round = coalesce(e.stop, e.rounds)
+"""
+
+SQL["m6_best_of_runs"] = """
+SELECT user_id AS trial, max(value) AS auc, min(value) AS eta FROM events
+GROUP BY user_id ORDER BY auc DESC, trial LIMIT 1
+"""

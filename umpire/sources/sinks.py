@@ -6,8 +6,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from umpire.functions.scoring import fixed6
-
 
 def write_splits(df: DataFrame, path: str, label: str, features: list[str],
                  split: str = "split") -> None:
@@ -40,14 +38,18 @@ def csv_response(df: DataFrame, with_truth: bool) -> Column:
     """One CSV response line: 3 fields, or 5 with truth first."""
     fields = (["ground_truth", "numerical_ground_truth_label"] if with_truth else []) + [
         "predicted_label", "predicted_numerical_label"]
-    return F.concat_ws(",", *[F.col(c).cast("string") for c in fields],
-                       fixed6(F.col("win_probability")))
+    return F.concat_ws(",", *[F.col(c).cast("string") for c in [*fields, "win_probability"]])
+
+
+def pair_csv() -> Column:
+    """The post-processing stage's CSV line: label and confidence."""
+    return F.concat_ws(",", "predicted_label", F.col("win_probability").cast("string"))
 
 
-def _item(with_truth: bool) -> Column:
-    fields = [F.col("predicted_label").alias("prediction"),
-              F.round(F.col("win_probability"), 6).alias("confidence"),
-              F.col("predicted_numerical_label").alias("numerical_label")]
+def _item(with_truth: bool, numeric: bool = True) -> Column:
+    fields = [F.col("predicted_label").alias("prediction"), F.col("win_probability").alias("confidence")]
+    if numeric:
+        fields.append(F.col("predicted_numerical_label").alias("numerical_label"))
     if with_truth:
         fields.append(F.col("ground_truth").alias("ground_truth"))
     return F.struct(*fields)
@@ -60,15 +62,16 @@ def jsonlines_response(with_truth: bool) -> Column:
 
 def json_response(df: DataFrame, request: str, order: str, with_truth: bool,
                   unwrap_single: bool = False) -> DataFrame:
-    """JSON array of prediction objects per request (S11); with
-    ``unwrap_single`` a one-element array becomes the object itself (S13).
+    """JSON array of prediction objects per request (S11).  ``unwrap_single`` is
+    the post-processing stage's form (S13): the objects hold prediction and
+    confidence only, and a one-element array becomes the object itself.
 
     A request's predictions are gathered in one row; requests are bounded
     payloads, so the group size is bounded by the request, not by the data.
     """
     items = (df.groupBy(request)
              .agg(F.sort_array(F.collect_list(F.struct(F.col(order).alias("_o"),
-                                                       _item(with_truth).alias("_i")))).alias("_s")))
+                                                       _item(with_truth, numeric=not unwrap_single).alias("_i")))).alias("_s")))
     arr = F.transform(F.col("_s"), lambda s: s["_i"])
     body = F.to_json(arr)
     if unwrap_single:
@@ -79,6 +82,6 @@ def json_response(df: DataFrame, request: str, order: str, with_truth: bool,
 def matrix_csv(cols: list[str]) -> Column:
     """Text row of a numeric matrix (S16); a missing value is an error."""
     vals = [F.when(F.col(c).isNull(), F.raise_error(
-        F.lit("There was an error transforming the input data"))).otherwise(F.col(c).cast("string"))
+        F.lit("matrix row has a missing value"))).otherwise(F.col(c).cast("string"))
             for c in cols]
     return F.concat_ws(",", *vals)

@@ -7,7 +7,7 @@ built-in expressions, so its size grows with the tables.  The SQL oracle in
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from umpire.functions.hashing import residue
@@ -82,6 +82,13 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def loss_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validation losses per training run: a user's events in order are the rounds."""
+    rounds = Window.partitionBy("user_id").orderBy("event_id")
+    return table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("series"), F.row_number().over(rounds).cast("long").alias("round"), F.col("value").alias("loss"))
+
+
 # Numeric request fields rendered from lineitem, in payload order.
 REQUEST_FIELDS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_suppkey"]
 
@@ -90,17 +97,25 @@ def request_lines(spark: SparkSession, sf_dir: str, with_label: bool, junk_every
     """Headerless CSV request lines (``", "`` separated) from lineitem.
 
     With ``with_label`` the truth label is the first field
-    (``l_returnflag = 'R'`` -> positive).  With ``junk_every`` a seeded share of
-    lines carries the token ``RUTI`` in place of the tax field.
+    (``l_returnflag = 'R'`` -> positive).  With ``junk_every`` (above 6) one line in
+    as many is of each malformed kind: a word, an empty field, NaN, a short and a
+    long line, a quoted number and a quoted comma.
     """
     li = table(spark, sf_dir, "lineitem")
     rid = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     vals = [F.col(c).cast("string") for c in REQUEST_FIELDS]
     if junk_every:
-        vals[3] = F.when(residue(rid, junk_every) == 0, F.lit("RUTI")).otherwise(vals[3])
+        kind = residue(rid, junk_every)
+        vals[3] = (F.when(kind == 0, F.lit("RUTI")).when(kind == 1, F.lit("")).when(kind == 2, F.lit("NaN"))
+                   .when(kind == 5, F.concat(F.lit('"'), vals[3], F.lit('"'))).when(kind == 6, F.lit('"1,5"'))
+                   .otherwise(vals[3]))
     if with_label:
         vals = [F.when(F.col("l_returnflag") == "R", POSITIVE).otherwise(NEGATIVE)] + vals
-    return li.select("l_orderkey", "l_linenumber", F.concat_ws(", ", *vals).alias("line"))
+    line = F.concat_ws(", ", *vals)
+    if junk_every:
+        line = (F.when(kind == 3, F.concat_ws(", ", *vals[:-1]))
+                .when(kind == 4, F.concat_ws(", ", *vals, F.lit("9"), F.lit("9"))).otherwise(line))
+    return li.select("l_orderkey", "l_linenumber", line.alias("line"))
 
 
 def scored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
