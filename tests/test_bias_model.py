@@ -63,3 +63,16 @@ def test_prefix_choice_equals_the_loop(spark):
     rows = [(s, i + 1, v) for s, losses in enumerate(series) for i, v in enumerate(losses)]
     got = prefix_choice(spark.createDataFrame(rows, "s long, r long, loss double"), "s", "r", "loss", patience=5)
     assert {r["s"]: r["kept"] for r in got.collect()} == {s: best_prefix(v, 5) for s, v in enumerate(series)}
+
+
+def test_early_stopping_keeps_the_trees_of_the_full_fit(spark):
+    rows = [(i, float(i % 7), float((i * 37) % 11), float((i * i) % 5 > 1)) for i in range(200)]
+    data = spark.createDataFrame(rows, "id long, a double, b double, y double")
+    train, valid = data.where("id % 3 > 0"), data.where("id % 3 = 0")
+    params = MD.TreeParams(rounds=24, max_depth=2, partitions=2)
+    model, losses, kept = MD.fit_with_early_stopping(train, valid, ["a", "b"], {"a": 0.0, "b": 0.0}, params, 2, layout=["id"])
+    whole = MD.fit_trees(train, ["a", "b"], {"a": 0.0, "b": 0.0}, params, layout=["id"])
+    want = MD.validation_losses(whole, valid)
+    assert kept == MD.best_prefix(want, 2) == MD.trees_of(model).getNumTrees
+    assert losses == pytest.approx(want[:len(losses)]) and len(losses) == min(24, kept + 2)
+    assert MD.validation_losses(model, valid) == pytest.approx(want[:kept])

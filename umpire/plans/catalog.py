@@ -25,7 +25,7 @@ from umpire.operators import registry as R
 from umpire.operators import sampling as W
 from umpire.plans import model as MD
 from umpire.plans.prepared import IMPUTED, fitted, prepared, rule_score, split_rows
-from umpire.plans.training import QUERY_PARAMS, trained
+from umpire.plans.training import trained
 from umpire.schemas import FEATURE_COLUMNS, LABEL
 from umpire.session import shared_dir, table
 from umpire.sources import artifacts as AR
@@ -634,6 +634,8 @@ def m4_validation_f1(spark, sf):
 
 
 _TRIALS: dict = {}
+# Rounds of each of the search's fits: still fewer than the trainer's default.
+SEARCH_ROUNDS = 10
 
 
 def _trials(spark, sf):
@@ -644,7 +646,7 @@ def _trials(spark, sf):
         t = trained(spark, sf)
         ranges = [r if r[0] != "max_depth" else ("max_depth", 2, 4, "int") for r in MD.RANGES]
         _TRIALS[key] = MD.search(spark, t.train, t.valid, DOC_FEATURES, t.medians, n=5, parallel=2,
-                                 rounds=QUERY_PARAMS.rounds, ranges=ranges, layout=["doc_id"]).cache()
+                                 rounds=SEARCH_ROUNDS, ranges=ranges, layout=["doc_id"]).cache()
     return _TRIALS[key]
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import math
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import asdict, dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
@@ -40,6 +40,7 @@ class TreeParams:
     scale_pos_weight: float = 2.0
     min_instances: int = 1
     seed: int = 42
+    partitions: int = 8  # of the training rows; raise it with the data
 
 
 def imputer_stage(medians: dict[str, float], cols: list[str]) -> SQLTransformer:
@@ -66,12 +67,11 @@ def fit_trees(train: DataFrame, features: list[str], medians: dict[str, float],
     """Imputation + assembly + boosted trees fitted on the train split.
 
     Row subsampling is seeded per partition, so with ``layout`` (a key) the
-    rows are first hash-partitioned and sorted by it: the same data gives the
-    same trees whatever the upstream plan or a retried task did."""
+    rows are first hash-partitioned and sorted by it, into ``params.partitions``:
+    the same data gives the same trees whatever the cluster, the upstream plan
+    or a retried task did."""
     if layout:
-        spark = train.sparkSession
-        n = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-        train = train.repartition(n, *layout).sortWithinPartitions(*layout)
+        train = train.repartition(params.partitions, *layout).sortWithinPartitions(*layout)
     imp = imputer_stage(medians, features)
     asm = VectorAssembler(inputCols=[f"{c}_imp" for c in features], outputCol="features",
                           handleInvalid="keep")
@@ -123,15 +123,35 @@ def fit_with_early_stopping(train: DataFrame, valid: DataFrame, features: list[s
                             medians: dict[str, float], params: TreeParams = TreeParams(),
                             patience: int = 25, y: str = "y",
                             layout: list[str] | None = None) -> tuple[PipelineModel, list[float], int]:
-    """Fit all rounds, pick the best prefix on validation, refit to that many
-    rounds (same seed and layout, so the same first trees)."""
-    full = fit_trees(train, features, medians, params, y, layout)
-    losses = validation_losses(full, valid, y)
-    k = best_prefix(losses, patience)
-    if k == params.rounds:
-        return full, losses, k
-    p = TreeParams(**{**asdict(params), "rounds": k})
-    return fit_trees(train, features, medians, p, y, layout), losses, k
+    """Boosted trees kept up to the best validation round (see :func:`best_prefix`).
+
+    The trainer cannot stop by itself, so it is given a few rounds more than
+    ``patience``, and twice as many as long as patience has not run out.  Seeds go
+    by round, so a longer fit begins with the same trees, and the result is that
+    of fitting all ``params.rounds``.  Losses are those up to the stop."""
+    rounds = min(params.rounds, patience + 15)
+    while True:
+        model = fit_trees(train, features, medians, replace(params, rounds=rounds), y, layout)
+        losses = validation_losses(model, valid, y)
+        k = best_prefix(losses, patience)
+        if rounds == params.rounds or len(losses) - k >= patience:
+            return first_trees(model, k), losses[:k + patience], k
+        rounds = min(params.rounds, 2 * rounds)
+
+
+def first_trees(model: PipelineModel, k: int) -> PipelineModel:
+    """The fitted pipeline with the first ``k`` trees of its ensemble."""
+    fitted, jvm = trees_of(model)._java_obj, SparkSession.active()._jvm
+    gateway = SparkSession.active().sparkContext._gateway
+    trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, k)
+    weights = gateway.new_array(jvm.double, k)
+    for i, (tree, weight) in enumerate(zip(fitted.trees(), fitted.treeWeights())):
+        if i < k:
+            trees[i], weights[i] = tree, weight
+    prefix = jvm.org.apache.spark.ml.classification.GBTClassificationModel(fitted.uid(), trees, weights)
+    kept = trees_of(model)._copyValues(GBTClassificationModel(prefix))
+    kept._transfer_params_to_java()
+    return PipelineModel([*model.stages[:-1], kept])
 
 
 def score(model: PipelineModel, df: DataFrame, threshold: float = 0.5) -> DataFrame:

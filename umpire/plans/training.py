@@ -15,8 +15,8 @@ from umpire.plans.prepared import fitted
 from umpire.schemas import LABEL
 from umpire.sources.testdata import DOC_FEATURES
 
-# Small fits for the registered queries (the build plan: depth <= 4, 10 rounds).
-QUERY_PARAMS = MD.TreeParams(rounds=10, max_depth=4)
+# The registered queries fit at the trainer's defaults.
+QUERY_PARAMS = MD.TreeParams()
 
 
 @dataclass
