@@ -56,3 +56,30 @@ def test_frequencies_and_planted_notices(spark):
 def test_paths(spark):
     rows = spark.createDataFrame([("https://a.b/c/d.html?x=/y#z",), ("http://a.b/c/",), ("a.b",), (None,)], "u string")
     assert [r[0] for r in rows.select(L.url_path(F.col("u"))).collect()] == ["a.b/c/d.html", "a.b/c", "a.b", None]
+
+
+LONGER = ["Copyright Foo. Released under the MIT License.", "Copyright Foo Inc. Licensed under the Apache License, Version 2.0.",
+          "Released under the MIT License by Foo.", "see all the plain terms of the zebra license here"]
+
+
+def test_one_page_at_several_table_sizes(spark):
+    for size in (10, 1000, 20000):
+        rows = spark.range(size).select((F.col("id") + 10).alias("page_id"), F.lit(None).cast("string").alias("path"),
+                                        F.concat(F.lit("see all copyright prose "), F.col("id") % 997).alias("html"))
+        pages = spark.createDataFrame([(i, None, t) for i, t in enumerate(LONGER)], rows.schema)
+        got = {r["page_id"]: r for r in L.scan_licences(rows.union(pages), F.col("path"), html=False).filter("page_id < 10").collect()}
+        assert [got[i]["licence"] for i in range(4)] == ["MIT", "Apache-2.0", "MIT", None]
+        assert all(abs(got[i]["score"] - 1) < 1e-9 for i in range(3))
+
+
+def test_foreign_words_have_their_true_weight(spark):
+    texts = LONGER + ["copyright all see", "see the zebra prose under all terms"] * 20 + ["all see work"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "page_id long, html string")
+    every = [set(L.words(t)) for t in texts]
+    scorer = L.Scorer({w: sum(w in e for e in every) for e in every for w in e}, len(texts))
+    for common in (1, 7, 1000):
+        for r in L.scan_licences(rows, F.lit(None).cast("string"), html=False, common=common).collect():
+            bag = L.words(texts[r["page_id"]])
+            want = scorer.best(Counter(bag))[0]
+            parts = [scorer.best(Counter(bag[i:i + n]))[0] for n in set(scorer.sizes) for i in range(len(bag) - n + 1)]
+            assert abs(r["score"] - max([want, *(x for x in parts if x >= 0.7)])) < 1e-9

@@ -2,9 +2,15 @@
 
 A text's passages (lines; in HTML the stretches between tags) and the text as a
 whole are sparse TF-IDF vectors, compared to the templates by cosine.  Inverse
-document frequencies count all passages of the table.  The vocabulary is that of
-the templates, fixed and small; a word outside it has the weight of a word seen
-in no passage, so foreign words lower the cosine.
+document frequencies count all passages of the table, for all words.  A notice
+inside a longer passage is found by windows: as many neighbouring words as a
+template has, from each word of that template on.
+
+Weights of the templates' words and of words in at least one of ``common``
+passages are collected (at most ``common`` times the mean number of distinct
+words of a passage).  The weights of all other words are bounded by that, which
+leaves few vectors that may be a row's best or reach the threshold; only their
+rare words are joined to the table of frequencies.
 
 A row whose best passage reaches the threshold has that licence as its header.
 A licence file (by its name, or because the whole text reaches the threshold)
@@ -19,6 +25,7 @@ import re
 from collections import Counter
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,10 +73,10 @@ class Scorer:
     """Cosines to every template, for given document frequencies."""
 
     def __init__(self, frequency: dict[str, int], total: int):
-        self.weight = {w: math.log((1 + total) / (1 + frequency.get(w, 0))) + 1 for w in VOCABULARY}
+        self.weight = {w: math.log((1 + total) / (1 + frequency.get(w, 0))) + 1 for w in {*VOCABULARY, *frequency}}
         self.other = math.log(1 + total) + 1
         self.index: dict[str, list[tuple[int, float]]] = {}
-        self.names = []
+        self.names, self.sizes, self.vectors = [], [], []
         for name, notices in TEMPLATES.items():
             for notice in notices:
                 vector = {w: n * self.weight[w] for w, n in Counter(words(notice)).items()}
@@ -77,36 +84,95 @@ class Scorer:
                 for w, x in vector.items():
                     self.index.setdefault(w, []).append((len(self.names), x / norm))
                 self.names.append(name)
+                self.sizes.append(sum(Counter(words(notice)).values()))
+                self.vectors.append({w: x / norm for w, x in vector.items()})
 
-    def best(self, bag: Counter) -> tuple[float, str | None]:
-        """The largest cosine and its licence; ties to the first template."""
-        dots, norm = [0.0] * len(self.names), 0.0
+    def vector(self, bag: Counter) -> Vector:
+        """Dot with the nearest template (ties to the first), its licence, the
+        squares of the known weights, and the words of unknown weight."""
+        dots, norm, rare = [0.0] * len(self.names), 0.0, {}
         for w, n in bag.items():
-            x = n * self.weight.get(w, self.other)
+            if (weight := self.weight.get(w)) is None:
+                rare[w] = n
+                continue
+            x = n * weight
             norm += x * x
             for k, y in self.index.get(w, ()):
                 dots[k] += x * y
         top = max(dots)
-        return (top / math.sqrt(norm), self.names[dots.index(top)]) if top > 0 else (0.0, None)
+        return top, self.names[dots.index(top)] if top > 0 else None, norm, rare
 
+    def best(self, bag: Counter) -> tuple[float, str | None]:
+        """The largest cosine and its licence; words of unknown weight count as unseen."""
+        top, name, _, _ = found = self.vector(bag)
+        return (cosine(found, self.other), name) if top > 0 else (0.0, None)
 
-def document_frequencies(rows: DataFrame, text_col: str, html: bool) -> tuple[dict[str, int], int]:
-    """Passages that hold each word of the vocabulary, and all passages: one
-    combining aggregate over the whole table, at most a row per word."""
-    known = frozenset(VOCABULARY)
+    def windows(self, passage: list[str], bag: Counter, least: float):
+        """Vectors of the windows that may reach ``least``.
+
+        A window's cosine to a template is at most the length of the template's
+        unit vector on the words that it shares with the passage."""
+        shared = [0.0] * len(self.names)
+        for w in bag:
+            for k, y in self.index.get(w, ()):
+                shared[k] += y * y
+        for k, square in enumerate(shared):
+            size, template = self.sizes[k], self.vectors[k]
+            if size >= len(passage) or square < least * least * (1 - 1e-9):
+                continue
+            for at in [i for i, w in enumerate(passage) if w in template]:
+                part = passage[at:at + size]
+                if sum(template[w] ** 2 for w in template.keys() & set(part)) < least * least * (1 - 1e-9):
+                    continue
+                yield self.vector(Counter(part))
+
+
+#: dot, licence, squares of known weights, words of unknown weight
+Vector = tuple[float, str | None, float, dict[str, int]]
+
+
+def cosine(vector: Vector, weight: float) -> float:
+    """Cosine where all words of unknown weight have this one."""
+    dot, _, norm, rare = vector
+    return dot / math.sqrt(norm + weight * weight * sum(n * n for n in rare.values())) if dot > 0 else 0.0
 
+
+def word_counts(rows: DataFrame, text_col: str, html: bool) -> DataFrame:
+    """(word, n): passages that hold each word; all passages are the word "".
+    One combining aggregate over the whole table."""
     def run(batches):
+        seen: Counter = Counter()
+
+        def batch_of():
+            return pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())],
+                                              names=["word", "n"])
+
         for batch in batches:
-            seen: Counter = Counter()
             for text in batch.column(0):
                 for p in passages(text.as_py(), html):
                     seen[""] += 1
-                    seen.update(known.intersection(words(p)))
-            yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())],
-                                             names=["word", "n"])
+                    seen.update(set(words(p)))
+                if len(seen) >= 1 << 18:
+                    yield batch_of()
+                    seen.clear()
+        yield batch_of()
+
+    return (rows.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "word string, n long")
+            .groupBy("word").agg(F.sum("n").alias("n")))
+
 
-    counts = (rows.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "word string, n long")
-              .groupBy("word").agg(F.sum("n").alias("n")).collect())
+def common_words(counts: DataFrame, common: int) -> tuple[dict[str, int], int, int]:
+    """Counts of the templates' words and of all in one of ``common`` passages,
+    the number of passages, and the count that all other words are below."""
+    total = (counts.filter("word = ''").agg(F.sum("n").alias("n")).first()["n"]) or 0
+    least = max(1, -(-total // common))
+    found = counts.filter((F.col("word") != "") & ((F.col("n") >= least) | F.col("word").isin(VOCABULARY))).collect()
+    return {r["word"]: r["n"] for r in found}, total, least
+
+
+def document_frequencies(rows: DataFrame, text_col: str, html: bool) -> tuple[dict[str, int], int]:
+    """Passages that hold each word of the templates, and all passages."""
+    counts = word_counts(rows, text_col, html).filter(F.col("word").isin("", *VOCABULARY)).collect()
     out = {r["word"]: r["n"] for r in counts}
     return out, out.pop("", 0)
 
@@ -118,40 +184,78 @@ def url_path(url: Column) -> Column:
 
 
 def scan_licences(rows: DataFrame, path: Column, id_col: str = "page_id", text_col: str = "html", html: bool = True,
-                  threshold: float = 0.7) -> DataFrame:
+                  threshold: float = 0.7, common: int = 1000) -> DataFrame:
     """One row per input row: (id, licence, score, origin).
 
     ``origin`` is "header" (its own notice; ``score`` its cosine), "file" (a
     licence file), "inherited" (``score`` that of the licence file) or null
-    where no licence is found (``score`` its own best cosine).  ``path`` is a
-    slash-separated expression.  A row without a path has no directory.  A null
-    or empty text has cosine 0.  Of several licence files in a directory the
-    one of the largest score counts, then the first licence by name.  Rows with
-    a null or repeated id each give a row; extra columns are ignored.
+    where no licence is found (``score`` its own best cosine).  A row's cosine
+    is that of its best passage, or of its best window if that reaches the
+    threshold and is more.  ``path`` is a slash-separated expression.  A row
+    without a path has no directory.  A null or empty text has cosine 0.  Of
+    several licence files in a directory the one of the largest score counts,
+    then the first licence by name.  Rows with a null or repeated id each give
+    a row; extra columns are ignored.  ``common`` does not change the result.
     """
     ensure_checkpoint_dir(rows.sparkSession)
-    frequency, total = document_frequencies(rows, text_col, html)
+    counts = word_counts(rows, text_col, html).checkpoint()
+    frequency, total, least = common_words(counts, common)
+    # a rare word is in 1 to least - 1 passages
+    light, heavy = math.log((1 + total) / least) + 1, math.log((1 + total) / 2) + 1
     plain = rows.select(F.col(id_col).alias("id"), path.alias("path"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema[id_col].dataType.simpleString()
+    struct = "struct<whole: boolean, dot: double, licence: string, norm: double, rare: array<struct<word: string, n: long>>>"
+
+    def candidates(scorer, text):
+        """(whole text?, vector): those that may settle the row."""
+        parts, own = Counter(), []
+        for passage in map(words, passages(text, html)):
+            bag = Counter(passage)
+            parts.update(bag)
+            found = scorer.vector(bag)
+            if found[0] > 0:
+                own.append(found)
+                own += [w for w in scorer.windows(passage, bag, threshold) if cosine(w, light) >= threshold * (1 - 1e-9)]
+        floor = max((cosine(v, heavy) for v in own), default=0.0) * (1 - 1e-9)
+        kept, seen = [], set()
+        for v in own:
+            if cosine(v, light) >= floor and (key := (v[:3], frozenset(v[3].items()))) not in seen:
+                seen.add(key)
+                kept.append((False, v))
+        whole = scorer.vector(parts)
+        if own and cosine(whole, light) >= threshold * (1 - 1e-9):
+            kept.append((True, whole))
+        return kept
 
     def run(batches):
         scorer = Scorer(frequency, total)
+        at = TaskContext.get().partitionId() << 40
         for batch in batches:
-            found = []
-            for text in batch.column(2):
-                parts = [Counter(words(p)) for p in passages(text.as_py(), html)]
-                header = max((scorer.best(p) for p in parts), key=lambda x: x[0], default=(0.0, None))
-                whole = Counter()
-                for p in parts:
-                    whole.update(p)
-                found.append((*header, *(scorer.best(whole) if header[0] > 0 else (0.0, None))))
-            score, licence, all_score, all_licence = zip(*found) if found else ((),) * 4
+            found = [[{"whole": w, "dot": v[0], "licence": v[1], "norm": v[2],
+                       "rare": [{"word": k, "n": n} for k, n in v[3].items()]} for w, v in candidates(scorer, text.as_py())]
+                     for text in batch.column(2)]
+            kinds = pa.list_(pa.struct([("whole", pa.bool_()), ("dot", pa.float64()), ("licence", pa.string()), ("norm", pa.float64()),
+                                        ("rare", pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())])))]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(score, pa.float64()), pa.array(licence, pa.string()),
-                 pa.array(all_score, pa.float64()), pa.array(all_licence, pa.string())],
-                names=["id", "path", "score", "licence", "all_score", "all_licence"])
+                [batch.column(0), batch.column(1), pa.array(range(at, at + batch.num_rows), pa.int64()), pa.array(found, kinds)],
+                names=["id", "path", "row", "vectors"])
+            at += batch.num_rows
 
-    scored = (plain.mapInArrow(run, f"id {kind}, path string, score double, licence string, all_score double, all_licence string")
+    read = plain.mapInArrow(run, f"id {kind}, path string, row long, vectors array<{struct}>").checkpoint()
+    vectors = read.select("row", F.posexplode("vectors").alias("at", "v")).select("row", "at", "v.*")
+    # squares are added in one order, whatever the shuffle was
+    rare = (vectors.select("row", "at", F.explode("rare").alias("r")).select("row", "at", "r.*").join(counts.select("word", F.col("n").alias("times")), "word")
+            .groupBy("row", "at").agg(F.array_sort(F.collect_list(
+                F.pow(F.col("n") * (F.log((1 + F.lit(total)) / (1 + F.col("times"))) + 1), 2))).alias("squares")))
+    weighed = (vectors.filter(F.size("rare") == 0).select("row", "at", "whole", "dot", "licence", "norm")
+               .unionByName(vectors.filter(F.size("rare") > 0).drop("rare").join(rare, ["row", "at"])
+                            .withColumn("norm", F.aggregate("squares", F.col("norm"), lambda a, x: a + x)).drop("squares"))
+               .withColumn("score", F.col("dot") / F.sqrt("norm")))
+    own = F.when(~F.col("whole"), F.struct("score", (-F.col("at")).alias("order"), "licence"))
+    best = (weighed.groupBy(F.col("row").alias("of_row"))
+            .agg(F.max(own).alias("own"), F.max(F.when(F.col("whole"), F.col("score"))).alias("all_score")))
+    scored = (read.join(best, F.col("row") == F.col("of_row"), "left")
+              .select("id", "path", F.coalesce("own.score", F.lit(0.0)).alias("score"), "own.licence", F.coalesce("all_score", F.lit(0.0)).alias("all_score"))
               .withColumn("dir", F.when(F.col("path").contains("/"), F.regexp_replace("path", r"/[^/]*$", "")))
               .withColumn("named", F.coalesce(F.col("path").rlike(_FILE), F.lit(False)))
               .withColumn("file", (F.col("all_score") >= threshold) | (F.col("named") & (F.col("score") >= threshold)))
