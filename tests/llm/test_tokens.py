@@ -67,6 +67,24 @@ def test_pack_balances_groups_and_takes_any_rows(spark):
         packing.pack(docs, longest=100)
 
 
+def test_short_documents_are_packed_in_their_own_tiers():
+    rng = random.Random(4)
+    sizes = [rng.choice([1, 3, 20, *[100] * 40, 700, 1500, 2048, 5000]) for _ in range(6000)]
+    sequences, ids = {}, 0
+    for rows in packing.pack_stream(((i, b"\0" * 4 * n) for i, n in enumerate(sizes)), 2048, 1 << 16, 8, 0):
+        for doc, start, n, _, _, sequence, offset, tier, _ in rows:
+            sequences.setdefault((sequence, tier), []).append((offset, n))
+            ids += n
+    assert ids == sum(sizes)
+    odd = [k for (k, tier), pieces in sequences.items() if 2 * dict(pieces)[0] <= tier and tier > 1]
+    assert len(odd) <= 12 and all(sum(n for _, n in pieces) == tier for (_, tier), pieces in sequences.items())
+    by_tier = {t: sum(tier == t for _, tier in sequences) for _, t in sequences}
+    assert by_tier[2048] > 400 and by_tier[128] > 1000
+    # the first group of a partition turns with its number
+    firsts = [next(packing.pack_stream([(0, b"\0" * 4)], 4, 8, 4, p << 32))[0][8] for p in range(5)]
+    assert firsts == [0, 1, 2, 3, 0]
+
+
 @pytest.mark.parametrize("block_bytes", [2, 64, 1 << 18])
 def test_separator_counts(spark, ids, block_bytes):
     written = separators.write_blocks(frame(spark).coalesce(1), block_bytes=block_bytes).cache()

@@ -2,16 +2,18 @@
 
 Documents are routed to context-size tiers.  Every full ``longest`` ids of a
 document are a sequence of their own in the top tier; the remainder belongs to
-the tier of the next power of two.  The long windows are packed first, each
-opened by the largest remainder left and its gap filled with the largest
-pieces of the shorter tiers that fit; the last gap is filled exactly by cutting
-a piece of the shortest tier, whose rest stays in the pool.  What is left at
-the end of a partition is cut into sequences whose lengths are powers of two,
-so no sequence needs padding.  Sequences are dealt to step groups so that the
-groups of a partition differ by one full window at most.
+the tier of the next power of two.  Every tier has a pool and windows of its own
+length, the long ones packed first: a window is opened by the largest piece of
+its tier, and its gap, less than half of it, is filled with the largest pieces of
+the shorter tiers that fit; the last gap is filled exactly by cutting a piece of
+the shortest tier, whose rest goes to the tier of its length.  What is left at
+the end of a partition and fills no window is cut into sequences whose lengths
+are powers of two, so no sequence needs padding.  Sequences are dealt to step
+groups so that the groups of a partition differ by one full window at most; the
+group that comes first turns with the partition's number.
 
 Every task packs its own partition of the input in one pass: nothing is
-shuffled, and memory holds one pool of remainders (``pool_ids`` ids).
+shuffled, and memory holds the pools of remainders (``pool_ids`` ids in all).
 Sequence ids are the partition's number and a counter.
 """
 
@@ -34,37 +36,43 @@ EOD = 1
 
 
 class _Pool:
-    """Remainders in order of length: (length, number, doc, start, ids, doc length)."""
+    """Remainders by tier, each in order of length: (length, number, doc, start,
+    ids, doc length).  Tier t holds lengths from 2 ** t / 2, exclusive, to 2 ** t."""
 
-    def __init__(self):
-        self.items: list[tuple] = []
+    def __init__(self, longest: int):
+        self.tiers: list[list[tuple]] = [[] for _ in range(longest.bit_length())]
         self.total, self.number = 0, 0
 
     def add(self, doc, start, ids, doc_tokens):
         n = len(ids) // 4
         self.number += 1
-        bisect.insort(self.items, (n, self.number, doc, start, ids, doc_tokens), key=lambda x: x[:2])
+        bisect.insort(self.tiers[(n - 1).bit_length()], (n, self.number, doc, start, ids, doc_tokens), key=lambda x: x[:2])
         self.total += n
 
-    def take(self, i: int) -> tuple:
-        item = self.items.pop(i)
+    def take(self, tier: int, i: int) -> tuple:
+        item = self.tiers[tier].pop(i)
         self.total -= item[0]
         return item
 
-    def fitting(self, gap: int) -> int:
-        """Index of the largest item that fits the gap, or -1."""
-        return bisect.bisect_right(self.items, gap, key=lambda x: x[0]) - 1
+    def fitting(self, gap: int) -> tuple[int, int] | None:
+        """Tier and index of the largest item that fits the gap."""
+        for t in range((gap - 1).bit_length(), -1, -1):
+            if (i := bisect.bisect_right(self.tiers[t], gap, key=lambda x: x[0])) > 0:
+                return t, i - 1
+        return None
+
+    def shortest(self) -> tuple[int, int]:
+        return next(t for t, items in enumerate(self.tiers) if items), 0
 
 
 def _window(pool: _Pool, size: int) -> list[tuple]:
     """Pieces (doc, start, ids, doc length) that fill ``size`` ids exactly."""
     pieces, gap = [], size
     while gap:
-        i = pool.fitting(gap)
-        if i >= 0:
-            n, _, doc, start, ids, total = pool.take(i)
+        if at := pool.fitting(gap):
+            n, _, doc, start, ids, total = pool.take(*at)
         else:  # nothing fits: cut the shortest
-            _, _, doc, start, ids, total = pool.take(0)
+            _, _, doc, start, ids, total = pool.take(*pool.shortest())
             n = gap
             pool.add(doc, start + n, ids[4 * n:], total)
             ids = ids[:4 * n]
@@ -75,7 +83,7 @@ def _window(pool: _Pool, size: int) -> list[tuple]:
 
 def pack_stream(documents, longest: int, pool_ids: int, groups: int, first_id: int):
     """Rows of pieces, list by list, for an iterable of (doc, id bytes)."""
-    pool, load, sequence = _Pool(), [0] * groups, first_id
+    pool, load, sequence, turn = _Pool(longest), [0] * groups, first_id, first_id >> 32
 
     def close(pieces, size):
         nonlocal sequence
@@ -84,11 +92,19 @@ def pack_stream(documents, longest: int, pool_ids: int, groups: int, first_id: i
         at, rows = 0, []
         for doc, start, ids, total in pieces:
             n = len(ids) // 4
-            rows.append((doc, start, n, zlib.crc32(ids), total, sequence, at, size, group))
+            rows.append((doc, start, n, zlib.crc32(ids), total, sequence, at, size, (group + turn) % groups))
             at += n
         sequence += 1
         return rows
 
+    def windows(least):
+        """Windows of every tier, long ones first, while the pools hold ``least`` ids."""
+        rows = []
+        for t in range(len(pool.tiers) - 1, -1, -1):
+            while pool.tiers[t] and pool.total >= max(least, 1 << t):
+                rows += close(_window(pool, 1 << t), 1 << t)
+        return rows
+
     for doc, ids in documents:
         total = len(ids) // 4
         cut = total - total % longest
@@ -98,11 +114,10 @@ def pack_stream(documents, longest: int, pool_ids: int, groups: int, first_id: i
         if cut < total:
             pool.add(doc, cut, ids[4 * cut:], total)
         if pool.total >= pool_ids:
-            while pool.total >= pool_ids // 2 and pool.total >= longest:
-                rows += close(_window(pool, longest), longest)
+            rows += windows(pool_ids // 2)
         if rows:
             yield rows
-    rows, size = [], longest
+    rows, size = windows(0), longest
     while pool.total:
         while size > pool.total:
             size //= 2
