@@ -76,3 +76,29 @@ def test_early_stopping_keeps_the_trees_of_the_full_fit(spark):
     assert kept == MD.best_prefix(want, 2) == MD.trees_of(model).getNumTrees
     assert losses == pytest.approx(want[:len(losses)]) and len(losses) == min(24, kept + 2)
     assert MD.validation_losses(model, valid) == pytest.approx(want[:kept])
+
+
+def test_registered_search_fits_whole_trials(spark, monkeypatch):
+    from dataclasses import replace
+    from types import SimpleNamespace
+
+    from umpire.plans import catalog as C
+    from umpire.plans import model as MD
+    from umpire.sources.testdata import DOC_FEATURES
+
+    rows = spark.range(40).selectExpr("id AS doc_id", "CAST(id % 2 AS DOUBLE) AS y",
+                                      *[f"CAST(id * {i + 3} % 7 AS DOUBLE) AS `{c}`" for i, c in enumerate(DOC_FEATURES)])
+    seen, fit = [], MD.fit_trees
+
+    def small(train, valid, features, medians, params, patience, y="y", layout=None):
+        seen.append((params, patience, layout))
+        return fit(train, features, medians, replace(params, rounds=1, max_depth=2), y, layout), [0.5], 1
+
+    monkeypatch.setattr(MD, "fit_with_early_stopping", small)
+    monkeypatch.setattr(C, "_TRIALS", {})
+    monkeypatch.setattr(C, "trained", lambda *a: SimpleNamespace(train=rows, valid=rows, medians=dict.fromkeys(DOC_FEATURES, 0.0)))
+    trials = sorted(C.m5_search(spark, "nowhere").collect())
+    assert [r["max_depth"] for r in trials] == [c["max_depth"] for c in MD.sample_params(5, MD.RANGES, 42)]
+    assert all(5 <= r["max_depth"] <= 15 for r in trials)
+    assert sorted(p.max_depth for p, _, _ in seen) == sorted(r["max_depth"] for r in trials)
+    assert [(p.rounds, patience, layout) for p, patience, layout in seen] == [(120, 25, ["doc_id"])] * 5

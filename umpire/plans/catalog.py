@@ -634,8 +634,6 @@ def m4_validation_f1(spark, sf):
 
 
 _TRIALS: dict = {}
-# Rounds of each of the search's fits: still fewer than the trainer's default.
-SEARCH_ROUNDS = 10
 
 
 def _trials(spark, sf):
@@ -644,9 +642,8 @@ def _trials(spark, sf):
     key = (id(spark), sf)
     if key not in _TRIALS:
         t = trained(spark, sf)
-        ranges = [r if r[0] != "max_depth" else ("max_depth", 2, 4, "int") for r in MD.RANGES]
         _TRIALS[key] = MD.search(spark, t.train, t.valid, DOC_FEATURES, t.medians, n=5, parallel=2,
-                                 rounds=SEARCH_ROUNDS, ranges=ranges, layout=["doc_id"]).cache()
+                                 layout=["doc_id"]).cache()
     return _TRIALS[key]
 
 

@@ -203,9 +203,10 @@ def sample_params(n: int, ranges=RANGES, seed: int = 42) -> list[dict]:
 
 def search(spark: SparkSession, train: DataFrame, valid: DataFrame, features: list[str],
            medians: dict[str, float], n: int = 5, parallel: int = 2, rounds: int = 120,
-           ranges=RANGES, seed: int = 42, layout: list[str] | None = None) -> DataFrame:
+           ranges=RANGES, seed: int = 42, layout: list[str] | None = None, patience: int = 25) -> DataFrame:
     """Random search maximising validation AUC; ``parallel`` fits run at once
-    (each fit is itself a distributed job).  ``lambda``/``alpha``/
+    (each fit is itself a distributed job).  A trial is fitted up to ``rounds``
+    rounds with early stopping (:func:`fit_with_early_stopping`).  ``lambda``/``alpha``/
     ``min_child_weight`` have no GBTClassifier counterpart and are recorded only."""
     configs = sample_params(n, ranges, seed)
     evaluator = BinaryClassificationEvaluator(labelCol="y", rawPredictionCol="rawPrediction",
@@ -216,7 +217,7 @@ def search(spark: SparkSession, train: DataFrame, valid: DataFrame, features: li
         p = TreeParams(rounds=rounds, eta=cfg["eta"], max_depth=int(cfg["max_depth"]),
                        subsample=min(cfg["subsample"], 1.0), colsample=min(cfg["colsample"], 1.0),
                        scale_pos_weight=cfg["scale_pos_weight"], seed=seed + i)
-        m = fit_trees(train, features, medians, p, layout=layout)
+        m, _, _ = fit_with_early_stopping(train, valid, features, medians, p, patience, layout=layout)
         auc = evaluator.evaluate(m.transform(valid))
         return (i, *[float(cfg[r[0]]) for r in ranges], float(auc))
 
