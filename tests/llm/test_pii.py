@@ -69,3 +69,9 @@ def test_digest(spark):
     assert rows[1]["base_sha256"] == hashlib.sha256(b"email:2:8,ip:9:16").hexdigest()
     assert rows[None]["spans"] == "" and rows[3]["base_sha256"] == hashlib.sha256(b"").hexdigest()
     assert pii.digest(pii.personal_data(docs.limit(0))).count() == 0
+
+
+def test_leading_zeros_of_any_length():
+    long = "0" * 30
+    for text, n in ((f"{long}1.2.3.{long}255", 1), (f"1.2.3.{long}256", 0), (f"{long}.0.{long}.0", 1), ("0" * 19 + "1.2.3.4", 1)):
+        assert [s for s in found(text) if s[2] == "ip"] == [(0, len(text), "ip")] * n

@@ -105,7 +105,7 @@ def find(text: str | None) -> list[tuple[int, int, str]]:
                 m = _QUAD.match(text, at) if at >= done["ip"] else None
                 if m:
                     done["ip"] = m.end()
-                    if all(len(p) < 20 and int(p) <= 255 for p in m.groups()):
+                    if all(len(p := g.lstrip("0")) <= 3 and int(p or "0") <= 255 for g in m.groups()):
                         out.append((at, m.end(), "ip"))
             if at >= done["card"]:
                 m = _CARD.match(text, at)
