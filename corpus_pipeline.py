@@ -17,7 +17,8 @@ from umpire.llm.minhash import near_duplicates
 from umpire.llm.mixing import systematic_mix
 from umpire.llm.packing import pack
 from umpire.llm.quality import quality_rules
-from umpire.session import shared_dir, table
+from umpire.operators.ordered import row_rank
+from umpire.session import ensure_checkpoint_dir, shared_dir, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,11 +39,23 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: that of least id, once."""
-    marks = near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
-    first = docs.join(marks, "doc_id", "left_anti")
-    named = first.filter("doc_id is not null").dropDuplicates(["doc_id", "text"])
-    return named.unionByName(first.filter("doc_id is null")).select(*docs.columns)
+    """One document of each group of near copies stays: that of least id, once.
+
+    A document is an id and a text.  Where an id repeats with other texts, documents
+    are numbered in order of id and text hash, so that each is judged by itself."""
+    ensure_checkpoint_dir(spark)
+    keyed = docs.withColumn("_mark", F.xxhash64("text"))
+    named = keyed.filter("doc_id is not null")
+    if named.groupBy("doc_id").agg((F.min("_mark") != F.max("_mark")).alias("differ")).filter("differ").isEmpty():
+        marks = near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
+        first = docs.join(marks, "doc_id", "left_anti")
+    else:
+        names = row_rank(named.select("doc_id", "_mark").distinct(), ["doc_id", "_mark"], name="_node").checkpoint()
+        texts = named.select("doc_id", "_mark", "text").dropDuplicates(["doc_id", "_mark"]).join(names, ["doc_id", "_mark"])
+        copies = near_duplicates(texts, id_col="_node").filter(~F.col("kept")).select(F.col("doc_id").alias("_node")).distinct()
+        first = keyed.join(names.join(copies, "_node", "left_semi"), ["doc_id", "_mark"], "left_anti")
+    once = first.filter("doc_id is not null").dropDuplicates(["doc_id", "text"])
+    return once.unionByName(first.filter("doc_id is null")).select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

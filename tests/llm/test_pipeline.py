@@ -65,3 +65,13 @@ def test_odd_rows_pass_every_stage(spark, tmp_path):
             stage(spark, docs, SF).write.parquet(str(tmp_path / f"{name}{k}"))
             docs = spark.read.parquet(str(tmp_path / f"{name}{k}"))
         assert (docs.count() > 0) == bool(data)
+
+
+def test_repeated_ids_are_judged_text_by_text(spark):
+    words = {x: [f"{x}{i}" for i in range(200)] for x in "abc"}
+    copy, near, own, other = (" ".join(words["a"]), " ".join(words["a"][:-2] + ["new"]), " ".join(words["b"]), " ".join(words["c"]))
+    rows = [(1, copy), (5, copy), (5, own), (6, near), (6, other), (7, other), (7, other), (None, own), (None, None), (8, None), (8, near)]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, source string")
+    got = sorted((tuple(r) for r in P.near_copies(spark, docs, SF).collect()), key=repr)
+    want = [(1, copy), (5, own), (6, other), (8, None), (None, own), (None, None)]
+    assert got == sorted(((i, t, "x") for i, t in want), key=repr)
