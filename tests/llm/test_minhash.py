@@ -81,3 +81,10 @@ def test_components_of_random_graphs(spark):
         got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
         want = roots({x for e in links for x in e}, links)
         assert got == want
+
+
+def test_trees_hold_the_miss_rate_at_any_similarity():
+    from umpire.llm import minhash
+    for share, trees in ((0.85, 16), (0.8, 23)):
+        assert minhash.trees_for(share, 4) == trees and (1 - share ** 4) ** trees <= 7.5e-6
+    assert minhash.trees_for(1.0, 4) == minhash.trees_for(0.99, 4) == 16

@@ -27,6 +27,8 @@ Nothing of the corpus reaches the driver but counts.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -318,8 +320,15 @@ def _nodes(docs, id_col, text_col, nodes, k):
             .dropDuplicates(["doc_id", "f1", "f2"]).select("doc_id", "items", "brief"))
 
 
+def trees_for(similarity: float, least: int, miss: float = 7.5e-6) -> int:
+    """Trees with which a pair at this similarity shares no prefix of ``least``
+    hashes in any tree with probability ``miss`` at most; 16 at the least."""
+    share = similarity ** least
+    return max(16, math.ceil(math.log(miss) / math.log1p(-share))) if 0 < share < 1 else 16
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
-                    num: int = 80, den: int = 100, trees: int = 16, depth: int = 8, least: int = 4,
+                    num: int = 80, den: int = 100, trees: int | None = None, depth: int = 8, least: int = 4,
                     window: int = 4) -> DataFrame:
     """One row per document: (doc_id, n_shingles, component_id, kept).
 
@@ -327,9 +336,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     distinct ``k``-word shingles (A-Z lower-cased).  ``component_id`` is the
     smallest id reachable over links.  A null or wordless text has an empty set
     and no links.  A row without an id is its own: null component, kept.  Rows
-    that repeat an id each give a row.  Extra columns are ignored.  A pair at
-    exactly 0.85 shares no prefix of 4 in any of 16 trees with probability 7e-6.
+    that repeat an id each give a row.  Extra columns are ignored.  ``trees``
+    is as many as :func:`trees_for` gives unless set: 16 at 0.85, 23 at 0.80.
     """
+    trees = trees or trees_for(num / den, least)
     ensure_checkpoint_dir(docs.sparkSession)
     feats = features(docs, id_col, text_col, k, trees * depth).checkpoint()
     keyed = feats.filter("n > 0 and doc_id is not null")
