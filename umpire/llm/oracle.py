@@ -2,6 +2,19 @@
 
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: The 256 checksums of single bytes: the reflected polynomial 0xEDB88320.
+CRC = """SELECT list_transform(range(256), lambda x: list_reduce([x, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384::BIGINT) ELSE a // 2 END)) AS tab"""
+
+
+def crc32(text: str) -> str:
+    """Checksum of a string's UTF-8 bytes, with ``tab`` in scope."""
+    byte = (f"list_transform(range(octet_length(encode({text}))), "
+            f"lambda i: ('0x' || substr(hex(encode({text})), (2 * i + 1)::BIGINT, 2))::BIGINT)")
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, {byte}), "
+            f"lambda a, b: xor(a // 256, tab[xor(a % 256, b) + 1])), 4294967295::BIGINT)")
+
+
 SQL = {
     "op1_minhash": rf"""
 WITH RECURSIVE words AS (
@@ -69,4 +82,58 @@ placed AS (
 SELECT doc_id, size, source_size, target,
        (least(floor(rate * place + start) - floor(rate * (place - 1) + start), 2)::BIGINT * size)::BIGINT AS taken
 FROM placed""",
+    "op12_trie": f"""
+WITH table_ AS ({CRC}),
+turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place,
+         {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS t
+  FROM conversations WHERE conv_id IS NOT NULL),
+lists AS (SELECT conv_id, list(t ORDER BY place) AS l FROM turns GROUP BY conv_id),
+convs AS (SELECT conv_id, l, {crc32("conv_id::VARCHAR")} % 6 AS h FROM lists, table_),
+rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(d.l[1:c.h], []), c.l[c.h + 1:]) AS l
+  FROM convs c LEFT JOIN lists d ON d.conv_id = c.conv_id - c.conv_id % 100),
+steps AS (SELECT conv_id, len(l) AS size, unnest(range(0, len(l) + 1)) AS depth, l FROM rebuilt),
+nodes AS (
+  SELECT l[1:depth] AS p, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (size = depth), '')) AS ends_sha256
+  FROM steps GROUP BY ALL),
+kids AS (SELECT p[1:depth - 1] AS p, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+own AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children,
+         CASE WHEN n.depth > 0 THEN (n_convs - 1) * length(n.p[n.depth].text) ELSE 0 END AS saved
+  FROM nodes n LEFT JOIN kids k ON k.p = n.p),
+sums AS (
+  SELECT p[1:d] AS p, sum((n_children = 0)::BIGINT) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT p, n_children, saved, unnest(range(0, depth + 1)) AS d FROM own) GROUP BY ALL)
+SELECT o.conv_id, o.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, o.n_convs, o.n_children,
+       s.n_leaves::BIGINT AS n_leaves, s.saved_tokens::BIGINT AS saved_tokens, o.ends_sha256
+FROM own o JOIN sums s ON s.p = o.p LEFT JOIN nodes u ON o.depth > 0 AND u.p = o.p[1:o.depth - 1]""",
+    "op13_spelling": rf"""
+WITH RECURSIVE table_ AS ({CRC}),
+runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') || ':' AS head, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents) GROUP BY ALL),
+marked AS (SELECT run, n, {crc32("head || run")} AS h FROM runs, table_ WHERE length(run) >= 6),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n
+  FROM (SELECT n, CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM marked)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+less AS (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS part
+  FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS m FROM less a JOIN less b ON a.part = b.part AND a.i = b.i AND a.word <> b.word
+  UNION SELECT l.word, w.word, w.n FROM less l JOIN words w ON l.part = w.word
+  UNION SELECT w.word, l.word, l.n FROM less l JOIN words w ON l.part = w.word),
+best AS (SELECT word, count(*) AS n_near, max(m) AS m FROM near GROUP BY word),
+firsts AS (SELECT x.word, min(x.other) AS other FROM near x JOIN best b ON b.word = x.word AND b.m = x.m GROUP BY x.word),
+found AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.m >= 5 * w.n THEN b.m END AS form_n,
+         CASE WHEN b.m >= 5 * w.n THEN x.other END AS form
+  FROM words w LEFT JOIN best b ON b.word = w.word LEFT JOIN firsts x ON x.word = w.word),
+walk AS (
+  SELECT word, word AS at, form AS further FROM found
+  UNION ALL SELECT k.word, f.word, f.form FROM walk k JOIN found f ON f.word = k.further)
+SELECT f.word, f.form, k.at AS root, f.n, f.n_near, f.form_n FROM found f JOIN walk k ON k.word = f.word AND k.further IS NULL""",
 }

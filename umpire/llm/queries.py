@@ -66,4 +66,19 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from umpire.llm.fingerprints import edit_likeness
+    return edit_likeness(table(spark, sf_dir, "documents"))
+
+
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from umpire.llm.trie import prefix_trie
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from umpire.llm.spelling import spelling_variants
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {name: fn for name, fn in list(globals().items()) if name.startswith("op")}
