@@ -206,16 +206,29 @@ def sequential_cover(x: dict[str, np.ndarray], bad: np.ndarray, longest: int = 4
     return rules
 
 
+def labelled(rows: DataFrame, labels: DataFrame, id_col: str, label_col: str, max_rows: int) -> DataFrame:
+    """(id, _label) of labels 0 and 1, an id labelled twice by its lowest: all of them, or
+    where ``rows`` hold many more than ``max_rows``, those under a bound of the id's hash
+    that surely includes the ``max_rows`` rows of smallest hash."""
+    known = (labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
+             .groupBy(F.col(id_col)).agg(F.min(label_col).alias("_label")))
+    held = rows.select(id_col).join(known, id_col).count()
+    if held > 2 * max_rows:
+        few = known.filter(F.xxhash64(id_col) <= int((1 << 64) * 1.2 * max_rows / held) - (1 << 63))
+        if rows.select(id_col).join(few, id_col).count() >= max_rows:
+            return few
+    return known
+
+
 def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality",
         max_rows: int = 20_000, **options) -> list[Rule]:
     """Learn the list from rows with label 0 (bad) or 1.
 
     Rows without a label or id take no part; an id labelled twice counts by its
     lowest label.  The ``max_rows`` rows of smallest id hash are used, in hash
-    order, so a refit agrees.
+    order, so a refit agrees.  Only rows near that bound are sorted.
     """
-    known = (labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
-             .groupBy(F.col(id_col)).agg(F.min(label_col).alias("_label")))
+    known = labelled(stats, labels, id_col, label_col, max_rows)
     rows = (stats.join(known, id_col).select(F.xxhash64(F.col(id_col)).alias("_h"), F.col(id_col).alias("_id"),
                                              (F.col("_label") == 0).alias("_bad"),
                                              *[c.alias(n) for n, c in features().items()])
@@ -240,14 +253,19 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
                   keep: tuple[str, ...] = (), **options) -> DataFrame:
     """Statistics of every row, ``base_failed`` and ``kept``.
 
-    The statistics are written once to the checkpoint folder: the fit and the
-    verdict read them there, without the texts.
+    Without ``keep`` the statistics are written once to the checkpoint folder, and the
+    fit and the verdict read them there.  With it the fit first measures the rows that
+    it may use, so the texts of the others are read once.
     """
     stats = statistics(docs, id_col, text_col, keep)
     if not keep:
         stats = stats.checkpoint()
         rules = fit(stats, labels, id_col, **options)
     else:
-        rules = fit(statistics(docs, id_col, text_col).checkpoint(), labels, id_col, **options)
+        bound = options.get("max_rows", 20_000)
+        known = labelled(docs, labels, id_col, options.get("label_col", "quality"), bound).checkpoint()
+        known = F.broadcast(known) if known.count() <= 4 * bound else known
+        sample = docs.join(known.select(id_col), id_col, "left_semi")
+        rules = fit(statistics(sample, id_col, text_col).checkpoint(), labels, id_col, **options)
     return (stats.withColumn("base_failed", base_failed())
             .withColumn("kept", ~F.col("base_failed") & verdict(rules)))
