@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from umpire.operators import bias as B
+from umpire.operators import boosting as BT
 from umpire.plans import model as MD
 
 
@@ -36,7 +37,7 @@ def test_best_prefix_patience():
 
 def test_importance_type_must_be_known(spark):
     with pytest.raises(ValueError):
-        MD.tree_importance(spark, "/nonexistent", ["a"], kind="bogus")
+        MD.tree_importance(spark.range(1), ["a"], kind="bogus")
 
 
 def test_search_space_is_seeded():
@@ -67,15 +68,14 @@ def test_prefix_choice_equals_the_loop(spark):
 
 def test_early_stopping_keeps_the_trees_of_the_full_fit(spark):
     rows = [(i, float(i % 7), float((i * 37) % 11), float((i * i) % 5 > 1)) for i in range(200)]
-    data = spark.createDataFrame(rows, "id long, a double, b double, y double")
-    train, valid = data.where("id % 3 > 0"), data.where("id % 3 = 0")
-    params = MD.TreeParams(rounds=24, max_depth=2, partitions=2)
-    model, losses, kept = MD.fit_with_early_stopping(train, valid, ["a", "b"], {"a": 0.0, "b": 0.0}, params, 2, layout=["id"])
-    whole = MD.fit_trees(train, ["a", "b"], {"a": 0.0, "b": 0.0}, params, layout=["id"])
-    want = MD.validation_losses(whole, valid)
-    assert kept == MD.best_prefix(want, 2) == MD.trees_of(model).getNumTrees
-    assert losses == pytest.approx(want[:len(losses)]) and len(losses) == min(24, kept + 2)
-    assert MD.validation_losses(model, valid) == pytest.approx(want[:kept])
+    frame = spark.createDataFrame(rows, "id long, a double, b double, y double")
+    train, valid = frame.where("id % 3 > 0"), frame.where("id % 3 = 0")
+    params = MD.TreeParams(rounds=24, max_depth=2, reg_alpha=0.0, reg_lambda=0.1, eta=0.5)
+    model, losses, kept = MD.fit_with_early_stopping(train, valid, ["a", "b"], {"a": 0.0, "b": 0.0}, params, 2, id_col="id")
+    whole, want = BT.fit(train, valid, ["a", "b"], {"a": 0.0, "b": 0.0}, params, id_col="id")
+    assert kept == MD.best_prefix(want, 2) == len(model.trees) < len(want)
+    assert losses == want[:len(losses)] and len(losses) == min(24, kept + 2)
+    assert model.node_rows() == whole.first(kept).node_rows()
 
 
 def test_registered_search_fits_whole_trials(spark, monkeypatch):
@@ -83,22 +83,22 @@ def test_registered_search_fits_whole_trials(spark, monkeypatch):
     from types import SimpleNamespace
 
     from umpire.plans import catalog as C
-    from umpire.plans import model as MD
     from umpire.sources.testdata import DOC_FEATURES
 
     rows = spark.range(40).selectExpr("id AS doc_id", "CAST(id % 2 AS DOUBLE) AS y",
                                       *[f"CAST(id * {i + 3} % 7 AS DOUBLE) AS `{c}`" for i, c in enumerate(DOC_FEATURES)])
-    seen, fit = [], MD.fit_trees
+    seen = []
 
-    def small(train, valid, features, medians, params, patience, y="y", layout=None):
-        seen.append((params, patience, layout))
-        return fit(train, features, medians, replace(params, rounds=1, max_depth=2), y, layout), [0.5], 1
+    def small(train, valid, features, medians, params, patience, y="y", id_col="doc_id"):
+        seen.append((params, patience))
+        return BT.fit(train, None, features, medians, replace(params, rounds=1, max_depth=2), y, id_col)[0], [0.5], 1
 
     monkeypatch.setattr(MD, "fit_with_early_stopping", small)
     monkeypatch.setattr(C, "_TRIALS", {})
     monkeypatch.setattr(C, "trained", lambda *a: SimpleNamespace(train=rows, valid=rows, medians=dict.fromkeys(DOC_FEATURES, 0.0)))
     trials = sorted(C.m5_search(spark, "nowhere").collect())
-    assert [r["max_depth"] for r in trials] == [c["max_depth"] for c in MD.sample_params(5, MD.RANGES, 42)]
-    assert all(5 <= r["max_depth"] <= 15 for r in trials)
-    assert sorted(p.max_depth for p, _, _ in seen) == sorted(r["max_depth"] for r in trials)
-    assert [(p.rounds, patience, layout) for p, patience, layout in seen] == [(120, 25, ["doc_id"])] * 5
+    assert [r["max_depth"] for r in trials[:2]] == [c["max_depth"] for c in MD.sample_params(5, MD.RANGES, 42)[:2]]
+    assert all(5 <= r["max_depth"] <= 15 for r in trials) and len(trials) == 5
+    assert sorted(p.reg_lambda for p, _ in seen) == pytest.approx(sorted(r["lambda"] for r in trials), abs=1e-5)
+    assert [(p.rounds, patience) for p, patience in seen] == [(120, 25)] * 5
+    assert all(r["in_range"] and r["as_proposed"] for r in C.m5_search_check(spark, "nowhere").collect())

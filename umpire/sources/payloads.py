@@ -9,20 +9,22 @@ from pyspark.sql import types as T
 from umpire.functions.scoring import name_fields, to_numeric
 
 
+def csv_files(spark: SparkSession, path: str) -> list[str]:
+    """The ``*.csv`` files of a folder, by name."""
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/*.csv")
+    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)
+    return sorted(f.getPath().toString() for f in found or [])
+
+
 def read_csv_dir(spark: SparkSession, path: str, schema: T.StructType | None = None,
                  header: bool = True) -> DataFrame:
     """Every ``*.csv`` in a folder as one DataFrame; an empty folder is an error.
 
-    With no schema the header gives the names and all values are read as
-    strings, then coerced to numbers where every value parses (no inference
-    pass over the data beyond one aggregate).
+    With no schema the header gives the names and all values are strings.
     """
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/*.csv"))
-    if found is None or len(found) == 0:
-        raise ValueError(f"The are no CSV files in {path}/")
+    if not csv_files(spark, path):
+        raise ValueError(f"no CSV file in {path}")
     reader = spark.read.option("header", header).option("ignoreLeadingWhiteSpace", True)
     if schema is not None:
         return reader.schema(schema).csv(path.rstrip("/") + "/*.csv")
@@ -30,10 +32,14 @@ def read_csv_dir(spark: SparkSession, path: str, schema: T.StructType | None = N
 
 
 def parse_csv_lines(df: DataFrame, col: str, names: list[str], label: str | None = None,
-                    keep: list[str] | tuple = (), mode: str = "coerce") -> DataFrame:
-    """Headerless CSV request lines -> named numeric columns."""
-    named = name_fields(df, col, names, label=label, keep=keep)
-    return to_numeric(named, names, mode=mode)
+                    keep: list[str] | tuple = (), mode: str = "coerce", reject: str | None = None) -> DataFrame:
+    """Headerless CSV request lines -> named numeric columns.
+
+    A line that has neither as many fields as ``names`` nor one more is not a request:
+    its fields are null and ``reject`` names the column that marks it."""
+    if mode == "coerce":
+        return name_fields(df, col, names, label=label, keep=keep, reject=reject, numeric=True)
+    return to_numeric(name_fields(df, col, names, label=label, keep=keep, reject=reject), names, mode=mode, reject=reject)
 
 
 def parse_json_records(df: DataFrame, col: str, schema: T.StructType, mode: str = "coerce",
@@ -79,10 +85,8 @@ def parse_predictions(df: DataFrame, col: str, content_type: str,
     error); ``text/csv`` is one number per line.
     """
     if content_type == "application/json":
-        raw = F.get_json_object(F.col(col), "$.predictions")
-        arr = F.from_json(raw, T.ArrayType(T.DoubleType()))
-        arr = F.when(raw.isNull(), F.raise_error(F.lit("JSON input does not contain 'predictions' key."))
-                     .cast(T.ArrayType(T.DoubleType()))).otherwise(arr)
+        body = F.from_json(F.col(col), T.StructType([T.StructField("predictions", T.ArrayType(T.DoubleType()))]))
+        arr = F.coalesce(body["predictions"], F.raise_error(F.lit("a JSON prediction input needs the key 'predictions'")).cast(T.ArrayType(T.DoubleType())))
         return df.select(*keep, F.posexplode(arr).alias("position", "prediction"))
     if "text/csv" in content_type:
         lines = F.split(F.col(col), "\n")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from umpire.functions.events import classify_arrivals
 from umpire.functions.scoring import prediction_record
 from umpire.operators.metrics import _ratio
+from umpire.streaming.runner import after_watermark
 
 
 def arrivals_stream(events: DataFrame) -> DataFrame:
@@ -21,33 +22,42 @@ def windowed_monitor(scored: DataFrame, window: str = "1 hour", lateness: str =
                      threshold: float = 0.1) -> DataFrame:
     """Tumbling-window model quality (confusion counts, precision, recall)
     and score statistics of scored requests; a window is emitted once the
-    watermark (max event time - lateness) passes its end."""
+    watermark (max event time - lateness) passes its end.  Rows marked ``tick``
+    move the watermark and count nowhere; a window of ticks alone is not given."""
+    real = ~F.col("tick") if "tick" in scored.columns else F.lit(True)
     yy, pp = F.col("truth") == 1, F.col("score") > F.lit(threshold)
 
     def cnt(c):
-        return F.sum(F.when(c, 1).otherwise(0)).cast("long")
+        return F.sum(F.when(c & real, 1).otherwise(0)).cast("long")
 
     agg = (scored.withWatermark("ts", lateness)
            .groupBy(F.window("ts", window).alias("w"))
-           .agg(F.count(F.lit(1)).alias("n"), F.avg("score").alias("mean_score"),
+           .agg(cnt(F.lit(True)).alias("n"), F.avg("score").alias("mean_score"),
                 F.min("score").alias("min_score"), F.max("score").alias("max_score"),
                 F.stddev_pop("score").alias("std_score"),
                 cnt(yy & pp).alias("tp"), cnt(~yy & pp).alias("fp"), cnt(yy & ~pp).alias("fn")))
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
-    return agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+    return agg.where("n > 0").select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                       "n", "mean_score", "min_score", "max_score", "std_score", "tp", "fp", "fn",
                       _ratio(tp, tp + fp).alias("precision"), _ratio(tp, tp + fn).alias("recall"))
 
 
 def late_truth_join(captures: DataFrame, truth: DataFrame, bound: str = "3 hours",
-                    lateness: str = "3 hours") -> DataFrame:
-    """Stream-stream inner join of captures with truth arriving within
-    ``bound`` after the capture; watermarks on both sides bound the state."""
-    c = captures.withWatermark("ts", lateness)
-    t = truth.withWatermark("truth_ts", lateness)
+                    lateness: str = "3 hours", how: str = "inner") -> DataFrame:
+    """Stream-stream join of captures with truth arriving within ``bound`` after the
+    capture; watermarks on both sides bound the state.
+
+    With ``how="left_outer"`` a capture whose truth has not come is given too, with
+    nulls, once the watermarks pass its bound."""
+    c = _without_ticks(captures.withWatermark("ts", lateness), "ts")
+    t = _without_ticks(truth.withWatermark("truth_ts", lateness), "truth_ts")
     cond = (F.col("inference_id") == F.col("eventId")) & (F.col("truth_ts") >= F.col("ts")) & \
            (F.col("truth_ts") <= F.col("ts") + F.expr(f"INTERVAL {bound}"))
-    return c.join(t, F.expr("inference_id = eventId") & cond, "inner")
+    return c.join(t, F.expr("inference_id = eventId") & cond, how)
+
+
+def _without_ticks(stream: DataFrame, ts: str) -> DataFrame:
+    return after_watermark(stream, ~F.col("tick"), ts).drop("tick") if "tick" in stream.columns else stream
 
 
 def score_requests(stream: DataFrame, threshold_col: str = "score") -> DataFrame:

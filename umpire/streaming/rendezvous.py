@@ -1,35 +1,41 @@
-"""Two-file rendezvous by batch id.
+"""Two-file rendezvous by batch id (T1): one outcome per accepted arrival.
 
-Semantics: accepted arrivals of one batch id are folded in time order; the
-state remembers which parts (``df``, ``y``) have arrived.  When a part
-arrives while the other one is waiting, the batch folder is emitted and the
-state is cleared; a repeat of the waiting part leaves it waiting.
+Semantics: accepted arrivals of one batch id are folded in time order (ties by
+event id); the state is the part (``df`` or ``y``) that waits, if any.  An arrival
+of the other part finds it: the batch folder is triggered and the state cleared.
+Any other arrival leaves its own part waiting.  Each arrival is answered with
+one of the two messages.
 
 Two plans with identical output:
 
-* ``rendezvous_stream``: keyed state with ``transformWithState`` (RocksDB
-  store); the state per batch id is two booleans.
-* ``rendezvous_batch``: the fold unrolled into relational steps.  With
-  ``change[r]`` = the part differs from the previous arrival's, a trigger is a
-  change at an odd offset from the last non-change arrival (each trigger
-  resets the state, so changes alternate between trigger and first part).
-  Positions and the last non-change offset come from distributed ranks, and
-  the previous arrival from an equi-join on (batch, position - 1), so one
-  busy batch id never sits in one task.
+* ``rendezvous_stream``: keyed state with ``transformWithState`` (RocksDB store).
+  Arrivals are kept under their event time with a timer; timers fire in time order
+  once the watermark passes them, whatever order and micro-batch the arrivals came in.
+  State per batch id: the waiting part, and the arrivals ahead of the watermark.
+* ``rendezvous_batch``: one ordered pass over range partitions of (batch id, time).
+  An arrival acts on the state as a function; a partition's arrivals compose to a
+  function of the part that waits before its first one, so one small row per
+  partition settles what waits where, and one busy batch id may span many tasks.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from umpire.functions.events import MSG_TRIGGERED
-from umpire.operators.ordered import row_rank
+from umpire.functions.events import MSG_TRIGGERED, MSG_WAITING
+from umpire.operators.ordered import _checkpointed_ranges
+from umpire.streaming.runner import after_watermark
 
+PARTS = ("df", "y")
 OUTPUT = T.StructType([
     T.StructField("batch_id", T.StringType()),
     T.StructField("event_id", T.LongType()),
@@ -38,64 +44,114 @@ OUTPUT = T.StructType([
 ])
 
 
+def _fold(batch_ids: pd.Series, parts: pd.Series, before) -> tuple[np.ndarray, str | None]:
+    """Which arrivals of a sorted run trigger, and the part that waits at its end, after
+    ``before`` = (batch id, part that waits).
+
+    Arrivals alternate between waiting and triggering as long as each differs from the
+    one before it, starting anew from the last that does not (or begins its batch)."""
+    n = len(parts)
+    head = (batch_ids != batch_ids.shift(1)).to_numpy()
+    change = (parts != parts.shift(1)).to_numpy() & ~head
+    place = np.arange(n)
+    if before is not None and batch_ids.iloc[0] == before[0] and before[1] is not None:
+        change[0] = parts.iloc[0] != before[1]
+    anchor = np.maximum.accumulate(np.where(change, -1, place))  # -1: the arrival before the run waits
+    triggered = change & ((place - anchor) % 2 == 1)
+    return triggered, None if triggered[-1] else parts.iloc[-1]
+
+
 def rendezvous_batch(arrivals: DataFrame) -> DataFrame:
     """Batch twin over classified arrivals (``status == 'accepted'``)."""
-    acc = arrivals.where(F.col("status") == "accepted").select(
-        "batch_id", "event_id", "ts", "file_type", "folder")
-    ranked = row_rank(acc, ["ts", "event_id"], by=["batch_id"], name="pos")
-    prev = ranked.select("batch_id", (F.col("pos") + 1).alias("pos"), F.col("file_type").alias("prev_type"))
-    flagged = ranked.join(prev, ["batch_id", "pos"], "left").withColumn(
-        "change", F.coalesce(F.col("file_type") != F.col("prev_type"), F.lit(False)))
-    # nc = number of non-change arrivals up to this one: the rank among
-    # non-change rows, or the position minus the rank among change rows.
-    steady = row_rank(flagged.where(~F.col("change")), ["pos"], by=["batch_id"], name="nc")
-    moved = row_rank(flagged.where(F.col("change")), ["pos"], by=["batch_id"], name="_cc")
-    counted = steady.unionByName(moved.withColumn("nc", F.col("pos") - F.col("_cc")).drop("_cc"))
-    anchors = counted.where(~F.col("change")).select("batch_id", "nc", F.col("pos").alias("anchor"))
-    j = counted.join(anchors, ["batch_id", "nc"], "inner")
-    trig = j.where(F.col("change") & (F.pmod(F.col("pos") - F.col("anchor"), F.lit(2)) == 1))
-    return trig.select("batch_id", "event_id", "folder", F.lit(MSG_TRIGGERED).alias("message"))
+    acc = arrivals.where(F.col("status") == "accepted").select("batch_id", "event_id", "ts", "file_type", "folder")
+    ranged = _checkpointed_ranges(acc, ["batch_id"], ["ts", "event_id"], None)
+
+    def ends(frames):
+        """The last batch id, and what waits at the end for each part that may wait before."""
+        first, states = None, {w: (None, None) for w in ("none", *PARTS)}
+        for pdf in frames:
+            if not pdf.empty:
+                if first is None:
+                    first = pdf["batch_id"].iloc[0]
+                    states = {w: (first, None if w == "none" else w) for w in states}
+                last = pdf["batch_id"].iloc[-1]
+                states = {w: (last, _fold(pdf["batch_id"], pdf["file_type"], s)[1]) for w, s in states.items()}
+        if first is not None:
+            yield pd.DataFrame({"pid": [TaskContext.get().partitionId()], "first": [first], "last": [last], **{w: [s[1]] for w, s in states.items()}})
+
+    starts, held = {}, (None, None)
+    for r in sorted(ranged.select("batch_id", "file_type").mapInPandas(ends, "pid int, first string, last string, none string, df string, y string").collect()):
+        if held[0] == r["first"]:
+            starts[r["pid"]] = held
+        waits = held[1] if held[0] == r["first"] else None
+        held = (r["last"], r[waits or "none"])
+
+    def answer(frames):
+        state = starts.get(TaskContext.get().partitionId())
+        for pdf in frames:
+            if not pdf.empty:
+                triggered, waits = _fold(pdf["batch_id"], pdf["file_type"], state)
+                state = (pdf["batch_id"].iloc[-1], waits)
+                waiting = pdf["file_type"].map(lambda t: MSG_WAITING.format(t=t))
+                yield pd.DataFrame({"batch_id": pdf["batch_id"], "event_id": pdf["event_id"], "folder": pdf["folder"],
+                                    "message": waiting.mask(triggered, MSG_TRIGGERED)})
+
+    return ranged.mapInPandas(answer, OUTPUT)
 
 
 class RendezvousProcessor(StatefulProcessor):
-    """Keyed state: which of the two parts is waiting for this batch id."""
+    """Keyed state: the waiting part, and arrivals ahead of the watermark by their time.
+
+    With ``expiry_ms`` a part that has waited so long (in event time) is forgotten."""
+
+    def __init__(self, expiry_ms: int | None = None):
+        self.expiry_ms = expiry_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.parts = handle.getValueState("parts", "df boolean, y boolean")
+        self.handle = handle
+        self.waiting = handle.getValueState("waiting", "part string, since long")
+        self.ahead = handle.getMapState("ahead", "at long", "arrivals string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        have_df, have_y = self.parts.get() if self.parts.exists() else (False, False)
-        # Rows of one key within a micro-batch arrive unordered: fold them in time order.
-        for r in sorted(rows, key=lambda r: (r["ts"], r["event_id"])):
-            waiting_other = have_y if r["file_type"] == "df" else have_df
-            if waiting_other:
-                yield Row(batch_id=key[0], event_id=r["event_id"], folder=r["folder"], message=MSG_TRIGGERED)
-                have_df, have_y = False, False
-            elif r["file_type"] == "df":
-                have_df = True
-            else:
-                have_y = True
-        if have_df or have_y:
-            self.parts.update((have_df, have_y))
+        passed = timerValues.getCurrentWatermarkInMs()
+        for r in rows:
+            # a time that the watermark has passed is answered at the next one; none is lost
+            at = max(r["us"] // 1000, passed + 1)
+            held = json.loads(self.ahead.getValue((at,))[0]) if self.ahead.containsKey((at,)) else []
+            held.append([r["us"], r["event_id"], r["file_type"], r["folder"]])
+            self.ahead.updateValue((at,), (json.dumps(held),))
+            if len(held) == 1:
+                self.handle.registerTimer(at)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        at = expiredTimerInfo.getExpiryTimeInMs()
+        part, since = self.waiting.get() if self.waiting.exists() else (None, 0)
+        if part is not None and self.expiry_ms is not None and at >= since + self.expiry_ms:
+            part = None
+        if self.ahead.containsKey((at,)):
+            for _, event_id, file_type, folder in sorted(json.loads(self.ahead.getValue((at,))[0])):
+                met = part is not None and part != file_type
+                part, since = (None, 0) if met else (file_type, at)
+                if self.expiry_ms is not None and not met:
+                    self.handle.registerTimer(at + self.expiry_ms)
+                yield Row(batch_id=key[0], event_id=event_id, folder=folder, message=MSG_TRIGGERED if met else MSG_WAITING.format(t=file_type))
+            self.ahead.removeKey((at,))
+        if part is None:
+            self.waiting.clear()
         else:
-            self.parts.clear()
+            self.waiting.update((part, since))
 
     def close(self) -> None:
         pass
 
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def rendezvous_stream(arrivals: DataFrame) -> DataFrame:
+def rendezvous_stream(arrivals: DataFrame, lateness: str = "1 hour", expiry_ms: int | None = None) -> DataFrame:
     """Streaming rendezvous over classified arrivals.
 
-    Keyed state needs the RocksDB state store; a session still on the default
-    store is switched to it (it serves every other stateful operator too)."""
-    conf = arrivals.sparkSession.conf
-    if conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
-        conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    acc = arrivals.where(F.col("status") == "accepted").select(
-        "batch_id", "event_id", "ts", "file_type", "folder")
-    return acc.groupBy("batch_id").transformWithState(
-        RendezvousProcessor(), OUTPUT, "Append", "None")
+    An arrival is answered once the watermark (greatest event time less ``lateness``)
+    passes it; the last ones when a later run or a tick (``runner.tick``) moves it on.
+    Arrivals later than that are answered too, after those already answered."""
+    marked = after_watermark(arrivals.withWatermark("ts", lateness), F.col("status") == "accepted", "ts")
+    acc = marked.select("batch_id", "event_id", F.coalesce(F.unix_micros("ts"), F.lit(0)).alias("us"), "file_type", "folder")
+    return acc.groupBy("batch_id").transformWithState(RendezvousProcessor(expiry_ms), OUTPUT, "Append", "EventTime")
