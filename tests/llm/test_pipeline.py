@@ -67,6 +67,27 @@ def test_odd_rows_pass_every_stage(spark, tmp_path):
         assert (docs.count() > 0) == bool(data)
 
 
+def test_clashing_names_pass_every_stage(spark, tmp_path):
+    """Extra columns named like anything that a stage computes come out as they went in."""
+    names = ["n_words", "kept", "n_removed", "n_lines", "_gone", "_doc", "_mark", "copies", "size", "target", "place", "carried", "copy", "mark",
+             "h", "line", "component_id", "n_shingles", "tree", "_node", "base_failed", "word_chars", "_label", "_id", "rank", "start", "fresh"]
+    body = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, body, "en", "a", 9), (2, body + " more", "en", "a", 9), (3, " ".join(f"other{i}" for i in range(80)), "en", "b", 9), (3, "short", "en", "b", 5)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} string" for n in names)
+    plain = docs = spark.createDataFrame([(*r, *[f"{r[0]}{n}" for n in names]) for r in rows], schema)
+    plain = plain.drop(*names)
+    for k, (name, stage) in enumerate(P.STAGES):
+        stage(spark, docs, SF).write.parquet(str(tmp_path / f"odd{k}"))
+        stage(spark, plain, SF).write.parquet(str(tmp_path / f"plain{k}"))
+        docs, plain = spark.read.parquet(str(tmp_path / f"odd{k}")), spark.read.parquet(str(tmp_path / f"plain{k}"))
+        if name != P.STAGES[-1][0]:
+            assert docs.columns == [f.split()[0] for f in schema.split(", ")]
+            assert [(name, r["doc_id"], n, r[n]) for r in docs.collect() for n in names if r[n] != f"{r['doc_id']}{n}"] == []
+            assert sorted(map(tuple, docs.select(*plain.columns).collect())) == sorted(map(tuple, plain.collect())) != []
+    ids = docs.select("doc_id", "length").collect()
+    assert ids and sorted(ids) == sorted(plain.select("doc_id", "length").collect())
+
+
 def test_repeated_ids_are_judged_text_by_text(spark):
     words = {x: [f"{x}{i}" for i in range(200)] for x in "abc"}
     copy, near, own, other = (" ".join(words["a"]), " ".join(words["a"][:-2] + ["new"]), " ".join(words["b"]), " ".join(words["c"]))
