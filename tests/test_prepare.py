@@ -32,6 +32,52 @@ def test_split_is_seeded_and_stable(spark):
     assert a == b
 
 
+def test_split_places_equal_the_order_of_hashes(spark):
+    """Against sorting each class, with a null class, an empty cut and repeated ids."""
+    import hashlib
+    sizes = {"a": 701, "b": 3, None: 40, "d": 1}
+    rows = [(i * 10 + k, g) for k, (g, n) in enumerate(sizes.items()) for i in range(n)]
+    df = spark.createDataFrame(rows, "id long, label string").repartition(5)
+    got = {r["id"]: r["split"] for r in P.stratified_split(df, "label", "id").collect()}
+    want = {}
+    for g, n in sizes.items():
+        order = sorted((i for i, h in rows if h == g), key=lambda i: hashlib.md5(f"42|{i}".encode()).hexdigest())
+        for at, i in enumerate(order):
+            want[i] = "train" if at < (n * 140 + 100) // 200 else "validation" if at < (n * 170 + 100) // 200 else "test"
+    assert got == want
+    twice = P.stratified_split(df.union(df), "label", "id").groupBy("id").agg({"split": "min"}).count()
+    assert twice == len(rows)
+    plan = P.stratified_split(df, "label", "id")._jdf.queryExecution().toString()
+    assert "rangepartitioning" not in plan
+    assert P.stratified_split(df.where("false"), "label", "id").count() == 0
+
+
+def test_many_classes_are_ranked(spark, monkeypatch):
+    rows = [(i, f"c{i % 7}") for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, label string")
+    cut = {r["id"]: r["split"] for r in P.stratified_split(df, "label", "id").collect()}
+    monkeypatch.setattr(P, "MOST_CUT", 3)
+    assert {r["id"]: r["split"] for r in P.stratified_split(df, "label", "id").collect()} == cut
+
+
+def test_keys_at_ranks_refine_buckets(spark):
+    import hashlib
+    from umpire.operators.selection import keys_at_ranks
+    keys = [hashlib.md5(str(i).encode()).hexdigest() for i in range(900)] + ["ab" * 16] * 400 + ["ab" * 15 + "ff"] * 7
+    df = spark.createDataFrame([("g", k) for k in keys] + [("g", None), ("h", "0" * 32)], "grp string, key string")
+    for small in (20_000, 5, 1):
+        got = keys_at_ranks(df, "grp", "key", lambda n: [0, 1, n // 2, n - 1, n], small=small)
+        order = sorted(keys)
+        n = len(order)
+        assert got == {"g": ["", order[0], order[n // 2 - 1], order[n - 2], order[n - 1]], "h": ["", "0" * 32, "", "", "0" * 32]}
+
+
+def test_too_many_classes_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(P, "MOST_CLASSES", 3)
+    with pytest.raises(ValueError):
+        P.fit_ordinal(spark.createDataFrame([(str(i),) for i in range(4)], "c string"), "c")
+
+
 def test_encode_sorted_classes_and_unknown_fails(spark):
     train = spark.createDataFrame([("home_win",), ("home_not_win",)], "result_match string")
     classes = P.fit_ordinal(train, "result_match")

@@ -1,4 +1,8 @@
 import datetime as dt
+import os
+import time
+
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -141,3 +145,45 @@ def test_captures_without_truth_come_out_of_the_outer_join(spark, tmp_path):
 
 def test_named_folders_are_stable(spark):
     assert named_folder(spark, "x") == named_folder(spark, "x") != named_folder(spark, "y")
+
+
+def test_a_retried_epoch_replaces_its_rows_and_half_written_ones_are_not_seen(spark, tmp_path):
+    from pyspark.sql import functions as F
+    path = str(tmp_path / "capture")
+    write = SM.scoring_writer(lambda batch: batch.withColumn("answer", F.col("id") * 2))
+    write(spark.range(5), 0, path)
+    write(spark.range(5, 8), 1, path)
+    write(spark.range(5, 8), 1, path)  # retried
+    spark.range(3).withColumn("answer", F.lit(0).cast("long")).write.parquet(f"{path}/rows/epoch=2")  # stopped before its commit
+    got = SM.read_captures(spark, path)
+    assert sorted((r["id"], r["answer"]) for r in got.collect()) == [(i, 2 * i) for i in range(8)]
+    spark.range(1).withColumn("answer", F.lit(0).cast("long")).write.mode("append").parquet(f"{path}/rows/epoch=1")
+    with pytest.raises(ValueError):
+        SM.read_captures(spark, path)
+
+
+def test_files_that_land_in_two_steps_trigger_and_are_read_together(spark, tmp_path):
+    """The whole way of an arrival: files seen as they land, answered, and their folder read."""
+    from umpire.plans.lifecycle import ingest_folder
+    landing, folder = tmp_path / "landing", str(tmp_path / "q")
+    for batch in ("b1", "b2"):
+        (landing / "data" / batch).mkdir(parents=True)
+
+    def run():
+        query = RV.rendezvous_stream(classify_arrivals(ticking(SM.object_arrivals(spark, str(landing)), folder)), "1 second")
+        out = run_available_now(query, "objects", folder=folder)
+        return sorted((r.batch_id, r.folder, r.message.split(",")[0]) for r in out.collect())
+
+    (landing / "data" / "b1" / "df.csv").write_text("a,b\n1,x\n2,3\n")
+    (landing / "data" / "b2" / "notes.csv").write_text("n\n1\n")
+    run()
+    (landing / "data" / "b1" / "y.csv").write_text("result_match\nhome_win\nhome_not_win\n")
+    (landing / "data" / "b1" / "zmore.csv").write_text("a,c\n7,8\n9,10\n11,12\n")
+    os.utime(landing / "data" / "b1" / "y.csv", (time.time() + 5, time.time() + 5))
+    tick(spark, folder, dt.datetime.now() + dt.timedelta(days=1))
+    assert run() == [("b1", "data/b1/", "Both files uploaded"), ("b1", "data/b1/", "df.csv uploaded")]
+    rows = ingest_folder(spark, str(landing / "data" / "b1")).orderBy("row_id").collect()
+    assert [tuple(r) for r in rows] == [(0, 1.0, None, "home_win", 7.0, 8.0), (1, 2.0, 3.0, "home_not_win", 9.0, 10.0), (2, None, None, None, 11.0, 12.0)]
+    assert rows[0].__fields__ == ["row_id", "a", "b", "result_match", "zmore_a", "c"]
+    with pytest.raises(ValueError):
+        ingest_folder(spark, str(landing / "data" / "b1" / "none"))

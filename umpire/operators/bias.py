@@ -37,7 +37,7 @@ def _long(df: DataFrame, names: list[str]) -> DataFrame:
 
 def _cdd(df: DataFrame, d: Column, pos: Column, group: str) -> DataFrame:
     """Conditional demographic disparity: sum_i n_i * DD_i / n with
-    DD_i = n_d0_i / n0_i - n_d1_i / n1_i (a group without one outcome adds 0)."""
+    DD_i = n_d0_i / n0_i - n_d1_i / n1_i (of an outcome that a group lacks the share is 0)."""
     g = df.groupBy(group).agg(
         F.count(F.lit(1)).alias("n_i"),
         _cnt(~pos).alias("n0"), _cnt(pos).alias("n1"),

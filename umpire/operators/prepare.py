@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 from umpire.functions.hashing import seeded_key
 from umpire.operators.ordered import row_rank, running_sums, with_position
+from umpire.operators.selection import keys_at_ranks
 
 ROW_ID = "row_id"
+MOST_CUT = 100
+MOST_CLASSES = 10_000
 
 
 def with_row_id(df: DataFrame, name: str = ROW_ID) -> DataFrame:
@@ -44,9 +47,11 @@ def shuffle_rank(df: DataFrame, id_col: str, seed: int = 42, name: str = "positi
     return row_rank(keyed, ["_shuffle_key", id_col], name=name).drop("_shuffle_key")
 
 
-def _cut(n: Column, frac: float) -> Column:
-    """round-half-up(n * frac) in exact integer arithmetic."""
+def _cut(n, frac: float):
+    """round-half-up(n * frac) in exact integer arithmetic, of a column or a number."""
     q = Fraction(str(frac)).limit_denominator(10 ** 6)
+    if isinstance(n, int):
+        return (n * q.numerator * 2 + q.denominator) // (2 * q.denominator)
     return F.floor((n * q.numerator * 2 + q.denominator) / (2 * q.denominator)).cast("long")
 
 
@@ -57,17 +62,24 @@ def stratified_split(df: DataFrame, label: str, id_col: str,
 
     Within each class rows are ordered by ``md5('<seed>|<id>')``; the first
     ``round(n*f_train)`` go to train, up to ``round(n*(f_train+f_val))`` to
-    validation, the rest to test.  The rank is distributed, so a class that
-    holds most rows is still spread over many tasks.
+    validation, the rest to test.  The two hashes at these places are found by
+    counting buckets of hashes (``selection.keys_at_ranks``) and every row is compared
+    with its class's, so no row is moved; rows of one id go together.  A label of
+    more than ``MOST_CUT`` classes is ranked instead.
     """
-    keyed = df.withColumn("_split_key", seeded_key(id_col, seed))
-    ranked = row_rank(keyed, ["_split_key", id_col], by=[label], name="_rk", totals=True)
-    n = F.col("_rk_total")
-    c1 = _cut(n, fractions[0])
-    c2 = _cut(n, fractions[0] + fractions[1])
-    return (ranked
-            .withColumn(name, F.when(F.col("_rk") <= c1, "train")
-                        .when(F.col("_rk") <= c2, "validation").otherwise("test"))
+    bounds = (fractions[0], fractions[0] + fractions[1])
+    keyed = df.withColumn("_split_key", F.coalesce(seeded_key(id_col, seed), F.lit("0" * 32)))
+    if len(df.select(label).distinct().limit(MOST_CUT + 1).collect()) > MOST_CUT:
+        ranked = row_rank(keyed, ["_split_key", id_col], by=[label], name="_rk", totals=True)
+        first, second = (F.col("_rk") <= _cut(F.col("_rk_total"), b) for b in bounds)
+    else:
+        cuts = keys_at_ranks(keyed, label, "_split_key", lambda n: [_cut(n, b) for b in bounds])
+        ranked, first, second = keyed, F.lit(False), F.lit(False)
+        for value, (train, valid) in cuts.items():
+            own = F.col(label).eqNullSafe(F.lit(value))
+            first = first | (own & (F.col("_split_key") <= train))
+            second = second | (own & (F.col("_split_key") <= valid))
+    return (ranked.withColumn(name, F.when(first, "train").when(second, "validation").otherwise("test"))
             .drop("_split_key", "_rk", "_rk_total"))
 
 
@@ -128,8 +140,12 @@ def impute(df: DataFrame, medians: dict[str, float]) -> DataFrame:
 
 
 def fit_ordinal(train: DataFrame, col: str) -> list[str]:
-    """Sorted categories of the label (one small aggregate)."""
-    return sorted(r[0] for r in train.select(col).where(F.col(col).isNotNull()).distinct().collect())
+    """Sorted categories of the label (one small aggregate); more than ``MOST_CLASSES`` are
+    no label, and an error."""
+    found = train.select(col).where(F.col(col).isNotNull()).distinct().limit(MOST_CLASSES + 1).collect()
+    if len(found) > MOST_CLASSES:
+        raise ValueError(f"{col} has more than {MOST_CLASSES} values")
+    return sorted(r[0] for r in found)
 
 
 def encode(df: DataFrame, col: str, classes: list[str], name: str | None = None) -> DataFrame:

@@ -24,14 +24,14 @@ def _type_name(dt: T.DataType) -> str:
     return "String"
 
 
-def _long_form(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(column, type, num, str) rows: one per input row and column."""
+def _long_form(df: DataFrame, cols: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
+    """(*keep, column, type, num, str) rows: one per input row and column."""
     kinds = {f.name: _type_name(f.dataType) for f in df.schema.fields}
     parts = []
     for c in cols:
         num = f"CAST(`{c}` AS DOUBLE)" if kinds[c] != "String" else "CAST(NULL AS DOUBLE)"
         parts.append(f"'{c}', '{kinds[c]}', {num}, CAST(`{c}` AS STRING)")
-    return df.selectExpr(f"stack({len(cols)}, {', '.join(parts)}) AS (column, inferred_type, num, str)")
+    return df.selectExpr(*keep, f"stack({len(cols)}, {', '.join(parts)}) AS (column, inferred_type, num, str)")
 
 
 def profile(df: DataFrame, cols: list[str] | None = None, exact_distinct: bool = True) -> DataFrame:

@@ -22,16 +22,18 @@ from umpire.operators import boosting as BT
 from umpire.operators import explain as X
 from umpire.operators import joins as J
 from umpire.operators import metrics as M
+from umpire.operators import nearest as NN
 from umpire.operators import prepare as P
 from umpire.operators import quality as Q
 from umpire.operators import registry as R
 from umpire.operators import sampling as W
+from umpire.operators import statistics as ST
 from umpire.plans import lifecycle as LC
 from umpire.plans import model as MD
 from umpire.plans.prepared import IMPUTED, fitted, prepared, rule_score, split_rows
 from umpire.plans.training import trained
 from umpire.schemas import FEATURE_COLUMNS, LABEL
-from umpire.session import shared_dir, table
+from umpire.session import input_stamp, shared_dir, table
 from umpire.sources import artifacts as AR
 from umpire.sources import payloads as PL
 from umpire.sources import sinks as SK
@@ -115,13 +117,13 @@ def a3_decode_label(spark, sf):
 
 @register("s7_test_baseline")
 def s7_test_baseline(spark, sf):
-    rows = split_rows(spark, sf).where(F.col("split") == "test").drop("split", "source", "lang")
+    rows = split_rows(spark, sf).where(F.col("split") == "test").drop("split", "source", "lang", "doc_id")
     return P.baseline(rows, LABEL, keep_label=True)
 
 
 @register("s7_train_baseline")
 def s7_train_baseline(spark, sf):
-    rows = split_rows(spark, sf).where(F.col("split") == "train").drop("split", "source", "lang")
+    rows = split_rows(spark, sf).where(F.col("split") == "train").drop("split", "source", "lang", "doc_id")
     return P.baseline(rows, LABEL, keep_label=False)
 
 
@@ -464,6 +466,53 @@ def a9_histogram(spark, sf):
     return rounded(Q.histogram(TD.capture(spark, sf, "baseline"), ["value", "k", "user_id"]))
 
 
+def _state(spark, sf, window: str) -> DataFrame:
+    """Hourly states of a capture window, written, read back and merged."""
+    path = shared_dir(spark, f"a9_{window}_state")
+    ST.column_state(TD.capture(spark, sf, window), TD.CAPTURE_COLUMNS, ts="ts").write.parquet(path)
+    return ST.merge_state(spark.read.parquet(path))
+
+
+@register("a9_merged_profile")
+def a9_merged_profile(spark, sf):
+    """The baseline profile from hourly states; distinct counts within three parts in a hundred."""
+    exact = Q.profile(TD.capture(spark, sf, "baseline"), TD.CAPTURE_COLUMNS).select("column", F.col("distinct").alias("want"))
+    merged = ST.profile_of(_state(spark, sf, "baseline")).join(exact, "column")
+    close = F.abs(F.col("distinct") - F.col("want")) <= 0.03 * F.col("want")
+    return rounded(merged.withColumn("distinct_close", close).drop("distinct", "want"))
+
+
+def _document(spark, document: DataFrame, name: str) -> DataFrame:
+    path = shared_dir(spark, name)
+    document.coalesce(1).write.text(path)
+    return spark.read.text(path, wholetext=True)
+
+
+@register("a9_statistics_document")
+def a9_statistics_document(spark, sf):
+    """The statistics document written as JSON text and read again."""
+    stats = Q.profile(TD.capture(spark, sf, "baseline"), TD.CAPTURE_COLUMNS)
+    return rounded(ST.read_statistics(_document(spark, ST.statistics_document(stats), "a9_statistics"), "value"))
+
+
+@register("a10_constraints_document")
+def a10_constraints_document(spark, sf):
+    """The constraints document written as JSON text and read again."""
+    limits = Q.suggest_constraints(Q.profile(TD.capture(spark, sf, "baseline"), TD.CAPTURE_COLUMNS))
+    return rounded(ST.read_constraints(_document(spark, ST.constraints_document(limits), "a10_constraints"), "value"))
+
+
+@register("a12_sketch_drift")
+def a12_sketch_drift(spark, sf):
+    """Exact drift, and whether the drift of merged hourly states is within its bound of it."""
+    cols = ["value", "k", "user_id"]
+    exact = Q.drift(TD.capture(spark, sf, "baseline"), TD.capture(spark, sf, "current"), cols)
+    near = ST.sketch_drift(_state(spark, sf, "baseline"), _state(spark, sf, "current")).select(
+        "column", F.col("ks_distance").alias("near"), F.col("n_base").alias("b"), F.col("n_current").alias("c"))
+    within = (F.abs(F.col("near") - F.col("ks_distance")) <= ST.drift_error()) & (F.col("b") == F.col("n_base")) & (F.col("c") == F.col("n_current"))
+    return rounded(exact.join(near, "column").select("column", "ks_distance", "n_base", "n_current", within.alias("within_bound")))
+
+
 @register("a10_suggest_constraints")
 def a10_suggest_constraints(spark, sf):
     stats = Q.profile(TD.capture(spark, sf, "baseline"), TD.CAPTURE_COLUMNS)
@@ -534,6 +583,29 @@ def a19_flip_test(spark, sf):
     return rounded(B.flip_test(rows, F.col("facet"), "yhat", ["sentences", "lines"]))
 
 
+NEAR_FEATURES = ["n_words", "n_sentences", "n_lines"]
+
+
+def _near_rows(spark, sf) -> DataFrame:
+    p = 1.0 / (1.0 + F.exp(-(F.col("n_words") - 200.0) / 100.0))
+    return prepared(spark, sf).select("doc_id", *NEAR_FEATURES, B.facet("n_chars", FACET_THRESHOLD).alias("facet"), (p > 0.65).cast("int").alias("yhat"))
+
+
+@register("a19_nearest_flip_test")
+def a19_nearest_flip_test(spark, sf):
+    """The flip test by the five nearest rows of the other facet, found exactly."""
+    return rounded(NN.nearest_flip_test(_near_rows(spark, sf), F.col("facet"), "yhat", NEAR_FEATURES, "doc_id"))
+
+
+@register("a19_hashed_neighbours")
+def a19_hashed_neighbours(spark, sf):
+    """How many of the nearest rows the hashed way finds: the members, and whether at least nine in ten."""
+    rows = _near_rows(spark, sf)
+    found, exact = (NN.nearest_points(rows, F.col("facet"), "yhat", NEAR_FEATURES, "doc_id", method=m).checkpoint() for m in ("hashed", "exact"))
+    share = NN.recall(found, exact).first()["recall"]
+    return found.agg(F.countDistinct("id").alias("members")).select("members", F.lit(share is None or share >= 0.9).alias("recall_reached"))
+
+
 # ---------------------------------------------------------------- explanations
 def _shap(spark, sf) -> DataFrame:
     return table(spark, sf, "embeddings").select("vec_id", "embedding")
@@ -595,14 +667,14 @@ def t3_windowed_monitor(spark, sf):
                               "tp", "fp", "fn", "precision", "recall"))
 
 
-def _captures(ev: DataFrame) -> DataFrame:
+def _stream_captures(ev: DataFrame) -> DataFrame:
     return TD.scored_from(ev).select(F.col("event_id").cast("string").alias("inference_id"), "ts", "score",
                                      (F.col("score") > 0.1).cast("int").alias("yhat"))
 
 
 @register("t4_late_truth_join")
 def t4_late_truth_join(spark, sf):
-    caps = _captures(table_stream(spark, sf, "events"))
+    caps = _stream_captures(table_stream(spark, sf, "events"))
     truth = TD.ground_truth_from(table_stream(spark, sf, "events"))
     out = run_available_now(SM.late_truth_join(caps, truth, "3 hours", "3 hours")
                             .select("inference_id", "score", "yhat", "label"), "t4_late_truth")
@@ -613,7 +685,7 @@ def t4_late_truth_join(spark, sf):
 def t4_all_captures(spark, sf):
     """Every capture with its late truth, or null once the watermarks give it up."""
     def query(folder):
-        caps = ticking(_captures(table_stream(spark, sf, "events")), folder, key="inference_id")
+        caps = ticking(_stream_captures(table_stream(spark, sf, "events")), folder, key="inference_id")
         truth = ticking(TD.ground_truth_from(table_stream(spark, sf, "events")), folder, "truth_ts", key="eventId")
         return SM.late_truth_join(caps, truth, "3 hours", "3 hours", "left_outer").select("inference_id", "score", "yhat", "label")
     return rounded(run_to_end(query, "t4_all_captures", spark, _after(spark, sf, 9)))
@@ -723,7 +795,7 @@ _TRIALS: dict = {}
 def _trials(spark, sf):
     """The search's trial table, kept per session like the trained model
     (the search is seeded, so a second run would give the same rows)."""
-    key = (id(spark), sf)
+    key = input_stamp(spark, sf, "documents", "labels")
     if key not in _TRIALS:
         t = trained(spark, sf)
         _TRIALS[key] = MD.search(spark, t.train, t.valid, DOC_FEATURES, t.medians, n=5, parallel=2).cache()
@@ -824,14 +896,14 @@ def s15_artifacts_roundtrip(spark, sf):
     return before.join(after, "doc_id").select("doc_id", "y", (F.col("p_fitted") == F.col("p_loaded")).alias("same"))
 
 
-def _payload(t) -> DataFrame:
+def _payload(rows: DataFrame) -> DataFrame:
     """A request line per labelled document, truth first; by a hash of the id one in twenty
     is short, one long, and one has a quoted field."""
     kind = residue("doc_id", 20)
     values = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in DOC_FEATURES]
     quoted = F.when(kind == 2, F.concat(F.lit('"'), values[0], F.lit('"'))).otherwise(values[0])
     line = F.concat_ws(",", F.col(LABEL), quoted, *values[1:])
-    return t.rows.select("doc_id", F.when(kind == 0, F.concat_ws(",", *values[:-1])).when(kind == 1, F.concat_ws(",", line, F.lit("9")))
+    return rows.select("doc_id", F.when(kind == 0, F.concat_ws(",", *values[:-1])).when(kind == 1, F.concat_ws(",", line, F.lit("9")))
                          .otherwise(line).alias("line"))
 
 
@@ -842,7 +914,7 @@ def m10_scoring_path(spark, sf):
     t = trained(spark, sf)
     path = shared_dir(spark, "m10_artifacts")
     AR.save_artifacts(f"{path}/model", t.model, t.target)
-    return LC.score_requests(spark, _payload(t), "line", path, "text/csv", keep=["doc_id"])
+    return LC.score_requests(spark, _payload(t.rows), "line", path, "text/csv", keep=["doc_id"])
 
 
 @register("m10_response_check")
@@ -858,6 +930,27 @@ def m10_response_check(spark, sf):
         "doc_id", F.col("error").isNotNull().alias("failed"), part[0].alias("truth"), agrees.alias("agrees"))
 
 
+@register("t5_model_stream")
+def t5_model_stream(spark, sf):
+    """Request lines of streamed documents, answered by saved artifacts a micro-batch at a
+    time and captured with them; only epochs of the manifest count."""
+    t = trained(spark, sf)
+    path, sink = shared_dir(spark, "t5_artifacts"), shared_dir(spark, "t5_model")
+    AR.save_artifacts(f"{path}/model", t.model, t.target)
+    lines = _payload(TD.labelled_from(table_stream(spark, sf, "documents"), table(spark, sf, "labels")))
+    respond = SM.scoring_writer(lambda batch: LC.score_requests(spark, batch, "line", path, "text/csv", keep=["doc_id", "line"]))
+    run_available_now(lines, "t5_model", foreach=respond, folder=sink)
+    return SM.read_captures(spark, f"{sink}/data").drop("epoch")
+
+
+@register("t5_model_stream_check")
+def t5_model_stream_check(spark, sf):
+    """Per document: whether the captured answer is that of the batch path."""
+    batch = m10_scoring_path(spark, sf).select("doc_id", F.struct("body", "error").alias("want"))
+    stream = t5_model_stream(spark, sf).select("doc_id", F.struct("body", "error").alias("got"))
+    return stream.join(batch, "doc_id", "full_outer").select("doc_id", F.coalesce(F.col("got").eqNullSafe(F.col("want")), F.lit(False)).alias("same"))
+
+
 # ---------------------------------------------------------------- positional names and JSON records
 @register("f1_positional_names")
 def f1_positional_names(spark, sf):

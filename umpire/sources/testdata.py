@@ -49,9 +49,13 @@ def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feature rows with their label (documents joined to labels by key).
 
     The join comes first, so only labelled texts are processed."""
-    labels = table(spark, sf_dir, "labels").select("doc_id", label_of(F.col("quality")).alias(LABEL))
-    docs = table(spark, sf_dir, "documents").join(labels, "doc_id", "inner")
-    return document_features(docs, keep=[LABEL])
+    return labelled_from(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def labelled_from(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Labelled feature rows of a documents frame (batch or stream)."""
+    labels = labels.select("doc_id", label_of(F.col("quality")).alias(LABEL))
+    return document_features(docs.join(labels, "doc_id", "inner"), keep=[LABEL])
 
 
 def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:

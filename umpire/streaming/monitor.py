@@ -3,7 +3,9 @@ late truth joined to captures (T4), stream scoring with capture (T5)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from umpire.functions.events import classify_arrivals
@@ -74,3 +76,40 @@ def capture_writer(path_cols: list[str] | None = None):
     def write(batch: DataFrame, epoch: int, path: str) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
     return write
+
+
+def scoring_writer(respond: Callable[[DataFrame], DataFrame]):
+    """foreachBatch sink of a request stream: ``respond`` answers a micro-batch's rows (with
+    a loaded model), and requests and answers are captured together.
+
+    An epoch's rows are written first and then named in the manifest, so a reader of
+    :func:`read_captures` sees whole epochs only, and a retried epoch replaces its own."""
+    def write(batch: DataFrame, epoch: int, path: str) -> None:
+        spark = batch.sparkSession
+        answered = respond(batch)
+        answered.write.mode("overwrite").parquet(f"{path}/rows/epoch={epoch}")
+        n = spark.read.parquet(f"{path}/rows/epoch={epoch}").count()
+        spark.createDataFrame([(epoch, n)], "epoch long, rows long").coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest/epoch_{epoch}")
+    return write
+
+
+def read_captures(spark: SparkSession, path: str) -> DataFrame:
+    """The captured rows of all epochs that the manifest names; an epoch whose rows are not
+    those that it was committed with is an error."""
+    manifest = spark.read.parquet(f"{path}/manifest/*")
+    rows = spark.read.parquet(f"{path}/rows")
+    held = rows.groupBy("epoch").agg(F.count(F.lit(1)).alias("held"))
+    wrong = manifest.join(held, "epoch", "left").where("rows <> coalesce(held, 0)")
+    if not wrong.isEmpty():
+        raise ValueError("captured rows differ from the manifest")
+    return rows.join(F.broadcast(manifest.select("epoch")), "epoch", "left_semi")
+
+
+def object_arrivals(spark: SparkSession, landing: str, max_files: int = 1000) -> DataFrame:
+    """Arrivals of a landing folder: one row per new ``data/<batch id>/<name>.csv`` (event_id,
+    ts, bucket, key, batch_id), by the file's path and time.  Contents are not read."""
+    files = (spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("maxFilesPerTrigger", max_files)
+             .load(f"{landing.rstrip('/')}/data/*/*.csv").select("path", "modificationTime"))
+    key = F.regexp_extract("path", r"(data/[^/]+/[^/]+)$", 1)
+    return files.select(F.xxhash64("path").alias("event_id"), F.col("modificationTime").alias("ts"), F.lit(landing).alias("bucket"),
+                        key.alias("key"), F.regexp_extract(key, r"^data/([^/]+)/", 1).alias("batch_id"))
