@@ -939,8 +939,7 @@ def t5_model_stream(spark, sf):
     AR.save_artifacts(f"{path}/model", t.model, t.target)
     lines = _payload(TD.labelled_from(table_stream(spark, sf, "documents"), table(spark, sf, "labels")))
     respond = SM.scoring_writer(lambda batch: LC.score_requests(spark, batch, "line", path, "text/csv", keep=["doc_id", "line"]))
-    run_available_now(lines, "t5_model", foreach=respond, folder=sink)
-    return SM.read_captures(spark, f"{sink}/data").drop("epoch")
+    return run_available_now(lines, "t5_model", foreach=respond, folder=sink, reader=SM.read_captures).drop("epoch")
 
 
 @register("t5_model_stream_check")

@@ -53,13 +53,14 @@ def named_folder(spark: SparkSession, name: str) -> str:
 
 def run_available_now(df: DataFrame, name: str, mode: str = "append",
                       foreach: Callable[[DataFrame, int, str], None] | None = None,
-                      state_partitions: int | None = None, folder: str | None = None) -> DataFrame:
+                      state_partitions: int | None = None, folder: str | None = None,
+                      reader: Callable[[SparkSession, str], DataFrame] | None = None) -> DataFrame:
     """Process everything available, then stop; return the sink as a table.
 
     With ``folder`` the run goes on where the last one under it ended; without, it
     starts anew in a fresh folder.  ``foreach(batch_df, epoch_id, path)`` replaces the
     parquet sink when a micro-batch needs custom writing (it must be idempotent per
-    epoch).  A new stateful query fixes its state partitions at start from the
+    epoch), and ``reader(spark, path)`` reads what it wrote.  A new stateful query fixes its state partitions at start from the
     shuffle-partition setting; they default to the cluster's parallelism
     (capped by that setting) and are kept in the checkpoint afterwards.  The session's
     settings are as before once the query has started.
@@ -78,7 +79,7 @@ def run_available_now(df: DataFrame, name: str, mode: str = "append",
     if foreach is not None:
         if not _exists(spark, data):
             return spark.createDataFrame([], df.schema)
-        return spark.read.parquet(data)
+        return reader(spark, data) if reader else spark.read.parquet(data)
     return spark.read.schema(df.schema).parquet(data)
 
 
