@@ -45,5 +45,27 @@ def test_long_copies_keep_the_first(spark):
     assert got == {1: (body + "\nown end", 0), 2: ("own start", 1500), 3: ("", 1500)}
 
 
+def test_very_common_lines_are_dealt(spark, monkeypatch):
+    from umpire.llm import lines as L
+    rows = [(i, "\n".join(["the most common line of all"] * (i % 7) + [f"own {i % 20} line", "", "x y z"])) for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(map(tuple, dedup_lines(frame, min_words=6).collect()))
+    monkeypatch.setattr(L, "max", lambda *a: 5, raising=False)  # any line of more than five copies counts as common
+    assert sorted(map(tuple, dedup_lines(frame, min_words=6).collect())) == want
+
+
+def test_long_texts_take_time_in_proportion(spark):
+    import time
+    took = []
+    for n in (16_000, 64_000):
+        body = "\n".join(f"line {i} of a long text" for i in range(n))
+        frame = spark.createDataFrame([(1, body), (2, body)], "doc_id long, text string")
+        start = time.perf_counter()
+        got = {r["doc_id"]: r["n_removed"] for r in dedup_lines(frame).collect()}
+        took.append(time.perf_counter() - start)
+        assert got == {1: 0, 2: n}
+    assert took[1] < 8 * took[0], took
+
+
 def test_empty_table(spark):
     assert dedup_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0

@@ -28,13 +28,16 @@ from umpire.llm.mixing import WORD
 from umpire.session import ensure_checkpoint_dir
 
 KEY = ["doc", "mark"]
+HOT = 50_000
+SALTS = 64
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc, mark, line, h, h2, words): one row per line of non-null texts."""
     text = F.col(text_col)
-    return (docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text).alias("mark"),
-                        F.posexplode(F.split(text, "\n", -1)).alias("line", "body"))
+    # what is exploded stands in a projection of its own: its row is copied for every line
+    return (docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text).alias("mark"), F.split(text, "\n", -1).alias("lines"))
+            .select("doc", "mark", F.posexplode("lines").alias("line", "body"))
             .select("doc", "mark", "line", F.xxhash64("body").alias("h"), F.xxhash64(F.lit(7), F.col("body")).alias("h2"),
                     F.regexp_count("body", F.lit(WORD)).cast("long").alias("words")))
 
@@ -48,8 +51,15 @@ def stretches(lines: DataFrame, min_words: int) -> DataFrame:
     A row that repeats a whole row counts once.
     """
     lines = lines.dropDuplicates([*KEY, "line"])
-    often = lines.groupBy("h", "h2").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("h", "h2")
-    live = lines.join(often, ["h", "h2"], "left_semi")
+    often = lines.groupBy("h", "h2").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").checkpoint()
+    # the copies of a very common line are dealt over SALTS parts; at most HOT lines can be so common
+    bound = max(1000, (often.agg(F.sum("times")).first()[0] or 0) // HOT)
+    often = often.withColumn("parts", F.when(F.col("times") > bound, F.lit(SALTS)).otherwise(F.lit(1)))
+    common = F.broadcast(often.filter("parts > 1").select("h", "h2", F.col("parts").alias("deal")))
+    dealt = (lines.join(common, ["h", "h2"], "left")
+             .withColumn("part", F.when(F.col("deal").isNotNull(), F.pmod(F.xxhash64("doc", "line"), F.col("deal"))).otherwise(F.lit(0)).cast("int")))
+    posted = often.select("h", "h2", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    live = dealt.join(posted, ["h", "h2", "part"], "left_semi").drop("deal", "part")
     by_doc = Window.partitionBy(*KEY).orderBy("line")
     live = live.withColumn("stretch", F.col("line") - F.row_number().over(by_doc))
     inside = Window.partitionBy(*KEY, "stretch")
@@ -88,17 +98,22 @@ def repeated_runs(lines: DataFrame, min_words: int) -> DataFrame:
         j = len(levels)
         rows = rows.withColumn(f"names{j}", _double(levels[-1], 2 ** (j - 1)))
         levels.append(F.col(f"names{j}"))
-    runs = (rows.select(*KEY, F.col("items")[0]["line"].alias("from"), *levels, F.posexplode("items").alias("at", "item"))
-            .filter("item.stop is not null")
-            .select("*", F.explode(F.sequence(F.col("item.stop").cast("int"), F.col("item.last").cast("int"))).alias("to")))
-    size = F.col("to") - F.col("at") + 1
-    name = F.lit(None)
-    for j, names in enumerate(levels):
-        head, tail = F.get(names, F.col("at")), F.get(names, F.col("to") - (2 ** j - 1))
-        here = F.struct(size.alias("n"), head["x"].alias("a"), head["y"].alias("b"), tail["x"].alias("c"), tail["y"].alias("d"))
-        name = F.when(size >= 2 ** j, here) if j == 0 else F.when(size >= 2 ** j, here).otherwise(name)
-    runs = runs.select(*KEY, (F.col("from") + F.col("at")).alias("first"), (F.col("from") + F.col("to")).alias("last"),
-                       name.alias("name")).select(*KEY, "first", "last", "name.*")
+
+    def named(at, to):
+        """The run from index ``at`` to ``to``: its size and two overlapping names."""
+        size, name = to - at + 1, F.lit(None)
+        for j, names in enumerate(levels):
+            head, tail = F.get(names, at), F.get(names, to - (2 ** j - 1))
+            here = F.struct(size.alias("n"), head["x"].alias("a"), head["y"].alias("b"), tail["x"].alias("c"), tail["y"].alias("d"))
+            name = F.when(size >= 2 ** j, here) if j == 0 else F.when(size >= 2 ** j, here).otherwise(name)
+        return F.struct(at.alias("at"), to.alias("to"), name.alias("name"))
+
+    # all candidates of a stretch as one array, so that no row carries names or items along
+    candidates = F.flatten(F.transform("items", lambda v, i: F.when(v["stop"].isNotNull(), F.transform(
+        F.sequence(v["stop"].cast("int"), v["last"].cast("int")), lambda to: named(i, to))).otherwise(F.array())))
+    runs = (rows.select(*KEY, F.col("items")[0]["line"].alias("from"), candidates.alias("runs"))
+            .select(*KEY, "from", F.explode_outer("runs").alias("run")).filter("run is not null")  # outer: no filter on the names is inferred
+            .select(*KEY, (F.col("from") + F.col("run.at")).alias("first"), (F.col("from") + F.col("run.to")).alias("last"), "run.name.*"))
     place = F.struct("doc", "mark", "first")
     intervals = (runs.groupBy("n", "a", "b", "c", "d").agg(F.min(place).alias("origin"), F.count(F.lit(1)).alias("times"))
                  .filter("times > 1"))
@@ -123,7 +138,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .groupBy(*KEY).agg(F.collect_set("line").alias("_gone"))
             .withColumnsRenamed({"doc": "_doc", "mark": "_mark"}))
     body = F.split(F.col(text_col), "\n", -1)
-    kept = F.filter(body, lambda _, i: ~F.array_contains("_gone", i))
+    stay = F.array_except(F.sequence(F.lit(0), F.size(body) - 1), F.col("_gone").cast("array<int>"))  # in order
+    kept = F.transform(stay, lambda i: F.get(body, i))
     joined = docs.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("_doc"))
                        & (F.xxhash64(F.col(text_col)) == F.col("_mark")), "left")
     text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
