@@ -20,6 +20,12 @@ def sized(rows: DataFrame, per_partition: int = 100_000) -> DataFrame:
     return rows.coalesce(max(1, -(-rows.count() // per_partition)))
 
 
+def counted(rows: DataFrame, most: int = 100_000) -> DataFrame:
+    """The rows, marked for broadcasting if they are counted to be few; a join by a hot key
+    then moves nothing.  ``rows`` should be written already (``sized``, ``checkpoint``)."""
+    return F.broadcast(rows) if rows.count() <= most else rows
+
+
 def _large_star(edges: DataFrame, parts: int) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))

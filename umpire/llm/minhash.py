@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from umpire.llm import text as X
-from umpire.llm.graph import components, sized
+from umpire.llm.graph import components, counted, sized
 from umpire.session import ensure_checkpoint_dir
 
 U64 = np.uint64
@@ -199,14 +199,14 @@ def candidates(rows: DataFrame, depth: int, least: int, window: int, num: int, d
     every = (found.filter("kind in (0, 3)").select(*stitched.columns).unionByName(stitched)
              .withColumn("prefix", F.substring("key", 1, 4 * least)))
     regions = sized(every.filter("kind = 3").select("tree", "prefix").distinct())
-    pairs = (every.filter("kind = 0").join(regions.withColumn("crowd", F.lit(True)), ["tree", "prefix"], "left")
+    pairs = (every.filter("kind = 0").join(counted(regions).withColumn("crowd", F.lit(True)), ["tree", "prefix"], "left")
              .groupBy("a", "b").agg(F.sum("score").alias("score"),
                                     F.max(F.coalesce("crowd", F.lit(False))).alias("crowded")))
     return pairs, regions
 
 
 def complete_regions(members: DataFrame, comp: DataFrame, sets: DataFrame, num: int, den: int,
-                     block: int = 200_000) -> DataFrame:
+                     block: int = 200_000, few: bool = False) -> DataFrame:
     """(a, b): links inside crowded regions that no window offered.
 
     In a region (tree, prefix) whose texts lie in several components so far,
@@ -215,21 +215,23 @@ def complete_regions(members: DataFrame, comp: DataFrame, sets: DataFrame, num:
     about ``block`` shingles, and a pair of blocks is one task's group, so no
     region has to fit a task, and an outsider's surest link to each component
     is all that is listed.  Blocks hold 32-bit hashes, which can only add
-    links; the caller confirms on full sets.
+    links; the caller confirms on full sets.  With ``few`` regions (counted) their
+    tables are broadcast, so that the rows of a large one stay where they are.
     """
     region = ["tree", "prefix"]
+    small = F.broadcast if few else (lambda t: t)
     inside = (members.join(comp.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left")
               .select(*region, "doc_id", "n", F.coalesce("root", "doc_id").alias("comp")))
     parts = inside.groupBy(*region, "comp").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("words"))
     mixed = (parts.groupBy(*region).agg(F.max(F.struct("texts", "comp")).alias("main"), F.count(F.lit(1)).alias("parts"),
                                         F.sum("words").alias("words"))
              .filter("parts > 1").select(*region, F.col("main.comp").alias("main"), "words"))
-    outside = (parts.join(mixed.select(*region, "main"), region).filter("comp != main")
+    outside = (parts.join(small(mixed.select(*region, "main")), region).filter("comp != main")
                .groupBy(*region).agg(F.sum("words").alias("others")))
     mixed = (mixed.join(outside, region)
              .select(*region, "main", F.ceil(F.col("words") / block).cast("int").alias("nm"),
                      F.ceil(F.col("others") / block).cast("int").alias("no")))
-    rows = inside.join(mixed, region).withColumn("deal", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)))
+    rows = inside.join(small(mixed), region).withColumn("deal", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     as_member = rows.select(*region, "doc_id", "comp", F.lit(False).alias("out"), (F.col("deal") % F.col("nm")).cast("int").alias("mb"),
                             every("no").alias("ob"))
@@ -349,7 +351,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = tree_rows(reps, trees, depth)
     pairs, regions = candidates(rows, depth, least, window, num, den)
     pairs = sized(pairs)
-    members = sized(rows.withColumn("prefix", F.substring("key", 1, 4 * least)).join(regions, ["tree", "prefix"], "left_semi")
+    members = sized(rows.withColumn("prefix", F.substring("key", 1, 4 * least)).join(counted(regions), ["tree", "prefix"], "left_semi")
                     .select("tree", "prefix", "doc_id", "n"))
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(members.select("doc_id")).distinct()
     sets = sized(_nodes(docs, id_col, text_col, ids, k), 10_000)
@@ -364,7 +366,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         links = _confirm(sized(chosen), sets, num, den)
         comp = components(links.unionByName(comp.select(F.col("root").alias("a"), F.col("node").alias("b"))), "a", "b")
     links = _confirm(sized(_crossing(pairs.filter("not crowded"), comp).select("a", "b")), sets, num, den)
-    links = links.unionByName(_confirm(sized(complete_regions(members, comp, sets, num, den)), sets, num, den))
+    links = links.unionByName(_confirm(sized(complete_regions(members, comp, sets, num, den, few=regions.count() <= 100_000)), sets, num, den))
     links = sized(links)
     if not links.isEmpty():
         comp = components(links.unionByName(comp.select(F.col("root").alias("a"), F.col("node").alias("b"))), "a", "b")
