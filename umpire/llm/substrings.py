@@ -38,7 +38,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from umpire.llm import text as X
-from umpire.llm.graph import counted
 from umpire.session import ensure_checkpoint_dir, shared_dir
 
 U64 = np.uint64
@@ -434,7 +433,6 @@ def repeated_spans(docs: DataFrame, length: int, hot: int, crowd: int, most: int
     anchor_rows(docs.select("doc", "mark", "body"), length).write.parquet(f"{folder}/anchors")
     found = spark.read.parquet(f"{folder}/anchors")
     crowds = found.groupBy("gram").agg(F.sum(F.size("places")).alias("times")).filter(F.col("times") > hot).select("gram").checkpoint()
-    crowds = counted(crowds)  # at most one in ``hot`` places; a crowded gram loads no task
     calm = found.join(crowds, "gram", "left_anti").repartition("gram")
     _same_gram(calm, length, crowd).write.parquet(f"{folder}/calm")
     covered, more = _hot_gram(found.join(crowds, "gram", "left_semi"), length, crowd)
