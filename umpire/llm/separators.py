@@ -16,13 +16,16 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs as pa_fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from umpire.llm import tokens
+from umpire.session import ensure_checkpoint_dir
 
 BLOCK = "file long, block long, body binary"
+SPAN = 4096  # blocks
 
 
 def write_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None,
@@ -31,7 +34,8 @@ def write_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Rows with a body are the file's blocks.  The others are not part of it:
     they record that the ``ordinal``-th document of the file is ``doc_id``.
-    A null text has no ids before its separator.
+    A null text has no ids before its separator.  An id too great for ``width`` bytes
+    is an error.
     """
     path = tokenizer or tokens.default_path()
 
@@ -50,6 +54,8 @@ def write_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 ids = part.column(0).to_pylist()
                 for text in part.column(1).to_pylist():
                     own = np.append(code.ids(text), eod)
+                    if int(own.max()) >> (8 * width):
+                        raise ValueError(f"id {own.max()} does not fit {width} bytes")
                     pending += own.astype(f"<u{width}").tobytes()
                 full = len(pending) // block_bytes
                 bodies = [bytes(pending[i * block_bytes:(i + 1) * block_bytes]) for i in range(full)]
@@ -69,13 +75,30 @@ def write_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def file_blocks(spark: SparkSession, path: str, block_bytes: int = 1 << 18) -> DataFrame:
     """Blocks (file, block, body, name) of plain binary token files; ``file`` is a hash of
-    the path.  One file is read by one task, so keep files to some hundred MB."""
-    files = spark.read.format("binaryFile").load(path).select(
-        F.xxhash64("path").alias("file"), F.col("path").alias("name"), "content")
-    count = F.greatest(F.ceil(F.length("content") / block_bytes), F.lit(1)).cast("int")
-    return (files.select("file", "name", "content", F.explode(F.sequence(F.lit(0), count - 1)).alias("block"))
-            .select("file", F.col("block").cast("long").alias("block"),
-                    F.substring("content", F.col("block") * block_bytes + 1, F.lit(block_bytes)).alias("body"), "name"))
+    the path.
+
+    Files are listed with their lengths alone; a row per block is dealt over the cluster,
+    and each task reads its blocks' byte ranges from the shared path.  A file of any
+    length is read by many tasks."""
+    files = spark.read.format("binaryFile").load(path).select(F.xxhash64("path").alias("file"), F.col("path").alias("name"), "length")
+    last = F.greatest(F.ceil(F.col("length") / block_bytes), F.lit(1)) - 1
+    places = files.select("file", "name", "length", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("block"))
+
+    def read(batches):
+        name, opened = None, None
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 64):
+                part = batch.slice(lo, 64)
+                bodies = []
+                for path, length, block in zip(*(part.column(i).to_pylist() for i in (1, 2, 3))):
+                    if path != name:
+                        system, inner = pa_fs.FileSystem.from_uri(path)
+                        name, opened = path, system.open_input_file(inner)
+                    bodies.append(opened.read_at(min(block_bytes, length - block * block_bytes), block * block_bytes))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(3), pa.array(bodies, pa.binary()), part.column(1)], ["file", "block", "body", "name"])
+
+    dealt = places.repartition("file", F.floor(F.col("block") / 64)).sortWithinPartitions("file", "block")
+    return dealt.select("file", "name", "length", "block").mapInArrow(read, BLOCK + ", name string")
 
 
 def token_counts(blocks: DataFrame, eod: int = 50256, width: int = 2) -> DataFrame:
@@ -101,13 +124,29 @@ def token_counts(blocks: DataFrame, eod: int = 50256, width: int = 2) -> DataFra
 
     found = blocks.select("file", "block", "body").mapInArrow(
         run, "file long, block long, size long, hits long, last long, at array<long>")
-    order = Window.partitionBy("file").orderBy("block")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    placed = (found.withColumn("base", F.coalesce(F.sum("size").over(before), F.lit(0)))
-              .withColumn("rank", F.coalesce(F.sum("hits").over(before), F.lit(0)))
-              .withColumn("end", F.col("base") + F.col("last"))
-              .withColumn("open", F.coalesce(F.max("end").over(before) + 1, F.lit(0)))
-              .withColumn("final", F.lead("block").over(order).isNull()))
+    ensure_checkpoint_dir(found.sparkSession)
+    found = found.checkpoint()  # scanned once; the prefix scan reads one small row per block
+    # two levels: spans of blocks within a file, then the blocks of a span
+    one = found.select("file", "block", "size", "hits", "last", F.floor(F.col("block") / SPAN).alias("span"))
+    inside = Window.partitionBy("file", "span").orderBy("block")
+    local = (one.withColumn("before", F.coalesce(F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+             .withColumn("end", F.col("before") + F.col("last")))
+    spans = local.groupBy("file", "span").agg(F.sum("size").alias("s_size"), F.sum("hits").alias("s_hits"), F.max("end").alias("s_end"), F.max("block").alias("s_last"))
+    along = Window.partitionBy("file").orderBy("span")
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    spans = (spans.withColumn("s_base", F.coalesce(F.sum("s_size").over(earlier), F.lit(0)))
+             .withColumn("s_rank", F.coalesce(F.sum("s_hits").over(earlier), F.lit(0)))
+             .withColumn("s_open", F.max(F.col("s_base") + F.col("s_end")).over(earlier) + 1)
+             .withColumn("s_final", F.lead("span").over(along).isNull())
+             .select("file", "span", "s_base", "s_rank", "s_open", "s_last", "s_final"))
+    upto = inside.rowsBetween(Window.unboundedPreceding, -1)
+    summary = (local.withColumn("rank", F.coalesce(F.sum("hits").over(upto), F.lit(0)))
+               .withColumn("open", F.max("end").over(upto)).join(spans, ["file", "span"])
+               .select("file", "block", (F.col("s_base") + F.col("before")).alias("base"), (F.col("s_rank") + F.col("rank")).alias("rank"),
+                       (F.col("s_base") + F.col("end")).alias("end"),
+                       F.coalesce(F.col("s_base") + F.col("open") + 1, F.col("s_open"), F.lit(0)).alias("open"),
+                       (F.col("s_final") & (F.col("block") == F.col("s_last"))).alias("final")))
+    placed = found.select("file", "block", "size", "at").join(summary, ["file", "block"])
     ends = F.transform("at", lambda x: x + F.col("base"))
     tail = F.when(F.col("final") & (F.col("base") + F.col("size") > F.coalesce(F.col("end") + 1, F.col("open"))),
                   F.array(F.col("base") + F.col("size"))).otherwise(F.array().cast("array<bigint>"))
