@@ -286,11 +286,14 @@ def edit_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("r", _range_of(F.col("id"), cuts))
     if tops:
-        known = F.create_map(*[F.lit(v) for r, i in tops for v in (r, before[r])])
-        first = F.create_map(*[F.lit(v).cast("long") for r, i in tops if i is not None for v in (r, i)] or [F.lit(-1), F.lit(-1)])
-        leads = F.when(F.col("id").isNull(), F.lit(True)).otherwise(F.col("id") == F.element_at(first, F.col("r").cast("long")))
+        # by range, so that a row finds its own in one step
+        greatest = dict(tops)
+        places = range(max(greatest) + 1)
+        first = F.get(F.array(*[F.lit(greatest.get(r)).cast("long") for r in places]), F.col("r"))
+        known = F.get(F.array(*[F.lit(before.get(r)).cast("int") for r in places]), F.col("r"))
+        leads = F.col("id").isNull() | F.coalesce(F.col("id") == first, F.lit(False))
         spot = F.array(F.struct(F.col("r").alias("r"), F.lit(False).alias("lead")))
-        more = F.array(F.struct(F.element_at(known, F.col("r")).alias("r"), F.lit(True).alias("lead")))
+        more = F.array(F.struct(known.alias("r"), F.lit(True).alias("lead")))
         rows = rows.select("id", "text", F.explode(F.when(leads, F.concat(spot, more)).otherwise(spot)).alias("to")).select("to.*", "id", "text")
     else:
         rows = rows.select("r", F.lit(False).alias("lead"), "id", "text")
