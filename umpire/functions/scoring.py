@@ -16,28 +16,29 @@ from umpire.schemas import CLASSES, NEGATIVE, POSITIVE
 
 # ------------------------------------------------------------------ F1-F5
 def _bound(df: DataFrame, col: str, n: int, label: str | None, keep: list[str] | tuple, sep: str, reject: str | None) -> DataFrame:
-    """``keep``, the truth and the mark where asked for, and ``_bound``: the ``n`` fields of
-    each line as an array of strings, null for a line of any other width.
+    """``keep``, the truth and the mark where asked for, ``_parts`` (the fields of each line
+    as an array of strings) and ``_from``: the place of the first of ``n`` fields, null for a
+    line of any other width.
 
     Lines without quotes and control characters are split; the others go through the
-    CSV parser.  The array is computed once a row, whatever number of fields is read."""
+    CSV parser.  The array is made once a row, whatever number of fields is read."""
     line = F.col(col)
     unquoted = F.regexp_replace(line, '"(?:[^"]|"")*"', "")
     parsed = F.from_csv(line, ", ".join(f"f{i} string" for i in range(n + 1)),
                         {"sep": sep, "ignoreLeadingWhiteSpace": "true", "escape": '"', "maxCharsPerColumn": "-1"})
-    plain = ~line.rlike(r'["\x00-\x1F]')
-    width = F.size(F.split(F.when(plain, line).otherwise(unquoted), "\\Q" + sep + "\\E"))
-    parts = (F.when(plain, F.transform(F.split(line, "\\Q" + sep + "\\E"), lambda v: F.ltrim(v)))
-             .otherwise(F.array(*[parsed[f"f{i}"] for i in range(n + 1)])))
-    rows = df.select(*keep, parts.alias("_parts"), (width - n).alias("_extra"))
-    own = F.when(F.col("_extra") == 0, F.slice("_parts", 1, n)).when(F.col("_extra") == 1, F.slice("_parts", 2, n))
-    first = F.get("_parts", F.lit(0))
+    plain, cut = ~line.rlike(r'["\x00-\x1F]'), "\\Q" + sep + "\\E"
+    parts = F.when(plain, F.split(F.ltrim(line), cut + "\\x20*")).otherwise(F.array(*[parsed[f"f{i}"] for i in range(n + 1)]))
+    parts = F.when(line.isNotNull(), parts)
+    quoted_width = F.when(~plain, F.size(F.split(unquoted, cut)))
+    rows = df.select(*keep, parts.alias("_parts"), quoted_width.alias("_quoted"))
+    width = F.coalesce("_quoted", F.size("_parts"))
+    rows = rows.withColumn("_from", F.when(width == n, 0).when(width == n + 1, 1))
     out = [F.col(k) for k in keep]
     if label:
-        out.append(F.when((F.col("_extra") == 1) & (first != ""), first).alias(label))
+        out.append(F.when(F.col("_from") == 1, F.nullif(F.get("_parts", F.lit(0)), F.lit(""))).alias(label))
     if reject:
-        out.append(F.coalesce(~F.col("_extra").isin(0, 1), F.lit(True)).alias(reject))
-    return rows.select(*out, F.transform(own, lambda v: F.when(v != "", v)).alias("_bound"))
+        out.append(F.col("_from").isNull().alias(reject))
+    return rows.select(*out, "_parts", "_from")
 
 
 def name_fields(df: DataFrame, col: str, names: list[str], label: str | None = None,
@@ -52,9 +53,15 @@ def name_fields(df: DataFrame, col: str, names: list[str], label: str | None = N
     ``to_numeric``), or with ``numeric`` become doubles, null where they are none.
     """
     rows = _bound(df, col, len(names), label, keep, sep, reject)
-    if numeric:
-        rows = rows.withColumn("_bound", F.expr("transform(_bound, v -> nullif(try_cast(v AS DOUBLE), double('NaN')))"))
-    return rows.select(*[c for c in rows.columns if c != "_bound"], *[F.get("_bound", F.lit(i)).alias(name) for i, name in enumerate(names)])
+
+    def field(i):
+        value = F.get("_parts", F.col("_from") + i)
+        if numeric:
+            number = value.try_cast("double")
+            return F.when(~F.isnan(number), number)
+        return F.nullif(value, F.lit(""))
+
+    return rows.select(*[c for c in rows.columns if c not in ("_parts", "_from")], *[field(i).alias(name) for i, name in enumerate(names)])
 
 
 def to_numeric(df: DataFrame, cols: list[str], mode: str = "coerce",
