@@ -20,7 +20,7 @@ The driver holds cut points, trees and one loss per round.
 from __future__ import annotations
 
 import json
-from dataclasses import asdict, dataclass, field, replace
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd

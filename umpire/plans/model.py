@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import math
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import replace
 
 import numpy as np
 from pyspark.ml.feature import StringIndexerModel
