@@ -1,6 +1,7 @@
 import pytest
 
 from umpire.operators import prepare as P
+from umpire.sources.testdata import DOC_FEATURES
 
 
 def test_median_averages_middle_values(spark):
@@ -115,3 +116,15 @@ def test_approximate_medians_are_observed_values(spark):
     df = spark.createDataFrame([(float(i),) for i in range(1, 102)], "x double")
     assert P.fit_medians(df, ["x"], exact=False) == {"x": 51.0}
     assert P.fit_medians(df, ["x"]) == {"x": 51.0}
+
+
+@pytest.mark.parametrize("name,columns", [("s7_test_baseline", ["result_match", "doc_id", *DOC_FEATURES])])
+def test_baseline_queries_keep_the_id(spark, tmp_path, name, columns):
+    from umpire.plans.catalog import REGISTRY
+    docs = [(i, "s", "en", f"some words. of {i}", 12 + i) for i in range(1, 41)]
+    spark.createDataFrame(docs, "doc_id long, source string, lang string, text string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(d[0], d[0] % 2) for d in docs], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    out = REGISTRY[name](spark, str(tmp_path))
+    rows = out.collect()
+    assert out.columns == columns and rows
+    assert len({r["doc_id"] for r in rows}) == len(rows) and all(0 < r["doc_id"] <= 40 for r in rows)
