@@ -118,7 +118,8 @@ def test_approximate_medians_are_observed_values(spark):
     assert P.fit_medians(df, ["x"]) == {"x": 51.0}
 
 
-@pytest.mark.parametrize("name,columns", [("s7_test_baseline", ["result_match", "doc_id", *DOC_FEATURES])])
+@pytest.mark.parametrize("name,columns", [("s7_test_baseline", ["result_match", "doc_id", *DOC_FEATURES]),
+                                          ("s7_train_baseline", ["doc_id", *DOC_FEATURES])])
 def test_baseline_queries_keep_the_id(spark, tmp_path, name, columns):
     from umpire.plans.catalog import REGISTRY
     docs = [(i, "s", "en", f"some words. of {i}", 12 + i) for i in range(1, 41)]
