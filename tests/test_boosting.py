@@ -220,3 +220,20 @@ def test_proposals_from_a_trial_table(spark):
     rows = [(i, *[float(c[r[0]]) for r in MD.RANGES], 0.6 + 0.05 * i) for i, c in enumerate(drawn)]
     table = spark.createDataFrame(rows, "trial int, " + ", ".join(f"`{r[0]}` double" for r in MD.RANGES) + ", auc double")
     assert MD.propose_from(table) == MD.propose([(dict(zip([r[0] for r in MD.RANGES], r[1:-1])), r[-1]) for r in rows])
+
+
+def test_small_nodes_of_all_levels_take_one_pass(spark, monkeypatch):
+    passes, finish = [], BT._finish_small
+    monkeypatch.setattr(BT, "_finish_small", lambda state, rows, places, used: passes.append((state.round, len(places))) or finish(state, rows, places, used))
+    _, frame = data(spark)
+    model, _ = BT.fit(frame.repartition(5), None, FEATURES, FILL, replace(PLAIN, local_rows=80))
+    assert [r for r, _ in passes] == [0, 1, 2] and any(n > 2 for _, n in passes)
+    whole, _ = BT.fit(frame, None, FEATURES, FILL, PLAIN)
+    assert model.node_rows() == whole.node_rows()
+
+
+def test_state_is_blocks_dealt_over_the_cores(spark):
+    frame = spark.range(25_000).select(F.col("id").alias("h"), F.lit(1.0).alias("y"), (F.col("id") % 5 == 0).alias("valid"), F.col("id").cast("double").alias("x0"))
+    blocks, n = BT._binned(frame.coalesce(1), ["a"], [np.array([10.0, 20.0])])
+    assert n == 20_000 and blocks.agg(F.sum("rows"), F.max("rows")).first() == (25_000, 10_000)
+    assert blocks.rdd.getNumPartitions() == min(3, spark.sparkContext.defaultParallelism)
