@@ -224,11 +224,11 @@ def test_proposals_from_a_trial_table(spark):
 
 def test_small_nodes_of_all_levels_take_one_pass(spark, monkeypatch):
     passes, finish = [], BT._finish_small
-    monkeypatch.setattr(BT, "_finish_small", lambda state, rows, places, used: passes.append((state.round, len(places))) or finish(state, rows, places, used))
+    monkeypatch.setattr(BT, "_finish_small", lambda state, rows, places, used: passes.append((state.round, {p.bit_length() for p in places})) or finish(state, rows, places, used))
     _, frame = data(spark)
-    model, _ = BT.fit(frame.repartition(5), None, FEATURES, FILL, replace(PLAIN, local_rows=80))
-    assert [r for r, _ in passes] == [0, 1, 2] and any(n > 2 for _, n in passes)
-    whole, _ = BT.fit(frame, None, FEATURES, FILL, PLAIN)
+    model, _ = BT.fit(frame.repartition(5), None, FEATURES, FILL, replace(PLAIN, max_depth=5, local_rows=40))
+    assert [r for r, _ in passes] == [0, 1, 2] and any(len(levels) > 1 for _, levels in passes)
+    whole, _ = BT.fit(frame, None, FEATURES, FILL, replace(PLAIN, max_depth=5))
     assert model.node_rows() == whole.node_rows()
 
 
