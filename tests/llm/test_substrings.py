@@ -55,6 +55,24 @@ def test_against_brute_force(spark, length, more):
     check(spark, corpus(length, length), length, **more)
 
 
+def test_calm_grams_meet_when_the_table_of_hot_ones_is_small(spark):
+    rng = random.Random(3)
+    text = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    often, twice = [text(300) for _ in range(8)], [text(300) for _ in range(12)]
+    bits = 6 * often + 2 * twice
+    rng.shuffle(bits)
+    # the first lies between the table's estimated size and its true one, so that the join is
+    # rewritten while it runs; the second keeps a small table's tasks apart
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "8k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        check(spark, [(i, text(rng.randint(50, 150)) + b + text(50)) for i, b in enumerate(bits)], 100, hot=4)
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+
+
 def test_column_order_by_hand():
     rng = np.random.default_rng(0)
     rows = rng.integers(0, 3, size=(60, 9)).astype(np.uint16)
