@@ -237,3 +237,12 @@ def test_state_is_blocks_dealt_over_the_cores(spark):
     blocks, n = BT._binned(frame.coalesce(1), ["a"], [np.array([10.0, 20.0])])
     assert n == 20_000 and blocks.agg(F.sum("rows"), F.max("rows")).first() == (25_000, 10_000)
     assert blocks.rdd.getNumPartitions() == min(3, spark.sparkContext.defaultParallelism)
+
+
+def test_a_level_is_summed_by_the_driver_or_a_shuffle_alike(spark, monkeypatch):
+    _, frame = data(spark)
+    params = replace(PLAIN, max_depth=5, local_rows=20, colsample=0.7)
+    here, _ = BT.fit(frame.repartition(5), None, FEATURES, FILL, params)
+    monkeypatch.setattr(BT, "SUMMED", 0)
+    there, _ = BT.fit(frame.repartition(5), None, FEATURES, FILL, params)
+    assert here.node_rows() == there.node_rows() and len(here.node_rows()) > 9
