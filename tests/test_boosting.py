@@ -246,3 +246,32 @@ def test_a_level_is_summed_by_the_driver_or_a_shuffle_alike(spark, monkeypatch):
     monkeypatch.setattr(BT, "SUMMED", 0)
     there, _ = BT.fit(frame.repartition(5), None, FEATURES, FILL, params)
     assert here.node_rows() == there.node_rows() and len(here.node_rows()) > 9
+
+
+def test_passes_of_a_round_read_its_kept_gradients(spark, monkeypatch):
+    read, split, finish = [], BT._split_big, BT._finish_small
+    monkeypatch.setattr(BT, "_split_big", lambda state, rows, places, used: read.append(rows.columns) or split(state, rows, places, used))
+    monkeypatch.setattr(BT, "_finish_small", lambda state, rows, places, used: read.append(rows.columns) or finish(state, rows, places, used))
+    _, frame = data(spark)
+    params = replace(PLAIN, max_depth=5, local_rows=20, subsample=0.8)
+    cached = spark.sparkContext._jsc.getPersistentRDDs().size()
+    kept, _ = BT.fit(frame.repartition(5), None, FEATURES, FILL, params)
+    assert len(read) > 6 and all(c == ["bins", "g", "h"] for c in read)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= cached
+    monkeypatch.setattr(BT, "KEPT_ROWS", 10 ** 9)
+    state, _ = BT.fit(frame.repartition(5), None, FEATURES, FILL, params)
+    assert "margin" in read[-1] and kept.node_rows() == state.node_rows()
+
+
+@pytest.mark.parametrize("kind", ["<u2", "<f8"])
+def test_walks_end_where_single_steps_do(kind):
+    x = np.array([[0, 5], [3, 5], [4, 0], [9, 9]]).astype(kind)
+    if kind == "<f8":
+        x[1, 0] = np.nan
+    feature, by, left, right = np.array([0, 1, -1, -1, -1]), np.array([3, 4, 0, 0, 0]), np.array([1, 3, 0, 0, 0]), np.array([2, 4, 0, 0, 0])
+    def end(row, n=0):
+        while feature[n] >= 0:
+            n = left[n] if row[feature[n]] <= by[n] else right[n]
+        return n
+    assert BT._walk(x, feature, by, left, right).tolist() == [end(row) for row in x]
+    assert BT._walk(x[:0], feature, by, left, right).tolist() == [] and BT._walk(x[:, :0], feature[2:3], by[:1], left[2:3], right[2:3]).tolist() == [0] * 4
