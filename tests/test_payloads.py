@@ -114,3 +114,15 @@ def test_line_widths_quotes_and_missing_values(spark):
     none = (None, None, None, None, True, 1)
     assert got == [(None, 1, 2, 3, False, 0), (None, 1, None, 3, False, 0), (None, 1, None, 3, False, 0), none,
                    ("1", 2, 3, 4, False, 0), none, (None, None, 2, 3, False, 1), ("home_win", 1, 2, 3, False, 0), none, none]
+
+
+def test_many_fields_are_cast_in_one_expression(spark):
+    names = [f"n{i}" for i in range(50)]
+    lines = spark.createDataFrame([(1, ",".join(map(str, range(50)))), (2, '"1,5",NaN,, x,"7",' + ",".join("9" * 45)), (3, "a," + ",".join("3" * 50)), (4, "1,2"), (5, None)], "k int, line string")
+    out = PL.parse_csv_lines(lines, "line", names, keep=["k"], reject="bad")
+    assert out._jdf.queryExecution().optimizedPlan().toString().lower().count("cast(") < 5
+    got = {r["k"]: r for r in out.collect()}
+    assert [got[1][n] for n in names] == [float(i) for i in range(50)]
+    assert [got[2][n] for n in names] == [None, None, None, None, 7.0] + [9.0] * 45
+    assert [got[3][n] for n in names] == [3.0] * 50 and [got[k]["bad"] for k in (1, 2, 3, 4, 5)] == [False, False, False, True, True]
+    assert all(got[k][n] is None for k in (4, 5) for n in names)

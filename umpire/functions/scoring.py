@@ -54,14 +54,15 @@ def name_fields(df: DataFrame, col: str, names: list[str], label: str | None = N
     """
     rows = _bound(df, col, len(names), label, keep, sep, reject)
 
-    def field(i):
-        value = F.get("_parts", F.col("_from") + i)
-        if numeric:
-            number = value.try_cast("double")
-            return F.when(~F.isnan(number), number)
-        return F.nullif(value, F.lit(""))
-
-    return rows.select(*[c for c in rows.columns if c not in ("_parts", "_from")], *[field(i).alias(name) for i, name in enumerate(names)])
+    def number(value):
+        x = value.try_cast("double")
+        return F.when(~F.isnan(x), x)
+
+    if numeric:  # all fields in one expression: a cast per column makes a method too long for the JVM to compile
+        rows = rows.withColumn("_parts", F.transform("_parts", number))
+    value = [F.get("_parts", F.col("_from") + i) for i in range(len(names))]
+    return rows.select(*[c for c in rows.columns if c not in ("_parts", "_from")],
+                       *[(v if numeric else F.nullif(v, F.lit(""))).alias(name) for v, name in zip(value, names)])
 
 
 def to_numeric(df: DataFrame, cols: list[str], mode: str = "coerce",
