@@ -9,8 +9,9 @@ one of the two messages.
 Two plans with identical output:
 
 * ``rendezvous_stream``: keyed state with ``transformWithState`` (RocksDB store).
-  Arrivals are kept under their event time with a timer; timers fire in time order
-  once the watermark passes them, whatever order and micro-batch the arrivals came in.
+  Arrivals are kept in sorted runs, each with a timer at its first one's event time; once
+  the watermark passes it, runs are merged up to the watermark, so arrivals are answered in
+  time order, whatever order and micro-batch they came in.
   State per batch id: the waiting part, and the arrivals ahead of the watermark.
 * ``rendezvous_batch``: one ordered pass over range partitions of (batch id, time).
   An arrival acts on the state as a function; a partition's arrivals compose to a
@@ -20,6 +21,8 @@ Two plans with identical output:
 
 from __future__ import annotations
 
+import heapq
+import itertools
 import json
 from collections.abc import Iterator
 
@@ -36,6 +39,8 @@ from umpire.operators.ordered import _checkpointed_ranges
 from umpire.streaming.runner import after_watermark
 
 PARTS = ("df", "y")
+RUN = 16_384  # arrivals of one batch id in a state entry, at most
+HOUR_US = 3_600_000_000
 OUTPUT = T.StructType([
     T.StructField("batch_id", T.StringType()),
     T.StructField("event_id", T.LongType()),
@@ -100,9 +105,11 @@ def rendezvous_batch(arrivals: DataFrame) -> DataFrame:
 
 
 class RendezvousProcessor(StatefulProcessor):
-    """Keyed state: the waiting part, and arrivals ahead of the watermark by their time.
+    """Keyed state: the waiting part, and arrivals ahead of the watermark in sorted runs.
 
-    With ``expiry_ms`` a part that has waited so long (in event time) is forgotten."""
+    A run is one state entry with one timer, of its first arrival, so the state is read and
+    written once a run.  Full runs are cut by hour: a busy batch id holds an hour at a time
+    in memory.  With ``expiry_ms`` a part that has waited so long (in event time) is forgotten."""
 
     def __init__(self, expiry_ms: int | None = None):
         self.expiry_ms = expiry_ms
@@ -110,37 +117,77 @@ class RendezvousProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.waiting = handle.getValueState("waiting", "part string, since long")
-        self.ahead = handle.getMapState("ahead", "at long", "arrivals string")
+        self.runs = handle.getMapState("runs", "at long, us long, n long", "arrivals string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        passed = timerValues.getCurrentWatermarkInMs()
+        passed, run, places = timerValues.getCurrentWatermarkInMs(), [], {}
         for r in rows:
             # a time that the watermark has passed is answered at the next one; none is lost
-            at = max(r["us"] // 1000, passed + 1)
-            held = json.loads(self.ahead.getValue((at,))[0]) if self.ahead.containsKey((at,)) else []
-            held.append([r["us"], r["event_id"], r["file_type"], r["folder"]])
-            self.ahead.updateValue((at,), (json.dumps(held),))
-            if len(held) == 1:
-                self.handle.registerTimer(at)
+            run.append([max(r["us"] // 1000, passed + 1), r["us"], r["event_id"], r["file_type"], r["folder"]])
+            if len(run) == RUN:
+                for _, hour in itertools.groupby(sorted(run), lambda a: a[1] // HOUR_US):
+                    self._hold(list(hour), places)
+                run = []
+        if run:
+            self._hold(sorted(run), places)
         return iter(())
 
+    def _hold(self, run: list, places: dict) -> None:
+        """Keep a sorted run; ``places`` are the next free ones of this call, by first time."""
+        first = tuple(run[0][:2])
+        n = places.get(first, 0)
+        while self.runs.containsKey((*first, n)):
+            n += 1
+        places[first] = n + 1
+        self.runs.updateValue((*first, n), (json.dumps(run),))
+        self.handle.registerTimer(first[0])
+
+    def _passed(self, limit: int) -> Iterator[list]:
+        """Arrivals up to ``limit`` in order, taken out of the state; a run is read when its
+        first arrival is next."""
+        due = sorted((tuple(k) for k in self.runs.keys() if k[0] <= limit), reverse=True)
+        heads, places = [], {}
+        while due or heads:
+            while due and (not heads or due[-1][:2] <= tuple(heads[0][0][:2])):
+                run = iter(json.loads(self.runs.getValue(due[-1])[0]))
+                self.runs.removeKey(due.pop())
+                heapq.heappush(heads, (next(run), len(due), run))
+            arrival, n, run = heads[0]
+            if arrival[0] > limit:
+                heapq.heappop(heads)
+                self._hold([arrival, *run], places)
+                continue
+            yield arrival
+            following = next(run, None)
+            if following is None:
+                heapq.heappop(heads)
+            else:
+                heapq.heapreplace(heads, (following, n, run))
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        at = expiredTimerInfo.getExpiryTimeInMs()
-        part, since = self.waiting.get() if self.waiting.exists() else (None, 0)
-        if part is not None and self.expiry_ms is not None and at >= since + self.expiry_ms:
-            part = None
-        if self.ahead.containsKey((at,)):
-            for _, event_id, file_type, folder in sorted(json.loads(self.ahead.getValue((at,))[0])):
-                met = part is not None and part != file_type
-                part, since = (None, 0) if met else (file_type, at)
-                if self.expiry_ms is not None and not met:
-                    self.handle.registerTimer(at + self.expiry_ms)
-                yield Row(batch_id=key[0], event_id=event_id, folder=folder, message=MSG_TRIGGERED if met else MSG_WAITING.format(t=file_type))
-            self.ahead.removeKey((at,))
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        before = self.waiting.get() if self.waiting.exists() else (None, 0)
+        part, since = self._kept(*before, now)
+        for at, _, event_id, file_type, folder in self._passed(max(now, timerValues.getCurrentWatermarkInMs())):
+            if at != now:
+                part, since = self._kept(part, since, at)
+                now = at
+            met = part is not None and part != file_type
+            part, since = (None, 0) if met else (file_type, at)
+            yield Row(batch_id=key[0], event_id=event_id, folder=folder, message=MSG_TRIGGERED if met else MSG_WAITING.format(t=file_type))
+        if (part, since) == tuple(before):
+            return
         if part is None:
             self.waiting.clear()
         else:
             self.waiting.update((part, since))
+            if self.expiry_ms is not None:
+                self.handle.registerTimer(since + self.expiry_ms)
+
+    def _kept(self, part: str | None, since: int, at: int) -> tuple:
+        """What still waits at a time."""
+        gone = part is not None and self.expiry_ms is not None and at >= since + self.expiry_ms
+        return (None, 0) if gone else (part, since)
 
     def close(self) -> None:
         pass
